@@ -1,0 +1,67 @@
+"""Compare a Spark result with a DuckDB oracle query (the driver's check, locally).
+
+Columns are matched by name (sorted), rows compared order-insensitively after
+rounding floats, so the check is the same shape as the driver's value hash.
+"""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+import pandas as pd
+
+from ledgerline.plans.fixtures import TABLES
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir.rstrip('/')}/{t}.parquet')")
+    return con
+
+
+def _norm(v, digits):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        if math.isinf(v):
+            return v
+        return round(v, digits) + 0.0
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x, digits) for x in v)
+    if hasattr(v, "tolist"):
+        return _norm(v.tolist(), digits)
+    if isinstance(v, pd.Timestamp):
+        return v.to_pydatetime().replace(tzinfo=None)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x, digits)) for k, x in v.items()))
+    return v
+
+
+def frame_rows(pdf: pd.DataFrame, digits: int = 6):
+    cols = sorted(pdf.columns)
+    rows = []
+    for rec in pdf[cols].itertuples(index=False, name=None):
+        rows.append(tuple(_norm(None if (not isinstance(x, (list, tuple, dict)) and not hasattr(x, "tolist")
+                                         and pd.isna(x)) else x, digits) for x in rec))
+    return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def compare(spark_df, sql: str, sf_dir: str, digits: int = 6, con=None) -> tuple[bool, str]:
+    con = con or duck(sf_dir)
+    left = spark_df.toPandas()
+    right = con.execute(sql).df()
+    lc, lr = frame_rows(left, digits)
+    rc, rr = frame_rows(right, digits)
+    if lc != rc:
+        return False, f"columns differ: {lc} vs {rc}"
+    if len(lr) != len(rr):
+        return False, f"row count {len(lr)} vs {len(rr)}"
+    for i, (a, b) in enumerate(zip(lr, rr)):
+        if a != b:
+            diffs = [(c, x, y) for c, x, y in zip(lc, a, b) if x != y]
+            return False, f"row {i} differs: {diffs[:5]}"
+    return True, f"{len(lr)} rows match"
