@@ -76,12 +76,20 @@ def parse_instruction(text) -> Column:
 
 def is_sentiment_question(question) -> Column:
     """X-02: any of the keywords occurs in the lower-cased question."""
-    return contains_any(F.lower(_c(question)), SENTIMENT_QUESTION_KEYWORDS)
+    return gate_lowered(F.lower(_c(question)))
+
+
+def gate_lowered(q: Column) -> Column:
+    return contains_any(q, SENTIMENT_QUESTION_KEYWORDS)
 
 
 def sentiment_label(question, response) -> Column:
     """X-03: Yes/No answer -> label; the branch order is part of the definition."""
-    q, r = F.lower(_c(question)), F.lower(_c(response))
+    return label_lowered(F.lower(_c(question)), F.lower(_c(response)))
+
+
+def label_lowered(q: Column, r: Column) -> Column:
+    """X-03 on already lower-cased question ``q`` and response ``r``."""
     yes, no = r == "yes", r == "no"
     null = F.lit(None).cast("string")
     up = q.contains("price going up") | q.contains("price in the future")
@@ -99,13 +107,6 @@ def sentiment_label(question, response) -> Column:
              .otherwise(null))
 
 
-def drop_reason(parsed: Column) -> Column:
-    """X-04: why a row yields no example (NULL when it does)."""
-    return (F.when(parsed.isNull(), "unparsed")
-             .when(~is_sentiment_question(parsed["question"]), "not_sentiment")
-             .when(sentiment_label(parsed["question"], parsed["response"]).isNull(), "no_label"))
-
-
 # ---- X-05..X-08 chat format --------------------------------------------------
 
 def user_messages(content) -> Column:
