@@ -27,11 +27,15 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_digits: int = 2) -> DataFrame:
-    """Round every top-level DOUBLE column (the oracle SQL rounds the same way)."""
+def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_digits: int = 2,
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """Round every top-level DOUBLE column (the oracle SQL rounds the same way);
+    columns in ``keep`` are left as they are."""
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in keep:
+            out.append(F.col(f.name))
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             d = money_digits if f.name in money else digits
             out.append(F.round(F.col(f.name), d).alias(f.name))
         else:
