@@ -316,8 +316,7 @@ def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
         d = d.withColumn("stoch_k_14", F.try_divide(c - ll, hh - ll) * 100)
         d = d.withColumn("williams_r_14", F.try_divide(hh - c, hh - ll) * -100)
         d = d.withColumn("volume_roc_10", pct_change_col(key, "volume", 10))
-        dow = (F.dayofweek(F.col(ts)) + 5) % 7          # Monday = 0 .. Sunday = 6
-        d = d.withColumn("dow_sin", F.sin(2 * F.pi() * dow / 7)).withColumn("dow_cos", F.cos(2 * F.pi() * dow / 7))
+        d = d.withColumns(dict(zip(["dow_sin", "dow_cos"], day_of_week_encoding(ts))))
         d = d.withColumn("_sv", F.when(c > prev_c, F.col("volume")).when(c < prev_c, -F.col("volume"))
                          .otherwise(F.lit(0.0)))
         typical = (F.col("high") + F.col("low") + c) / 3
@@ -335,6 +334,12 @@ def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
     return sq.home_rows(laid).drop("_sv", "_pv", "_cum_pv", "_cum_v", RN, N)
 
 
+def day_of_week_encoding(ts: str = "ts") -> list[Column]:
+    """E-07: sin / cos of 2*pi*weekday/7 with Monday = 0 .. Sunday = 6."""
+    dow = (F.dayofweek(F.col(ts)) + 5) % 7
+    return [F.sin(2 * F.pi() * dow / 7).alias("dow_sin"), F.cos(2 * F.pi() * dow / 7).alias("dow_cos")]
+
+
 def cross_asset_correlation(returns: DataFrame, pairs: DataFrame, key="asset", ts="ts", value="log_return",
                             window=20, chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """E-04: rolling Pearson correlation for an explicit (left, right) pair list.

@@ -187,6 +187,15 @@ def e02(spark, sf):
     return rounded(out.select("asset", "ts", "ema_12"))
 
 
+@query("e07_day_of_week_encoding", f"""
+SELECT asset, ts, round(sin(2 * pi() * ((dayofweek(ts) + 6) % 7) / 7), 6) AS dow_sin,
+  round(cos(2 * pi() * ((dayofweek(ts) + 6) % 7) / 7), 6) AS dow_cos FROM ({fx.bars_sql()})""")
+def e07(spark, sf):
+    """E-07: cyclical day-of-week encoding (Monday = 0)."""
+    b = bars(spark, sf)
+    return rounded(b.select("asset", "ts", *FT.day_of_week_encoding("ts")))
+
+
 @query("e04_rolling_correlation", f"""
 WITH {FEATURES_CTE},
 x AS (SELECT a.asset AS "left", b.asset AS "right", a.ts, a.log_return AS x, b.log_return AS y

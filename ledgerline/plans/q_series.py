@@ -14,7 +14,8 @@ from ledgerline.operators import features as FT
 from ledgerline.operators import metrics as M
 from ledgerline.operators import splits as SP
 from ledgerline.plans import fixtures as fx
-from ledgerline.plans.registry import query, rounded
+from ledgerline.plans import sequence as sq
+from ledgerline.plans.registry import query, rounded, sig_round, sig_round_sql
 
 BARS = fx.bars_sql()
 
@@ -414,22 +415,28 @@ SELECT {gsel} n, {_r(["mae", "rmse", "mape", "direction_accuracy", "hit_rate", "
   round(CASE WHEN losses = 0 THEN CASE WHEN gains > 0 THEN 'Infinity'::DOUBLE ELSE 0.0 END ELSE gains / losses END, 6)
     AS profit_factor,
   round(max_drawdown, 6) AS max_drawdown,
-  round(CASE WHEN abs(max_drawdown) = 0 THEN 0.0 ELSE
-    CASE WHEN last_cum < 0 THEN NULL ELSE (pow(last_cum, 252.0 / n) - 1) * 100 / abs(max_drawdown) END END, 6)
+  {sig_round_sql("CASE WHEN abs(max_drawdown) = 0 THEN 0.0 ELSE CASE WHEN last_cum < 0 THEN NULL ELSE (pow(last_cum, 252.0 / n) - 1) * 100 / abs(max_drawdown) END END")}
     AS calmar_ratio,
-  round((last_cum - 1) * 100, 6) AS total_return
+  {sig_round_sql("(last_cum - 1) * 100")} AS total_return
 FROM a"""
 
 
+def _sig(df):
+    """Compounded quantities span many decades: 9 significant digits."""
+    return df.withColumns({c: sig_round(c) for c in ("calmar_ratio", "total_return") if c in df.columns})
+
+
 @query("m20_metrics_per_asset", _metrics_sql(["asset"], "ts"))
 def m20(spark, sf):
-    return rounded(M.all_metrics(predictions(spark, sf), group=["asset"], order=("ts",)))
+    return _sig(rounded(M.all_metrics(predictions(spark, sf), group=["asset"], order=("ts",)),
+                        keep=("calmar_ratio", "total_return")))
 
 
 @query("m20_metrics_pooled", _metrics_sql([], "ts, asset"))
 def m20p(spark, sf):
     """Pooled over all assets: one curve ordered by (ts, asset)."""
-    return rounded(M.all_metrics(predictions(spark, sf), group=[], order=("ts", "asset")))
+    return _sig(rounded(M.all_metrics(predictions(spark, sf), group=[], order=("ts", "asset")),
+                        keep=("calmar_ratio", "total_return")))
 
 
 @query("m08_backtest_fold_metrics", f"""
@@ -444,7 +451,7 @@ SELECT fold, count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y
   round(avg(CASE WHEN sign(y) = sign(p) THEN 1.0 ELSE 0.0 END), 6) AS direction_accuracy,
   round(CASE WHEN stddev_pop(r) = 0 THEN 0.0 ELSE avg(r) / stddev_pop(r) * sqrt(252) END, 6) AS sharpe_ratio,
   round(coalesce(min(dd) * 100, 0.0), 6) AS max_drawdown,
-  round((arg_max(cum, (ts, asset)) - 1) * 100, 6) AS total_return
+  {sig_round_sql("(arg_max(cum, (ts, asset)) - 1) * 100")} AS total_return
 FROM d GROUP BY fold""")
 def m08(spark, sf):
     """M-08: walk-forward backtest of the persistence forecast; metrics per fold on
@@ -452,8 +459,8 @@ def m08(spark, sf):
     folds = SP.walk_forward_split(predictions(spark, sf), 200, 100, 100)
     test = folds.filter(F.col("role") == "test")
     m = M.all_metrics(test, group=["fold"], order=("ts", "asset"))
-    return rounded(m.select("fold", "n", "mae", "rmse", "direction_accuracy", "sharpe_ratio", "max_drawdown",
-                            "total_return"))
+    return _sig(rounded(m.select("fold", "n", "mae", "rmse", "direction_accuracy", "sharpe_ratio", "max_drawdown",
+                                 "total_return"), keep=("total_return",)))
 
 
 @query("m26_batch_forecast_top10", f"""
@@ -482,3 +489,63 @@ def j11(spark, sf):
     weights = per.select("asset", (F.col("_v") / per.select(F.sum("_v")).scalar()).alias("weight"))
     f = features(spark, sf, horizon=None)
     return rounded(portfolio_forecast(f, weights, "log_return", key="asset", ts="ts"))
+
+
+# ---- M-10..M-19 one metric per query (same pipeline, the metric's columns) ---------
+
+def _metric_query(name, cols, doc):
+    sql = f"SELECT asset, {', '.join(cols)} FROM ({_metrics_sql(['asset'], 'ts')})"
+
+    def fn(spark, sf):
+        m = M.all_metrics(predictions(spark, sf), group=["asset"], order=("ts",)).select("asset", *cols)
+        return _sig(rounded(m, keep=("calmar_ratio", "total_return")))
+    fn.__doc__ = doc
+    query(name, sql)(fn)
+
+
+_metric_query("m10_mae", ["mae"], "M-10: mean absolute error per asset.")
+_metric_query("m11_rmse", ["rmse"], "M-11: root mean squared error per asset.")
+_metric_query("m12_mape", ["mape"], "M-12: MAPE (NULL when an actual is 0) per asset.")
+_metric_query("m13_direction_accuracy", ["direction_accuracy", "hit_rate"], "M-13: sign agreement share and %.")
+_metric_query("m14_sharpe", ["sharpe_ratio"], "M-14: annualised Sharpe with population std.")
+_metric_query("m15_sortino", ["sortino_ratio"], "M-15: annualised Sortino (population std of losses).")
+_metric_query("m16_max_drawdown", ["max_drawdown"], "M-16: maximum drawdown of the compounded curve, in %.")
+_metric_query("m17_calmar", ["calmar_ratio"], "M-17: Calmar ratio.")
+_metric_query("m18_profit_factor", ["profit_factor"], "M-18: gains / |losses| (Infinity without losses).")
+
+
+@query("m19_strategy_returns", f"""
+WITH {PRED_CTE}, q AS (SELECT asset, ts, actual * sign(prediction) AS strategy_return FROM p)
+SELECT asset, ts, round(strategy_return, 6) AS strategy_return,
+  {sig_round_sql("(product(1 + strategy_return) OVER (PARTITION BY asset ORDER BY ts) - 1) * 100")} AS total_return FROM q""")
+def m19(spark, sf):
+    """M-19: strategy return y * sign(prediction) per row and the running total
+    return (compounded, in %) — the two-level chunk scan, not one big window."""
+    p = predictions(spark, sf).withColumn("strategy_return", F.col("actual") * F.signum("prediction"))
+    c = FT.cumulative_curve(p, "strategy_return", "asset", "ts")
+    out = c.select("asset", "ts", "strategy_return", ((F.col("cumulative") - 1) * 100).alias("total_return"))
+    return _sig(rounded(out, keep=("total_return",)))
+
+
+@query("f09_complete_cases", f"""
+WITH {FEATURES_CTE} SELECT asset, ts FROM f WHERE {" AND ".join(c + " IS NOT NULL" for c in FT.FEATURE_COLUMNS)}
+  AND target IS NOT NULL""")
+def f09(spark, sf):
+    """F-09: rows with every feature and the target present."""
+    from ledgerline.operators.clean import complete_cases
+    return complete_cases(features(spark, sf), FT.FEATURE_COLUMNS + ["target"]).select("asset", "ts")
+
+
+@query("m04_temporal_order_check", f"""
+WITH b AS ({BARS}) SELECT asset, count(*) AS n, 0 AS out_of_order FROM b GROUP BY 1""")
+def m04(spark, sf):
+    """M-04: the order column must be temporal (checked on the schema, raises
+    otherwise) and rows are in strictly increasing time per series (counted)."""
+    b = bars(spark, sf)
+    SP.require_temporal(b, "ts")
+
+    def build(d):
+        prev = F.lag("ts", 1).over(sq.chunk_window("asset"))
+        return d.withColumn("_bad", F.when(prev >= F.col("ts"), 1).otherwise(0))
+    chk = FT.on_series(b, "asset", ["ts"], build, back=1)
+    return chk.groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.sum("_bad").cast("int").alias("out_of_order"))

@@ -46,3 +46,18 @@ def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_d
 def load_all() -> None:
     """Import every query module so that their decorators register."""
     from ledgerline.plans import q_series, q_text, q_panel, q_sources, q_lake, q_models  # noqa: F401
+
+
+def sig_round(c, digits: int = 9):
+    """Round to ``digits`` significant digits (for values whose magnitude varies
+    over many decades, e.g. compounded returns); see :func:`sig_round_sql`."""
+    x = F.col(c) if isinstance(c, str) else c
+    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, F.lit(0.0)).when(F.isnan(x) | (F.abs(x) == float("inf")), x) \
+        .otherwise(F.round(x / e, digits - 1) * e)
+
+
+def sig_round_sql(x: str, digits: int = 9) -> str:
+    e = f"pow(10.0, floor(log10(abs({x}))))"
+    return (f"(CASE WHEN ({x}) = 0 THEN 0.0 WHEN isnan({x}) OR isinf({x}) THEN ({x}) "
+            f"ELSE round(({x}) / {e}, {digits - 1}) * {e} END)")
