@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as TX
@@ -73,10 +73,10 @@ def first_user_turn(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
 
 
 def label_share(df: DataFrame, label: str) -> DataFrame:
-    """A-11: count per label and share of the total. The window runs over the
-    aggregated table, one row per distinct label."""
+    """A-11: count per label and share of the total (the total is a scalar
+    subquery over the aggregated counts, evaluated once)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    return counts.withColumn("share", F.col("count") / counts.select(F.sum("count")).scalar())
 
 
 def keyword_mentions(df: DataFrame, text_cols: Sequence[str], tickers: Sequence[str]) -> DataFrame:
@@ -92,8 +92,15 @@ def keyword_mentions(df: DataFrame, text_cols: Sequence[str], tickers: Sequence[
                                                         .alias("mentions"))
 
 
-def consistent_labels(df: DataFrame, key: str, label: str) -> DataFrame:
+def consistent_labels(df: DataFrame, key: str, label: str, digest: bool = True) -> DataFrame:
     """M-27: drop every row whose key (e.g. headline) carries more than one
-    distinct label; rows of consistent keys are kept."""
-    good = df.groupBy(key).agg(F.count_distinct(label).alias("_k")).filter(F.col("_k") == 1)
-    return df.join(good.select(key), on=key, how="left_semi")
+    distinct label; rows of consistent keys are kept.
+
+    With ``digest`` the shuffles carry a SHA-256 of the key instead of the text
+    itself (a hot headline copied many times then costs 32 bytes per row in
+    the exchange); the (digest, label) pairs are deduplicated map-side first."""
+    k = F.sha2(F.col(key), 256) if digest else F.col(key)
+    keyed = df.withColumn("_key", k)
+    good = (keyed.select("_key", label).distinct().groupBy("_key").agg(F.count(F.lit(1)).alias("_k"))
+                 .filter(F.col("_k") == 1).select("_key"))
+    return keyed.join(good, on="_key", how="left_semi").drop("_key")
