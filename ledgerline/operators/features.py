@@ -253,21 +253,26 @@ def example_features(bars: DataFrame, key="asset", ts="ts", price="close", tiebr
 def cumulative_curve(df: DataFrame, r: str, key, ts="ts", tiebreak=None, cum="cumulative",
                      drawdown="drawdown", chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-14 / W-15: cumulative compounded return prod(1 + r) (sign-correct, no
-    log trick), its running max and drawdown (c - max) / max.
+    log trick; NULL returns are skipped like cumprod), its running max and
+    drawdown (c - max) / max.
 
-    Unbounded-preceding frames use the two-level scan: per-chunk product / max,
-    a prefix over the small chunk table, then a join back."""
+    Unbounded-preceding frames use the two-level scan: the product of each
+    earlier chunk comes from a per-chunk aggregate over the indexed rows (cheap)
+    and is joined before the windows; the running max needs the chunk maxima of
+    the compounded values, a second small carry table."""
     key = _cols(key)
     ix = sq.with_row_index(df, key, _order(ts, tiebreak))
-    laid = sq.with_halo(ix, back=0, fwd=0, chunk_rows=chunk_rows)
-    w = chunk_window(key).rowsBetween(Window.unboundedPreceding, 0)
+    laid = sq.with_halo(ix, back=0, fwd=0, chunk_rows=chunk_rows)       # no halo: every row is home
     one_plus = F.lit(1.0) + F.col(r)
-    laid = laid.withColumn("_lp", F.product(one_plus).over(w))
-    laid = sq.prefix_over_chunks(laid, key, "_lp", F.product(one_plus), "product", cum)
-    laid = laid.withColumn("_lm", F.max(cum).over(w))
-    laid = sq.prefix_over_chunks(laid, key, "_lm", F.max(cum), "max", "running_max")
-    laid = laid.withColumn(drawdown, F.try_divide(F.col(cum) - F.col("running_max"), F.col("running_max")))
-    return sq.home_rows(laid).drop("_lp", "_lm")
+    carry = sq.chunk_carries(laid, key, {"_cp": (F.product(one_plus), "product")})
+    x = laid.join(carry, on=[*key, sq.CHUNK], how="inner")
+    x = x.withColumn(cum, F.col("_cp") * sq.running(F.product(one_plus), key))
+    x = x.withColumn("_lm", sq.running(F.max(cum), key))
+    carry_m = sq.chunk_carries(x, key, {"_cm": (F.max(cum), "max")})
+    x = x.join(carry_m, on=[*key, sq.CHUNK], how="inner")
+    x = x.withColumn("running_max", F.greatest(F.col("_cm"), F.col("_lm")))   # greatest skips NULLs
+    x = x.withColumn(drawdown, F.try_divide(F.col(cum) - F.col("running_max"), F.col("running_max")))
+    return sq.home_rows(x).drop("_cp", "_lm", "_cm")
 
 
 def weekly_bull_bear(df: DataFrame, price="close", key="asset", ts="ts", tiebreak=None,
@@ -291,47 +296,52 @@ def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
                       chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """E-01..E-03, E-07: returns 1/5/20/60, range, spread, gap, SMA 10/20/50/200,
     EMA 12/26, Bollinger(20, 2) and band position, ATR 14 (simple mean of true
-    range), stochastic %K 14, Williams %R 14, OBV, volume ROC 10, cumulative
-    VWAP, day-of-week sin/cos."""
-    def build(d):
-        w = chunk_window(key)
-        c = F.col("close")
-        prev_c = F.lag("close", 1).over(w)
-        for k in (1, 5, 20, 60):
-            d = d.withColumn(f"return_{k}", pct_change_col(key, "close", k))
-        d = d.withColumn("hl_range", F.try_divide(F.col("high") - F.col("low"), c))
-        d = d.withColumn("co_spread", F.try_divide(c - F.col("open"), F.col("open")))
-        d = d.withColumn("overnight_gap", F.try_divide(F.col("open"), prev_c) - 1)
-        for k in (10, 20, 50, 200):
-            d = d.withColumn(f"sma_{k}", full_rolling(F.avg(c), c, key, k))
-        d = sq.ewm_many(d, [("close", "ema_12", 12), ("close", "ema_26", 26)], key)
-        sd = full_rolling(F.stddev_samp(c), c, key, 20)
-        d = d.withColumn("bb_upper", F.col("sma_20") + 2 * sd).withColumn("bb_lower", F.col("sma_20") - 2 * sd)
-        d = d.withColumn("bb_position", F.try_divide(c - F.col("bb_lower"), F.col("bb_upper") - F.col("bb_lower")))
-        tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev_c), F.abs(F.col("low") - prev_c))
-        d = d.withColumn("_tr", F.when(prev_c.isNull(), F.col("high") - F.col("low")).otherwise(tr))
-        d = d.withColumn("atr_14", full_rolling(F.avg("_tr"), F.col("_tr"), key, 14))
-        hh = full_rolling(F.max("high"), F.col("high"), key, 14)
-        ll = full_rolling(F.min("low"), F.col("low"), key, 14)
-        d = d.withColumn("stoch_k_14", F.try_divide(c - ll, hh - ll) * 100)
-        d = d.withColumn("williams_r_14", F.try_divide(hh - c, hh - ll) * -100)
-        d = d.withColumn("volume_roc_10", pct_change_col(key, "volume", 10))
-        d = d.withColumns(dict(zip(["dow_sin", "dow_cos"], day_of_week_encoding(ts))))
-        d = d.withColumn("_sv", F.when(c > prev_c, F.col("volume")).when(c < prev_c, -F.col("volume"))
-                         .otherwise(F.lit(0.0)))
-        typical = (F.col("high") + F.col("low") + c) / 3
-        return d.withColumn("_pv", typical * F.col("volume")).drop("_tr")
-    out = on_series(bars, key, _order(ts, tiebreak), build, back=max(sq.ewm_halo(26), 201),
-                    chunk_rows=chunk_rows, keep_index=True)
-    # OBV and cumulative VWAP are unbounded running sums: two-level scan over chunks.
+    range), stochastic %K 14, Williams %R 14, OBV (0 on the first row), volume
+    ROC 10, cumulative VWAP of the typical price, day-of-week sin/cos.
+
+    OBV and VWAP are unbounded running sums: the sums of earlier chunks come from
+    a small carry table computed from the indexed rows plus one lag, joined
+    before the feature windows (which are then evaluated once)."""
     key_l = _cols(key)
-    laid = sq.with_halo(out, back=0, chunk_rows=chunk_rows)
-    w = chunk_window(key_l).rowsBetween(Window.unboundedPreceding, 0)
-    for src, name in (("_sv", "obv"), ("_pv", "_cum_pv"), ("volume", "_cum_v")):
-        laid = laid.withColumn("_l", F.sum(src).over(w))
-        laid = sq.prefix_over_chunks(laid, key_l, "_l", F.sum(src), "sum", name).drop("_l")
-    laid = laid.withColumn("vwap", F.try_divide(F.col("_cum_pv"), F.col("_cum_v")))
-    return sq.home_rows(laid).drop("_sv", "_pv", "_cum_pv", "_cum_v", RN, N)
+    ix = sq.with_row_index(bars, key, _order(ts, tiebreak))
+    laid = sq.with_halo(ix, back=max(sq.ewm_halo(26), 201), chunk_rows=chunk_rows)
+    w = chunk_window(key)
+    c = F.col("close")
+    prev_c = F.lag("close", 1).over(w)
+    base = laid.withColumn("_sv", F.when(c > prev_c, F.col("volume")).when(c < prev_c, -F.col("volume"))
+                           .otherwise(F.lit(0.0)))
+    base = base.withColumn("_pv", (F.col("high") + F.col("low") + c) / 3 * F.col("volume"))
+    home = base.filter(F.col(sq.HOME))
+    carry = sq.chunk_carries(home, key, {"_c_sv": (F.sum("_sv"), "sum"), "_c_pv": (F.sum("_pv"), "sum"),
+                                         "_c_v": (F.sum("volume"), "sum")})
+    d = base.join(carry, on=[*key_l, sq.CHUNK], how="inner")
+    for k in (1, 5, 20, 60):
+        d = d.withColumn(f"return_{k}", pct_change_col(key, "close", k))
+    d = d.withColumn("hl_range", F.try_divide(F.col("high") - F.col("low"), c))
+    d = d.withColumn("co_spread", F.try_divide(c - F.col("open"), F.col("open")))
+    d = d.withColumn("overnight_gap", F.try_divide(F.col("open"), prev_c) - 1)
+    for k in (10, 20, 50, 200):
+        d = d.withColumn(f"sma_{k}", full_rolling(F.avg(c), c, key, k))
+    d = sq.ewm_many(d, [("close", "ema_12", 12), ("close", "ema_26", 26)], key)
+    sd = full_rolling(F.stddev_samp(c), c, key, 20)
+    d = d.withColumn("bb_upper", F.col("sma_20") + 2 * sd).withColumn("bb_lower", F.col("sma_20") - 2 * sd)
+    d = d.withColumn("bb_position", F.try_divide(c - F.col("bb_lower"), F.col("bb_upper") - F.col("bb_lower")))
+    tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev_c), F.abs(F.col("low") - prev_c))
+    d = d.withColumn("_tr", F.when(prev_c.isNull(), F.col("high") - F.col("low")).otherwise(tr))
+    d = d.withColumn("atr_14", full_rolling(F.avg("_tr"), F.col("_tr"), key, 14))
+    hh = full_rolling(F.max("high"), F.col("high"), key, 14)
+    ll = full_rolling(F.min("low"), F.col("low"), key, 14)
+    d = d.withColumn("stoch_k_14", F.try_divide(c - ll, hh - ll) * 100)
+    d = d.withColumn("williams_r_14", F.try_divide(hh - c, hh - ll) * -100)
+    d = d.withColumn("volume_roc_10", pct_change_col(key, "volume", 10))
+    d = d.withColumns(dict(zip(["dow_sin", "dow_cos"], day_of_week_encoding(ts))))
+    # running sums over home rows only (halo copies belong to the previous chunk)
+    home_only = F.col(sq.HOME)
+    d = d.withColumn("obv", F.col("_c_sv") + sq.running(F.sum(F.when(home_only, F.col("_sv"))), key))
+    cum_pv = F.col("_c_pv") + sq.running(F.sum(F.when(home_only, F.col("_pv"))), key)
+    cum_v = F.col("_c_v") + sq.running(F.sum(F.when(home_only, F.col("volume"))), key)
+    d = d.withColumn("vwap", F.try_divide(cum_pv, cum_v))
+    return sq.home_rows(d).drop("_sv", "_pv", "_tr", "_c_sv", "_c_pv", "_c_v", RN, N)
 
 
 def day_of_week_encoding(ts: str = "ts") -> list[Column]:

@@ -15,9 +15,9 @@ run on one core. The helpers here split a series into fixed-size row chunks:
   (and the first ``fwd`` rows into the previous one). Any window whose frame
   reaches at most ``back`` rows back and ``fwd`` rows ahead is then exact when
   evaluated with ``partitionBy(key, chunk)``; :func:`home_rows` drops the copies.
-* :func:`prefix_over_chunks` is the two-level scan for unbounded-preceding
-  frames (running product / max / sum): a per-chunk aggregate, a prefix over
-  the small chunk table, and a join back.
+* :func:`chunk_carries` is the two-level scan for unbounded-preceding frames
+  (running product / max / sum): a per-chunk aggregate, a prefix over the
+  small chunk table, joined back once before the caller's windows.
 * :func:`ewm` evaluates the linear recurrence of an exponentially weighted
   mean inside the chunk layout (64-row sub-chunks plus a truncated carry).
 """
@@ -203,29 +203,37 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
     return df.drop("_sub", *locs.keys(), *ends.keys())
 
 
-def prefix_over_chunks(df: DataFrame, key: str | Sequence[str], local: str, chunk_total: Column,
-                       combine: str, out: str) -> DataFrame:
-    """Two-level scan for an unbounded-preceding frame on home rows.
+def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Two-level scan, first level: per (key, chunk) the combination of the
+    totals of all *earlier* chunks of the series.
 
-    ``local`` is the running value inside the chunk, ``chunk_total`` the
-    aggregate of a whole chunk; ``combine`` is ``'product'``, ``'max'`` or
-    ``'sum'``. The chunk table has n / chunk_rows rows per series.
+    ``rows`` must hold each row once (home rows) with ``_chunk`` assigned;
+    ``totals`` maps output name -> (aggregate over a chunk, combine) with combine
+    in 'sum' | 'product' | 'max' | 'min' ('max'/'min' give NULL for the first
+    chunk). The result has n / chunk_rows rows per series: the window over it is
+    cheap, and callers join it back once, *before* their own windows, so no
+    expensive upstream is evaluated twice.
     """
     key = _cols(key)
-    totals = df.groupBy(*key, CHUNK).agg(chunk_total.alias("_tot"))
+    t = rows.groupBy(*key, CHUNK).agg(*[agg.alias(f"_t_{n}") for n, (agg, _) in totals.items()])
     prev = Window.partitionBy(*key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    if combine == "product":
-        carry, op = F.coalesce(F.product("_tot").over(prev), F.lit(1.0)), (lambda a, b: a * b)
-    elif combine == "sum":
-        carry, op = F.coalesce(F.sum("_tot").over(prev), F.lit(0.0)), (lambda a, b: a + b)
-    elif combine == "max":
-        carry, op = F.max("_tot").over(prev), (lambda a, b: F.greatest(a, b))
-    else:
-        raise ValueError(combine)
-    totals = totals.withColumn("_carry", carry).drop("_tot")
-    out_df = df.join(totals, on=[*key, CHUNK], how="inner")
-    if combine == "max":
-        val = F.when(F.col("_carry").isNull(), F.col(local)).otherwise(op(F.col("_carry"), F.col(local)))
-    else:
-        val = op(F.col("_carry"), F.col(local))
-    return out_df.withColumn(out, val).drop("_carry")
+    out = []
+    for n, (_, comb) in totals.items():
+        c = F.col(f"_t_{n}")
+        if comb == "sum":
+            v = F.coalesce(F.sum(c).over(prev), F.lit(0.0))
+        elif comb == "product":
+            v = F.coalesce(F.product(c).over(prev), F.lit(1.0))
+        elif comb == "max":
+            v = F.max(c).over(prev)
+        elif comb == "min":
+            v = F.min(c).over(prev)
+        else:
+            raise ValueError(comb)
+        out.append(v.alias(n))
+    return t.select(*key, CHUNK, *out)
+
+
+def running(agg: Column, key: str | Sequence[str]) -> Column:
+    """``agg`` from the start of the chunk to the current row (chunk layout)."""
+    return agg.over(chunk_window(key).rowsBetween(Window.unboundedPreceding, 0))
