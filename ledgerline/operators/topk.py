@@ -43,13 +43,20 @@ def sort_by(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*_order(cols))
 
 
-def first_n_per_group(df: DataFrame, key: str | Sequence[str], by: str, n: int) -> DataFrame:
-    """K-06: rows whose ``by`` value is among the first N distinct values of
-    their group. The rank runs over the distinct (key, value) table — far
-    smaller than the rows when values repeat — and joins back."""
+def first_n_per_group(df: DataFrame, key: str | Sequence[str], by: str, n: int, salt_buckets: int = 32) -> DataFrame:
+    """K-06: rows whose ``by`` value is among the first N distinct values of their
+    group (dense rank <= N).
+
+    Exact two-phase top-N that never ranks a whole key in one task: distinct
+    (key, value) pairs are spread over ``salt_buckets`` by a hash of the value,
+    the first N per (key, bucket) are kept (each bucket holds 1/buckets of a hot
+    key), then at most N x buckets candidates per key are ranked. A value in the
+    global first N is in the first N of its bucket, so nothing is lost."""
     key = [key] if isinstance(key, str) else list(key)
-    distinct = df.select(*key, by).distinct()
-    ranked = distinct.withColumn("_r", F.dense_rank().over(Window.partitionBy(*key).orderBy(by)))
+    distinct = df.select(*key, by).distinct().withColumn("_salt", F.pmod(F.xxhash64(F.col(by)), F.lit(salt_buckets)))
+    local = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(*key, "_salt").orderBy(by)))
+    cand = local.filter(F.col("_r") <= n).select(*key, by)
+    ranked = cand.withColumn("_r", F.dense_rank().over(Window.partitionBy(*key).orderBy(by)))
     firsts = ranked.filter(F.col("_r") <= n).drop("_r")
     return df.join(firsts, on=[*key, by], how="left_semi")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.sources import nested as NS
 from ledgerline.sources import raw as RW
 from ledgerline.plans import fixtures as fx
+from ledgerline.plans import sequence as sq
 from ledgerline.plans.registry import query, rounded
 
 BIG = 10 ** 12   # line positions after every data line (data lines sit at their key)
@@ -37,12 +38,17 @@ def fixed_lines(files, rows):
     return files.select("file", F.inline(arr))
 
 
-def order_lines(spark, sf):
-    """Lines of one order sorted by their full content (deterministic arrays)."""
-    li = T(spark, sf, "lineitem")
-    key = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                   "l_returnflag", "l_shipdate")
-    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(key)).alias("lines"))
+LINE_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_shipdate"]
+
+
+def order_lines(spark, sf, block_rows: int = 64):
+    """One document per (order, block of at most 64 lines), lines sorted by their
+    full content: a document never collects more than 64 lines, however many
+    lines one order has."""
+    li = sq.bounded_blocks(T(spark, sf, "lineitem"), "l_orderkey", LINE_COLS, size=block_rows)
+    key = F.struct(*LINE_COLS)
+    return li.groupBy("l_orderkey", "_blk").agg(F.sort_array(F.collect_list(key)).alias("lines")).drop("_blk")
 
 
 # ---- S-04..S-14 line formats --------------------------------------------------------
@@ -383,10 +389,10 @@ def s22(spark, sf):
 
 @query("s23_double_nested", "SELECT l_orderkey, l_shipdate AS date, l_linenumber AS id, l_quantity AS qty FROM lineitem")
 def s23(spark, sf):
-    li = T(spark, sf, "lineitem")
-    per_day = li.groupBy("l_orderkey", "l_shipdate").agg(F.sort_array(F.collect_list(
+    li = sq.bounded_blocks(T(spark, sf, "lineitem"), "l_orderkey", LINE_COLS, size=64)
+    per_day = li.groupBy("l_orderkey", "_blk", "l_shipdate").agg(F.sort_array(F.collect_list(
         F.struct(F.col("l_linenumber").alias("id"), F.col("l_quantity").alias("qty")))).alias("games"))
-    weeks = per_day.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+    weeks = per_day.groupBy("l_orderkey", "_blk").agg(F.collect_list(F.struct(
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), "games")).alias("gameWeek"))
     docs = weeks.select("l_orderkey", F.to_json(F.struct("gameWeek")).alias("doc"))
     schema = "struct<gameWeek: array<struct<date: string, games: array<struct<id: int, qty: double>>>>>"

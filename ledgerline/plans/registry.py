@@ -43,6 +43,21 @@ def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_d
     return df.select(*out)
 
 
+def prepared(fn: Callable) -> Callable:
+    """Wrap a query so it runs under the settings the library relies on: UTC
+    session time zone and a checkpoint folder (the session's
+    ``spark.checkpoint.dir`` is used; one is only set where none is configured)."""
+    def run(spark, sf_dir):
+        from ledgerline.session import ensure_checkpoint_dir
+        if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def load_all() -> None:
     """Import every query module so that their decorators register."""
     from ledgerline.plans import q_series, q_text, q_panel, q_sources, q_lake, q_models  # noqa: F401

@@ -237,3 +237,13 @@ def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, t
 def running(agg: Column, key: str | Sequence[str]) -> Column:
     """``agg`` from the start of the chunk to the current row (chunk layout)."""
     return agg.over(chunk_window(key).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def bounded_blocks(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column], size: int = 64,
+                   out: str = "_blk") -> DataFrame:
+    """Give each row a block id so that (key, block) groups hold at most ``size``
+    consecutive rows of the key in ``order``: arrays built per (key, block) stay
+    bounded however large one key grows (documents / message lists are then
+    split into blocks instead of collecting a whole key into one row)."""
+    ix = with_row_index(df, key, order)
+    return ix.withColumn(out, F.floor(F.col(RN) / size)).drop(RN, N)

@@ -48,7 +48,7 @@ def header_positions(lines: DataFrame, is_header: Column, stop_at_blank: bool =
 
 
 def csv_after_header(lines: DataFrame, is_header: Column, names: Sequence[str], sep: str = ",",
-                     stop_at_blank: bool = True, first_name: str | None = None) -> DataFrame:
+                     stop_at_blank: bool = True) -> DataFrame:
     """S-04: drop everything before the header line (found by ``is_header``),
     stop at the first blank line after it, split fields and name them
     positionally with ``names``; all values stay text (cast downstream)."""
