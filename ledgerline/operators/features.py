@@ -235,7 +235,9 @@ def first_difference(df: DataFrame, x: str, key="asset", ts="ts", tiebreak=None,
 def example_features(bars: DataFrame, key="asset", ts="ts", price="close", tiebreak=None,
                      chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """W-13: simple returns 1/5/20, volume ratio to its 20-row mean, 20-row std of
-    the 1-row return, RSI 14 and MACD with EWM ``adjust=True`` (pandas default)."""
+    the 1-row return, RSI 14 and MACD with EWM ``adjust=True`` (pandas default);
+    rows with any missing value are dropped (``dropna``). A ratio with a zero
+    denominator is NULL here (pandas keeps it as infinity)."""
     def build(d):
         d = d.withColumn("returns_1d", pct_change_col(key, price, 1))
         d = d.withColumn("returns_5d", pct_change_col(key, price, 5))
@@ -247,7 +249,8 @@ def example_features(bars: DataFrame, key="asset", ts="ts", price="close", tiebr
         d = d.withColumn("rsi", rsi_col(key, price, 14))
         d = add_macd(d, key, price, adjust=True, names=("macd", "macd_signal", "_hist")).drop("_hist")
         return d
-    return on_series(bars, key, _order(ts, tiebreak), build, back=max(macd_halo(), 22), chunk_rows=chunk_rows)
+    out = on_series(bars, key, _order(ts, tiebreak), build, back=max(macd_halo(), 22), chunk_rows=chunk_rows)
+    return out.na.drop(how="any")
 
 
 def cumulative_curve(df: DataFrame, r: str, key, ts="ts", tiebreak=None, cum="cumulative",

@@ -282,7 +282,10 @@ f AS (SELECT asset, ts, returns_1d, returns_5d, returns_20d,
                  w14 AS (PARTITION BY asset ORDER BY rn ROWS BETWEEN 13 PRECEDING AND CURRENT ROW))
 SELECT asset, ts, {_r(["returns_1d", "returns_5d", "returns_20d", "volume_ratio", "volatility_20d"])},
   round(CASE WHEN l = 0 THEN CASE WHEN g > 0 THEN 100.0 END ELSE 100 - 100 / (1 + g / l) END, 6) AS rsi,
-  round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal FROM f""")
+  round(macd, 6) AS macd, round(macd_signal, 6) AS macd_signal FROM f
+WHERE returns_1d IS NOT NULL AND returns_5d IS NOT NULL AND returns_20d IS NOT NULL AND volume_ratio IS NOT NULL
+  AND volatility_20d IS NOT NULL AND macd IS NOT NULL AND macd_signal IS NOT NULL
+  AND (CASE WHEN l = 0 THEN CASE WHEN g > 0 THEN 100.0 END ELSE 100 - 100 / (1 + g / l) END) IS NOT NULL""")
 def w13(spark, sf):
     out = FT.example_features(bars(spark, sf))
     return rounded(out.select("asset", "ts", "returns_1d", "returns_5d", "returns_20d", "volume_ratio",

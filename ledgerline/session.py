@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files of lineage cuts once their DataFrames are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
