@@ -50,8 +50,38 @@ def frame_rows(pdf: pd.DataFrame, digits: int = 6):
     return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def compare(spark_df, sql: str, sf_dir: str, digits: int = 6, con=None) -> tuple[bool, str]:
+SPARK_KIND = {"tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32",
+              "double": "float64", "string": "string", "boolean": "bool", "date": "date",
+              "timestamp": "timestamp_ltz", "timestamp_ntz": "timestamp"}
+DUCK_KIND = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64", "FLOAT": "float32",
+             "DOUBLE": "float64", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp",
+             "TIMESTAMP WITH TIME ZONE": "timestamp", "HUGEINT": "int128", "DECIMAL": "decimal"}
+
+
+def _kind(t: str, table: dict) -> str:
+    t = t.strip()
+    if t.endswith("[]") or t.startswith("array") or t.startswith("STRUCT") or t.startswith("struct") \
+            or t.startswith("MAP") or t.startswith("map"):
+        return "nested"
+    if t.startswith("DECIMAL") or t.startswith("decimal"):
+        return "decimal"
+    return table.get(t, t)
+
+
+def schema_diff(spark_df, sql: str, con) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ in kind/width."""
+    left = {f.name: _kind(f.dataType.simpleString(), SPARK_KIND) for f in spark_df.schema.fields}
+    desc = con.execute(f"DESCRIBE {sql}").fetchall()
+    right = {r[0]: _kind(r[1], DUCK_KIND) for r in desc}
+    return [f"{c}: spark {left[c]} vs duckdb {right.get(c)}" for c in sorted(left) if left[c] != right.get(c)]
+
+
+def compare(spark_df, sql: str, sf_dir: str, digits: int = 6, con=None, check_types: bool = True) -> tuple[bool, str]:
     con = con or duck(sf_dir)
+    if check_types:
+        diff = schema_diff(spark_df, sql, con)
+        if diff:
+            return False, f"types differ: {diff}"
     left = spark_df.toPandas()
     right = con.execute(sql).df()
     lc, lr = frame_rows(left, digits)

@@ -212,7 +212,7 @@ def k01(spark, sf):
 @query("k02_top_groups_rows", """
 WITH oc AS (SELECT o.*, c_nationkey FROM orders o JOIN customer ON c_custkey = o_custkey),
 top AS (SELECT c_nationkey FROM oc GROUP BY 1 ORDER BY count(*) DESC, c_nationkey LIMIT 10)
-SELECT c_nationkey, year(o_orderdate) AS year, round(avg(o_totalprice), 6) AS mean_price, count(*) AS n
+SELECT c_nationkey, CAST(year(o_orderdate) AS INTEGER) AS year, round(avg(o_totalprice), 6) AS mean_price, count(*) AS n
 FROM oc WHERE c_nationkey IN (SELECT c_nationkey FROM top) GROUP BY 1, 2""")
 def k02(spark, sf):
     oc = T(spark, sf, "orders").join(T(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey"))
@@ -355,7 +355,7 @@ WITH d AS (SELECT c_nationkey, year(o_orderdate) AS year, month(o_orderdate) AS
            FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2, 3),
 ny AS (SELECT DISTINCT c_nationkey, year FROM d),
 m AS (SELECT * FROM ny, range(1, 13) t(month))
-SELECT m.c_nationkey, m.year, CAST(m.month AS VARCHAR) AS month, round(d.v, 2) AS value
+SELECT m.c_nationkey, CAST(m.year AS INTEGER) AS year, CAST(m.month AS VARCHAR) AS month, round(d.v, 2) AS value
 FROM m LEFT JOIN d USING (c_nationkey, year, month)""")
 def r06(spark, sf):
     """R-06: wide (nation, year) rows with twelve month columns -> one row per month."""
@@ -722,7 +722,7 @@ def x19(spark, sf):
 @query("x20_seasons_quarters", """
 WITH y AS (SELECT DISTINCT year(o_orderdate) AS year FROM orders),
 q AS (SELECT year, year * 4 - 1 - k AS qi FROM y, range(0, 4) t(k))
-SELECT year, lpad(CAST(year % 100 AS VARCHAR), 2, '0') || lpad(CAST((year + 1) % 100 AS VARCHAR), 2, '0') AS season,
+SELECT CAST(year AS INTEGER) AS year, lpad(CAST(year % 100 AS VARCHAR), 2, '0') || lpad(CAST((year + 1) % 100 AS VARCHAR), 2, '0') AS season,
   CAST(floor(qi / 4) AS INTEGER) AS q_year, CAST(qi % 4 + 1 AS INTEGER) AS q_quarter FROM q""")
 def x20(spark, sf):
     """X-20: season code of each order year and the four completed quarters before

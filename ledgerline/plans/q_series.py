@@ -143,7 +143,7 @@ def a06(spark, sf):
 
 
 @query("a07_daily_mean_count_by_key", """
-SELECT CAST(ts AS DATE) AS day, event_type, round(avg(value), 6) AS mean_value, count(*) AS n_events
+SELECT date_trunc('day', ts) AS day, event_type, round(avg(value), 6) AS mean_value, count(*) AS n_events
 FROM events GROUP BY 1, 2""")
 def a07(spark, sf):
     ev = fx.table(spark, sf, "events")
@@ -311,10 +311,10 @@ WITH w AS (SELECT event_type AS asset, CAST(CAST(ts AS DATE) + CAST((5 - dayofwe
                   arg_max(value, (ts, event_id)) AS close FROM events GROUP BY 1, 2),
 r AS (SELECT *, close / lag(close) OVER (PARTITION BY asset ORDER BY week_end) - 1 AS weekly_return FROM w)
 SELECT asset, week_end, round(weekly_return, 6) AS weekly_return,
-  CASE WHEN coalesce(weekly_return >= 0, false) THEN 60.0 ELSE 40.0 END AS bullish,
-  CASE WHEN coalesce(weekly_return >= 0, false) THEN 40.0 ELSE 60.0 END AS bearish,
-  0.0 AS neutral,
-  CASE WHEN coalesce(weekly_return >= 0, false) THEN 20.0 ELSE -20.0 END AS bull_bear_spread FROM r""")
+  CAST(CASE WHEN coalesce(weekly_return >= 0, false) THEN 60.0 ELSE 40.0 END AS DOUBLE) AS bullish,
+  CAST(CASE WHEN coalesce(weekly_return >= 0, false) THEN 40.0 ELSE 60.0 END AS DOUBLE) AS bearish,
+  CAST(0.0 AS DOUBLE) AS neutral,
+  CAST(CASE WHEN coalesce(weekly_return >= 0, false) THEN 20.0 ELSE -20.0 END AS DOUBLE) AS bull_bear_spread FROM r""")
 def w16(spark, sf):
     weekly = B.weekly_last(fx.table(spark, sf, "events"), "event_type", "ts", "value", "event_id")
     weekly = (weekly.withColumnRenamed("event_type", "asset").withColumnRenamed("value", "close")

@@ -52,12 +52,21 @@ def prepared(fn: Callable) -> Callable:
         if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         ensure_checkpoint_dir(spark)
-        return fn(spark, sf_dir)
+        return naive_timestamps(fn(spark, sf_dir))
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Top-level TIMESTAMP (session-zone) columns as TIMESTAMP_NTZ in UTC wall
+    time — the type of the given tables and of the oracle's TIMESTAMP."""
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def load_all() -> None:
     """Import every query module so that their decorators register."""
     from ledgerline.plans import q_series, q_text, q_panel, q_sources, q_lake, q_models  # noqa: F401
