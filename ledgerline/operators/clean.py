@@ -169,13 +169,16 @@ def row_sum_min_count(*cols) -> Column:
 
 def pct_change_guarded(df: DataFrame, x: str, key="asset", ts="ts", out=None, digits=4,
                        chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """P-20: (x / prev - 1) * 100 with prev > 0, rounded; per series."""
+    """P-20: (x / prev - 1) * 100 with prev > 0, rounded like pandas ``round``
+    (half-to-even on the binary value scaled by 10^digits); per series."""
     from ledgerline.operators.features import on_series
     out = out or f"{x}_change_pct"
 
     def build(d):
         prev = F.lag(x, 1).over(sq.chunk_window(key))
-        return d.withColumn(out, F.when(prev > 0, F.round((F.col(x) / prev - 1) * 100, digits)))
+        scale = float(10 ** digits)
+        change = (F.col(x) / prev - 1) * 100
+        return d.withColumn(out, F.when(prev > 0, F.bround(change * scale, 0) / scale))
     return on_series(df, key, [ts], build, back=1, chunk_rows=chunk_rows)
 
 

@@ -11,7 +11,7 @@ from ledgerline.operators import splits as SP
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans.q_series import FEATURES_CTE, bars, features
 from ledgerline.plans.q_text import SCORE_SQL
-from ledgerline.plans.registry import query, rounded
+from ledgerline.plans.registry import duck_round, query, rounded
 from ledgerline.sources.lake import scratch_path
 from ledgerline.streaming import ops as ST
 
@@ -53,7 +53,7 @@ def m09(spark, sf):
     """M-09: per row the last 5 log returns (oldest first), full frames only."""
     lr = FT.log_returns(bars(spark, sf))
     out = MD.sequence_windows(lr, "log_return", 5)
-    return out.select("asset", "ts", F.transform("window", lambda x: F.round(x, 6)).alias("window"))
+    return out.select("asset", "ts", F.transform("window", lambda x: duck_round(x, 6)).alias("window"))
 
 
 # ---- T-01..T-05 streaming -----------------------------------------------------------

@@ -11,7 +11,7 @@ from ledgerline.operators import clean as CL
 from ledgerline.operators import reshape as RS
 from ledgerline.operators import topk as TK
 from ledgerline.plans import fixtures as fx
-from ledgerline.plans.registry import query, rounded
+from ledgerline.plans.registry import duck_round, query, rounded
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -496,8 +496,8 @@ SELECT l_orderkey, l_linenumber,
 def p11(spark, sf):
     li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
     out = CL.percent_scale(CL.percent_scale(li, ["l_discount"], "auto"), ["l_tax"], "div")
-    return out.select("l_orderkey", "l_linenumber", F.round("l_discount", 6).alias("l_discount"),
-                      F.round("l_tax", 8).alias("l_tax"))
+    return out.select("l_orderkey", "l_linenumber", duck_round("l_discount", 6).alias("l_discount"),
+                      duck_round("l_tax", 8).alias("l_tax"))
 
 
 @query("p12_prefix_columns", "SELECT n_nationkey, n_name AS nat_n_name, n_regionkey AS nat_n_regionkey FROM nation")
@@ -547,7 +547,7 @@ def p18(spark, sf):
     # unit price is rounded to 8 places: cents / quantity (<= 50) never ends in a 5 there
     return rounded(li.select("l_orderkey", "l_linenumber",
                              (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_price"),
-                             F.round(CL.safe_ratio("l_extendedprice", "l_quantity"), 8).alias("unit_price"),
+                             duck_round(CL.safe_ratio("l_extendedprice", "l_quantity"), 8).alias("unit_price"),
                              (F.col("l_extendedprice") - F.col("l_extendedprice") * F.col("l_discount"))
                              .alias("gross_minus_discount")), keep=("unit_price",))
 
@@ -563,7 +563,7 @@ def p19(spark, sf):
 
 @query("p20_change_pct", """
 WITH d AS (SELECT event_type AS asset, date_trunc('day', ts) AS ts, sum(value) AS total FROM events GROUP BY 1, 2)
-SELECT asset, ts, CASE WHEN lag(total) OVER w > 0 THEN round((total / lag(total) OVER w - 1) * 100, 4) END AS total_change_pct
+SELECT asset, ts, CASE WHEN lag(total) OVER w > 0 THEN round_even((total / lag(total) OVER w - 1) * 100 * 10000, 0) / 10000 END AS total_change_pct
 FROM d WINDOW w AS (PARTITION BY asset ORDER BY ts)""")
 def p20(spark, sf):
     ev = T(spark, sf, "events")
@@ -714,9 +714,9 @@ FROM lineitem""")
 def x19(spark, sf):
     li = T(spark, sf, "lineitem")
     return li.select("l_orderkey", "l_linenumber", F.signum(F.col("l_tax") - 0.04).alias("sgn"),
-                     F.abs(F.col("l_tax") - 0.04).alias("dist"), F.round(F.sqrt("l_quantity"), 6).alias("root"),
-                     F.round(F.log("l_extendedprice"), 6).alias("log_price"),
-                     F.round(F.pow("l_discount", 2), 8).alias("disc_sq"))
+                     F.abs(F.col("l_tax") - 0.04).alias("dist"), duck_round(F.sqrt("l_quantity"), 6).alias("root"),
+                     duck_round(F.log("l_extendedprice"), 6).alias("log_price"),
+                     duck_round(F.pow("l_discount", 2), 8).alias("disc_sq"))
 
 
 @query("x20_seasons_quarters", """

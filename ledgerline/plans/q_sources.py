@@ -15,7 +15,7 @@ from ledgerline.sources import nested as NS
 from ledgerline.sources import raw as RW
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans import sequence as sq
-from ledgerline.plans.registry import query, rounded
+from ledgerline.plans.registry import duck_round, query, rounded
 
 BIG = 10 ** 12   # line positions after every data line (data lines sit at their key)
 
@@ -502,7 +502,7 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey"""
 def s27(spark, sf):
     docs = _form4_docs(spark, sf, wrap=False)
     out = NS.form4_transactions(docs, "doc", file_date="file_date", keep=["l_orderkey"])
-    return out.drop("file_date").withColumn("transaction_value", F.round("transaction_value", 4))
+    return out.drop("file_date").withColumn("transaction_value", duck_round("transaction_value", 4))
 
 
 @query("s28_extract_embedded_xml", FORM4_SQL)
@@ -511,7 +511,7 @@ def s28(spark, sf):
     declaration), then parse it."""
     docs = _form4_docs(spark, sf, wrap=True).withColumn("doc", NS.extract_xml("doc"))
     out = NS.form4_transactions(docs, "doc", file_date="file_date", keep=["l_orderkey"])
-    return out.drop("file_date").withColumn("transaction_value", F.round("transaction_value", 4))
+    return out.drop("file_date").withColumn("transaction_value", duck_round("transaction_value", 4))
 
 
 @query("s29_page_metrics", """

@@ -27,6 +27,17 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def duck_round(c, digits: int):
+    """Round like the oracle engine: round-half-away-from-zero of x * 10^d on the
+    binary value, then / 10^d. (Spark's ``round(x, d)`` rounds the shortest decimal
+    string of x, which differs on values that print as a tie but are not one.)
+    ``round(v, 0)`` on the scaled value is exact: the shortest string of a double
+    is a tie only when the double is one."""
+    x = F.col(c) if isinstance(c, str) else c
+    p = float(10 ** digits)
+    return F.round(x * F.lit(p), 0) / F.lit(p)
+
+
 def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_digits: int = 2,
             keep: tuple[str, ...] = ()) -> DataFrame:
     """Round every top-level DOUBLE column (the oracle SQL rounds the same way);
@@ -37,7 +48,7 @@ def rounded(df: DataFrame, digits: int = 6, money: tuple[str, ...] = (), money_d
             out.append(F.col(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             d = money_digits if f.name in money else digits
-            out.append(F.round(F.col(f.name), d).alias(f.name))
+            out.append(duck_round(f.name, d).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
