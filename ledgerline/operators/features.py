@@ -108,12 +108,13 @@ def rsi(bars: DataFrame, key="asset", ts="ts", price="close", window=14, tiebrea
 
 
 def add_macd(d: DataFrame, key, price="close", fast=12, slow=26, signal=9, adjust=False,
-             names=("macd", "macd_signal", "macd_hist")) -> DataFrame:
+             names=("macd", "macd_signal", "macd_hist"), extra: dict | None = None) -> DataFrame:
+    """MACD columns; ``extra`` columns (independent of the MACD) are added in the
+    same projection as the MACD line to keep the DataFrame chain short."""
     d = sq.ewm_many(d, [(price, "_ema_fast", fast), (price, "_ema_slow", slow)], key, adjust=adjust)
-    d = d.withColumn(names[0], F.col("_ema_fast") - F.col("_ema_slow"))
-    d = sq.ewm(d, names[0], names[1], signal, key, adjust=adjust)
-    d = d.withColumn(names[2], F.col(names[0]) - F.col(names[1]))
-    return d.drop("_ema_fast", "_ema_slow")
+    d = d.withColumns({names[0]: F.col("_ema_fast") - F.col("_ema_slow"), **(extra or {})})
+    d = sq.ewm_many(d, [(names[0], names[1], signal)], key, adjust=adjust)
+    return d.withColumn(names[2], F.col(names[0]) - F.col(names[1])).drop("_ema_fast", "_ema_slow")
 
 
 def macd_halo(fast=12, slow=26, signal=9) -> int:
@@ -156,22 +157,20 @@ def lag_returns(bars: DataFrame, key="asset", ts="ts", price="close", lags=RETUR
 
 
 def feature_builder(key, price="close", lookback=20, include_volume=True):
-    """Column plan of W-09 (``build_features``): 14 fixed-name columns."""
+    """Column plan of W-09 (``build_features``): 14 fixed-name columns, built in
+    a few batched projections (each DataFrame call is analysed on the driver)."""
     def build(d: DataFrame) -> DataFrame:
         w = chunk_window(key)
-        d = d.withColumn("log_return", log_return_col(key, price))
-        d = d.withColumn("volatility_20", full_rolling(F.stddev_samp("log_return"), F.col("log_return"),
-                                                       key, lookback))
-        d = d.withColumn("rsi_14", rsi_col(key, price, min(14, lookback)))
-        d = add_macd(d, key, price)
-        if include_volume:
-            d = d.withColumn("volume_zscore", zscore_col(key, "volume", 20))
-        else:
-            d = d.withColumn("volume_zscore", F.lit(0.0))
-        d = d.withColumns({f"return_lag_{k}": F.lag("log_return", k).over(w) for k in RETURN_LAGS})
-        d = d.withColumn("momentum_5", pct_change_col(key, price, min(5, lookback)))
-        d = d.withColumn("momentum_20", pct_change_col(key, price, lookback))
-        return d
+        d = d.withColumns({
+            "log_return": log_return_col(key, price),
+            "rsi_14": rsi_col(key, price, min(14, lookback)),
+            "volume_zscore": zscore_col(key, "volume", 20) if include_volume else F.lit(0.0),
+            "momentum_5": pct_change_col(key, price, min(5, lookback)),
+            "momentum_20": pct_change_col(key, price, lookback),
+        })
+        lagged = {f"return_lag_{k}": F.lag("log_return", k).over(w) for k in RETURN_LAGS}
+        lagged["volatility_20"] = full_rolling(F.stddev_samp("log_return"), F.col("log_return"), key, lookback)
+        return add_macd(d, key, price, extra=lagged)
     return build
 
 

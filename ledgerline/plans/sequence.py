@@ -55,6 +55,7 @@ def with_row_index(df: DataFrame, key: str | Sequence[str], order: Sequence[str
     numbering — are fixed for every consumer and across executor loss.
     """
     key = _cols(key)
+    df = df.drop(*[c for c in (RN, N, CHUNK, HOME) if c in df.columns])   # an earlier index is replaced
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     spark = df.sparkSession
     n_parts = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -98,30 +99,41 @@ def with_halo(df: DataFrame, back: int, fwd: int = 0,
         F.when((p < fwd) & (c > 0), F.struct((c - 1).alias(CHUNK), F.lit(False).alias(HOME))),
     )
     copies = F.filter(copies, lambda s: s.isNotNull())
-    return (df.withColumn("_cp", F.explode(copies))
-              .withColumn(CHUNK, F.col("_cp." + CHUNK))
-              .withColumn(HOME, F.col("_cp." + HOME))
-              .drop("_cp"))
+    keep = [F.col(c) for c in df.columns]
+    return df.select(*keep, F.inline(copies))
 
 
 def home_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(HOME)).drop(HOME, CHUNK)
 
 
-def chunk_window(key: str | Sequence[str]) -> Window:
-    """Window spec over one chunk of one series, in series order."""
-    return Window.partitionBy(*_cols(key), CHUNK).orderBy(RN)
+_SPECS: dict = {}
+
+
+def chunk_window(key: str | Sequence[str], frame: tuple[int, int] | None = None):
+    """Window spec over one chunk of one series, in series order (optionally with
+    a row frame). Specs are reused: every expression over the same spec would
+    otherwise rebuild it through the Python-JVM bridge."""
+    from pyspark import SparkContext
+    k = (id(SparkContext._active_spark_context), tuple(_cols(key)), frame)
+    spec = _SPECS.get(k)
+    if spec is None:
+        spec = Window.partitionBy(*_cols(key), CHUNK).orderBy(RN)
+        if frame is not None:
+            spec = spec.rowsBetween(*frame)
+        _SPECS[k] = spec
+    return spec
 
 
 def rolling(agg: Column, key: str | Sequence[str], rows: int) -> Column:
     """``agg`` over the trailing ``rows`` rows (current included) in chunk layout."""
-    return agg.over(chunk_window(key).rowsBetween(-(rows - 1), 0))
+    return agg.over(chunk_window(key, (-(rows - 1), 0)))
 
 
 def full_rolling(agg: Column, x: Column, key: str | Sequence[str], rows: int) -> Column:
     """Rolling aggregate that is NULL until ``rows`` non-null values fill the frame
     (pandas ``rolling(rows)`` with ``min_periods = rows``)."""
-    return F.when(rolling(F.count(x), key, rows) == rows, rolling(agg, key, rows))
+    return F.when(rolling(F.count(x), key, rows) == F.lit(rows), rolling(agg, key, rows))
 
 
 def ewm_halo(span: float, tol: float = 1e-17) -> int:
@@ -165,9 +177,8 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
     rel = F.col(RN) - start                         # position since the series start
     sub = F.floor(F.col(RN) / SUB)
     p = F.col(RN) - sub * SUB
-    w_sub = Window.partitionBy(*key, CHUNK, "_sub").orderBy(RN)
+    w_sub = Window.partitionBy(*key, CHUNK, sub).orderBy(RN)
     w = chunk_window(key)
-    df = df.withColumn("_sub", sub)
     locs, ends, finals = {}, {}, {}
     for x, out, span in specs:
         alpha = 2.0 / (span + 1.0)
@@ -180,12 +191,8 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
         u_valid = F.when(rel >= 0, u).otherwise(F.lit(0.0))
         locs[f"_loc_{out}"] = F.pow(F.lit(beta), p) * F.sum(u_valid * F.pow(F.lit(beta), -p)).over(
             w_sub.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumns(locs) if locs else df
-    for x, out, span in specs:
-        if f"_loc_{out}" in locs:
-            ends[f"_end_{out}"] = F.last(f"_loc_{out}").over(
-                w_sub.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    df = df.withColumns(ends) if ends else df
+        ends[f"_end_{out}"] = F.last(f"_loc_{out}").over(
+            w_sub.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     for x, out, span in specs:
         if f"_loc_{out}" not in locs:
             continue
@@ -199,8 +206,10 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
             # divide by sum_{i<=rel} b^i = (1 - b^(rel+1)) / (1 - b)
             y = y * F.lit(1.0 - beta) / (F.lit(1.0) - F.pow(F.lit(beta), rel + 1))
         finals[out] = F.when(rel >= 0, y)
+    if locs:
+        df = df.withColumns(locs).withColumns(ends)
     df = df.withColumns(finals)
-    return df.drop("_sub", *locs.keys(), *ends.keys())
+    return df.drop(*locs.keys(), *ends.keys()) if locs else df
 
 
 def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, tuple[Column, str]]) -> DataFrame:
@@ -236,7 +245,7 @@ def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, t
 
 def running(agg: Column, key: str | Sequence[str]) -> Column:
     """``agg`` from the start of the chunk to the current row (chunk layout)."""
-    return agg.over(chunk_window(key).rowsBetween(Window.unboundedPreceding, 0))
+    return agg.over(chunk_window(key, (Window.unboundedPreceding, 0)))
 
 
 def bounded_blocks(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column], size: int = 64,
