@@ -104,6 +104,22 @@ def to_timestamp_any(c, formats: Sequence[str] = DATE_FORMATS, epoch: str | None
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
 
 
+def to_time_index(df: DataFrame, col: str = "date", out: str = "ts", sort: bool = False) -> DataFrame:
+    """P-17: parse ``col`` to a UTC timestamp column ``out`` (a column that is
+    already a timestamp or date is only cast); with ``sort`` the rows are ordered
+    by time (an export-edge total order; inside a pipeline order is by window)."""
+    from pyspark.sql import types as T
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        ts = F.col(col).cast("timestamp")
+    else:
+        ts = to_timestamp_any(col)
+    res = df.withColumn(out, ts)
+    if out != col:
+        res = res.drop(col)
+    return res.orderBy(out) if sort else res
+
+
 def date_from_parts(year, month=None, day=None, year_end: bool = False) -> Column:
     """P-07: date from year[, month[, day]] (year-start, or year-end with
     ``year_end``); invalid month / day -> NULL."""

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import warnings
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -96,6 +97,7 @@ def write_lake(df: DataFrame, root: str, partition_by: Sequence[str] = ("categor
     columns first so each task writes few files, and sorted within files by
     ``sort_by`` (time order at rest, no global sort)."""
     if df.isEmpty():
+        warnings.warn(f"empty DataFrame, skipping write to {root}", stacklevel=2)
         return False
     out = df.repartition(*[F.col(c) for c in partition_by]) if partition_by else df
     if sort_by:
@@ -107,6 +109,12 @@ def write_lake(df: DataFrame, root: str, partition_by: Sequence[str] = ("categor
     return True
 
 
+def lake_path(root: str, category: str, dataset: str | None = None) -> str:
+    """Folder of one category (and dataset) in the lake: ``<root>/category=<c>[/asset=<d>]``."""
+    out = f"{root.rstrip('/')}/category={category}"
+    return f"{out}/asset={dataset}" if dataset else out
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S-32 / S-33: JSON lines sink (nested arrays/structs kept)."""
     df.write.mode(mode).json(path)

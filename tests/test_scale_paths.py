@@ -46,3 +46,12 @@ def test_consistent_labels_digest(spark):
     assert got == [3, 4]
     share = {r.y: r.share for r in TO.label_share(df, "y").collect()}
     assert share == {"pos": 0.75, "neg": 0.25}
+
+
+def test_pivot_unique_fails_on_duplicates(spark):
+    import pytest
+    ok = spark.createDataFrame([("d1", "a", 1.0), ("d1", "b", 2.0)], "d string, k string, v double")
+    assert RS.pivot_unique(ok, ["d"], "k", "v", ["a", "b"]).first()["b"] == 2.0
+    dup = spark.createDataFrame([("d1", "a", 1.0), ("d1", "a", 2.0)], "d string, k string, v double")
+    with pytest.raises(Exception):
+        RS.pivot_unique(dup, ["d"], "k", "v", ["a", "b"]).collect()
