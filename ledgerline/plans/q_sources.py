@@ -307,7 +307,8 @@ def s17(spark, sf):
                             .alias("values")))
     docs = obs.select("n_name", F.to_json(F.struct(F.struct(F.struct(dims.alias("observation")).alias("dimensions"))
                                                    .alias("structure"), "observations")).alias("doc"))
-    return rounded(NS.sdmx_observations(docs, "doc", keep=["n_name"]), digits=2)
+    out = NS.sdmx_observations(docs, "doc", keep=["n_name"], n_dims=2)
+    return rounded(out.drop("dimensions"), digits=2)
 
 
 @query("s18_columns_to_rows", LINE_ROWS_SQL)

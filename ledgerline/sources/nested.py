@@ -40,22 +40,24 @@ SDMX_SCHEMA = ("struct<structure: struct<dimensions: struct<observation: array<s
                "values: array<struct<id: string>>>>>>, observations: map<string, array<double>>>")
 
 
-def sdmx_observations(df: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
-    """S-17: SDMX-JSON: observation keys ``i:j:...`` index the dimension value
-    lists; returns one row per observation with a column per dimension id
-    (named by position ``dim_0``, ``dim_1``... and the dimension ids as a
-    separate array) and ``value``."""
+def sdmx_observations(df: DataFrame, doc: str, keep: Sequence[str] = (), n_dims: int | None = None) -> DataFrame:
+    """S-17: SDMX-JSON: an observation key ``i:j:...`` indexes the value list of
+    each dimension. Returns one row per observation with ``dimensions`` (map of
+    dimension id -> value id, any number of dimensions) and ``value``; with
+    ``n_dims`` also positional columns ``dim_0 .. dim_{n-1}``."""
     p = df.select(*keep, F.from_json(_c(doc), SDMX_SCHEMA).alias("_d"))
-    dims = F.col("_d.structure.dimensions.observation")
-    obs = p.select(*keep, dims.alias("_dims"), F.explode(F.col("_d.observations")).alias("_k", "_v"))
+    obs = p.select(*keep, F.col("_d.structure.dimensions.observation").alias("_dims"),
+                   F.explode(F.col("_d.observations")).alias("_k", "_v"))
     idx = F.split(F.col("_k"), ":")
-    n_dims = 2
-
-    def dim_value(i):
-        values = F.try_element_at(F.col("_dims"), F.lit(i + 1))["values"]
-        return F.try_element_at(values, (F.try_element_at(idx, F.lit(i + 1)).try_cast("int") + 1))["id"]
-    return obs.select(*keep, *[dim_value(i).alias(f"dim_{i}") for i in range(n_dims)],
-                      F.try_element_at(F.col("_v"), F.lit(1)).alias("value"))
+    # value id of dimension i = dims[i].values[idx[i]] (0-based indices in the key)
+    vals = F.transform(idx, lambda x, i: F.try_element_at(
+        F.try_element_at(F.col("_dims"), (i + 1).cast("int"))["values"], x.try_cast("int") + 1)["id"])
+    ids = F.transform(F.col("_dims"), lambda d: d["id"])
+    out = obs.select(*keep, vals.alias("_vals"), ids.alias("_ids"),
+                     F.try_element_at(F.col("_v"), F.lit(1)).alias("value"))
+    out = out.withColumn("dimensions", F.map_from_arrays(F.slice("_ids", 1, F.size("_vals")), "_vals"))
+    cols = [F.try_element_at("_vals", F.lit(i + 1)).alias(f"dim_{i}") for i in range(n_dims or 0)]
+    return out.select(*keep, "dimensions", *cols, "value")
 
 
 def columns_to_rows(df: DataFrame, doc: str, fields: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -107,3 +107,14 @@ def test_lake_skip_empty_and_pruning(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     assert LK.parse_since("-2d").tzinfo is not None
+
+
+def test_sdmx_any_number_of_dimensions(spark):
+    doc = json.dumps({"structure": {"dimensions": {"observation": [
+        {"id": "REF_AREA", "values": [{"id": "USA"}, {"id": "FRA"}]}, {"id": "MEASURE", "values": [{"id": "CLI"}]},
+        {"id": "TIME", "values": [{"id": "2020-01"}, {"id": "2020-02"}]}]}},
+        "observations": {"1:0:1": [99.5], "0:0:0": [100.1]}})
+    rows = NS.sdmx_observations(spark.createDataFrame([(doc,)], "doc string"), "doc", n_dims=3).collect()
+    got = sorted((r.dim_0, r.dim_1, r.dim_2, r.value) for r in rows)
+    assert got == [("FRA", "CLI", "2020-02", 99.5), ("USA", "CLI", "2020-01", 100.1)]
+    assert rows[0].dimensions["MEASURE"] == "CLI"
