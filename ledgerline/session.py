@@ -21,9 +21,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # small shuffles (per-chunk windows of a few thousand rows) stay spread over
-    # the cores instead of being coalesced into one task; large ones are unaffected
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
