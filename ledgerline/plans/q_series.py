@@ -552,3 +552,20 @@ def m04(spark, sf):
         return d.withColumn("_bad", F.when(prev >= F.col("ts"), 1).otherwise(0))
     chk = FT.on_series(b, "asset", ["ts"], build, back=1)
     return chk.groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.sum("_bad").cast("int").alias("out_of_order"))
+
+
+@query("m08_backtest_predictions", f"""
+WITH {PRED_CTE},
+i AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS rn, count(*) OVER (PARTITION BY asset) AS n FROM p),
+k AS (SELECT *, unnest(range(0, CAST(floor((n - 300) / 100) AS BIGINT) + 1)) AS fold FROM i WHERE n >= 300)
+SELECT asset, CAST(fold AS INTEGER) AS fold, ts, round(prediction, 6) AS prediction, round(actual, 6) AS actual,
+  CAST(prediction > 0 AS INTEGER) AS pred_direction, CAST(actual > 0 AS INTEGER) AS actual_direction
+FROM k WHERE rn >= fold * 100 + 200 AND rn < fold * 100 + 300""")
+def m08p(spark, sf):
+    """M-08: the backtest prediction table (test rows of every walk-forward fold)
+    with predicted and actual directions."""
+    folds = SP.walk_forward_split(predictions(spark, sf), 200, 100, 100).filter(F.col("role") == "test")
+    out = folds.select("asset", "fold", "ts", "prediction", "actual",
+                       (F.col("prediction") > 0).cast("int").alias("pred_direction"),
+                       (F.col("actual") > 0).cast("int").alias("actual_direction"))
+    return rounded(out)
