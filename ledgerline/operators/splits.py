@@ -112,3 +112,18 @@ def usable_folds(folds: DataFrame, min_train: int = 50, min_test: int = 10,
     (fold sizes is a small table: one row per fold)."""
     sizes = fold_sizes(folds, key).filter((F.col("train_size") >= min_train) & (F.col("test_size") >= min_test))
     return folds.join(sizes.select(*key), on=list(key), how="left_semi")
+
+
+def standardize_train_only(folds: DataFrame, cols: Sequence[str], key: Sequence[str] = ("asset", "fold"),
+                           suffix: str = "_z") -> DataFrame:
+    """E-06: per (asset, fold), mean and population std from the fold's train rows
+    only, applied to its train and test rows (no test information leaks into the
+    scaling). The statistics table has one row per (asset, fold) and is joined
+    back on those keys."""
+    key = list(key)
+    stats = folds.filter(F.col("role") == "train").groupBy(*key).agg(
+        *[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
+    out = folds.join(stats, on=key, how="inner")
+    out = out.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - F.col(f"_mu_{c}"), F.col(f"_sd_{c}"))
+                           for c in cols})
+    return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])

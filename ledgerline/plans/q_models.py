@@ -252,3 +252,20 @@ def e08(spark, sf):
     bt = FT.position_backtest(predictions(spark, sf), cost=0.001)
     return rounded(bt.groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.sum("pnl").alias("pnl"),
                                            F.avg((F.col("pnl") > 0).cast("double")).alias("win_rate")))
+
+
+@query("e06_standardise_per_fold", f"""
+WITH {FEATURES_CTE},
+k AS (SELECT asset, ts, rn, log_return, unnest(range(0, CAST(floor((n - 300) / 100) AS BIGINT) + 1)) AS fold
+      FROM f WHERE n >= 300),
+x AS (SELECT asset, ts, CAST(fold AS INTEGER) AS fold, log_return,
+             CASE WHEN rn < fold * 100 + 200 THEN 'train' ELSE 'test' END AS role
+      FROM k WHERE rn >= fold * 100 AND rn < fold * 100 + 300),
+st AS (SELECT asset, fold, avg(log_return) AS mu, stddev_pop(log_return) AS sd FROM x WHERE role = 'train' GROUP BY 1, 2)
+SELECT x.asset, x.ts, x.fold, x.role, round((log_return - mu) / sd, 6) AS log_return_z FROM x JOIN st USING (asset, fold)""")
+def e06f(spark, sf):
+    """E-06 on walk-forward folds: train-only statistics per (asset, fold)."""
+    lr = FT.log_returns(bars(spark, sf))
+    folds = SP.walk_forward_split(lr, 200, 100, 100)
+    out = SP.standardize_train_only(folds, ["log_return"])
+    return rounded(out.select("asset", "ts", "fold", "role", "log_return_z"))
