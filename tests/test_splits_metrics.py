@@ -112,3 +112,17 @@ def test_classification_report_keeps_absent_classes(spark):
     assert math.isclose(s["accuracy"], 2 / 3)
     cm = M.confusion_long(df).collect()
     assert len(cm) == 9
+
+
+def test_standardize_uses_train_rows_only(spark):
+    df = _bars(spark, 30).withColumn("x", F.col("close"))
+    folds = SP.walk_forward_split(df, 10, 5, 5)
+    a = SP.standardize_train_only(folds, ["x"]).filter("role = 'train'").toPandas()
+    # changing only test-row values must not change the standardised train rows
+    bumped = folds.withColumn("x", F.when(F.col("role") == "test", F.col("x") * 100).otherwise(F.col("x")))
+    b = SP.standardize_train_only(bumped, ["x"]).filter("role = 'train'").toPandas()
+    key = ["fold", "ts"]
+    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+    assert (a["x_z"] - b["x_z"]).abs().max() < 1e-12
+    g = a.groupby("fold")["x_z"]
+    assert (g.mean().abs() < 1e-9).all()
