@@ -178,7 +178,6 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
     sub = F.floor(F.col(RN) / SUB)
     p = F.col(RN) - sub * SUB
     w_sub = Window.partitionBy(*key, CHUNK, sub).orderBy(RN)
-    w = chunk_window(key)
     locs, ends, finals = {}, {}, {}
     for x, out, span in specs:
         alpha = 2.0 / (span + 1.0)
@@ -197,10 +196,11 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
         if f"_loc_{out}" not in locs:
             continue
         beta = 1.0 - 2.0 / (span + 1.0)
-        carry = F.lit(0.0)
-        for j in range(1, _ewm_k(span) + 1):
-            carry = carry + F.lit(beta ** (SUB * (j - 1))) * F.coalesce(
-                F.lag(f"_end_{out}", SUB * j).over(w), F.lit(0.0))
+        # one SQL expression for the K lag terms: parsed JVM-side in a single call
+        over = "OVER (PARTITION BY " + ", ".join(f"`{k}`" for k in key) + f", `{CHUNK}` ORDER BY `{RN}`)"
+        terms = [f"CAST('{beta ** (SUB * (j - 1))!r}' AS DOUBLE) * coalesce(lag(`_end_{out}`, {SUB * j}) {over}, 0D)"
+                 for j in range(1, _ewm_k(span) + 1)]
+        carry = F.expr(" + ".join(terms))
         y = F.col(f"_loc_{out}") + F.pow(F.lit(beta), p + 1) * carry
         if adjust:
             # divide by sum_{i<=rel} b^i = (1 - b^(rel+1)) / (1 - b)
