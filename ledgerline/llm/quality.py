@@ -147,7 +147,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     """Fit on about ``fit_rows`` labelled and as many unlabelled documents, chosen by a hash of the id.
 
     Labels other than 0 and 1 are left out; an id labelled both ways counts as 0. Only the features of
-    the chosen rows reach the driver (about 600 bytes each).
+    the chosen rows reach the driver (about 600 bytes each; never more than ``4 * fit_rows`` rows, should
+    an id be repeated very often).
     """
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("y"))
@@ -158,7 +159,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     some = base.where(spread < fit_rows / max(1, total)).join(marks, "id", "left_anti") \
         .withColumn("y", F.lit(-1))
     # the chosen marks are at most about fit_rows rows: a proven bound
-    rows = base.join(F.broadcast(chosen), "id").unionByName(some)
+    rows = base.join(F.broadcast(chosen), "id").unionByName(some).limit(4 * fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

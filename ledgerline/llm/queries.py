@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import mixing, packing, pii, quality, simhash
+from ledgerline.llm import chat, embed_dedup, html, langid, mixing, packing, pii, quality, simhash, topk
 from ledgerline.llm.base import query, table
 
 #: From this score on a document counts as good.
@@ -17,6 +17,41 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op1_html_main_text")
+def op1_html_main_text(spark, sf_dir):
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.x) = len(c.x)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op2_exact_top_k", OP2_SQL)
+def op2_exact_top_k(spark, sf_dir):
+    """Ten best inner products for every row whose id is divisible by 100, over all rows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op3_chat_windows", chat.ORACLE)
+def op3_chat_windows(spark, sf_dir):
+    """All conversations, and one of control strings, formatted in windows and read back."""
+    own = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), "
+                    "(-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t (conv_id, turn, role, text)")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.chat_windows(given.unionByName(own)))
+
+
 @query("op4_simhash_near_dedup")
 def op4_simhash_near_dedup(spark, sf_dir):
     """SimHash of 3-word shingles, links at 3 or fewer differing bits, components."""
@@ -24,6 +59,35 @@ def op4_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op5_language_id")
+def op5_language_id(spark, sf_dir):
+    """Language of every document; a quarter of the ids is held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
+e AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT m.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, m.vec_id = component_id AS kept
+FROM embeddings m JOIN low ON low.a = m.vec_id LEFT JOIN deg ON deg.a = m.vec_id
+"""
+
+
+@query("op6_embedding_near_dedup", OP6_SQL)
+def op6_embedding_near_dedup(spark, sf_dir):
+    """Links at cosine 0.98 within a label, and their components."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def labelled_languages(spark, sf_dir, docs):
     """The labelled table of the mixture: the documents that ``labels`` lists, with their language."""
     ids = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
