@@ -39,7 +39,7 @@ WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]{0,3}$")
 #: Buckets of token shapes and of words before a token; the model's size.
 BUCKETS = 4096
 #: A node is labelled from this marginal on. Without a link, a shape alone counts at most ALONE.
-SURE, ALONE, FLOOR = 0.9, 0.5, 0.02
+SURE, ALONE, FLOOR = 0.9, 0.35, 0.02
 ROUNDS = 12
 
 
@@ -169,8 +169,7 @@ class SkipChain:
         s = pair["skip"][1:, 1:]
         same = float(np.trace(s))
         strong = float(np.clip(np.log((same + 1) / (s.sum() - same + 1)), 5, 8))
-        self.skip = np.where(np.eye(k, dtype=bool), strong, 0.0)
-        self.skip[0, 0] = strong / 2
+        self.skip = np.where(np.eye(k, dtype=bool), strong, 0.0)  # agreement alone: no label is favoured
 
     def marginals(self, found: list[tuple], links: list[tuple]) -> np.ndarray:
         """Label marginals of each node by sum-product over all links, damped."""
