@@ -20,6 +20,8 @@ from ledgerline.llm.base import cut, unused
 
 #: Hash buckets of the words; the model has one weight for each bucket and domain.
 BUCKETS = 1 << 14
+#: Labelled rows that the classifier is fitted on (about).
+FIT_ROWS = 20_000
 
 
 def words_of(text: Column) -> Column:

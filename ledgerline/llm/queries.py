@@ -88,10 +88,14 @@ def op6_embedding_near_dedup(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
-def labelled_languages(spark, sf_dir, docs):
-    """The labelled table of the mixture: the documents that ``labels`` lists, with their language."""
+def labelled_languages(spark, sf_dir, docs, fit_rows=mixing.FIT_ROWS):
+    """The labelled table of the mixture: of the documents that ``labels`` lists, about ``fit_rows`` chosen
+    by a hash of the id, with their language. The chosen ids are few by that bound, so they are broadcast
+    and no text is shuffled."""
     ids = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    return docs.join(ids, docs["doc_id"] == F.col("_id"), "left_semi") \
+    spread = F.pmod(F.xxhash64(F.lit(13), "_id"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = ids.where(spread < fit_rows / max(1, ids.count()))
+    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id"), "left_semi") \
         .select(docs["text"], docs["lang"].alias("domain"))
 
 
