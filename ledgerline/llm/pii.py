@@ -86,11 +86,11 @@ def shape(token: str) -> int:
 
 
 def skip_key(token: str) -> str | None:
-    """What repeated or similar tokens share: the address in lower case, or the last nine digits."""
+    """What repeated or similar tokens share: the address in lower case, or the last seven digits."""
     if "@" in token:
         return token.lower().strip(".")
     digits = re.sub(r"[^0-9]", "", token)
-    return digits[-9:] if len(digits) >= 7 else None
+    return digits[-7:] if len(digits) >= 7 else None
 
 
 def nodes(text: str, base: list[tuple[int, int, int]]):
@@ -115,7 +115,7 @@ def nodes(text: str, base: list[tuple[int, int, int]]):
         out.append((start, end, shape(text[start:end]), word, near[0][2] + 1 if near else 0))
         if i and start - out[i - 1][1] <= 2:
             links.append((i - 1, i, False))
-        key = skip_key(text[start:end])
+        key = skip_key(text[slice(*near[0][:2])] if near else text[start:end])
         if key:
             if key in last:
                 links.append((last[key], i, True))
