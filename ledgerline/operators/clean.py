@@ -88,8 +88,8 @@ def to_number(c) -> Column:
     return col.cast("string").try_cast("double")
 
 
-DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd", "yyyyMM", "yyyy",
-                "MM/dd/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][XXX]",
+                "yyyy-MM-dd", "yyyyMMdd", "yyyyMM", "yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
 
 
 def to_timestamp_any(c, formats: Sequence[str] = DATE_FORMATS, epoch: str | None = None) -> Column:
@@ -155,14 +155,15 @@ def percent_scale(df: DataFrame, cols: Sequence[str], mode: str = "auto", limit:
 
 def first_non_empty(*cols, skip_zero: bool = False) -> Column:
     """P-14: first value that is not NULL / '' (and not 0 when ``skip_zero``,
-    like Python ``a or b``)."""
+    like Python ``a or b``). The columns' type is kept."""
     out = []
     for c in cols:
         col = F.col(c) if isinstance(c, str) else c
-        col = F.nullif(col.cast("string"), F.lit(""))
+        text = col.cast("string")
+        full = text != ""
         if skip_zero:
-            col = F.when(col.try_cast("double") != 0, col).when(col.try_cast("double").isNull(), col)
-        out.append(col)
+            full = full & F.coalesce(text.try_cast("double") != 0, F.lit(True))
+        out.append(F.when(full, col))
     return F.coalesce(*out)
 
 

@@ -133,14 +133,20 @@ def classification_report(df: DataFrame, y_true="y_true", y_pred="y_pred", class
     """M-21 / M-22: per-class precision, recall, F1, support (zero division -> 0)
     and the summary row (accuracy, macro and weighted averages, samples).
 
-    Computed from the confusion counts, so the data is scanned once."""
+    Support is by true label, predictions by predicted label; accuracy and samples
+    are over all rows, whatever was predicted (a NULL or unlisted prediction is
+    wrong). The data is scanned once, into (true, predicted) counts."""
     group = list(group)
-    cm = confusion_long(df, y_true, y_pred, classes, group)
-    tp = F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("count")).otherwise(0))
-    per_true = cm.groupBy(*group, F.col("true_label").alias("label")).agg(
-        F.sum("count").alias("support"), tp.alias("tp"))
-    per_pred = cm.groupBy(*group, F.col("pred_label").alias("label")).agg(F.sum("count").alias("predicted"))
-    per = per_true.join(per_pred, on=[*group, "label"])
+    counts = df.groupBy(*group, F.col(y_true).alias("_t"), F.col(y_pred).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    hit = F.coalesce(F.col("_t") == F.col("_p"), F.lit(False))
+    sums = counts.groupBy(*group).agg(
+        F.sum("_c").alias("_rows"), F.coalesce(F.sum(F.when(hit, F.col("_c"))), F.lit(0)).alias("_hits"),
+        *[F.coalesce(F.sum(F.when(cond & (F.col("_p" if k == "predicted" else "_t") == c), F.col("_c"))), F.lit(0))
+          .alias(f"_{k}{i}") for i, c in enumerate(classes)
+          for k, cond in (("support", F.lit(True)), ("tp", hit), ("predicted", F.lit(True)))])
+    per = sums.select(*group, "_rows", "_hits", F.inline(F.array(*[F.struct(
+        F.lit(c).alias("label"), *[F.col(f"_{k}{i}").alias(k) for k in ("support", "tp", "predicted")])
+        for i, c in enumerate(classes)])))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     per = per.withColumn("precision", prec).withColumn("recall", rec)
@@ -150,14 +156,14 @@ def classification_report(df: DataFrame, y_true="y_true", y_pred="y_pred", class
     total = F.sum("support")
     k = F.lit(float(len(classes)))
     summary = per.groupBy(*group).agg(
-        (F.sum("tp") / total).alias("accuracy"),
+        F.coalesce(F.try_divide(F.max("_hits"), F.max("_rows")), F.lit(0.0)).alias("accuracy"),
         (F.sum("precision") / k).alias("macro_precision"),
         (F.sum("recall") / k).alias("macro_recall"),
         (F.sum("f1") / k).alias("macro_f1"),
         F.coalesce(F.try_divide(F.sum(F.col("precision") * F.col("support")), total), F.lit(0.0)).alias("weighted_precision"),
         F.coalesce(F.try_divide(F.sum(F.col("recall") * F.col("support")), total), F.lit(0.0)).alias("weighted_recall"),
         F.coalesce(F.try_divide(F.sum(F.col("f1") * F.col("support")), total), F.lit(0.0)).alias("weighted_f1"),
-        total.cast("long").alias("num_samples"),
+        F.coalesce(F.max("_rows"), F.lit(0)).cast("long").alias("num_samples"),
     )
     per = per.select(*group, "label", "precision", "recall", "f1", F.col("support").cast("long").alias("support"))
     return per, summary

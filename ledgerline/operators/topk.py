@@ -31,10 +31,10 @@ def top_groups(df: DataFrame, key: str | Sequence[str], n: int) -> DataFrame:
 
 
 def rows_of_top_groups(df: DataFrame, key: str | Sequence[str], n: int) -> DataFrame:
-    """K-02: rows whose key is among the N most frequent keys (broadcast of at
-    most N rows into a semi join)."""
+    """K-02: rows whose key is among the N most frequent keys (a semi join; AQE
+    broadcasts the keys where their measured size allows)."""
     key = [key] if isinstance(key, str) else list(key)
-    return df.join(F.broadcast(top_groups(df, key, n)), on=key, how="left_semi")
+    return df.join(top_groups(df, key, n), on=key, how="left_semi")
 
 
 def sort_by(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:

@@ -83,11 +83,9 @@ def s31(spark, sf):
 SELECT conv_id, turn, role, text FROM conversations""")
 def s32(spark, sf):
     """S-32: JSONL sink and source: conversations as message arrays (one JSON line
-    per conversation block of at most 64 turns), read back and exploded to turns."""
-    from ledgerline.plans import sequence as sq
-    c = sq.bounded_blocks(fx.table(spark, sf, "conversations"), "conv_id", ["turn"], size=64)
-    docs = c.groupBy("conv_id", "_blk").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-                                            .alias("messages")).drop("_blk")
+    per conversation), read back and exploded to turns."""
+    c = fx.table(spark, sf, "conversations")
+    docs = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"))
     path = LK.scratch_path(spark, "jsonl")
     LK.write_jsonl(docs, path)
     back = LK.read_jsonl(spark, path, "conv_id long, messages array<struct<turn: long, role: string, text: string>>")

@@ -10,10 +10,14 @@ from ledgerline.operators import models as MD
 from ledgerline.operators import splits as SP
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans.q_series import FEATURES_CTE, bars, features
-from ledgerline.plans.q_text import SCORE_SQL
+from ledgerline.plans.q_text import SCORE_SQL, _count_sql
 from ledgerline.plans.registry import duck_round, query, rounded
 from ledgerline.sources.lake import scratch_path
 from ledgerline.streaming import ops as ST
+from ledgerline.functions import text as TX
+
+RULE_POS = _count_sql("lower(text)", TX.RULE_POSITIVE_WORDS)
+RULE_NEG = _count_sql("lower(text)", TX.RULE_NEGATIVE_WORDS)
 
 
 # ---- M-06 / M-09 ------------------------------------------------------------------
@@ -83,13 +87,14 @@ def t01(spark, sf):
 
 
 @query("t02_stream_scores", f"""
-SELECT doc_id, round({SCORE_SQL}, 4) AS score FROM documents""")
+SELECT doc_id, round({SCORE_SQL}, 4) AS score, CASE WHEN {RULE_POS} > {RULE_NEG} THEN 'Positive'
+  WHEN {RULE_NEG} > {RULE_POS} THEN 'Negative' ELSE 'Neutral' END AS label FROM documents""")
 def t02(spark, sf):
     """T-02: stateless scoring of a document stream."""
     schema = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").schema
     docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     out = _drain(spark, ST.stream_scores(docs, "text", keep=["doc_id"]), "scores")
-    return out.select("doc_id", "score")
+    return out.select("doc_id", "score", "label")
 
 
 @query("t03_stream_mentions", """
@@ -236,7 +241,7 @@ def e06(spark, sf):
     stats = s.filter(F.col("role") == "train").groupBy("asset").agg(F.avg("log_return").alias("mu"),
                                                                       F.stddev_pop("log_return").alias("sd"))
     out = s.join(stats, "asset").select("asset", "ts", "role",
-                                        ((F.col("log_return") - F.col("mu")) / F.col("sd")).alias("log_return_z"))
+                                        F.try_divide(F.col("log_return") - F.col("mu"), F.col("sd")).alias("log_return_z"))
     return rounded(out)
 
 

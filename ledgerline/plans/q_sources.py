@@ -17,9 +17,6 @@ from ledgerline.plans import fixtures as fx
 from ledgerline.plans import sequence as sq
 from ledgerline.plans.registry import duck_round, query, rounded
 
-BIG = 10 ** 12   # line positions after every data line (data lines sit at their key)
-
-
 def T(spark, sf, name):
     return fx.table(spark, sf, name)
 
@@ -38,17 +35,25 @@ def fixed_lines(files, rows):
     return files.select("file", F.inline(arr))
 
 
+def with_fixed_lines(data, head, tail):
+    """``data`` lines with constant lines in every file: ``head`` = [(pos, text), ...], and
+    ``tail`` = [text, ...] right after the file's last data line."""
+    files = data.groupBy("file").agg(F.max("pos").alias("_last"))
+    at = [(F.lit(p).cast("long"), t) for p, t in head]
+    at += [((F.col("_last") + 1 + i).cast("long"), t) for i, t in enumerate(tail)]
+    arr = F.array(*[F.struct(p.alias("pos"), F.lit(t).alias("line")) for p, t in at])
+    return data.unionByName(files.select("file", F.inline(arr)))
+
+
 LINE_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_shipdate"]
 
 
-def order_lines(spark, sf, block_rows: int = 64):
-    """One document per (order, block of at most 64 lines), lines sorted by their
-    full content: a document never collects more than 64 lines, however many
-    lines one order has."""
-    li = sq.bounded_blocks(T(spark, sf, "lineitem"), "l_orderkey", LINE_COLS, size=block_rows)
+def order_lines(spark, sf):
+    """One document per order, lines sorted by their full content. As with any
+    nested file, a document (here the lines of one order) has to fit in a row."""
     key = F.struct(*LINE_COLS)
-    return li.groupBy("l_orderkey", "_blk").agg(F.sort_array(F.collect_list(key)).alias("lines")).drop("_blk")
+    return T(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(key)).alias("lines"))
 
 
 # ---- S-04..S-14 line formats --------------------------------------------------------
@@ -60,11 +65,9 @@ def s04(spark, sf):
     o = T(spark, sf, "orders")
     data = lines_of(o, F.col("o_orderpriority"), F.col("o_orderkey") + 1,
                     F.concat_ws(",", F.date_format("o_orderdate", "yyyyMMdd"), _s("o_totalprice"), "o_orderstatus"))
-    files = o.select(F.col("o_orderpriority").alias("file")).distinct()
-    fixed = fixed_lines(files, [(-3, "This file was created by the desk"), (-2, "Units: USD"), (-1, ""),
-                                (0, ",total,status"), (BIG, ""), (BIG + 1, " Annual totals"),
-                                (BIG + 2, ",total,status"), (BIG + 3, "1995,1.0,F")])
-    parsed = RW.csv_after_header(data.unionByName(fixed), F.col("line").startswith(","), ["date", "total", "status"])
+    lines = with_fixed_lines(data, [(-3, "This file was created by the desk"), (-2, "Units: USD"), (-1, ""),
+                                    (0, ",total,status")], ["", " Annual totals", ",total,status", "1995,1.0,F"])
+    parsed = RW.csv_after_header(lines, F.col("line").startswith(","), ["date", "total", "status"])
     return parsed.select("file", "date", F.col("total").try_cast("double").alias("total"), "status")
 
 
@@ -87,10 +90,12 @@ def s06(spark, sf):
                     F.when(semi, F.concat_ws(";", _s("c_custkey"), "c_name", _s("c_acctbal")))
                      .otherwise(F.concat_ws(",", _s("c_custkey"), "c_name", _s("c_acctbal"))))
     files = c.select(F.col("c_mktsegment").alias("file")).distinct()
+    notes = files.select("file", F.lit(-1).cast("long").alias("pos"), F.lit("# customers; by segment, ;;;").alias("line"))
     hdr = files.select("file", F.lit(0).cast("long").alias("pos"),
                        F.when(F.col("file").isin("BUILDING", "MACHINERY"), F.lit("custkey;name;acctbal"))
                         .otherwise(F.lit("custkey,name,acctbal")).alias("line"))
-    out = RW.split_by_file_delimiter(data.unionByName(hdr), ["c_custkey", "c_name", "c_acctbal"])
+    lines = RW.drop_comments(data.unionByName(hdr).unionByName(notes))
+    out = RW.split_by_file_delimiter(lines, ["c_custkey", "c_name", "c_acctbal"])
     return out.select("file", F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
                       F.col("c_acctbal").try_cast("double").alias("c_acctbal"))
 
@@ -209,10 +214,8 @@ def s12(spark, sf):
     date_field = F.when(F.pmod("l_suppkey", F.lit(4)) == 0, F.lit("")).otherwise(ymd)
     data = lines_of(g, file, F.col("l_suppkey") + 1,
                     F.concat_ws("|", date_field, F.concat(F.lit("S"), _s("l_suppkey")), _s("q"), _s("n"), F.lit("Q")))
-    files = g.select(file.alias("file")).distinct()
-    fixed = fixed_lines(files, [(0, "Date|Symbol|ShortVolume|TotalVolume|Market"), (BIG, ""),
-                                (BIG + 1, "Total records|0|0|0|")])
-    out = RW.pipe_file(data.unionByName(fixed), ["date", "symbol", "short_volume", "total_volume", "market"])
+    lines = with_fixed_lines(data, [(0, "Date|Symbol|ShortVolume|TotalVolume|Market")], ["", "Total records|0|0|0|"])
+    out = RW.pipe_file(lines, ["date", "symbol", "short_volume", "total_volume", "market"])
     return out.select(F.col("date").cast("timestamp_ntz").alias("date"), "symbol",
                       F.col("short_volume").try_cast("double").alias("short_volume"),
                       F.col("total_volume").try_cast("double").alias("total_volume"))
@@ -363,11 +366,11 @@ def s21(spark, sf):
 
 @query("s22_pick_by_role", """
 WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, l_partkey, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate FROM lineitem),
-h AS (SELECT l_orderkey, arg_min(l_suppkey, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate)) FILTER (WHERE l_linenumber = 1) AS home_team,
-        arg_min(l_quantity, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate)) FILTER (WHERE l_linenumber = 1) AS home_score,
-        arg_min(l_suppkey, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate)) FILTER (WHERE l_linenumber <> 1) AS away_team,
-        arg_min(l_quantity, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate)) FILTER (WHERE l_linenumber <> 1) AS away_score
-      FROM l GROUP BY 1)
+p AS (SELECT l_orderkey, list({'role': CASE WHEN l_linenumber = 1 THEN 'home' ELSE 'away' END, 'team': l_suppkey, 'score': l_quantity}
+        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate) AS c
+      FROM l GROUP BY 1),
+k AS (SELECT l_orderkey, coalesce([x for x in c if x.role = 'home'][1], c[1]) AS h, coalesce([x for x in c if x.role = 'away'][1], c[2]) AS a FROM p),
+h AS (SELECT l_orderkey, h.team AS home_team, h.score AS home_score, a.team AS away_team, a.score AS away_score FROM k)
 SELECT h.l_orderkey, home_team, away_team, home_score, away_score FROM h JOIN orders ON o_orderkey = h.l_orderkey
 WHERE o_orderstatus = 'F' AND away_team IS NOT NULL AND home_team IS NOT NULL""")
 def s22(spark, sf):
@@ -381,8 +384,8 @@ def s22(spark, sf):
     g = ol.select("l_orderkey", comp.alias("competitors"),
                   F.when(F.col("o_orderstatus") == "F", "STATUS_FINAL").otherwise("STATUS_SCHEDULED").alias("status"))
     g = g.filter(F.col("status") == "STATUS_FINAL")
-    home = F.try_element_at(F.filter("competitors", lambda c: c["homeAway"] == "home"), F.lit(1))
-    away = F.try_element_at(F.filter("competitors", lambda c: c["homeAway"] == "away"), F.lit(1))
+    home = NS.pick_by_role("competitors", "homeAway", "home", 1)
+    away = NS.pick_by_role("competitors", "homeAway", "away", 2)
     out = g.select("l_orderkey", home.alias("h"), away.alias("a")).filter(F.col("h").isNotNull() & F.col("a").isNotNull())
     return out.select("l_orderkey", F.col("h.team").alias("home_team"), F.col("a.team").alias("away_team"),
                       F.col("h.score").alias("home_score"), F.col("a.score").alias("away_score"))
@@ -390,10 +393,10 @@ def s22(spark, sf):
 
 @query("s23_double_nested", "SELECT l_orderkey, l_shipdate AS date, l_linenumber AS id, l_quantity AS qty FROM lineitem")
 def s23(spark, sf):
-    li = sq.bounded_blocks(T(spark, sf, "lineitem"), "l_orderkey", LINE_COLS, size=64)
-    per_day = li.groupBy("l_orderkey", "_blk", "l_shipdate").agg(F.sort_array(F.collect_list(
+    li = T(spark, sf, "lineitem")
+    per_day = li.groupBy("l_orderkey", "l_shipdate").agg(F.sort_array(F.collect_list(
         F.struct(F.col("l_linenumber").alias("id"), F.col("l_quantity").alias("qty")))).alias("games"))
-    weeks = per_day.groupBy("l_orderkey", "_blk").agg(F.collect_list(F.struct(
+    weeks = per_day.groupBy("l_orderkey").agg(F.collect_list(F.struct(
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), "games")).alias("gameWeek"))
     docs = weeks.select("l_orderkey", F.to_json(F.struct("gameWeek")).alias("doc"))
     schema = "struct<gameWeek: array<struct<date: string, games: array<struct<id: int, qty: double>>>>>"
@@ -465,13 +468,14 @@ def _form4_docs(spark, sf, wrap: bool):
                                      F.col("o_orderkey") == F.col("l_orderkey"))
 
     def txn(x):
-        date = F.when(x["l_linenumber"] == 3, F.lit("")).otherwise(
+        date = F.when(x["l_linenumber"] == 3, F.lit("")) \
+            .when(x["l_linenumber"] == 4, F.lit("<transactionDate><value> </value></transactionDate>")).otherwise(
             F.concat(F.lit("<transactionDate><value>"), F.date_format(x["l_shipdate"], "yyyy-MM-dd"),
                      F.lit("</value></transactionDate>")))
         return F.concat(F.lit("<nonDerivativeTransaction>"), date,
                         F.lit("<transactionAmounts><transactionShares><value>"), x["l_quantity"].cast("string"),
                         F.lit("</value></transactionShares><transactionPricePerShare><value>"),
-                        x["l_extendedprice"].cast("string"),
+                        F.when(x["l_linenumber"] == 5, "abc").otherwise(x["l_extendedprice"].cast("string")),
                         F.lit("</value></transactionPricePerShare><transactionAcquiredDisposedCode><value>"),
                         F.when(x["l_returnflag"] == "R", F.lit("D")).otherwise(F.lit("A")),
                         F.lit("</value></transactionAcquiredDisposedCode></transactionAmounts>"
@@ -480,7 +484,8 @@ def _form4_docs(spark, sf, wrap: bool):
                    F.lit("</issuerTradingSymbol><issuerName>Issuer "), F.col("o_custkey").cast("string"),
                    F.lit("</issuerName></issuer><reportingOwner><reportingOwnerId><rptOwnerName>Owner "),
                    F.col("l_orderkey").cast("string"),
-                   F.lit("</rptOwnerName></reportingOwnerId></reportingOwner><nonDerivativeTable>"),
+                   F.lit("</rptOwnerName></reportingOwnerId></reportingOwner><reportingOwner><reportingOwnerId>"
+                        "<rptOwnerName>Second owner</rptOwnerName></reportingOwnerId></reportingOwner><nonDerivativeTable>"),
                    F.array_join(F.transform("lines", txn), ""), F.lit("</nonDerivativeTable></ownershipDocument>"))
     if wrap:
         xml = F.when(F.pmod("l_orderkey", F.lit(2)) == 0,
@@ -493,9 +498,9 @@ def _form4_docs(spark, sf, wrap: bool):
 FORM4_SQL = """
 SELECT l_orderkey, 'O' || CAST(o_custkey AS VARCHAR) AS ticker, 'Issuer ' || CAST(o_custkey AS VARCHAR) AS issuer_name,
   'Owner ' || CAST(l_orderkey AS VARCHAR) AS owner_name,
-  CASE WHEN l_linenumber = 3 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(l_shipdate, '%Y-%m-%d') END AS transaction_date,
-  l_quantity AS shares, l_extendedprice AS price_per_share, CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'A' END AS acquired_disposed,
-  round(l_quantity * l_extendedprice, 4) AS transaction_value
+  CASE WHEN l_linenumber IN (3, 4) THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(l_shipdate, '%Y-%m-%d') END AS transaction_date,
+  l_quantity AS shares, CASE WHEN l_linenumber <> 5 THEN l_extendedprice END AS price_per_share, CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'A' END AS acquired_disposed,
+  CASE WHEN l_linenumber <> 5 THEN round(l_quantity * l_extendedprice, 4) END AS transaction_value
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey"""
 
 

@@ -207,19 +207,14 @@ def x07(spark, sf):
 WITH m AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS messages FROM conversations GROUP BY 1)
 SELECT conv_id, coalesce(list_filter(messages, lambda x: x.role = 'user')[1].content, '') AS user_message FROM m""")
 def x07a(spark, sf):
-    """X-07 on messages arrays (the chat-format shape). Arrays are built per
-    (conversation, block of at most 64 turns) in turn order, so no array grows
-    with a conversation; the first user message of each block is found with the
-    array function and the earliest block with one wins (an aggregate)."""
-    from ledgerline.plans import sequence as sq
-    c = sq.bounded_blocks(fx.table(spark, sf, "conversations"), "conv_id", ["turn"], size=64)
-    m = c.groupBy("conv_id", "_blk").agg(F.sort_array(F.collect_list(F.struct("turn", "role",
-                                                                              F.col("text").alias("content")))).alias("_m"))
-    m = m.select("conv_id", "_blk", F.transform("_m", lambda s: F.struct(s["role"].alias("role"),
-                                                                          s["content"].alias("content"))).alias("messages"))
-    per_block = m.select("conv_id", "_blk", TX.first_user_message("messages").alias("msg"))
-    first = per_block.groupBy("conv_id").agg(F.min_by("msg", F.when(F.col("msg") != "", F.col("_blk"))).alias("m"))
-    return first.select("conv_id", F.coalesce("m", F.lit("")).alias("user_message"))
+    """X-07 on messages arrays (the chat-format shape): one array per conversation,
+    as such a file has it. On turn rows, ``first_user_turn`` needs no array."""
+    c = fx.table(spark, sf, "conversations")
+    m = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role",
+                                                                      F.col("text").alias("content")))).alias("_m"))
+    m = m.select("conv_id", F.transform("_m", lambda s: F.struct(s["role"].alias("role"),
+                                                                 s["content"].alias("content"))).alias("messages"))
+    return m.select("conv_id", TX.first_user_message("messages").alias("user_message"))
 
 
 @query("x08_chat_prompt", f"""

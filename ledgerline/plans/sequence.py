@@ -6,10 +6,9 @@ series to one task, and a hot asset that holds a third of all rows would then
 run on one core. The helpers here split a series into fixed-size row chunks:
 
 * :func:`with_row_index` gives every row its 0-based position ``rn`` in its
-  series and the series length ``n`` without a per-series window: the input is
-  range-partitioned on (key, order) — Spark samples the bounds, so a hot key is
-  spread over many partitions — and per-partition counts are prefix-summed on a
-  small (key, partition) table.
+  series and the series length ``n`` without a per-series window: rows are counted
+  per (key, time bucket), the counts are prefix-summed on that small table, and
+  rows are numbered inside their (key, bucket).
 * :func:`with_halo` assigns rows to chunks of ``chunk_rows`` consecutive
   positions and copies the last ``back`` rows of each chunk into the next one
   (and the first ``fwd`` rows into the previous one). Any window whose frame
@@ -29,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.session import cut_lineage
 
@@ -39,6 +39,8 @@ HOME = "_home"     # False for halo copies
 SUB = 64           # EWM sub-chunk length (beta**-63 stays far from overflow)
 
 DEFAULT_CHUNK_ROWS = 1 << 20
+BUCKET_SECONDS = 86_400   # time bucket of the row index
+BUCKET_STEPS = 4_096      # the same for a whole-number order column
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -50,12 +52,17 @@ def with_row_index(df: DataFrame, key: str | Sequence[str], order: Sequence[str
     """Add ``rn`` (0-based position in the series) and ``n`` (series length).
 
     ``order`` must be a total order inside each key (add a tie-break column).
-    The range-partitioned, locally numbered rows are checkpointed into the
-    shared checkpoint folder so that the sampled bounds — and therefore the
-    numbering — are fixed for every consumer and across executor loss.
+    If it starts with a time or whole-number column, the index is a plain query
+    (:func:`_bucket_index`): nothing runs while it is built, unused columns are
+    pruned and filters pass. Any other order is range-partitioned, numbered and
+    checkpointed into the shared checkpoint folder, so that the sampled bounds —
+    and therefore the numbering — are fixed for every consumer.
     """
     key = _cols(key)
     df = df.drop(*[c for c in (RN, N, CHUNK, HOME) if c in df.columns])   # an earlier index is replaced
+    bucket = _bucket(df, order[0])
+    if bucket is not None and num_ranges is None:
+        return _bucket_index(df, key, order, bucket)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     spark = df.sparkSession
     n_parts = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -81,6 +88,34 @@ def with_row_index(df: DataFrame, key: str | Sequence[str], order: Sequence[str
     return out.drop("_mid", "_pid", "_b0", "_off")
 
 
+def _bucket(df: DataFrame, col) -> Column | None:
+    """Bucket number of the first order column, increasing with it (NULLs first)."""
+    if not isinstance(col, str):
+        return None
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        b = F.floor(F.unix_seconds(c.cast("timestamp")) / BUCKET_SECONDS)
+    elif isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        b = F.floor(c / BUCKET_STEPS)
+    else:
+        return None
+    return F.coalesce(b, F.lit(-(1 << 60)))
+
+
+def _bucket_index(df: DataFrame, key: list[str], order: Sequence[str | Column], bucket: Column) -> DataFrame:
+    """Rows per (key, bucket), prefix-summed over the buckets of a key (a table far
+    smaller than the rows), plus the row's number inside its (key, bucket)."""
+    df = df.withColumn("_bkt", bucket)
+    sizes = df.groupBy(*key, "_bkt").agg(F.count(F.lit(1)).alias("_bn"))
+    w = Window.partitionBy(*key).orderBy("_bkt")
+    sizes = sizes.select(*key, "_bkt",
+                         F.coalesce(F.sum("_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+                         F.sum("_bn").over(Window.partitionBy(*key)).alias(N))
+    own = Window.partitionBy(*key, "_bkt").orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
+    out = df.withColumn(RN, F.row_number().over(own) - 1).join(sizes, [*key, "_bkt"])
+    return out.withColumn(RN, F.col(RN) + F.col("_off")).drop("_bkt", "_off")
+
+
 def with_halo(df: DataFrame, back: int, fwd: int = 0,
               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Assign ``_chunk`` and duplicate boundary rows into neighbouring chunks.
@@ -246,13 +281,3 @@ def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, t
 def running(agg: Column, key: str | Sequence[str]) -> Column:
     """``agg`` from the start of the chunk to the current row (chunk layout)."""
     return agg.over(chunk_window(key, (Window.unboundedPreceding, 0)))
-
-
-def bounded_blocks(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Column], size: int = 64,
-                   out: str = "_blk") -> DataFrame:
-    """Give each row a block id so that (key, block) groups hold at most ``size``
-    consecutive rows of the key in ``order``: arrays built per (key, block) stay
-    bounded however large one key grows (documents / message lists are then
-    split into blocks instead of collecting a whole key into one row)."""
-    ix = with_row_index(df, key, order)
-    return ix.withColumn(out, F.floor(F.col(RN) / size)).drop(RN, N)

@@ -8,6 +8,7 @@ for scripts/tests and the lineage-cut helper used by multi-pass plans.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +48,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the setting names a shared folder and is left alone; only when
-    it is unset (unit tests) do we point it at a fresh scratch folder.
+    On a cluster the setting names a shared folder and is left alone. Where it is
+    unset, a local session (tests, one machine) gets a fresh scratch folder, and a
+    cluster is an error: its nodes would each see their own ``/tmp``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not fallback and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
     if not configured:
         configured = fallback or os.path.join("/tmp", f"ledgerline-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(configured)

@@ -91,18 +91,19 @@ def file_stats(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 # ---- writes (S-30..S-33) ---------------------------------------------------------
 
 def write_lake(df: DataFrame, root: str, partition_by: Sequence[str] = ("category", "asset"),
-               mode: str = "overwrite", sort_by: Sequence[str] = ()) -> bool:
+               mode: str = "overwrite", sort_by: Sequence[str] = (), max_file_rows: int = 10_000_000) -> bool:
     """S-30 / S-31: partitioned Parquet write; an empty frame writes nothing and
-    returns False (one ``isEmpty`` probe). Rows are clustered by the partition
-    columns first so each task writes few files, and sorted within files by
-    ``sort_by`` (time order at rest, no global sort)."""
+    returns False (one ``isEmpty`` probe). Rows are rebalanced by the partition
+    columns first: each task writes few files, and AQE splits a hot partition
+    over several tasks. ``sort_by`` orders rows within files (time order at rest,
+    no global sort); ``max_file_rows`` bounds a file."""
     if df.isEmpty():
         warnings.warn(f"empty DataFrame, skipping write to {root}", stacklevel=2)
         return False
-    out = df.repartition(*[F.col(c) for c in partition_by]) if partition_by else df
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    w = out.write.mode(mode)
+    w = out.write.mode(mode).option("maxRecordsPerFile", max_file_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(root)

@@ -71,7 +71,7 @@ def columns_to_rows(df: DataFrame, doc: str, fields: dict[str, str], keep: Seque
 def heterogeneous_items(df: DataFrame, doc: str, keep: Sequence[str] = ()) -> DataFrame:
     """S-19: array items that are either ``[key, value]`` or ``{date, totalFees}``
     -> (key, value), via VARIANT (no schema guess)."""
-    v = df.select(*keep, F.parse_json(_c(doc)).alias("_v"))
+    v = df.select(*keep, F.try_parse_json(_c(doc)).alias("_v"))
     out = v.select(*keep, F.explode(F.try_variant_get(F.col("_v"), "$", "array<variant>")).alias("_item"))
     key = F.coalesce(F.try_variant_get("_item", "$[0]", "long"), F.try_variant_get("_item", "$.date", "long"))
     val = F.coalesce(F.try_variant_get("_item", "$[1]", "double"), F.try_variant_get("_item", "$.totalFees", "double"))
@@ -130,11 +130,11 @@ def xbrl_facts(df: DataFrame, doc: str, concepts: dict[str, str], forms: Sequenc
 
 
 FORM4_XML_SCHEMA = ("issuer STRUCT<issuerTradingSymbol: STRING, issuerName: STRING>, "
-                    "reportingOwner STRUCT<reportingOwnerId: STRUCT<rptOwnerName: STRING>>, "
+                    "reportingOwner ARRAY<STRUCT<reportingOwnerId: STRUCT<rptOwnerName: STRING>>>, "
                     "nonDerivativeTable STRUCT<nonDerivativeTransaction: ARRAY<STRUCT<"
                     "transactionDate: STRUCT<value: STRING>, "
-                    "transactionAmounts: STRUCT<transactionShares: STRUCT<value: DOUBLE>, "
-                    "transactionPricePerShare: STRUCT<value: DOUBLE>, "
+                    "transactionAmounts: STRUCT<transactionShares: STRUCT<value: STRING>, "
+                    "transactionPricePerShare: STRUCT<value: STRING>, "
                     "transactionAcquiredDisposedCode: STRUCT<value: STRING>>>>>")
 
 
@@ -149,16 +149,17 @@ def extract_xml(text) -> Column:
 
 def form4_transactions(df: DataFrame, xml: str, file_date: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """S-27: ownership XML -> one row per non-derivative transaction; value =
-    shares x price; transaction date falls back to the file date."""
+    shares x price (NULL for a bad number); the first owner is named; a missing
+    or blank transaction date falls back to the file date."""
     x = df.select(*keep, *( [file_date] if file_date else []),
                   F.from_xml(F.regexp_replace(_c(xml), r"^<\?xml[^>]*\?>", ""), FORM4_XML_SCHEMA).alias("_x"))
     t = x.select(*keep, *([file_date] if file_date else []), F.col("_x.issuer.issuerTradingSymbol").alias("ticker"),
                  F.col("_x.issuer.issuerName").alias("issuer_name"),
-                 F.col("_x.reportingOwner.reportingOwnerId.rptOwnerName").alias("owner_name"),
+                 F.try_element_at(F.col("_x.reportingOwner"), F.lit(1))["reportingOwnerId"]["rptOwnerName"].alias("owner_name"),
                  F.explode(F.col("_x.nonDerivativeTable.nonDerivativeTransaction")).alias("_t"))
-    shares = F.col("_t.transactionAmounts.transactionShares.value")
-    price = F.col("_t.transactionAmounts.transactionPricePerShare.value")
-    tdate = F.col("_t.transactionDate.value")
+    shares = F.trim("_t.transactionAmounts.transactionShares.value").try_cast("double")
+    price = F.trim("_t.transactionAmounts.transactionPricePerShare.value").try_cast("double")
+    tdate = F.nullif(F.trim("_t.transactionDate.value"), F.lit(""))
     if file_date:
         tdate = F.coalesce(tdate, F.col(file_date))
     return t.select(*keep, "ticker", "issuer_name", "owner_name", tdate.alias("transaction_date"),

@@ -65,20 +65,21 @@ def drop_comments(lines: DataFrame, marker: str = "#") -> DataFrame:
     return lines.filter(~F.ltrim(F.col(LINE)).startswith(marker))
 
 
-def sniff_delimiter(lines: DataFrame, header_pos: int = 0, candidates: Sequence[str] = (";", ",")) -> DataFrame:
-    """S-06: per file, the candidate occurring most on the header line (first
-    candidate on ties) -> (file, delim)."""
-    hdr = lines.filter(F.col(POS) == header_pos)
+def sniff_delimiter(lines: DataFrame, candidates: Sequence[str] = (";", ",")) -> DataFrame:
+    """S-06: per file, the candidate occurring most on the header line, the first
+    line that is left and not blank (first candidate on ties) -> (file, delim, _hdr)."""
+    hdr = (lines.filter(F.trim(F.col(LINE)) != "").groupBy(FILE)
+                .agg(F.min(POS).alias("_hdr"), F.min_by(LINE, POS).alias(LINE)))
     scored = [F.struct((F.size(F.split(F.col(LINE), "\\Q" + c + "\\E")) - 1).alias("n"),
                        F.lit(-i).alias("rank"), F.lit(c).alias("c")) for i, c in enumerate(candidates)]
-    return hdr.select(FILE, F.greatest(*scored)["c"].alias("delim"))
+    return hdr.select(FILE, F.greatest(*scored)["c"].alias("delim"), "_hdr")
 
 
-def split_by_file_delimiter(lines: DataFrame, names: Sequence[str], header_pos: int = 0,
+def split_by_file_delimiter(lines: DataFrame, names: Sequence[str],
                             candidates: Sequence[str] = (";", ",")) -> DataFrame:
     """S-06 applied: split every data line by its file's sniffed delimiter."""
-    d = sniff_delimiter(lines, header_pos, candidates)
-    body = lines.filter(F.col(POS) > header_pos).join(d, FILE)
+    d = sniff_delimiter(lines, candidates)
+    body = lines.join(d, FILE).filter((F.col(POS) > F.col("_hdr")) & (F.trim(F.col(LINE)) != ""))
     pattern = F.concat(F.lit("\\Q"), F.col("delim"), F.lit("\\E"))
     parts = F.split(F.col(LINE), pattern)
     return body.select(FILE, POS, *[F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
@@ -91,7 +92,7 @@ def series_csv(lines: DataFrame, missing: Sequence[str] = (".", "", "NA")) -> Da
     missing; the series id is the file stem."""
     body = lines.filter(F.col(POS) > 0).filter(F.trim(F.col(LINE)) != "")
     parts = F.split(F.col(LINE), ",")
-    raw = F.trim(parts[1])
+    raw = F.trim(F.try_element_at(parts, F.lit(2)))
     value = F.when(~raw.isin(*missing), raw.try_cast("double"))
     return body.select(file_stem(F.col(FILE)).alias("series_id"),
                        F.try_to_timestamp(F.trim(parts[0]), F.lit("yyyy-MM-dd")).alias("ts"), value.alias("value"))
@@ -110,8 +111,8 @@ def fixed_width(lines: DataFrame, columns=FORM4_COLUMNS, after_marker: str = "--
     body = lines.join(marker, FILE).filter(F.col(POS) > F.col("_m")).filter(F.trim(F.col(LINE)) != "")
     cols = []
     for name, start, end in columns:
-        length = (end - start) if end is not None else 10_000
-        cols.append(F.trim(F.substring(F.col(LINE), start + 1, length)).alias(name))
+        length = F.lit(end - start) if end is not None else F.length(LINE)
+        cols.append(F.trim(F.col(LINE).substr(F.lit(start + 1), length)).alias(name))
     out = body.select(FILE, POS, *cols)
     return out.filter(F.col("form").isin(*forms)) if forms else out
 
@@ -141,7 +142,7 @@ def coded_monthly(lines: DataFrame, missing: Sequence[float] = (-99.99, -9.99))
     parts = F.split(F.trim(F.col(LINE)), r"\s+")
     code = parts[0]
     base = lines.filter(F.trim(F.col(LINE)) != "").select(
-        F.substring(code, 1, 3).alias("division"), F.substring(code, -4, 4).cast("int").alias("year"),
+        F.substring(code, 1, 3).alias("division"), F.substring(code, -4, 4).try_cast("int").alias("year"),
         F.posexplode(F.slice(parts, 2, 12)).alias("_m", "_v"))
     v = F.col("_v").try_cast("double")
     return base.select("division", "year", (F.col("_m") + 1).alias("month"),
@@ -177,7 +178,7 @@ def positional_csv(lines: DataFrame, index_map: dict[int, str], min_fields: int)
     surrounding quotes stripped, rows with fewer than ``min_fields`` skipped."""
     parts = F.split(F.col(LINE), ",")
     body = lines.filter(F.size(parts) >= min_fields)
-    return body.select(*[F.regexp_replace(parts[i], r'^"|"$', "").alias(n) for i, n in sorted(index_map.items())])
+    return body.select(*[F.regexp_replace(F.try_element_at(parts, F.lit(i + 1)), r'^"|"$', "").alias(n) for i, n in sorted(index_map.items())])
 
 
 # ---- S-14 tab events with sub-delimited fields ------------------------------------
@@ -185,11 +186,12 @@ def positional_csv(lines: DataFrame, index_map: dict[int, str], min_fields: int)
 def tab_events(lines: DataFrame, min_fields: int = 16) -> DataFrame:
     """S-14: tab-separated event rows: date = first 8 chars of field 1, country =
     field 3, themes = non-empty items of field 7 split by ';', tone = first
-    comma item of field 15 as double; short or undated rows dropped."""
+    comma item of field 15 as double; short or undated rows, and rows without a
+    number as tone, dropped."""
     f = F.split(F.col(LINE), "\t")
     ok = lines.filter(F.size(f) >= min_fields)
     out = ok.select(F.try_to_date(F.substring(f[1], 1, 8), "yyyyMMdd").alias("date"),
-                    f[3].alias("country"),
+                    F.trim(f[3]).alias("country"),
                     F.filter(F.split(f[7], ";"), lambda t: t != "").alias("themes"),
                     F.split(f[15], ",")[0].try_cast("double").alias("avg_tone"))
-    return out.filter(F.col("date").isNotNull())
+    return out.filter(F.col("date").isNotNull() & F.col("avg_tone").isNotNull())
