@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.plans import sequence as sq
+from ledgerline.session import cut_lineage
 from ledgerline.plans.sequence import RN, N, chunk_window, full_rolling, rolling
 
 FEATURE_COLUMNS = [
@@ -261,9 +262,10 @@ def cumulative_curve(df: DataFrame, r: str, key, ts="ts", tiebreak=None, cum="cu
     Unbounded-preceding frames use the two-level scan: the product of each
     earlier chunk comes from a per-chunk aggregate over the indexed rows (cheap)
     and is joined before the windows; the running max needs the chunk maxima of
-    the compounded values, a second small carry table."""
+    the compounded values, a second small carry table. As the scan reads its input
+    several times, the input is checkpointed once: pass only the columns needed."""
     key = _cols(key)
-    ix = sq.with_row_index(df, key, _order(ts, tiebreak))
+    ix = sq.with_row_index(cut_lineage(df), key, _order(ts, tiebreak))
     laid = sq.with_halo(ix, back=0, fwd=0, chunk_rows=chunk_rows)       # no halo: every row is home
     one_plus = F.lit(1.0) + F.col(r)
     carry = sq.chunk_carries(laid, key, {"_cp": (F.product(one_plus), "product")})
