@@ -16,11 +16,11 @@ def test_features_one_chunk_exchange_no_whole_series_window(spark):
     chunk_ex = re.findall(r"Exchange hashpartitioning\(asset#\d+, _chunk#\d+", p)
     assert len(chunk_ex) == 1, p
     # every window over the bars is partitioned by (asset, _chunk[, _sub]); only the
-    # small (asset, partition) offsets table is windowed by asset alone
+    # small (asset, time bucket) offsets table is windowed by asset alone, and rows are numbered by (asset, bucket)
     specs = [m.split(" ASC")[0] for m in re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", p)]
     assert specs
     for spec in specs:
-        assert "_chunk" in spec or "_pid" in spec, spec
+        assert "_chunk" in spec or "_bkt" in spec, spec
 
 
 def test_filter_and_columns_reach_the_scan(spark):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators import reshape as RS
 from ledgerline.operators import text_ops as TO
 from ledgerline.operators import topk as TK
-from ledgerline.plans import sequence as sq
 
 
 def test_first_n_per_group_hot_key(spark):
@@ -23,14 +22,6 @@ def test_first_n_per_group_hot_key(spark):
     assert got == exp
 
 
-def test_bounded_blocks(spark):
-    df = spark.createDataFrame([("hot", i) for i in range(1000)] + [("cold", 1)], "key string, t int")
-    b = sq.bounded_blocks(df, "key", ["t"], size=64)
-    sizes = b.groupBy("key", "_blk").count().collect()
-    assert max(r["count"] for r in sizes) <= 64
-    assert sum(r["count"] for r in sizes) == 1001
-
-
 def test_keep_first_and_latest_hot_key(spark):
     df = spark.createDataFrame([("a", i % 97, i) for i in range(5000)], "k string, ts int, id int")
     first = RS.keep_first(df, ["k"], ["ts", "id"]).first()
