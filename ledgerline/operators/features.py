@@ -123,18 +123,40 @@ def macd_halo(fast=12, slow=26, signal=9) -> int:
 
 
 def macd(bars: DataFrame, key="asset", ts="ts", price="close", fast=12, slow=26, signal=9,
-         tiebreak=None, adjust=False, chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-04 / W-05: EWM(adjust=False) fast - slow, signal EWM of that, histogram."""
-    return on_series(bars, key, _order(ts, tiebreak),
-                     lambda d: add_macd(d, key, price, fast, slow, signal, adjust),
-                     back=macd_halo(fast, slow, signal), chunk_rows=chunk_rows)
+         tiebreak=None, adjust=False, chunk_rows=sq.DEFAULT_CHUNK_ROWS, gaps=True) -> DataFrame:
+    """W-04 / W-05: EWM(adjust=False) fast - slow, signal EWM of that, histogram.
+
+    Missing prices are passed over as in :func:`ewm_mean`; ``gaps=False`` is the
+    shorter plan for a price that is never NULL (bars' own).
+    """
+    if not gaps:
+        return on_series(bars, key, _order(ts, tiebreak),
+                         lambda d: add_macd(d, key, price, fast, slow, signal, adjust),
+                         back=macd_halo(fast, slow, signal), chunk_rows=chunk_rows)
+    ix = sq.with_row_index(bars, key, _order(ts, tiebreak))
+    d = sq.ewm_gaps(ix, price, {"_fast": fast, "_slow": slow}, key, adjust, chunk_rows)
+    d = d.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    # from its first value on the line has no gaps: the signal needs no folding
+    keys = _cols(key)
+    first = ix.filter(F.col(price).isNotNull() & ~F.isnan(price)).groupBy(
+        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(F.min(RN).alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    laid = sq.with_halo(d.join(first, same, "left").drop(*[f"_key_{i}" for i in range(len(keys))]),
+                        back=sq.ewm_halo(signal), chunk_rows=chunk_rows)
+    d = sq.home_rows(sq.ewm(laid, "macd", "macd_signal", signal, key, adjust, first_rn=F.col("_first")))
+    return d.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).drop(RN, N, "_first")
 
 
 def ewm_mean(df: DataFrame, x: str, span: float, key="asset", ts="ts", tiebreak=None, adjust=False,
-             out="ewm", chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """W-04: exponentially weighted mean of a non-null column, per series."""
-    return on_series(df, key, _order(ts, tiebreak), lambda d: sq.ewm(d, x, out, span, key, adjust=adjust),
-                     back=sq.ewm_halo(span), chunk_rows=chunk_rows)
+             out="ewm", chunk_rows=sq.DEFAULT_CHUNK_ROWS, gaps=True) -> DataFrame:
+    """W-04: exponentially weighted mean per series. A missing value (NULL, NaN)
+    repeats the last mean and older values lose weight over it; ``gaps=False`` is
+    the shorter plan for a column that is never missing."""
+    if not gaps:
+        return on_series(df, key, _order(ts, tiebreak), lambda d: sq.ewm(d, x, out, span, key, adjust=adjust),
+                         back=sq.ewm_halo(span), chunk_rows=chunk_rows)
+    ix = sq.with_row_index(df, key, _order(ts, tiebreak))
+    return sq.ewm_gaps(ix, x, {out: span}, key, adjust, chunk_rows).drop(RN, N)
 
 
 def volume_zscore(bars: DataFrame, key="asset", ts="ts", window=20, tiebreak=None,

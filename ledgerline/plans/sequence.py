@@ -247,6 +247,77 @@ def ewm_many(df: DataFrame, specs: Sequence[tuple[str, str, float]], key: str |
     return df.drop(*locs.keys(), *ends.keys()) if locs else df
 
 
+#: A run of missing values is spread over rows in stretches of this many.
+RUN = 1 << 16
+
+
+def ewm_gaps(indexed: DataFrame, x: str, spans: dict[str, float], key: str | Sequence[str], adjust: bool = False,
+             chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Exponentially weighted means (``spans``: column name -> span) of a column with
+    missing values, added to ``indexed`` (rows with ``rn`` and ``n``).
+
+    Weights go by position, so an older value loses weight over missing rows too;
+    a missing row repeats the last mean, rows before the first value get NULL.
+    The step at the observation after a gap of g rows is ``S = k S + u, W = k W + w``
+    and the mean S / W, with d = b^g: k = d, u = x, w = 1 (``adjust``) or
+    k = d / (d + a), u = (1 - k) x, w = 1 - k. Observations are folded in arrays of
+    64, the few arrays before (``k`` is at most b, so older ones don't count) are
+    folded by their totals: no product ever has to be divided out, however long a gap.
+    """
+    key = _cols(key)
+    seen = indexed.filter(F.col(x).isNotNull() & ~F.isnan(x)).select(
+        *key, F.col(RN).alias("_row"), F.col(N).alias("_rows"), F.col(x).cast("double").alias("_x"))
+    obs = with_halo(with_row_index(seen, key, ["_row"]), back=1, fwd=1, chunk_rows=chunk_rows)
+    w = chunk_window(key)
+    obs = home_rows(obs.withColumn("_gap", F.col("_row") - F.lag("_row").over(w))
+                    .withColumn("_next", F.coalesce(F.lead("_row").over(w), F.col("_rows"))))
+    steps = []
+    for span in spans.values():
+        alpha = 2.0 / (span + 1.0)
+        d = F.when(F.col("_gap").isNotNull(), F.pow(F.lit(1.0 - alpha), F.col("_gap"))).otherwise(0.0)
+        k = d if adjust else d / (d + F.lit(alpha))
+        share = F.lit(1.0) if adjust else F.lit(1.0) - k
+        steps.append(F.struct(k.alias("k"), (share * F.col("_x")).alias("u"), share.alias("w")))
+    folds = obs.groupBy(*key, F.floor(F.col(RN) / SUB).alias(RN)).agg(F.sort_array(F.collect_list(
+        F.struct(F.col("_row").alias("row"), F.col("_next").alias("next"), F.array(*steps).alias("steps")))).alias("_obs"))
+    names, kind = list(spans), "struct<s: double, w: double, d: double>"
+
+    def states(i: int) -> Column:   # S, W and the product of k after each observation of an array
+        def after(acc, o):
+            e, last = o["steps"][i], F.try_element_at(acc, F.lit(-1))
+            return F.concat(acc, F.array(F.struct(
+                (F.coalesce(last["s"], F.lit(0.0)) * e["k"] + e["u"]).alias("s"),
+                (F.coalesce(last["w"], F.lit(0.0)) * e["k"] + e["w"]).alias("w"),
+                (F.coalesce(last["d"], F.lit(1.0)) * e["k"]).alias("d"))))
+        return F.aggregate("_obs", F.array().cast(f"array<{kind}>"), after).alias(f"_run_{i}")
+
+    def means(i: int) -> Column:
+        b = F.col(f"_before_{i}")
+        return F.transform(f"_run_{i}", lambda r: (r["s"] + r["d"] * b["s"]) / (r["w"] + r["d"] * b["w"])).alias(names[i])
+
+    which = range(len(names))
+    laid = with_halo(folds.select(*key, RN, F.transform("_obs", lambda o: F.struct(o["row"].alias("row"), o["next"].alias("next")))
+                                  .alias("_at"), *map(states, which)),
+                     back=max(map(_ewm_k, spans.values())), chunk_rows=max(SUB, chunk_rows // SUB))
+    before = []
+    for i in which:
+        ends = F.collect_list(F.element_at(f"_run_{i}", -1)).over(chunk_window(key, (-_ewm_k(spans[names[i]]), -1)))
+        before.append(F.aggregate(ends, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")), lambda a, e: F.struct(
+            (a["s"] * e["d"] + e["s"]).alias("s"), (a["w"] * e["d"] + e["w"]).alias("w"))).alias(f"_before_{i}"))
+    folded = home_rows(laid.select("*", *before))
+    keys = {k: f"_key_{i}" for i, k in enumerate(key)}
+    flat = folded.select(*[F.col(k).alias(v) for k, v in keys.items()], "_at", *map(means, which))
+    flat = flat.select(*keys.values(), F.inline(F.arrays_zip("_at", *names)))
+    flat = flat.select(*keys.values(), *names, F.col("_at.next").alias("_next"), F.explode(
+        F.sequence(F.col("_at.row"), F.col("_at.next") - 1, F.lit(RUN).cast("long"))).alias("_from"))
+    flat = flat.select(*keys.values(), *names, F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_from") + (RUN - 1), F.col("_next") - 1))).alias("_row"))
+    on = F.col(RN) == F.col("_row")
+    for k, v in keys.items():
+        on = on & F.col(k).eqNullSafe(F.col(v))
+    return indexed.join(flat, on, "left").select(*indexed.columns, *names)
+
+
 def chunk_carries(rows: DataFrame, key: str | Sequence[str], totals: dict[str, tuple[Column, str]]) -> DataFrame:
     """Two-level scan, first level: per (key, chunk) the combination of the
     totals of all *earlier* chunks of the series.

@@ -115,3 +115,39 @@ def test_edge_rows(spark):
     assert (flat["volatility_20"].dropna() == 0).all()
     zero = out[out.asset == "zero"].sort_values("ts").reset_index(drop=True)
     assert pd.isna(zero.loc[3, "log_return"]) and pd.isna(zero.loc[4, "log_return"])   # price 0 -> NULL
+
+
+@pytest.mark.parametrize("adjust", [False, True])
+def test_ewm_passes_over_gaps_like_pandas(spark, adjust):
+    rng = np.random.default_rng(5)
+    n = 1500
+    rows = []
+    for a in ("a", "b"):
+        x = 100 + np.cumsum(rng.normal(0, 1, n))
+        x[rng.random(n) < 0.4] = np.nan
+        x[:3] = np.nan
+        x[400:900] = np.nan
+        ts = pd.date_range("2021-01-01", periods=n, freq="h")
+        rows += [(a, t.to_pydatetime(), None if np.isnan(v) else float(v)) for t, v in zip(ts, x)]
+    rows += [("empty", rows[0][1], None)]
+    df = spark.createDataFrame(rows, "asset string, ts timestamp_ntz, close double")
+    line = FT.macd(df, adjust=adjust, chunk_rows=700).toPandas()
+    for chunk in (700, 1 << 20):
+        ema = FT.ewm_mean(df, "close", 12, adjust=adjust, chunk_rows=chunk, out="ema").toPandas()
+        assert len(ema) == len(line) == len(rows) and ema[ema.asset == "empty"].ema.isna().all()
+        for a in ("a", "b"):
+            g = ema[ema.asset == a].sort_values("ts").reset_index(drop=True)
+            np.testing.assert_allclose(g.ema, g.close.ewm(span=12, adjust=adjust).mean(), rtol=1e-10)
+    for a in ("a", "b"):
+        g = line[line.asset == a].sort_values("ts").reset_index(drop=True)
+        want = g.close.ewm(span=12, adjust=adjust).mean() - g.close.ewm(span=26, adjust=adjust).mean()
+        np.testing.assert_allclose(g.macd, want, rtol=1e-8, atol=1e-9)
+        np.testing.assert_allclose(g.macd_signal, want.ewm(span=9, adjust=adjust).mean(), rtol=1e-8, atol=1e-9)
+
+
+def test_ewm_of_the_stated_gap(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("a", dt.datetime(2021, 1, i + 1), v) for i, v in enumerate([1.0, None, 3.0])],
+                               "asset string, ts timestamp_ntz, close double")
+    got = [r["ewm"] for r in FT.ewm_mean(df, "close", 3).orderBy("ts").collect()]
+    assert got == pytest.approx([1.0, 1.0, 7 / 3])
