@@ -94,6 +94,15 @@ def align_outer(frames: dict[str, DataFrame], on: str, value: str, names: Sequen
     return long.groupBy(on).pivot("_series", names).agg(F.first("_v"))
 
 
+def align_series(long: DataFrame, on: str, series: str, value: str, names: Sequence[str] | None = None) -> DataFrame:
+    """J-01 where all series stand in one long table: a pivot of that table, one
+    column per series. Without ``names`` they are read from the table first (a
+    distinct of one column), so that no series is left out; NULL is no name."""
+    if names is None:
+        names = sorted(r[0] for r in long.select(series).distinct().collect() if r[0] is not None)
+    return long.groupBy(on).pivot(series, list(names)).agg(F.first(value))
+
+
 def non_null_counts(df: DataFrame, drop_all_null: bool = True) -> DataFrame:
     """A-16: non-null count per column in one aggregate, as (column, non_null)
     rows; columns with no value are dropped when asked."""

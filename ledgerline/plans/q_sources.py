@@ -424,27 +424,34 @@ def s24(spark, sf):
 
 
 @query("s25_xbrl_facts", """
-WITH r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS "end", o_totalprice AS val,
-  CASE o_orderkey % 3 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' ELSE '8-K' END AS form, CAST(year(o_orderdate) AS INTEGER) AS fy FROM orders)
-SELECT o_orderkey, 'us-gaap' AS taxonomy, 'revenue' AS metric, 'USD' AS unit, "end", val, form, fy FROM r WHERE form <> '8-K'
-UNION ALL
-SELECT o_orderkey, 'us-gaap', 'net_income', 'USD', "end", val * 0.5, form, fy FROM r WHERE form <> '8-K'""")
+WITH r AS (SELECT o_orderkey, date_trunc('day', CAST(o_orderdate AS TIMESTAMP)) AS date, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS v,
+  CASE o_orderkey % 3 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' ELSE '8-K' END AS form,
+  CASE o_orderkey % 3 WHEN 0 THEN 'FY' ELSE 'Q' || CAST(quarter(o_orderdate) AS VARCHAR) END AS period FROM orders
+  WHERE o_orderkey % 5 <> 0)
+SELECT o_orderkey, date, m.metric, v * m.k AS value, form, period, 'USD' AS unit
+FROM r, (VALUES ('revenue', 1.0::DOUBLE), ('net_income', 0.5::DOUBLE)) m(metric, k) WHERE form <> '8-K'""")
 def s25(spark, sf):
-    """S-25: per order a company-facts document with two wanted concepts, one
-    ignored concept and forms 10-K / 10-Q / 8-K (8-K is not kept)."""
+    """S-25: per order a company-facts document with two wanted concepts and an
+    ignored one, the first also under another taxonomy (not kept), forms 10-K /
+    10-Q / 8-K (8-K is not kept), blank dates (left out) and values that are no
+    number (NULL)."""
     o = T(spark, sf, "orders")
     m = F.pmod("o_orderkey", F.lit(3))
     form = F.when(m == 0, "10-K").when(m == 1, "10-Q").otherwise("8-K")
+    period = F.when(m == 0, "FY").otherwise(F.concat(F.lit("Q"), F.quarter("o_orderdate")))
+    end = F.when(F.pmod("o_orderkey", F.lit(5)) == 0, "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
 
     def entry(v):
+        text = F.when(F.pmod("o_orderkey", F.lit(7)) == 0, "n/a").otherwise(v.cast("string"))
         return F.struct(F.create_map(F.lit("USD"), F.array(F.struct(
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("end"), v.alias("val"), form.alias("form"),
-            F.year("o_orderdate").alias("fy")))).alias("units"))
-    facts = F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Revenues"), entry(F.col("o_totalprice")),
-                                                        F.lit("NetIncomeLoss"), entry(F.col("o_totalprice") * 0.5),
-                                                        F.lit("Ignored"), entry(F.lit(1.0))))
+            end.alias("end"), text.alias("val"), form.alias("form"), period.alias("fp")))).alias("units"))
+    revenue = entry(F.col("o_totalprice"))
+    facts = F.create_map(
+        F.lit("us-gaap"), F.create_map(F.lit("Revenues"), revenue, F.lit("NetIncomeLoss"),
+                                       entry(F.col("o_totalprice") * 0.5), F.lit("Ignored"), entry(F.lit(1.0))),
+        F.lit("ifrs-full"), F.create_map(F.lit("Revenues"), revenue))
     docs = o.select("o_orderkey", F.to_json(F.struct(facts.alias("facts"))).alias("doc"))
-    return NS.xbrl_facts(docs, "doc", {"Revenues": "revenue", "NetIncomeLoss": "net_income"}, keep=["o_orderkey"])
+    return NS.xbrl_facts(docs, "doc", keep=["o_orderkey"])
 
 
 @query("s26_parallel_arrays_filtered", """

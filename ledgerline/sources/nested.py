@@ -111,22 +111,39 @@ def double_explode(df: DataFrame, doc: str, schema: str, outer: str, inner: str,
     return o.select(*keep, "_o", F.explode(F.col("_o." + inner)).alias("_g"))
 
 
-def xbrl_facts(df: DataFrame, doc: str, concepts: dict[str, str], forms: Sequence[str] = ("10-K", "10-Q", "20-F"),
-               keep: Sequence[str] = ()) -> DataFrame:
-    """S-25: company facts ``facts.<taxonomy>.<concept>.units.<unit>[]`` -> rows for
-    the wanted concepts (renamed by ``concepts``) and forms. Taxonomy, concept
-    and unit are dynamic keys (maps); the concept map is a small literal."""
+# The ten reported concepts and their metric names, and the forms that count
+GAAP_METRICS = {
+    "Revenues": "revenue",
+    "RevenueFromContractWithCustomerExcludingAssessedTax": "revenue_v2",
+    "NetIncomeLoss": "net_income",
+    "EarningsPerShareBasic": "eps_basic",
+    "EarningsPerShareDiluted": "eps_diluted",
+    "GrossProfit": "gross_profit",
+    "OperatingIncomeLoss": "operating_income",
+    "CashAndCashEquivalentsAtCarryingValue": "cash",
+    "LongTermDebt": "long_term_debt",
+    "CommonStockSharesOutstanding": "shares_outstanding",
+}
+REPORT_FORMS = ("10-K", "10-Q", "20-F")
+
+
+def xbrl_facts(df: DataFrame, doc: str, concepts: dict[str, str] = GAAP_METRICS, forms: Sequence[str] = REPORT_FORMS,
+               keep: Sequence[str] = (), taxonomy: str = "us-gaap") -> DataFrame:
+    """S-25: company facts ``facts.<taxonomy>.<concept>.units.<unit>[]`` -> (date,
+    metric, value, form, period, unit) rows for the wanted concepts and forms of
+    one taxonomy. Rows without a readable date are left out; a value that is no
+    number is NULL. Concept and unit are dynamic keys (maps)."""
     schema = ("struct<facts: map<string, map<string, struct<units: map<string, "
-              "array<struct<end: string, val: double, form: string, fy: int>>>>>>>")
+              "array<struct<end: string, val: string, form: string, fp: string>>>>>>>")
     p = df.select(*keep, F.from_json(_c(doc), schema).alias("_d"))
-    t = p.select(*keep, F.explode("_d.facts").alias("taxonomy", "_c"))
-    c = t.select(*keep, "taxonomy", F.explode("_c").alias("concept", "_u"))
+    c = p.select(*keep, F.explode(F.try_element_at("_d.facts", F.lit(taxonomy))).alias("concept", "_u"))
     cmap = F.create_map(*[x for k, v in concepts.items() for x in (F.lit(k), F.lit(v))])
     c = c.filter(F.col("concept").isin(*concepts.keys()))
-    u = c.select(*keep, "taxonomy", F.element_at(cmap, F.col("concept")).alias("metric"),
-                 F.explode("_u.units").alias("unit", "_e"))
-    e = u.select(*keep, "taxonomy", "metric", "unit", F.inline("_e"))
-    return e.filter(F.col("form").isin(*forms))
+    u = c.select(*keep, F.element_at(cmap, F.col("concept")).alias("metric"), F.explode("_u.units").alias("unit", "_e"))
+    e = u.select(*keep, "metric", "unit", F.inline("_e")).filter(F.col("form").isin(*forms))
+    return e.select(*keep, F.col("end").try_cast("timestamp").alias("date"), "metric",
+                    F.col("val").try_cast("double").alias("value"), "form", F.col("fp").alias("period"), "unit") \
+        .filter("date IS NOT NULL")
 
 
 FORM4_XML_SCHEMA = ("issuer STRUCT<issuerTradingSymbol: STRING, issuerName: STRING>, "

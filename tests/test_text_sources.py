@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as TX
+from ledgerline.operators import reshape as RS
 from ledgerline.operators import text_ops as TO
 from ledgerline.sources import lake as LK
 from ledgerline.sources import nested as NS
@@ -118,3 +119,22 @@ def test_sdmx_any_number_of_dimensions(spark):
     got = sorted((r.dim_0, r.dim_1, r.dim_2, r.value) for r in rows)
     assert got == [("FRA", "CLI", "2020-02", 99.5), ("USA", "CLI", "2020-01", 100.1)]
     assert rows[0].dimensions["MEASURE"] == "CLI"
+
+
+def test_xbrl_facts_one_taxonomy_dated_rows(spark):
+    entry = '{"end": "%s", "val": %s, "form": "%s", "fp": "%s"}'
+    doc = ('{"facts": {"us-gaap": {"GrossProfit": {"units": {"USD": [' + ", ".join([
+        entry % ("2020-12-31", "5.5", "10-K", "FY"), entry % ("", "6", "10-K", "FY"),
+        entry % ("2020-06-30", '"bad"', "10-Q", "Q2"), entry % ("2020-06-30", "7", "8-K", "Q2")])
+        + ']}}}, "ifrs-full": {"Revenues": {"units": {"EUR": [' + entry % ("2020-12-31", "1", "20-F", "FY") + "]}}}}}")
+    df = spark.createDataFrame([(1, doc), (2, '{"facts": {}}'), (3, None), (4, "{bad")], "id long, doc string")
+    got = sorted((r["id"], str(r["date"])[:10], r["metric"], r["value"], r["form"], r["period"], r["unit"])
+                 for r in NS.xbrl_facts(df, "doc", keep=["id"]).collect())
+    assert got == [(1, "2020-06-30", "gross_profit", None, "10-Q", "Q2", "USD"),
+                   (1, "2020-12-31", "gross_profit", 5.5, "10-K", "FY", "USD")]
+
+
+def test_align_series_has_a_column_for_every_key(spark):
+    long = spark.createDataFrame([(1, "a", 1.0), (1, "new", 2.0), (2, "a", 3.0), (2, None, 4.0)], "day int, k string, v double")
+    out = RS.align_series(long, "day", "k", "v").orderBy("day")
+    assert out.columns == ["day", "a", "new"] and [tuple(r) for r in out.collect()] == [(1, 1.0, 2.0), (2, 3.0, None)]
