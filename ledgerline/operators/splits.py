@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,26 @@ def require_temporal(df: DataFrame, ts: str) -> None:
         raise ValueError(f"column {ts!r} must be temporal, got {dt.simpleString()}")
 
 
+def temporal_disorder(df: DataFrame, ts: str, sequence: str, key="asset",
+                      chunk_rows: int = sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """M-04: per series its rows ``n`` and the rows that are earlier than the one
+    before them in input order (``out_of_order``). A table has no order of its
+    own: ``sequence`` is the column that numbers the input."""
+    require_temporal(df, ts)
+    keys = [key] if isinstance(key, str) else list(key)
+    laid = sq.with_halo(sq.with_row_index(df.select(*keys, ts, sequence), keys, [sequence]), back=1, chunk_rows=chunk_rows)
+    late = F.lag(ts).over(sq.chunk_window(keys)) > F.col(ts)
+    return sq.home_rows(laid.withColumn("_late", late)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_late").alias("out_of_order"))
+
+
+def require_sorted(df: DataFrame, ts: str, sequence: str, key="asset") -> None:
+    """M-04: raises unless every series is in time order in its input (one job)."""
+    late = temporal_disorder(df, ts, sequence, key).agg(F.sum("out_of_order")).first()[0]
+    if late:
+        raise ValueError(f"{late} rows are earlier than the row before them")
+
+
 def _order(ts, tiebreak):
     return [ts] + ([tiebreak] if tiebreak else [])
 
@@ -57,7 +77,8 @@ def expanding_window_split(df: DataFrame, initial_train_size: int, test_size: in
                            indexed: bool = False) -> DataFrame:
     """M-02: fold k trains on rows [0, init + k*step) and tests on the next
     ``test_size`` rows. A train row belongs to many folds; when only fold
-    bounds are needed use :func:`expanding_fold_bounds` instead."""
+    bounds or statistics are needed use :func:`expanding_fold_bounds` or
+    :func:`expanding_fold_stats`, which are linear in the rows."""
     require_temporal(df, ts)
     i, b, s = initial_train_size, test_size, step or test_size
     ix = df if indexed else sq.with_row_index(df, key, _order(ts, tiebreak))
@@ -80,6 +101,42 @@ def expanding_fold_bounds(lengths: DataFrame, initial_train_size: int, test_size
                       (F.col("fold") * s + i + b).alias("test_end"))
 
 
+def expanding_fold_stats(df: DataFrame, value: str, initial_train_size: int, test_size: int,
+                         step: int | None = None, key="asset", ts="ts", tiebreak=None,
+                         indexed: bool = False) -> DataFrame:
+    """M-02 without a row for each (train row, fold): per series and fold the bounds
+    and count, mean, population deviation of ``value`` over train and test rows.
+
+    Rows are summed per block between two fold bounds, a prefix over that small
+    table gives the train side of each fold; only test rows are repeated, at most
+    ``ceil(test_size / step)`` times. Output and work are linear in the rows.
+    """
+    require_temporal(df, ts)
+    i, b, s = initial_train_size, test_size, step or test_size
+    keys = [key] if isinstance(key, str) else list(key)
+    ix = df if indexed else sq.with_row_index(df.select(*keys, ts, *([tiebreak] if tiebreak else []), value), key,
+                                              _order(ts, tiebreak))
+    rn, x = F.col(RN), F.col(value).cast("double")
+    k_max = F.floor((F.col(N) - i - b) / s).cast("int")
+    ix = ix.filter(F.col(N) >= i + b).withColumn("_last", k_max)
+    sums = [F.count("_x").alias("_c"), F.sum("_x").alias("_s"), F.sum(F.col("_x") * F.col("_x")).alias("_q")]
+    blocks = (ix.withColumn("_x", x).withColumn("fold", F.greatest(F.lit(0), F.floor((rn - i) / s) + 1).cast("int"))
+              .filter("fold <= _last").groupBy(*keys, "fold").agg(*sums))
+    upto = Window.partitionBy(*keys).orderBy("fold").rowsBetween(Window.unboundedPreceding, 0)
+    train = blocks.select(*keys, "fold", *[F.sum(c).over(upto).alias(c) for c in ("_c", "_s", "_q")])
+    lo = F.greatest(F.lit(0), F.ceil((rn - i - b + 1) / s))
+    hi = F.least(F.col("_last"), F.floor((rn - i) / s))
+    test = _fold_rows(ix.filter(rn >= i).withColumn("_x", x), lo, hi, F.lit("test")).groupBy(*keys, "fold").agg(*sums)
+
+    def stats(side):
+        mean = F.try_divide("_s", "_c")
+        var = F.greatest(F.try_divide("_q", "_c") - mean * mean, F.lit(0.0))
+        return [F.col("_c").alias(f"{side}_size"), mean.alias(f"{side}_mean"), F.sqrt(var).alias(f"{side}_std")]
+    return (train.select(*keys, "fold", (F.col("fold") * s + i).alias("train_end"),
+                         (F.col("fold") * s + i + b).alias("test_end"), *stats("train"))
+            .join(test.select(*keys, "fold", *stats("test")), [*keys, "fold"]))
+
+
 def single_train_test_split(df: DataFrame, train_ratio: float = 0.8, key="asset", ts="ts",
                             tiebreak=None, indexed: bool = False) -> DataFrame:
     """M-03: first floor(n * ratio) rows train, rest test (same double product as
@@ -92,10 +149,12 @@ def single_train_test_split(df: DataFrame, train_ratio: float = 0.8, key="asset"
 
 def hash_split(df: DataFrame, id_col: str, test_fraction: float = 0.1, seed: int = 42,
                buckets: int = 1000) -> DataFrame:
-    """M-05: stable random split: ``pmod(xxhash64(seed, id), buckets) < fraction*buckets``
-    is test. Depends only on the id, so it is unchanged by repartitioning or
-    input order (unlike ``randomSplit``)."""
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(buckets))
+    """M-05: stable random split: the first 32 bits of ``md5(seed:id)`` modulo
+    ``buckets`` below ``fraction * buckets`` is test. Depends only on the id, so it
+    is unchanged by repartitioning or input order (unlike ``randomSplit``) and any
+    engine with md5 can repeat it. A NULL id is train."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary"))
+    h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.lit(buckets)
     return df.withColumn("role", F.when(h < int(round(test_fraction * buckets)), "test").otherwise("train"))
 
 

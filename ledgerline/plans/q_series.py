@@ -208,12 +208,28 @@ def w03(spark, sf):
 
 @query("w04_ewm_mean", f"WITH {FEATURES_CTE} SELECT asset, ts, round(ema12, 6) AS ema_12 FROM f")
 def w04(spark, sf):
-    return rounded(FT.ewm_mean(bars(spark, sf), "close", 12, out="ema_12").select("asset", "ts", "ema_12"))
+    return rounded(FT.ewm_mean(bars(spark, sf), "close", 12, out="ema_12", gaps=False).select("asset", "ts", "ema_12"))
+
+
+@query("w04_ewm_mean_gaps", f"""
+WITH b AS ({BARS}), r AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS rn FROM b),
+o AS (SELECT asset, rn, close AS x, pow(1 - 2/13, rn - lag(rn) OVER w) AS d FROM r WHERE volume % 3 <> 0
+      WINDOW w AS (PARTITION BY asset ORDER BY rn)),
+k AS (SELECT *, d / (d + 2/13) AS k FROM o),
+c AS (SELECT *, coalesce(sum(ln(k)) OVER (PARTITION BY asset ORDER BY rn), 0) AS c FROM k),
+y AS (SELECT asset, rn, exp(c) * sum(CASE WHEN k IS NULL THEN x ELSE (1 - k) * x END * exp(-c))
+      OVER (PARTITION BY asset ORDER BY rn) AS y FROM c)
+SELECT r.asset, r.ts, round(last_value(y.y IGNORE NULLS) OVER (PARTITION BY r.asset ORDER BY r.rn), 6) AS ema_12
+FROM r LEFT JOIN y ON y.asset = r.asset AND y.rn = r.rn""")
+def w04_gaps(spark, sf):
+    """W-04 over missing values: the close counts only where the volume isn't a multiple of 3."""
+    b = bars(spark, sf).withColumn("close", F.when(F.col("volume") % 3 != 0, F.col("close")))
+    return rounded(FT.ewm_mean(b, "close", 12, out="ema_12").select("asset", "ts", "ema_12"))
 
 
 @query("w05_macd", _feature_query(["macd", "macd_signal", "macd_hist"]))
 def w05(spark, sf):
-    return rounded(FT.macd(bars(spark, sf)).select("asset", "ts", "macd", "macd_signal", "macd_hist"))
+    return rounded(FT.macd(bars(spark, sf), gaps=False).select("asset", "ts", "macd", "macd_signal", "macd_hist"))
 
 
 @query("w06_volume_zscore", _feature_query(["volume_zscore"]))
@@ -373,6 +389,23 @@ def m02(spark, sf):
     return SP.expanding_window_split(bars(spark, sf), 300, 100, 50).select("asset", "ts", "fold", "role")
 
 
+@query("m02_expanding_fold_stats", f"""
+WITH {FEATURES_CTE}, g AS (SELECT DISTINCT asset, n, unnest(range(0, CAST(floor((n - 400) / 50) AS BIGINT) + 1)) AS fold
+                           FROM f WHERE n >= 400),
+k AS (SELECT g.asset, g.fold, f.close, f.rn < 300 + g.fold * 50 AS train FROM g JOIN f ON f.asset = g.asset
+      AND f.rn < 400 + g.fold * 50)
+SELECT asset, CAST(fold AS INTEGER) AS fold, CAST(300 + fold * 50 AS INTEGER) AS train_end,
+  CAST(400 + fold * 50 AS INTEGER) AS test_end,
+  count(close) FILTER (WHERE train) AS train_size, round(avg(close) FILTER (WHERE train), 6) AS train_mean,
+  round(stddev_pop(close) FILTER (WHERE train), 6) AS train_std,
+  count(close) FILTER (WHERE NOT train) AS test_size, round(avg(close) FILTER (WHERE NOT train), 6) AS test_mean,
+  round(stddev_pop(close) FILTER (WHERE NOT train), 6) AS test_std
+FROM k GROUP BY asset, fold""")
+def m02_stats(spark, sf):
+    """M-02: bounds and train / test statistics of each expanding fold, linear in the rows."""
+    return rounded(SP.expanding_fold_stats(bars(spark, sf), "close", 300, 100, 50))
+
+
 @query("m03_single_split", f"""
 WITH {FEATURES_CTE}
 SELECT asset, ts, CASE WHEN rn < floor(n * 0.8) THEN 'train' ELSE 'test' END AS role FROM f""")
@@ -539,19 +572,26 @@ def f09(spark, sf):
     return complete_cases(features(spark, sf), FT.FEATURE_COLUMNS + ["target"]).select("asset", "ts")
 
 
-@query("m04_temporal_order_check", f"""
-WITH b AS ({BARS}) SELECT asset, count(*) AS n, 0 AS out_of_order FROM b GROUP BY 1""")
+@query("m04_temporal_order_check", """
+WITH p AS (SELECT event_type AS asset, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY event_id) AS before FROM events)
+SELECT asset, count(*) AS n, count(*) FILTER (WHERE before > ts) AS out_of_order FROM p GROUP BY 1""")
 def m04(spark, sf):
     """M-04: the order column must be temporal (checked on the schema, raises
-    otherwise) and rows are in strictly increasing time per series (counted)."""
-    b = bars(spark, sf)
-    SP.require_temporal(b, "ts")
-
-    def build(d):
-        prev = F.lag("ts", 1).over(sq.chunk_window("asset"))
-        return d.withColumn("_bad", F.when(prev >= F.col("ts"), 1).otherwise(0))
-    chk = FT.on_series(b, "asset", ["ts"], build, back=1)
-    return chk.groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.sum("_bad").cast("int").alias("out_of_order"))
+    otherwise); rows earlier than the one before them in input order (by
+    ``event_id``) are counted per series."""
+    ev = fx.table(spark, sf, "events").withColumnRenamed("event_type", "asset")
+    return SP.temporal_disorder(ev, "ts", "event_id")
+
+
+@query("m04_input_disorder", """
+WITH p AS (SELECT o_orderpriority AS asset, o_orderdate AS ts,
+  lag(o_orderdate) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS before FROM orders)
+SELECT asset, count(*) AS n, count(*) FILTER (WHERE before > ts) AS out_of_order FROM p GROUP BY 1""")
+def m04_orders(spark, sf):
+    """M-04 on a table that isn't in time order: orders by key within a priority."""
+    o = fx.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("asset"), F.col("o_orderdate").alias("ts"),
+                                             "o_orderkey")
+    return SP.temporal_disorder(o, "ts", "o_orderkey")
 
 
 @query("m08_backtest_predictions", f"""

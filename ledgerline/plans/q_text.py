@@ -355,10 +355,11 @@ def m27(spark, sf):
     return TO.consistent_labels(labelled_docs(spark, sf), "text", "y_true").select("doc_id", "y_true")
 
 
-@query("m05_hash_split_counts")
+@query("m05_hash_split_counts", """
+SELECT CASE WHEN ('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000 < 100
+       THEN 'test' ELSE 'train' END AS role, count(*) AS n FROM documents GROUP BY 1""")
 def m05(spark, sf):
-    """M-05: 90/10 split stable under repartitioning (xxhash64 of seed and id);
-    no DuckDB equivalent of Spark's xxhash64, so no oracle."""
+    """M-05: 90/10 split stable under repartitioning (md5 of seed and id)."""
     from ledgerline.operators.splits import hash_split
     return hash_split(fx.table(spark, sf, "documents").select("doc_id"), "doc_id", 0.1, 42) \
         .groupBy("role").agg(F.count(F.lit(1)).alias("n"))

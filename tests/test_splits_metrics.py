@@ -126,3 +126,38 @@ def test_standardize_uses_train_rows_only(spark):
     assert (a["x_z"] - b["x_z"]).abs().max() < 1e-12
     g = a.groupby("fold")["x_z"]
     assert (g.mean().abs() < 1e-9).all()
+
+
+def test_expanding_fold_stats_match_split_rows(spark):
+    bars = _bars(spark, 30).unionByName(_bars(spark, 9, "short"))
+    got = SP.expanding_fold_stats(bars, "close", 10, 5, 3).toPandas().sort_values("fold")
+    rows = SP.expanding_window_split(bars, 10, 5, 3).toPandas()
+    assert set(got.asset) == {"a"} and list(got.fold) == sorted(rows.fold.unique())
+    for _, r in got.iterrows():
+        for side in ("train", "test"):
+            x = rows[(rows.fold == r.fold) & (rows.role == side)].close
+            assert r[f"{side}_size"] == len(x)
+            assert r[f"{side}_mean"] == pytest.approx(x.mean()) and r[f"{side}_std"] == pytest.approx(x.std(ddof=0))
+    assert SP.expanding_fold_stats(bars.filter("false"), "close", 10, 5, 3).count() == 0
+
+
+def test_temporal_disorder_follows_the_input_order(spark):
+    import datetime as dt
+    day = [dt.datetime(2021, 1, d) for d in (1, 3, 2, 2, 5)]
+    df = spark.createDataFrame([("a", t, i) for i, t in enumerate(day)] + [("b", day[0], 9)],
+                               "asset string, ts timestamp_ntz, seq long")
+    for chunk in (2, 1 << 20):
+        got = {r["asset"]: (r["n"], r["out_of_order"])
+               for r in SP.temporal_disorder(df, "ts", "seq", chunk_rows=chunk).collect()}
+        assert got == {"a": (5, 1), "b": (1, 0)}
+    with pytest.raises(ValueError):
+        SP.require_sorted(df, "ts", "seq")
+    SP.require_sorted(df.filter("seq <> 2 AND seq <> 3"), "ts", "seq")
+
+
+def test_hash_split_is_md5(spark):
+    import hashlib
+    got = SP.hash_split(spark.range(200).withColumnRenamed("id", "doc_id"), "doc_id").collect()
+    for r in got:
+        h = int(hashlib.md5(f"42:{r['doc_id']}".encode()).hexdigest()[:8], 16) % 1000
+        assert r["role"] == ("test" if h < 100 else "train")
