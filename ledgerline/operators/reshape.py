@@ -47,18 +47,29 @@ def priority_union(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame
     return keep_first(union_all(tagged), key, ["priority"])
 
 
-def pivot_unique(df: DataFrame, index: Sequence[str], column: str, value: str, values: Sequence) -> DataFrame:
+def column_values(df: DataFrame, column) -> list:
+    """The sorted distinct values of a column that become column names (a distinct
+    of that column alone, one value per output column; NULL is no name)."""
+    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+
+
+def pivot_unique(df: DataFrame, index: Sequence[str], column: str, value: str,
+                 values: Sequence | None = None) -> DataFrame:
     """R-03: long -> wide where (index, column) pairs are unique; a duplicate pair
-    fails the job (``assert_true`` inside the plan, no extra pass)."""
+    fails the job (``assert_true`` inside the plan, no extra pass). Without
+    ``values`` the columns are all that the table has."""
+    values = column_values(df, column) if values is None else values
     checked = (df.groupBy(*index, column).agg(F.count(F.lit(1)).alias("_n"), F.first(value).alias(value))
                  .withColumn("_ok", F.assert_true(F.col("_n") == 1, "duplicate (index, column) pair in pivot")))
     checked = checked.filter(F.col("_ok").isNull())
     return checked.groupBy(*index).pivot(column, list(values)).agg(F.first(value))
 
 
-def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, values: Sequence,
+def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, values: Sequence | None,
                 order: Sequence[str]) -> DataFrame:
-    """R-04: long -> wide keeping the first value (by ``order``) of duplicate pairs."""
+    """R-04: long -> wide keeping the first value (by ``order``) of duplicate pairs;
+    ``values=None``: a column for every value that the table has."""
+    values = column_values(df, column) if values is None else values
     o = F.struct(*[F.col(c) for c in order])
     return df.groupBy(*index).pivot(column, list(values)).agg(F.min_by(value, o))
 
@@ -68,10 +79,11 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str,
     return df.unpivot(list(ids), list(values), name, value)
 
 
-def transpose_series(df: DataFrame, series: str, columns: Sequence[str], name: str, values: Sequence,
-                     value: str = "value") -> DataFrame:
+def transpose_series(df: DataFrame, series: str, columns: Sequence[str], name: str,
+                     values: Sequence | None = None, value: str = "value") -> DataFrame:
     """R-05: series-as-rows / dates-as-columns -> dates as rows, one column per
-    series (unpivot, then pivot with first)."""
+    series (unpivot, then pivot with first); without ``values`` every series."""
+    values = column_values(df, series) if values is None else values
     long = unpivot(df, [series], columns, name, value)
     return long.groupBy(name).pivot(series, list(values)).agg(F.first(value))
 
@@ -99,7 +111,7 @@ def align_series(long: DataFrame, on: str, series: str, value: str, names: Seque
     column per series. Without ``names`` they are read from the table first (a
     distinct of one column), so that no series is left out; NULL is no name."""
     if names is None:
-        names = sorted(r[0] for r in long.select(series).distinct().collect() if r[0] is not None)
+        names = column_values(long, series)
     return long.groupBy(on).pivot(series, list(names)).agg(F.first(value))
 
 

@@ -43,6 +43,14 @@ def sort_by(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*_order(cols))
 
 
+def winning_row(df: DataFrame, key: Sequence[str], outcome: str, price: str, order: Sequence[str]) -> DataFrame:
+    """X-13 over rows: per key the outcome of the highest price, first by ``order``
+    on ties; NULL where a price of the key is missing. One aggregate with
+    map-side partials, so a hot key never becomes a list."""
+    best = F.min_by(outcome, F.struct(-F.col(price), *[F.col(c) for c in order]))
+    return df.groupBy(*key).agg(F.when(F.count(price) == F.count(F.lit(1)), best).alias(outcome))
+
+
 def first_n_per_group(df: DataFrame, key: str | Sequence[str], by: str, n: int, salt_buckets: int = 32) -> DataFrame:
     """K-06: rows whose ``by`` value is among the first N distinct values of their
     group (dense rank <= N).

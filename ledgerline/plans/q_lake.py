@@ -48,11 +48,11 @@ def s02(spark, sf):
 
 
 @query("s03_category_file_counts", f"""
-WITH b AS ({BARS}) SELECT {CATEGORY_SQL} AS category, count(DISTINCT asset) AS files FROM b GROUP BY 1""")
+WITH b AS ({BARS}) SELECT {CATEGORY_SQL} AS category, count(DISTINCT asset) AS assets FROM b GROUP BY 1""")
 def s03(spark, sf):
-    """S-03 / A-15: files per category of the lake (one file per asset directory)."""
+    """S-03 / A-15: asset folders per category of the lake."""
     root = _bars_lake(spark, sf)
-    return LK.file_stats(spark, root, "*.parquet").select("category", "files")
+    return LK.file_stats(spark, root, "*.parquet").select("category", "assets")
 
 
 @query("s30_write_skip_empty", f"""

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.operators import backtest as BT
 from ledgerline.operators import features as FT
 from ledgerline.operators import models as MD
 from ledgerline.operators import splits as SP
 from ledgerline.plans import fixtures as fx
+from ledgerline.session import cut_lineage
 from ledgerline.plans.q_series import FEATURES_CTE, bars, features
 from ledgerline.plans.q_text import SCORE_SQL, _count_sql
 from ledgerline.plans.registry import duck_round, query, rounded
@@ -60,6 +62,79 @@ def m09(spark, sf):
     return out.select("asset", "ts", F.transform("window", lambda x: duck_round(x, 6)).alias("window"))
 
 
+# ---- M-08: a model per asset class and fold ------------------------------------------
+
+CLASS_SQL = "CASE WHEN asset IN ('click', 'view') THEN 'crypto' ELSE 'equities' END"
+
+
+def _class_features(spark, sf):
+    kind = F.when(F.col("asset").isin("click", "view"), "crypto").otherwise("equities")
+    return features(spark, sf, horizon=1).withColumn("asset_class", kind)
+
+
+def _backtest_sql(scheme: str, label: str) -> str:
+    """Folds, sizes, actuals and the error of the naive forecast (zero, or the class 1), per class and fold."""
+    first = "fold * 100" if scheme == "walk_forward" else "0"
+    naive = "avg(abs(actual))" if label == "target" else "avg(1 - actual)"
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*FT.FEATURE_COLUMNS, label])
+    return f"""
+WITH {FEATURES_CTE},
+c AS (SELECT asset, {CLASS_SQL} AS asset_class, ts, {label} AS actual FROM f WHERE {complete}),
+i AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS p, count(*) OVER (PARTITION BY asset) AS m FROM c),
+k AS (SELECT *, unnest(range(0, CAST(floor((m - 300) / 100) AS BIGINT) + 1)) AS fold FROM i WHERE m >= 300),
+x AS (SELECT asset_class, fold, actual, p < fold * 100 + 200 AS train FROM k
+      WHERE p >= {first} AND p < fold * 100 + 300),
+z AS (SELECT asset_class, CAST(fold AS INTEGER) AS fold, count(*) FILTER (WHERE train) AS train_size,
+  count(*) FILTER (WHERE NOT train) AS test_size, round(avg(actual) FILTER (WHERE NOT train), 6) AS actual_mean,
+  round({naive} FILTER (WHERE NOT train), 6) AS naive_error FROM x GROUP BY 1, 2)
+SELECT *, TRUE AS has_prediction FROM z WHERE train_size >= 50 AND test_size >= 10"""
+
+
+def _backtest_sizes(pred, naive):
+    """The part of a backtest that does not depend on the fitted numbers."""
+    out = pred.groupBy("asset_class", "fold").agg(
+        F.max("train_size").alias("train_size"), F.max("test_size").alias("test_size"),
+        F.avg("actual").alias("actual_mean"), F.avg(naive).alias("naive_error"),
+        F.bool_and(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("has_prediction"))
+    return rounded(out)
+
+
+@query("m08_walk_forward_backtest", _backtest_sql("walk_forward", "target"))
+def m08_walk(spark, sf):
+    """M-08: a model per asset class and walk-forward fold: folds, sizes, actuals, naive error."""
+    return _backtest_sizes(BT.backtest(_class_features(spark, sf)), F.abs("actual"))
+
+
+@query("m08_expanding_backtest", _backtest_sql("expanding", "target"))
+def m08_expanding(spark, sf):
+    """M-08 over expanding folds."""
+    return _backtest_sizes(BT.backtest(_class_features(spark, sf), scheme="expanding"), F.abs("actual"))
+
+
+@query("m08_classification_backtest", _backtest_sql("walk_forward", "target_direction"))
+def m08_direction(spark, sf):
+    """M-06 / M-08: the direction task, a model per asset class and walk-forward fold."""
+    pred = BT.backtest(_class_features(spark, sf), label="target_direction", task="classification")
+    return _backtest_sizes(pred, 1 - F.col("actual"))
+
+
+@query("m08_backtest_record")
+def m08_record(spark, sf):
+    """M-08: all metrics of the fitted model per asset class and walk-forward fold
+    (fold -1: pooled over all folds). Fitted numbers: rows only."""
+    pred = cut_lineage(BT.backtest(_class_features(spark, sf)), eager=False)
+    folds = BT.fold_record(pred)
+    pooled = BT.pooled_record(pred).drop("folds")
+    return rounded(folds.unionByName(pooled.withColumn("fold", F.lit(-1)), allowMissingColumns=True))
+
+
+@query("m08_direction_record")
+def m08_direction_record(spark, sf):
+    """M-06 / M-08: accuracy, precision, recall and F1 per asset class and fold. Fitted numbers: rows only."""
+    pred = BT.backtest(_class_features(spark, sf), label="target_direction", task="classification")
+    return rounded(BT.class_record(pred))
+
+
 # ---- T-01..T-05 streaming -----------------------------------------------------------
 
 def _events_stream(spark, sf):
@@ -126,6 +201,27 @@ def t04(spark, sf):
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("t04_stream_dedupe_batches", "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1")
+def t04_batches(spark, sf):
+    """T-04 over several micro-batches: every event comes twice, ten minutes apart,
+    the files in four slices of time order. The delay is a slice and an hour, so
+    no row is late and each repeat meets its first copy in the state, in whatever
+    order the files of a slice come."""
+    ev = fx.table(spark, sf, "events").select("event_id", "event_type", "ts")
+    twice = ev.unionByName(ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 10 MINUTES")))
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    lo, hi = twice.agg(F.min(at), F.max(at)).first()
+    path = scratch_path(spark, "event-slices")
+    slices, width = 4, (((hi or 0) - (lo or 0)) // 4) + 1
+    for i in range(slices):
+        part = twice.filter(F.floor((at - F.lit(lo)) / width) == i)
+        part.hint("rebalance").write.mode("append").parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    stream = ST.read_stream(spark, path, twice.schema, max_files_per_trigger=max(1, files // slices))
+    out = _drain(spark, ST.stream_dedupe(stream, ["event_id"], "ts", f"{width + 3600} seconds"), "dedupe")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("t05_stream_model_scoring")
 def t05(spark, sf):
     """T-05: a model fitted on the batch panel scores a stream of feature rows."""

@@ -12,11 +12,11 @@ from ledgerline.operators import reshape as RS
 from ledgerline.operators import topk as TK
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans.registry import duck_round, query, rounded
+from ledgerline.sources import lake as LK
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 PRI_COLS = {p: f"p{p[0]}" for p in PRIORITIES}
-YEARS = list(range(1995, 2002))
 
 
 def T(spark, sf, name):
@@ -59,12 +59,18 @@ def a10(spark, sf):
                           {"runs": F.sum("l_quantity"), "wickets": F.count(F.when(F.col("l_returnflag") == "R", 1))})
 
 
-@query("a15_file_stats")
+@query("a15_file_stats", """
+SELECT c_mktsegment AS category, count(DISTINCT c_nationkey) AS assets,
+  CAST(sum(strlen(c_custkey || ',' || c_name) + 1) AS BIGINT) AS bytes FROM customer GROUP BY 1""")
 def a15(spark, sf):
-    """A-15: file count and bytes per category of a file lake (here: the table
-    files), from file metadata only (the content column is never read)."""
-    from ledgerline.sources.lake import file_stats
-    return file_stats(spark, sf, pattern="*.parquet")
+    """A-15: asset folders and bytes per category of a text lake written from
+    ``customer``, from file metadata only (the content column is never read). The
+    number of files is left out: it depends on how the write was split."""
+    root = LK.scratch_path(spark, "text-lake")
+    c = T(spark, sf, "customer").select(F.col("c_mktsegment").alias("category"), F.col("c_nationkey").alias("asset"),
+                                        F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    LK.write_lake(c, root, fmt="text")
+    return LK.file_stats(spark, root, pattern="*.txt").select("category", "assets", "bytes")
 
 
 @query("a16_non_null_counts", " UNION ALL ".join(
@@ -316,7 +322,7 @@ WITH d AS (SELECT date_trunc('day', o_orderdate) AS day, o_orderpriority, sum(o_
 def r03(spark, sf):
     o = T(spark, sf, "orders")
     d = o.groupBy(_day("o_orderdate").alias("day"), "o_orderpriority").agg(F.sum("o_totalprice").alias("v"))
-    return rounded(RS.pivot_unique(d, ["day"], "o_orderpriority", "v", PRIORITIES).withColumnsRenamed(PRI_COLS),
+    return rounded(RS.pivot_unique(d, ["day"], "o_orderpriority", "v").withColumnsRenamed(PRI_COLS),
                    digits=2)
 
 
@@ -326,7 +332,7 @@ WITH d AS (SELECT date_trunc('day', o_orderdate) AS day, o_orderpriority, arg_mi
 """ + PIVOT_DAILY_SQL + " FROM d GROUP BY day")
 def r04(spark, sf):
     o = T(spark, sf, "orders").withColumn("day", _day("o_orderdate"))
-    return rounded(RS.pivot_first(o, ["day"], "o_orderpriority", "o_totalprice", PRIORITIES, ["o_orderkey"])
+    return rounded(RS.pivot_first(o, ["day"], "o_orderpriority", "o_totalprice", None, ["o_orderkey"])
                    .withColumnsRenamed(PRI_COLS), digits=2)
 
 
@@ -339,11 +345,12 @@ def r05(spark, sf):
     """R-05: a wide table with one row per series (priority) and one column per
     year is turned into one row per year with one column per series."""
     o = T(spark, sf, "orders")
-    wide = o.withColumn("y", F.year("o_orderdate")).groupBy("o_orderpriority").pivot("y", YEARS) \
+    years = RS.column_values(o, F.year("o_orderdate"))
+    wide = o.withColumn("y", F.year("o_orderdate")).groupBy("o_orderpriority").pivot("y", years) \
         .agg(F.sum("o_totalprice"))
-    cols = [str(y) for y in YEARS]
-    out = RS.transpose_series(wide, "o_orderpriority", cols, "year", PRIORITIES)
-    return rounded(out.withColumnsRenamed(PRI_COLS), digits=2).filter(F.col("year").isNotNull())
+    out = RS.transpose_series(wide, "o_orderpriority", [str(y) for y in years], "year",
+                              RS.column_values(o, "o_orderpriority"))
+    return rounded(out.withColumnsRenamed(PRI_COLS), digits=2)
 
 
 @query("r06_wide_months_to_long", """
@@ -635,14 +642,6 @@ def f08(spark, sf):
 LINES_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_shipdate"
 
 
-def _order_lists(spark, sf):
-    li = T(spark, sf, "lineitem")
-    s = F.sort_array(F.collect_list(F.struct(*[F.col(c.strip()) for c in LINES_ORDER.split(",")])))
-    g = li.groupBy("l_orderkey").agg(s.alias("_l"))
-    return g.select("l_orderkey", F.transform("_l", lambda x: x["l_partkey"].cast("string")).alias("outcomes"),
-                    F.transform("_l", lambda x: x["l_discount"].cast("string")).alias("prices"))
-
-
 LISTS_SQL = f"""WITH g AS (SELECT l_orderkey, list(CAST(l_partkey AS VARCHAR) ORDER BY {LINES_ORDER}) AS outcomes,
   list(CAST(l_discount AS VARCHAR) ORDER BY {LINES_ORDER}) AS prices FROM lineitem GROUP BY 1)"""
 
@@ -651,13 +650,37 @@ LISTS_SQL = f"""WITH g AS (SELECT l_orderkey, list(CAST(l_partkey AS VARCHAR) OR
 SELECT l_orderkey, outcomes[list_position(list_transform(prices, lambda p: CAST(p AS DOUBLE)),
   list_max(list_transform(prices, lambda p: CAST(p AS DOUBLE))))] AS winner FROM g""")
 def x13(spark, sf):
-    g = _order_lists(spark, sf)
-    return g.select("l_orderkey", TX.winning_outcome("outcomes", "prices").alias("winner"))
+    """X-13 where outcomes and prices are rows: an aggregate, no list of a market is built."""
+    li = T(spark, sf, "lineitem")
+    out = TK.winning_row(li, ["l_orderkey"], "l_partkey", "l_discount", LINES_ORDER.split(", "))
+    return out.select("l_orderkey", F.col("l_partkey").cast("string").alias("winner"))
+
+
+VECTORS_SQL = """WITH g AS (SELECT vec_id, [CAST(x AS VARCHAR) for x in embedding] AS prices FROM embeddings)"""
+
+
+@query("x13_winning_outcome_list", VECTORS_SQL + """
+SELECT vec_id, CASE WHEN len(prices) > 0 AND len([p for p in prices if TRY_CAST(p AS DOUBLE) IS NULL]) = 0 THEN
+  'outcome ' || CAST(list_position([CAST(p AS DOUBLE) for p in prices], list_max([CAST(p AS DOUBLE) for p in prices])) - 1
+    AS VARCHAR) END AS winner FROM g""")
+def x13_list(spark, sf):
+    """X-13 where the table has lists: the outcome at the highest of a vector's prices (text)."""
+    g = T(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("string")).alias("prices"))
+    names = F.transform("prices", lambda _, i: F.concat(F.lit("outcome "), i.cast("string")))
+    return g.select("vec_id", TX.winning_outcome(names, "prices").alias("winner"))
+
+
+@query("x15_first_price_list", VECTORS_SQL + " SELECT vec_id, TRY_CAST(prices[1] AS DOUBLE) AS first_price FROM g")
+def x15_list(spark, sf):
+    g = T(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("string")).alias("prices"))
+    return g.select("vec_id", TX.first_price("prices").alias("first_price"))
 
 
 @query("x15_first_price", LISTS_SQL + " SELECT l_orderkey, TRY_CAST(prices[1] AS DOUBLE) AS first_price FROM g")
 def x15(spark, sf):
-    return _order_lists(spark, sf).select("l_orderkey", TX.first_price("prices").alias("first_price"))
+    """X-15 where prices are rows: the first row per market, an aggregate."""
+    first = RS.keep_first(T(spark, sf, "lineitem"), ["l_orderkey"], LINES_ORDER.split(", "))
+    return first.select("l_orderkey", F.col("l_discount").try_cast("double").alias("first_price"))
 
 
 X14_RAW = """CASE event_id % 3 WHEN 0 THEN '["' || event_type || '","' || CAST(user_id AS VARCHAR) || '"]'

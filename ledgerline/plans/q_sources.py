@@ -287,26 +287,30 @@ def s16(spark, sf):
     return rounded(NS.nested_map_rows(docs, "doc"), digits=2)
 
 
-PRIS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-YEARS = [str(y) for y in range(1995, 2002)]
-
-
 @query("s17_sdmx_json", """
 SELECT n_name, o_orderpriority AS dim_0, CAST(year(o_orderdate) AS VARCHAR) AS dim_1, round(sum(o_totalprice), 2) AS value
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2, 3""")
 def s17(spark, sf):
     """S-17: per nation an SDMX-JSON document: dimensions (priority, year) and
-    observations keyed 'i:j' by dimension index."""
+    observations keyed 'i:j' by dimension index; the dimensions list every value
+    the table has (a scalar subquery, one value per dimension member)."""
     oc = (T(spark, sf, "orders").join(T(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey"))
           .join(T(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")))
-    pri_idx = F.array_position(F.array(*[F.lit(p) for p in PRIS]), F.col("o_orderpriority")) - 1
-    yr_idx = F.array_position(F.array(*[F.lit(y) for y in YEARS]), F.year("o_orderdate").cast("string")) - 1
+    year = F.year("o_orderdate").cast("string")
+    orders = T(spark, sf, "orders")
+    pris = orders.agg(F.sort_array(F.collect_set("o_orderpriority"))).scalar()
+    years = orders.agg(F.sort_array(F.collect_set(year))).scalar()
+    def members(c):
+        return orders.agg(F.transform(F.sort_array(F.collect_set(c)), lambda v: F.struct(v.alias("id")))).scalar()
+
+    pri_idx = F.array_position(pris, F.col("o_orderpriority")) - 1
+    yr_idx = F.array_position(years, year) - 1
     g = oc.groupBy("n_name", F.concat_ws(":", pri_idx.cast("string"), yr_idx.cast("string")).alias("k")) \
         .agg(F.array(F.sum("o_totalprice")).alias("v"))
     obs = g.groupBy("n_name").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("observations"))
-    dims = F.array(F.struct(F.lit("PRIORITY").alias("id"), F.array(*[F.struct(F.lit(p).alias("id")) for p in PRIS])
+    dims = F.array(F.struct(F.lit("PRIORITY").alias("id"), members("o_orderpriority")
                             .alias("values")),
-                   F.struct(F.lit("YEAR").alias("id"), F.array(*[F.struct(F.lit(y).alias("id")) for y in YEARS])
+                   F.struct(F.lit("YEAR").alias("id"), members(year)
                             .alias("values")))
     docs = obs.select("n_name", F.to_json(F.struct(F.struct(F.struct(dims.alias("observation")).alias("dimensions"))
                                                    .alias("structure"), "observations")).alias("doc"))

@@ -18,10 +18,11 @@ import warnings
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.clean import min_history, normalize_columns
+from ledgerline.operators.topk import first_n_per_group
 from ledgerline.session import ensure_checkpoint_dir
 
 OHLCV = ["open", "high", "low", "close", "volume"]
@@ -68,31 +69,33 @@ def load_asset_class(spark: SparkSession, root: str, asset_class: str, class_map
     cats = list(class_map[asset_class])
     df = read_lake(spark, root, cats)
     if max_files:
-        names = df.select("category", "asset").distinct()
-        first = names.withColumn("_r", F.row_number().over(Window.partitionBy("category").orderBy("asset"))) \
-            .filter(F.col("_r") <= max_files).drop("_r")
-        df = df.join(first, ["category", "asset"], "left_semi")
+        first = first_n_per_group(df.select("category", "asset").distinct(), "category", "asset", max_files)
+        df = df.join(first.select("category", "asset"), ["category", "asset"], "left_semi")
     return load_bars(df, min_rows).withColumn("asset_class", F.lit(asset_class))
 
 
 def file_stats(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """A-15 / S-03: file count and bytes per category from file metadata only
-    (``binaryFile`` with the content column pruned). Category = first path
-    component under ``root`` (or the file stem for a flat folder)."""
+    """A-15 / S-03: asset folders, files and bytes per category from file metadata
+    only (``binaryFile`` with the content column pruned). Category = first path
+    component under ``root`` (or the file stem for a flat folder). A large asset
+    may have several files, so ``assets`` counts folders."""
     meta = spark.read.format("binaryFile").option("pathGlobFilter", pattern) \
         .option("recursiveFileLookup", "true").load(root).select("path", "length")
     rel = F.regexp_replace(F.col("path"), "^.*?" + re.escape(root.rstrip("/")) + "/", "")
     first = F.split(rel, "/")[0]
     category = F.regexp_replace(F.regexp_replace(first, r"^category=", ""), r"\.parquet$", "")
-    return meta.groupBy(category.alias("category")).agg(F.count(F.lit(1)).alias("files"),
+    folder = F.regexp_replace(rel, "/[^/]*$", "")
+    return meta.groupBy(category.alias("category")).agg(F.count_distinct(folder).alias("assets"),
+                                                        F.count(F.lit(1)).alias("files"),
                                                         F.sum("length").alias("bytes"))
 
 
 # ---- writes (S-30..S-33) ---------------------------------------------------------
 
 def write_lake(df: DataFrame, root: str, partition_by: Sequence[str] = ("category", "asset"),
-               mode: str = "overwrite", sort_by: Sequence[str] = (), max_file_rows: int = 10_000_000) -> bool:
-    """S-30 / S-31: partitioned Parquet write; an empty frame writes nothing and
+               mode: str = "overwrite", sort_by: Sequence[str] = (), max_file_rows: int = 10_000_000,
+               fmt: str = "parquet") -> bool:
+    """S-30 / S-31: partitioned write (Parquet, or another file ``fmt``); an empty frame writes nothing and
     returns False (one ``isEmpty`` probe). Rows are rebalanced by the partition
     columns first: each task writes few files, and AQE splits a hot partition
     over several tasks. ``sort_by`` orders rows within files (time order at rest,
@@ -106,7 +109,7 @@ def write_lake(df: DataFrame, root: str, partition_by: Sequence[str] = ("categor
     w = out.write.mode(mode).option("maxRecordsPerFile", max_file_rows)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(root)
+    w.format(fmt).save(root)
     return True
 
 
