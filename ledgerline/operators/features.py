@@ -179,7 +179,7 @@ def lag_returns(bars: DataFrame, key="asset", ts="ts", price="close", lags=RETUR
     return on_series(bars, key, _order(ts, tiebreak), build, back=max(lags) + 1, chunk_rows=chunk_rows)
 
 
-def feature_builder(key, price="close", lookback=20, include_volume=True):
+def feature_builder(key, price="close", lookback=20, include_volume=True, include_macd=True):
     """Column plan of W-09 (``build_features``): 14 fixed-name columns, built in
     a few batched projections (each DataFrame call is analysed on the driver)."""
     def build(d: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def feature_builder(key, price="close", lookback=20, include_volume=True):
         })
         lagged = {f"return_lag_{k}": F.lag("log_return", k).over(w) for k in RETURN_LAGS}
         lagged["volatility_20"] = full_rolling(F.stddev_samp("log_return"), F.col("log_return"), key, lookback)
-        return add_macd(d, key, price, extra=lagged)
+        return add_macd(d, key, price, extra=lagged) if include_macd else d.withColumns(lagged)
     return build
 
 
@@ -203,13 +203,17 @@ def features_halo(lookback=20) -> int:
 
 def build_features(bars: DataFrame, key="asset", ts="ts", price="close", lookback=20,
                    tiebreak=None, horizon: int | None = None, strict_tail: bool = True,
-                   chunk_rows=sq.DEFAULT_CHUNK_ROWS, keep_index=False) -> DataFrame:
-    """W-09 (+ W-10/W-11 when ``horizon`` is given): all features in one pass.
+                   chunk_rows=sq.DEFAULT_CHUNK_ROWS, keep_index=False, gaps=True) -> DataFrame:
+    """W-09 (+ W-10/W-11 when ``horizon`` is given): all 14 features.
 
-    Every window shares the (key, chunk) partitioning, so the plan has one
-    exchange after the row index, whatever the number of features.
+    Missing prices (NULL, NaN) are passed over by the MACD columns as in
+    :func:`macd`, which is a plan of its own. ``gaps=False`` is for prices that are
+    never missing (bars' own): there every window shares the (key, chunk)
+    partitioning, one exchange after the row index for all features.
     """
-    base = feature_builder(key, price, lookback, include_volume="volume" in bars.columns)
+    base = feature_builder(key, price, lookback, include_volume="volume" in bars.columns, include_macd=not gaps)
+    if gaps:
+        bars = macd(bars, key, ts, price, tiebreak=tiebreak, chunk_rows=chunk_rows)
 
     def build(d):
         d = base(d)
@@ -319,7 +323,7 @@ def weekly_bull_bear(df: DataFrame, price="close", key="asset", ts="ts", tiebrea
 # ---- documented-only indicators (E-01..E-08), textbook definitions ------------
 
 def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
-                      chunk_rows=sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+                      chunk_rows=sq.DEFAULT_CHUNK_ROWS, gaps=True) -> DataFrame:
     """E-01..E-03, E-07: returns 1/5/20/60, range, spread, gap, SMA 10/20/50/200,
     EMA 12/26, Bollinger(20, 2) and band position, ATR 14 (simple mean of true
     range), stochastic %K 14, Williams %R 14, OBV (0 on the first row), volume
@@ -327,9 +331,12 @@ def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
 
     OBV and VWAP are unbounded running sums: the sums of earlier chunks come from
     a small carry table computed from the indexed rows plus one lag, joined
-    before the feature windows (which are then evaluated once)."""
+    before the feature windows (which are then evaluated once). The EMAs pass over
+    missing closes; ``gaps=False`` is the shorter plan where there are none."""
     key_l = _cols(key)
     ix = sq.with_row_index(bars, key, _order(ts, tiebreak))
+    if gaps:
+        ix = sq.ewm_gaps(ix, "close", {"ema_12": 12, "ema_26": 26}, key, chunk_rows=chunk_rows)
     laid = sq.with_halo(ix, back=max(sq.ewm_halo(26), 201), chunk_rows=chunk_rows)
     w = chunk_window(key)
     c = F.col("close")
@@ -348,7 +355,8 @@ def extended_features(bars: DataFrame, key="asset", ts="ts", tiebreak=None,
     d = d.withColumn("overnight_gap", F.try_divide(F.col("open"), prev_c) - 1)
     for k in (10, 20, 50, 200):
         d = d.withColumn(f"sma_{k}", full_rolling(F.avg(c), c, key, k))
-    d = sq.ewm_many(d, [("close", "ema_12", 12), ("close", "ema_26", 26)], key)
+    if not gaps:
+        d = sq.ewm_many(d, [("close", "ema_12", 12), ("close", "ema_26", 26)], key)
     sd = full_rolling(F.stddev_samp(c), c, key, 20)
     d = d.withColumn("bb_upper", F.col("sma_20") + 2 * sd).withColumn("bb_lower", F.col("sma_20") - 2 * sd)
     d = d.withColumn("bb_position", F.try_divide(c - F.col("bb_lower"), F.col("bb_upper") - F.col("bb_lower")))

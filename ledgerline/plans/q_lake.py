@@ -117,6 +117,15 @@ def s34(spark, sf):
     return LK.rows_since(ev, "ts", "-1w", anchor=anchor)
 
 
+@query("s34_changed_files", "SELECT event_id, ts, event_type FROM events")
+def s34_files(spark, sf):
+    """S-34 on files: what was written in the last hour, and nothing after a cutoff ahead of it."""
+    path = LK.scratch_path(spark, "changed")
+    fx.table(spark, sf, "events").select("event_id", "ts", "event_type").write.parquet(path)
+    none = LK.read_changed_files(spark, path, "2200-01-01")
+    return LK.read_changed_files(spark, path, "-1h").unionByName(none)
+
+
 @query("s35_staleness_gate", """
 WITH log AS (SELECT event_type, max(ts) AS last FROM events WHERE event_type <> 'error' GROUP BY 1),
 now AS (SELECT max(ts) AS t FROM events)

@@ -277,7 +277,7 @@ FROM u""")
 def e01(spark, sf):
     """E-01..E-03, E-07 (textbook definitions; the reference documents but does
     not code them)."""
-    out = FT.extended_features(bars(spark, sf))
+    out = FT.extended_features(bars(spark, sf), gaps=False)
     cols = ["return_1", "return_5", "return_20", "return_60", "hl_range", "co_spread", "overnight_gap", "sma_10",
             "sma_20", "sma_50", "sma_200", "bb_upper", "bb_lower", "bb_position", "atr_14", "stoch_k_14",
             "williams_r_14", "volume_roc_10", "obv", "vwap", "dow_sin", "dow_cos"]
@@ -286,7 +286,7 @@ def e01(spark, sf):
 
 @query("e02_ema", f"WITH {FEATURES_CTE} SELECT asset, ts, round(ema12, 6) AS ema_12 FROM f")
 def e02(spark, sf):
-    out = FT.extended_features(bars(spark, sf))
+    out = FT.extended_features(bars(spark, sf), gaps=False)
     return rounded(out.select("asset", "ts", "ema_12"))
 
 

@@ -66,7 +66,7 @@ def bars(spark, sf):
 
 
 def features(spark, sf, horizon=1):
-    return FT.build_features(bars(spark, sf), horizon=horizon)
+    return FT.build_features(bars(spark, sf), horizon=horizon, gaps=False)   # a bar has a close
 
 
 def predictions(spark, sf):

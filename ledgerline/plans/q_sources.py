@@ -1,9 +1,9 @@
 """Registered queries for the landed-file parsers (S-04..S-29).
 
 There are no raw files among the given tables, so each query first renders
-the raw shape from a given table with Spark (lines with positions, JSON or
-XML text per order — bounded by the lines of one order), then runs the
-library parser on it. The oracle is the DuckDB projection of the original
+the raw shape from a given table with Spark: lines are written as text files
+(S-04..S-14) and read back by the library's readers; JSON or XML text is made
+per order (bounded by the lines of one order). Then it runs the library parser. The oracle is the DuckDB projection of the original
 table, so a match means render + parse round-trips every row.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.sources import nested as NS
 from ledgerline.sources import raw as RW
+from ledgerline.sources.lake import scratch_path
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans import sequence as sq
 from ledgerline.plans.registry import duck_round, query, rounded
@@ -45,6 +46,13 @@ def with_fixed_lines(data, head, tail):
     return data.unionByName(files.select("file", F.inline(arr)))
 
 
+def landed(spark, lines, name):
+    """``lines`` as they come back from text files."""
+    path = scratch_path(spark, name)
+    RW.land_lines(lines, path)
+    return RW.read_landed(spark, path)
+
+
 LINE_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_shipdate"]
 
@@ -67,7 +75,7 @@ def s04(spark, sf):
                     F.concat_ws(",", F.date_format("o_orderdate", "yyyyMMdd"), _s("o_totalprice"), "o_orderstatus"))
     lines = with_fixed_lines(data, [(-3, "This file was created by the desk"), (-2, "Units: USD"), (-1, ""),
                                     (0, ",total,status")], ["", " Annual totals", ",total,status", "1995,1.0,F"])
-    parsed = RW.csv_after_header(lines, F.col("line").startswith(","), ["date", "total", "status"])
+    parsed = RW.csv_after_header(landed(spark, lines, "preamble"), F.col("line").startswith(","), ["date", "total", "status"])
     return parsed.select("file", "date", F.col("total").try_cast("double").alias("total"), "status")
 
 
@@ -76,10 +84,10 @@ def s05(spark, sf):
     p = T(spark, sf, "part")
     data = lines_of(p, F.lit("part.csv"), F.col("p_partkey") * 2, F.concat_ws(",", _s("p_partkey"), "p_name", _s("p_size")))
     notes = lines_of(p.filter(F.col("p_size") > 40), F.lit("part.csv"), F.col("p_partkey") * 2 + 1,
-                     F.concat(F.lit("# large part "), _s("p_partkey")))
-    body = RW.drop_comments(data.unionByName(notes))
-    parts = F.split("line", ",")
-    return body.select(parts[0].alias("p_partkey"), parts[1].alias("p_name"), parts[2].alias("p_size"))
+                     F.concat(F.lit("# large part, "), _s("p_partkey")))
+    path = scratch_path(spark, "comments")
+    RW.land_lines(data.unionByName(notes), path)
+    return RW.read_delimited(spark, path, ["p_partkey", "p_name", "p_size"], comment="#")
 
 
 @query("s06_sniff_delimiter", "SELECT c_mktsegment AS file, c_custkey, c_name, c_acctbal FROM customer")
@@ -94,7 +102,7 @@ def s06(spark, sf):
     hdr = files.select("file", F.lit(0).cast("long").alias("pos"),
                        F.when(F.col("file").isin("BUILDING", "MACHINERY"), F.lit("custkey;name;acctbal"))
                         .otherwise(F.lit("custkey,name,acctbal")).alias("line"))
-    lines = RW.drop_comments(data.unionByName(hdr).unionByName(notes))
+    lines = RW.drop_comments(landed(spark, data.unionByName(hdr).unionByName(notes), "delimiters"))
     out = RW.split_by_file_delimiter(lines, ["c_custkey", "c_name", "c_acctbal"])
     return out.select("file", F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
                       F.col("c_acctbal").try_cast("double").alias("c_acctbal"))
@@ -115,7 +123,7 @@ def s07(spark, sf):
                     F.concat_ws(",", F.date_format("day", "yyyy-MM-dd"), val))
     hdr = d.select(file.alias("file")).distinct().select("file", F.lit(0).cast("long").alias("pos"),
                                                           F.lit("observation_date,VALUE").alias("line"))
-    out = RW.series_csv(data.unionByName(hdr))
+    out = RW.series_csv(landed(spark, data.unionByName(hdr), "series"))
     return rounded(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
@@ -147,7 +155,7 @@ def s08(spark, sf):
     files = f.select(file.alias("file")).distinct()
     fixed = fixed_lines(files, [(-3, "Description:           Master Index of EDGAR Dissemination Feed"),
                                 (-2, "Form Type   Company Name   CIK   Date Filed   File Name"), (-1, "-" * 120)])
-    out = RW.fixed_width(data.unionByName(fixed))
+    out = RW.fixed_width(landed(spark, data.unionByName(fixed), "fixed-width"))
     return out.select("form", "company", "cik", "date_filed", "filename")
 
 
@@ -160,7 +168,7 @@ def s09(spark, sf):
     file = F.concat(F.lit("form."), F.col("y"), F.lit(".idx"))
     line = F.concat_ws("  ", "form", "company", "cik", "date_filed", "filename")
     data = lines_of(f, file, F.col("o_orderkey"), line)
-    out = RW.multi_space(data, ["form", "company", "cik", "date_filed", "filename"], form="4",
+    out = RW.multi_space(landed(spark, data, "multi-space"), ["form", "company", "cik", "date_filed", "filename"], form="4",
                          start="1996-01-01", end="1997-12-31", cap=50)
     return out.select("form", "company", "cik", "date_filed", "filename")
 
@@ -182,7 +190,7 @@ def s10(spark, sf):
     code = F.concat(F.lpad(_s("c_nationkey"), 3, "0"), F.lit("02"), _s("year"))
     data = lines_of(wide, F.lit("climdiv"), F.col("c_nationkey") * 10000 + F.col("year"),
                     F.concat_ws(" ", code, *vals))
-    out = RW.coded_monthly(data)
+    out = RW.coded_monthly(landed(spark, data, "monthly"))
     return rounded(out.withColumn("date", F.col("date").cast("timestamp_ntz")), digits=2)
 
 
@@ -197,30 +205,48 @@ def s11(spark, sf):
     line = F.concat_ws("   ", F.year("day").cast("string"), F.lpad(F.month("day").cast("string"), 2, " "),
                        F.lpad(F.dayofmonth("day").cast("string"), 2, " "), _s("sn"))
     data = lines_of(d, F.lit("sunspots"), F.unix_timestamp(F.col("day").cast("timestamp")), line)
-    return RW.whitespace_table(data, ["year", "month", "day", "sn"], negative_missing=["sn"])
+    return RW.whitespace_table(landed(spark, data, "whitespace"), ["year", "month", "day", "sn"], negative_missing=["sn"])
 
 
-@query("s12_pipe_file", """
-WITH g AS (SELECT l_shipdate, l_suppkey, sum(l_quantity) AS short_volume, count(*) AS total_volume FROM lineitem GROUP BY 1, 2)
-SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS date, 'S' || CAST(l_suppkey AS VARCHAR) AS symbol,
-       short_volume, CAST(total_volume AS DOUBLE) AS total_volume FROM g""")
-def s12(spark, sf):
-    """S-12: one pipe file per day; some rows leave the date blank (taken from
-    the file name); a trailer row and a blank row end each file."""
+def _pipe_sql(day: str) -> str:
+    return f"""
+WITH g AS (SELECT {day} AS day, l_suppkey, sum(l_quantity) AS short_volume, count(*) AS total_volume FROM lineitem GROUP BY 1, 2)
+SELECT CAST(CAST(day AS DATE) AS TIMESTAMP) AS date, 'S' || CAST(l_suppkey AS VARCHAR) AS symbol,
+       short_volume, CAST(total_volume AS DOUBLE) AS total_volume FROM g"""
+
+
+def _pipe_lines(spark, sf, day):
+    """A pipe file per ``day``; some rows leave the date blank (it is in the file
+    name); a trailer row and a blank row end each file."""
     li = T(spark, sf, "lineitem")
-    g = li.groupBy("l_shipdate", "l_suppkey").agg(F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"))
-    ymd = F.date_format("l_shipdate", "yyyyMMdd")
+    g = li.groupBy(day.alias("day"), "l_suppkey").agg(F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"))
+    ymd = F.date_format("day", "yyyyMMdd")
     file = F.concat(F.lit("CNMSshvol"), ymd, F.lit(".txt"))
     date_field = F.when(F.pmod("l_suppkey", F.lit(4)) == 0, F.lit("")).otherwise(ymd)
     data = lines_of(g, file, F.col("l_suppkey") + 1,
                     F.concat_ws("|", date_field, F.concat(F.lit("S"), _s("l_suppkey")), _s("q"), _s("n"), F.lit("Q")))
-    lines = with_fixed_lines(data, [(0, "Date|Symbol|ShortVolume|TotalVolume|Market")], ["", "Total records|0|0|0|"])
+    return with_fixed_lines(data, [(0, "Date|Symbol|ShortVolume|TotalVolume|Market")], ["", "Total records|0|0|0|"])
+
+
+def _pipe_rows(lines):
     out = RW.pipe_file(lines, ["date", "symbol", "short_volume", "total_volume", "market"])
     return out.select(F.col("date").cast("timestamp_ntz").alias("date"), "symbol",
                       F.col("short_volume").try_cast("double").alias("short_volume"),
                       F.col("total_volume").try_cast("double").alias("total_volume"))
 
 
+@query("s12_pipe_file", _pipe_sql("l_shipdate"))
+def s12(spark, sf):
+    """S-12: daily files, as rendered lines (thousands of tiny files otherwise)."""
+    return _pipe_rows(_pipe_lines(spark, sf, F.col("l_shipdate")))
+
+
+@query("s12_pipe_files_landed", _pipe_sql("date_trunc('month', l_shipdate)"))
+def s12_landed(spark, sf):
+    """S-12 from text files, one a month."""
+    return _pipe_rows(landed(spark, _pipe_lines(spark, sf, F.date_trunc("month", "l_shipdate")), "pipe"))
+
+
 @query("s13_positional_csv", """
 SELECT CAST(l_orderkey AS VARCHAR) AS orderkey, CAST(l_suppkey AS VARCHAR) AS suppkey, CAST(l_quantity AS VARCHAR) AS qty
 FROM lineitem WHERE l_linenumber <> 7""")
@@ -231,7 +257,7 @@ def s13(spark, sf):
                                                           "l_quantity")]
     line = F.when(F.col("l_linenumber") == 7, F.concat_ws(",", *q[:3])).otherwise(F.concat_ws(",", *q))
     data = lines_of(li, F.lit("gamelogs.txt"), F.col("l_orderkey") * 10 + F.col("l_linenumber"), line)
-    return RW.positional_csv(data, {0: "orderkey", 2: "suppkey", 4: "qty"}, min_fields=5)
+    return RW.positional_csv(landed(spark, data, "positional"), {0: "orderkey", 2: "suppkey", 4: "qty"}, min_fields=5)
 
 
 @query("s14_tab_events", """
@@ -249,7 +275,7 @@ def s14(spark, sf):
               e, e, e, e, e, e, e, tone]
     line = F.when(F.pmod("event_id", F.lit(7)) == 0, F.concat_ws("\t", *fields[:8])).otherwise(F.concat_ws("\t", *fields))
     data = lines_of(ev, F.lit("gkg.csv"), F.col("event_id"), line)
-    out = RW.tab_events(data)
+    out = RW.tab_events(landed(spark, data, "tab-events"))
     return out.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 

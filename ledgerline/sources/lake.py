@@ -152,10 +152,12 @@ def parse_since(value: str, now: datetime | None = None) -> datetime:
     return dt if dt.tzinfo else dt.replace(tzinfo=timezone.utc)
 
 
-def read_changed_files(spark: SparkSession, path: str, since: str, fmt: str = "parquet") -> DataFrame:
-    """S-34 on files: only files modified after the cutoff (file-source option)."""
+def read_changed_files(spark: SparkSession, path: str, since: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """S-34 on files: only files modified after the cutoff (file-source option). The
+    schema is that of all files unless given, so that no change gives no rows."""
     cutoff = parse_since(since).strftime("%Y-%m-%dT%H:%M:%S")
-    return spark.read.format(fmt).option("modifiedAfter", cutoff).load(path)
+    schema = schema or spark.read.format(fmt).load(path).schema
+    return spark.read.format(fmt).schema(schema).option("modifiedAfter", cutoff).load(path)
 
 
 def rows_since(df: DataFrame, ts: str, since: str, anchor=None) -> DataFrame:

@@ -1,14 +1,14 @@
 """Parsers for landed raw text files (S-04..S-14).
 
 Readers return a line table ``(file, pos, line)``; parsers take such a table
-(or any DataFrame with those columns — the registered queries render one from
-the given tables) and return typed rows. Everything is column expressions plus
-per-file aggregates (header position, delimiter) joined back; no Python loop
-over lines and no per-file collect.
-
-``wholetext`` reading keeps line positions exact, and holds one file per row,
-which suits landed files (one download each). Line-delimited sources without
-preambles should use ``spark.read.csv``/``text`` directly (splittable).
+(or any DataFrame with those columns) and return typed rows. Everything is
+column expressions plus per-file aggregates (header position, delimiter) joined
+back; no Python loop over lines and no per-file collect.
+
+``pos`` only orders the lines of a file. :func:`read_lines` takes it from the
+place of the split in the file and the order of reading inside the split, so a
+large file is read by many tasks and never held in one row. Sources without a
+preamble can use :func:`read_delimited`, Spark's CSV reader.
 """
 
 from __future__ import annotations
@@ -24,9 +24,50 @@ FILE = "file"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files -> (file, pos, line), pos 0-based; CRLF or LF endings."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias(FILE), "value")
-    return raw.select(FILE, F.posexplode(F.split("value", r"\r?\n")).alias(POS, LINE))
+    """Files -> (file, pos, line); CRLF or LF endings. ``pos`` = (split offset, row
+    number inside the task): a file's lines in order, from splittable reading."""
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias(FILE), pos.alias(POS), F.col("value").alias(LINE))
+
+
+def land_lines(lines: DataFrame, path: str) -> None:
+    """Write a line table as text files: a folder ``file=<name>`` of ordered parts
+    per file, so that a large file is written by several tasks."""
+    (lines.repartitionByRange(FILE, POS).sortWithinPartitions(FILE, POS).select(FILE, LINE)
+          .write.partitionBy(FILE).text(path))
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The line table of a folder written by :func:`land_lines`."""
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+    pos = F.struct(part.alias("part"), F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col(FILE).cast("string").alias(FILE), pos.alias(POS),
+                                        F.col("value").alias(LINE))
+
+
+def read_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: str = ",", comment: str | None = None,
+                   header: bool = False, missing: str | None = None) -> DataFrame:
+    """S-05 / S-13: Spark's CSV reader with text columns ``names``: comment lines
+    dropped, quoted fields, ``missing`` as NULL."""
+    r = spark.read.schema(", ".join(f"`{n}` string" for n in names)).option("sep", sep).option("header", header)
+    r = r.option("comment", comment) if comment else r
+    r = r.option("nullValue", missing) if missing is not None else r
+    return r.csv(path).select(*[f"`{n}`" for n in names])
+
+
+def split_quoted(line: Column, sep: str = ",") -> Column:
+    """Fields of a delimited line: a separator inside double quotes doesn't split;
+    surrounding quotes are dropped, a doubled quote is one."""
+    fields = F.split(line, "\\Q" + sep + "\\E" + r'(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)')
+    bare = lambda f: F.regexp_replace(F.regexp_replace(f, r'^\s*"|"\s*$', ""), '""', '"')
+    return F.transform(fields, lambda f: F.when(F.contains(f, F.lit('"')), bare(f)).otherwise(f))
+
+
+def after_first_line(lines: DataFrame) -> DataFrame:
+    """Lines without the first of each file (its header)."""
+    first = lines.groupBy(FILE).agg(F.min(POS).alias("_first"))
+    return lines.join(first, FILE).filter(F.col(POS) > F.col("_first")).drop("_first")
 
 
 def file_stem(file: Column) -> Column:
@@ -41,7 +82,7 @@ def header_positions(lines: DataFrame, is_header: Column, stop_at_blank: bool =
     after it (exclusive end of the table). Small: one row per file."""
     hdr = lines.filter(is_header).groupBy(FILE).agg(F.min(POS).alias("_hdr"))
     if not stop_at_blank:
-        return hdr.withColumn("_end", F.lit(None).cast("long"))
+        return hdr.withColumn("_end", F.lit(None).cast(lines.schema[POS].dataType))
     blanks = lines.filter(F.trim(F.col(LINE)) == "").select(FILE, F.col(POS).alias("_b"))
     ends = blanks.join(hdr, FILE).filter(F.col("_b") > F.col("_hdr")).groupBy(FILE).agg(F.min("_b").alias("_end"))
     return hdr.join(ends, FILE, "left")
@@ -56,7 +97,7 @@ def csv_after_header(lines: DataFrame, is_header: Column, names: Sequence[str],
     body = lines.join(bounds, FILE).filter((F.col(POS) > F.col("_hdr")) &
                                            (F.col("_end").isNull() | (F.col(POS) < F.col("_end"))))
     body = body.filter(F.trim(F.col(LINE)) != "")
-    parts = F.split(F.col(LINE), sep)
+    parts = split_quoted(F.col(LINE), sep)
     return body.select(FILE, POS, *[F.trim(F.try_element_at(parts, F.lit(i + 1))).alias(n) for i, n in enumerate(names)])
 
 
@@ -90,7 +131,7 @@ def split_by_file_delimiter(lines: DataFrame, names: Sequence[str],
 def series_csv(lines: DataFrame, missing: Sequence[str] = (".", "", "NA")) -> DataFrame:
     """S-07: ``date,value`` lines after a header; '.', blank and 'NA' are
     missing; the series id is the file stem."""
-    body = lines.filter(F.col(POS) > 0).filter(F.trim(F.col(LINE)) != "")
+    body = after_first_line(lines).filter(F.trim(F.col(LINE)) != "")
     parts = F.split(F.col(LINE), ",")
     raw = F.trim(F.try_element_at(parts, F.lit(2)))
     value = F.when(~raw.isin(*missing), raw.try_cast("double"))
@@ -165,7 +206,7 @@ def pipe_file(lines: DataFrame, names: Sequence[str], date_col: str = "date",
     """S-12: '|' delimited with a header; blank rows and trailer rows (first field
     not a date) dropped; a missing date is taken from the file name."""
     parts = F.split(F.col(LINE), r"\|")
-    body = lines.filter((F.col(POS) > 0) & (F.trim(F.col(LINE)) != ""))
+    body = after_first_line(lines).filter(F.trim(F.col(LINE)) != "")
     out = body.select(FILE, *[F.trim(F.try_element_at(parts, F.lit(i + 1))).alias(n) for i, n in enumerate(names)])
     from_name = F.try_to_date(F.regexp_extract(F.col(FILE), file_date_pattern, 1), "yyyyMMdd")
     d = F.try_to_date(F.nullif(F.col(date_col), F.lit("")), "yyyyMMdd")
@@ -176,9 +217,9 @@ def pipe_file(lines: DataFrame, names: Sequence[str], date_col: str = "date",
 def positional_csv(lines: DataFrame, index_map: dict[int, str], min_fields: int) -> DataFrame:
     """S-13: headerless CSV; fields picked by 0-based index into named columns,
     surrounding quotes stripped, rows with fewer than ``min_fields`` skipped."""
-    parts = F.split(F.col(LINE), ",")
+    parts = split_quoted(F.col(LINE))
     body = lines.filter(F.size(parts) >= min_fields)
-    return body.select(*[F.regexp_replace(F.try_element_at(parts, F.lit(i + 1)), r'^"|"$', "").alias(n) for i, n in sorted(index_map.items())])
+    return body.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in sorted(index_map.items())])
 
 
 # ---- S-14 tab events with sub-delimited fields ------------------------------------

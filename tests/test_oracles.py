@@ -7,7 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from ledgerline.plans.compare import compare, duck
+from tools.compare import compare, duck
 
 SF = os.environ.get("LEDGERLINE_ORACLE_SF", "/root/testdata/sf0.001")
 SUBSET = ["a01_ohlcv_bars", "a05_month_end_totals_per_key", "w09_build_features", "w14_w15_cumulative_drawdown",

@@ -46,3 +46,23 @@ def test_pivot_unique_fails_on_duplicates(spark):
     dup = spark.createDataFrame([("d1", "a", 1.0), ("d1", "a", 2.0)], "d string, k string, v double")
     with pytest.raises(Exception):
         RS.pivot_unique(dup, ["d"], "k", "v", ["a", "b"]).collect()
+
+
+def test_pivots_keep_keys_nobody_listed(spark):
+    long = spark.createDataFrame([("d1", "a", 1.0, 1), ("d1", "new", 2.0, 1), ("d1", "new", 3.0, 0), ("d2", None, 9.0, 1)],
+                                 "d string, k string, v double, o int")
+    first = {r["d"]: r.asDict() for r in RS.pivot_first(long, ["d"], "k", "v", None, ["o"]).collect()}
+    assert first["d1"] == {"d": "d1", "a": 1.0, "new": 3.0} and first["d2"] == {"d": "d2", "a": None, "new": None}
+    one = long.filter("o = 1")
+    assert RS.pivot_unique(one, ["d"], "k", "v").columns == ["d", "a", "new"]
+    wide = spark.createDataFrame([("x", 1.0, 2.0), ("y", 3.0, None)], "s string, `2020` double, `2021` double")
+    got = {r["year"]: (r["x"], r["y"]) for r in RS.transpose_series(wide, "s", ["2020", "2021"], "year").collect()}
+    assert got == {"2020": (1.0, 3.0), "2021": (2.0, None)}
+
+
+def test_winning_row_ties_and_missing_prices(spark):
+    from ledgerline.operators import topk as TK
+    rows = spark.createDataFrame([(1, "b", 0.5, 2), (1, "a", 0.5, 1), (1, "c", 0.1, 0), (2, "x", None, 1), (2, "y", 1.0, 2)],
+                                 "m int, o string, p double, i int")
+    got = {r["m"]: r["o"] for r in TK.winning_row(rows, ["m"], "o", "p", ["i"]).collect()}
+    assert got == {1: "a", 2: None}

@@ -151,3 +151,21 @@ def test_ewm_of_the_stated_gap(spark):
                                "asset string, ts timestamp_ntz, close double")
     got = [r["ewm"] for r in FT.ewm_mean(df, "close", 3).orderBy("ts").collect()]
     assert got == pytest.approx([1.0, 1.0, 7 / 3])
+
+
+def test_features_pass_over_missing_prices(spark):
+    rng = np.random.default_rng(3)
+    close = 100 + rng.normal(size=150).cumsum()
+    close[[0, 1, 20, 21, 60]] = np.nan
+    close[100:140] = np.nan
+    ts = pd.date_range("2024-01-01", periods=150, freq="h")
+    rows = [("a", t.to_pydatetime(), None if np.isnan(c) else float(c), 1.0, 1.0, 1.0, 1.0) for t, c in zip(ts, close)]
+    df = spark.createDataFrame(rows, "asset string, ts timestamp_ntz, close double, open double, high double, low double, volume double")
+    x = pd.Series(close)
+    ema = {n: x.ewm(span=n, adjust=False).mean() for n in (12, 26)}
+    line = ema[12] - ema[26]
+    got = FT.build_features(df, chunk_rows=64).toPandas().sort_values("ts")
+    np.testing.assert_allclose(got["macd"].to_numpy(dtype=float), line, rtol=0, atol=1e-9)
+    np.testing.assert_allclose(got["macd_signal"].to_numpy(dtype=float), line.ewm(span=9, adjust=False).mean(), rtol=0, atol=1e-9)
+    more = FT.extended_features(df, chunk_rows=64).toPandas().sort_values("ts")
+    np.testing.assert_allclose(more["ema_26"].to_numpy(dtype=float), ema[26], rtol=0, atol=1e-9)

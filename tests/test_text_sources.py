@@ -84,6 +84,46 @@ def test_raw_files_end_to_end(spark, tmp_path):
     assert [(r.form, r.company, r.cik, r.filename) for r in fw] == [("4", "ACME", "123", "edgar/1.txt")]
 
 
+def test_landed_lines_keep_their_order_over_splits(spark):
+    lines = spark.range(20_000).select(F.concat(F.lit("f/"), (F.col("id") % 3).cast("string")).alias("file"),
+                                       F.col("id").alias("pos"), F.concat(F.lit("line "), F.col("id")).alias("line"))
+    path = LK.scratch_path(spark, "test-lines")
+    RW.land_lines(lines, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")   # each file is read in several splits
+    try:
+        back = RW.read_landed(spark, path)
+        assert back.rdd.getNumPartitions() > 10
+        for f in ("f/0", "f/1", "f/2"):
+            got = [int(r.line[5:]) for r in back.filter(F.col("file") == f).orderBy("pos").collect()]
+            assert got == list(range(int(f[-1]), 20_000, 3))
+        headless = RW.after_first_line(back).filter(F.col("file") == "f/1").agg(F.min("line")).first()[0]
+        assert headless == "line 10" and RW.after_first_line(back).count() == 19_997
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_fields_and_comments(spark, tmp_path):
+    d = str(tmp_path)
+    _write(d, "q.csv", "# note, with comma\n1,\"Smith, J\",NA\n2,\"say \"\"hi\"\"\",x\n")
+    got = [tuple(r) for r in RW.read_delimited(spark, d + "/q.csv", ["id", "name", "v"], comment="#", missing="NA").collect()]
+    assert got[0] == ("1", "Smith, J", None)
+    lines = RW.drop_comments(RW.read_lines(spark, d + "/q.csv"))
+    rows = RW.positional_csv(lines, {0: "id", 1: "name", 9: "none"}, min_fields=3).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", "Smith, J", None), ("2", 'say "hi"', None)]
+
+
+def test_asset_files_and_changed_files(spark):
+    root = LK.scratch_path(spark, "test-assets")
+    spark.createDataFrame([(1.0,), (2.0,)], "close double").coalesce(1).write.parquet(root)
+    df = LK.read_file_per_asset(spark, root)
+    assert df.count() == 2 and df.filter("asset LIKE 'part-%' AND asset NOT LIKE '%.parquet'").count() == 2
+    assert LK.read_changed_files(spark, root, "-1h").count() == 2
+    assert LK.read_changed_files(spark, root, "2020-01-01").count() == 2
+    far = LK.parse_since("-1h").replace(year=2200).isoformat()
+    assert LK.read_changed_files(spark, root, far).count() == 0
+
+
 def test_nested_json_and_xml(spark):
     doc = json.dumps({"values": {"GDP": {"USA": {"2020": 1.5, "2021": 2.0}}}})
     df = spark.createDataFrame([(doc,)], "doc string")
