@@ -50,6 +50,33 @@ def m06i(spark, sf):
     return spark.createDataFrame(pairs, "feature string, importance double")
 
 
+def _test_rows_sql(label: str | None) -> str:
+    """Test rows with every feature; with the label they are what a model is judged on."""
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in [*FT.FEATURE_COLUMNS, *([label] if label else [])])
+    return f"""
+WITH {FEATURES_CTE} SELECT asset, ts, {f"round({label}, 6) AS actual, " if label else ""}TRUE AS has_prediction
+FROM f WHERE rn >= floor(n * 0.8) AND {complete}"""
+
+
+@query("m06_direction_classifier_rows", _test_rows_sql("target_direction").replace("round(target_direction, 6)", "target_direction"))
+def m06_direction(spark, sf):
+    """M-06: the classification task: a GBT classifier of the direction on the pooled
+    train rows; judged test rows, their class, and that each got class 0 or 1."""
+    rows = _panel(spark, sf)
+    model = MD.train_panel_model(rows.filter(F.col("role") == "train"), label="target_direction",
+                                 task="classification", max_iter=5, max_depth=3)
+    pred = MD.predict(model, rows.filter(F.col("role") == "test")).filter(F.col("target_direction").isNotNull())
+    return pred.select("asset", "ts", F.col("target_direction").alias("actual"),
+                       F.col("prediction").isin(0.0, 1.0).alias("has_prediction"))
+
+
+@query("m06_panel_model_rows", _test_rows_sql("target"))
+def m06_rows(spark, sf):
+    """M-06: the regression task of ``m06_panel_model_predictions`` without the fitted numbers."""
+    pred = m06(spark, sf).filter(F.col("actual").isNotNull())
+    return rounded(pred.select("asset", "ts", "actual", F.col("prediction").isNotNull().alias("has_prediction")))
+
+
 @query("m09_sequence_windows", f"""
 WITH {FEATURES_CTE}, q AS (SELECT asset, ts, count(log_return) OVER w AS c,
   list(round(log_return, 6)) OVER w AS "window" FROM f
@@ -235,6 +262,12 @@ def t05(spark, sf):
     return out.select("asset", "ts", "prediction")
 
 
+@query("t05_stream_scored_rows", _test_rows_sql(None))
+def t05_rows(spark, sf):
+    """T-05 without the fitted numbers: every complete feature row is scored once."""
+    return t05(spark, sf).select("asset", "ts", F.col("prediction").isNotNull().alias("has_prediction"))
+
+
 # ---- E-01..E-08 documented-only indicators ----------------------------------------------
 
 @query("e01_e03_extended_features", f"""
