@@ -104,6 +104,27 @@ def test_pii_field_spreads_labels(spark, docs_of):
     assert pii.mask_pii(df).columns == df.columns and pii.find_pii(df.limit(0)).count() == 0
 
 
+def added_spans(other, text):
+    """What the field, fitted on ``other`` texts and ``text``, adds to the base spans of ``text``."""
+    (base, spans), = pii.SkipChain(pii.count_batch([*other, text])).find([text])
+    return [text[a:b] for a, b, k in spans if (a, b, k) not in base]
+
+
+def other_texts(n):
+    return [f"call +1 ({i % 900 + 100}) 555-{1000 + i % 9000} now, code {2000000 + i} and part {i} of ten" for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [3, 3000])
+@pytest.mark.parametrize("repeats", [1, 2, 10, 50])
+def test_pii_label_holds_over_repeats(size, repeats):
+    other = other_texts(size)
+    said = "write to +1 (017) 555-7713 please" + " then some words 5557713 follow" * repeats
+    assert added_spans(other, said) == ["5557713"] * repeats
+    rows = "write to +1 (017) 555-7713 please\n" + "".join(f"{i + 10}, 5557713, {i * 3}\n" for i in range(repeats))
+    assert added_spans(other, rows) == ["5557713"] * repeats
+    assert added_spans(other, "write to +1 (017) 555-7713 please" + " then some words 5557714 follow" * repeats) == []
+
+
 def quality_rows():
     rnd = random.Random(6)
     rows, labels = [], []
