@@ -1,7 +1,8 @@
 """Personal data by a skip-chain conditional random field over a document's number- and address-like tokens.
 
-Base patterns give sure spans. All tokens with a digit or an ``@`` are nodes: those under a base span are
-observed, the others are inferred. Neighbouring nodes are linked (chain), and tokens of the same document
+Base patterns give sure spans, the observed nodes. Runs of digits joined by spaces, dots, hyphens and brackets
+that spell an observed number again are one node each, and so is every other token with a digit or an ``@``;
+their labels are inferred. Neighbouring nodes are linked (chain), and tokens of the same document
 that repeat or resemble each other (same address, or same digits whatever the separators) share one label:
 each observed one of them votes for its kind by the agreement weight, and what the others bring (shape, word
 before, neighbours) counts once, as their mean, however often the value is repeated. Loopy belief
@@ -36,6 +37,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 HINT = re.compile(r"[0-9@]")
 NODE = re.compile(r"[A-Za-z0-9._%+()-]*[0-9@][A-Za-z0-9@._%+()-]*")
+RUN = re.compile(r"[0-9]+(?:[\x20().-]+[0-9]+)*")
+DIGITS = re.compile(r"[0-9]+")
 WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]{0,3}$")
 
 #: Buckets of token shapes and of words before a token; the model's size.
@@ -48,7 +51,7 @@ SURE, ALONE, FLOOR = 0.9, 0.35, 0.02
 AGREE = 160_000
 #: Messages are passed until none changes by SETTLED. From SLOW rounds on the steps shrink, and ROUNDS is
 #: the end for a field that still swings.
-SETTLED, SLOW, ROUNDS = 1e-6, 100, 2000
+SETTLED, SLOW, ROUNDS = 1e-4, 100, 2000
 
 
 def luhn(digits: str) -> bool:
@@ -97,34 +100,117 @@ def skip_key(token: str) -> str | None:
     """What repeated or similar tokens share: the address in lower case, or the last seven digits."""
     if "@" in token:
         return token.lower().strip(".")
-    digits = re.sub(r"[^0-9]", "", token)
+    digits = only_digits(token)
     return digits[-7:] if len(digits) >= 7 else None
 
 
-def nodes(text: str, base: list[tuple[int, int, int]]):
-    """Nodes (start, end, shape, word before, observed label or 0), chain links (i, j), and for each node the
-    first node with its key (itself, if none is before it or it has no key)."""
-    out, links, first, same = [], [], {}, []
-    spans = sorted(base)
+def only_digits(text: str) -> str:
+    return re.sub(r"[^0-9]", "", text)
+
+
+def agrees(group: str, rest: str) -> str | None:
+    """What is left of ``rest``, an observed number's digits, before ``group``; None if it doesn't end so.
+    Zeros that stand for a prefix (030 for +49 30, 0049 for +49) or that the observed form alone has, as in
+    +49 (0)30, make no difference."""
+    bare = group.lstrip("0")
+    for own, of in ((group, rest), (bare, rest), (bare, rest.rstrip("0"))):
+        if own and of.endswith(own):
+            return of[:-len(own)]
+    return None
+
+
+def repeats(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of digit groups outside the base spans that spell a number of theirs again: the
+    last seven digits are the same, no dot or hyphen joins them to more digits, and as many groups before them
+    belong to it as agree with the whole number."""
+    known: dict[str, set[str]] = {}
+    for start, end, kind in spans:
+        digits = only_digits(text[start:end])
+        if kind and len(digits) >= 7:
+            known.setdefault(digits[-7:], set()).add(digits)
+    out: list[tuple[int, int]] = []
     at = 0
+    for stop, after in [*((s[0], s[1]) for s in spans), (len(text), len(text))] if known else ():
+        for m in RUN.finditer(text, at, max(at, stop)):
+            groups = [g.span() for g in DIGITS.finditer(text, *m.span())]
+            spelt = only_digits(m[0])
+            took, j, have = [], len(groups) - 1, len(spelt)
+            while j >= 0 and have >= 7:
+                inside = j + 1 < len(groups) and groups[j + 1][0] == groups[j][1] + 1 and text[groups[j][1]] in ".-"
+                whole = None if inside else known.get(spelt[have - 7:have])
+                i, size = j, groups[j][1] - groups[j][0]
+                if whole:
+                    while size < 7:
+                        i -= 1
+                        size += groups[i][1] - groups[i][0]
+                    end, tail = j, spelt[have - size:have]
+                    best = i
+                    for number in whole:
+                        rest, k = agrees(tail, number), i
+                        while rest and k:
+                            k -= 1
+                            group = text[slice(*groups[k])]
+                            if group.strip("0"):
+                                rest = agrees(group, rest)
+                                if rest is None:
+                                    break
+                                best = min(best, k)
+                            elif rest.endswith(group):
+                                rest = rest[:-len(group)]
+                                best = min(best, k)
+                    size += sum(b - a for a, b in groups[best:i])
+                    i = best
+                    first, last = groups[i][0], groups[end][1]
+                    inner = text[first:last]
+                    if inner.count(")") > inner.count("(") and first > at and text[first - 1] == "(":
+                        first -= 1
+                    elif inner.count("(") > inner.count(")") and last < stop and text[last] == ")":
+                        last += 1
+                    took.append((first, last))
+                have -= size
+                j = i - 1
+            out += took[::-1]
+        at = max(at, after)
+    return out
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, kind + 1 or 0) by start: base spans (overlapping ones under the first), the runs that repeat
+    one, and the other tokens."""
+    out = []
+    for start, end, kind in sorted([*((a, b, k + 1) for a, b, k in spans), *((a, b, 0) for a, b in repeats(text, spans))]):
+        if not out or start >= out[-1][1]:
+            out.append((start, end, kind))
+        elif kind and end > out[-1][1]:
+            out[-1] = (out[-1][0], end, out[-1][2])
+    sure, at = out, 0
+    out = []
     for m in NODE.finditer(text):
         start, end = m.span()
         while end > start and text[end - 1] in ".,-(":
             end -= 1
         while start < end and text[start] in ".,-)":
             start += 1
-        if start == end:
-            continue
-        while at < len(spans) and spans[at][1] <= start:
+        while at < len(sure) and sure[at][0] < end:
+            out.append(sure[at])
             at += 1
-        near = [s for s in spans[at:at + 8] if s[0] < end and s[1] > start]
+        if start < end and (not out or out[-1][1] <= start):
+            out.append((start, end, 0))
+    return out + sure[at:]
+
+
+def nodes(text: str, base: list[tuple[int, int, int]]):
+    """Nodes (start, end, shape, word before, observed label or 0), chain links (i, j), and for each node the
+    first node with its key (itself, if none is before it or it has no key)."""
+    out, links, first, same = [], [], {}, []
+    for start, end, label in candidates(text, sorted(base)):
         w = WORD_BEFORE.search(text, max(0, start - 24), start)
         word = zlib.crc32(w[1].lower().encode()) % BUCKETS if w else 0
         i = len(out)
-        out.append((start, end, shape(text[start:end]), word, near[0][2] + 1 if near else 0))
+        out.append((start, end, shape(text[start:end]), word, label))
         if i and start - out[i - 1][1] <= 2:
             links.append((i - 1, i))
-        key = skip_key(text[slice(*near[0][:2])] if near else text[start:end])
+        key = skip_key(text[start:end])
         same.append(first.setdefault(key, i) if key else i)
     return out, links, same
 

@@ -125,6 +125,38 @@ def test_pii_label_holds_over_repeats(size, repeats):
     assert added_spans(other, "write to +1 (017) 555-7713 please" + " then some words 5557714 follow" * repeats) == []
 
 
+@pytest.mark.parametrize("sure, again", [
+    ("+1 (017) 555-7713", ["017 555 7713", "(017) 555-7713", "017.555.7713", "1 (017) 555 7713", "555-7713", "5557713", "555 77 13"]),
+    ("+49 30 12345678", ["030 12345678", "0049 30 12345678", "(030) 1234-5678", "49 (0)30 1234 5678", "30-1234-5678"]),
+    ("4111 1111 1111 1111", ["4111.1111.1111.1111", "4111 1111.1111 - 1111", "4111 1111  1111 1111"])])
+def test_pii_repeats_with_other_separators(sure, again):
+    for form in again:
+        for text in (f"first {sure} then in words {form} and more", f"words {form}, later {sure}; {form}",
+                     f"room 12 {form} 7 or: {sure}!" + f" Fax{form}.\nNext 7 of {form} (2)" * 10):
+            n = text.replace(sure, "").count(form)
+            assert added_spans(other_texts(5), text) == [form] * n, (form, text)
+    assert added_spans(other_texts(5), f"first {sure} then 017 555 7714, 030 1234 5679 and 4111.1111.1111.1112") == []
+
+
+def test_pii_area_code_is_masked(spark, docs_of):
+    text = "write to +1 (017) 555-7713 please, or dial (017) 555-7713 or 017 555 7713 today"
+    got = pii.mask_pii(docs_of([(1, text, None, None, len(text))])).collect()[0]
+    assert got.text == "write to [PHONE] please, or dial [PHONE] or [PHONE] today" and got.n_chars == len(got.text)
+
+
+def test_pii_nodes_cover_each_token_once():
+    rnd = random.Random(5)
+    parts = ["a@b.cd", "+49 (30) 123-4567", "(30) 123-4567", "030 123 4567", "1.2.3.4", "234.101.220.113", "234 101 220 113",
+             "4111 1111 1111 1111", "4111.1111", "1111", " ", "-", "x", "(", ")", ". ", "\n", "7", "0", "00", "@"]
+    for _ in range(4000):
+        t = "".join(rnd.choices(parts, k=rnd.randint(1, 12)))
+        base = pii.base_spans(t)
+        found, links, same = pii.nodes(t, base)
+        ends = [0, *(n[1] for n in found)]
+        assert all(a <= n[0] < n[1] for a, n in zip(ends, found)) and len(same) == len(found), t
+        assert all(any(n[0] <= s[0] and s[1] <= n[1] and n[4] for n in found) for s in base), t
+
+
 def quality_rows():
     rnd = random.Random(6)
     rows, labels = [], []
