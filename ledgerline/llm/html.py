@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,18 +24,25 @@ BLOCK = frozenset(("address", "article", "aside", "blockquote", "body", "br", "c
                    "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2",
                    "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol",
                    "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"))
-NOTICE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|cookies?|consent|"
-    r"notices?|alert|popup|modal|overlay|comments?|disqus|replies|responses|footer|masthead|header|share|social|"
-    r"related|recommended|newsletter|subscribe|signup|login|paywall|widget|toolbar|pagination|pager)(?:$|[\s_-])",
-    re.I)
+NOTICE = (r"ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|cookies?|consent|"
+          r"notices?|alert|popup|modal|overlay|comments?|disqus|replies|responses|footer|masthead|header|share|social|"
+          r"related|recommended|newsletter|subscribe|signup|login|paywall|widget|toolbar|pagination|pager")
+PARTS = (r"site|global|container|wrapper|wrap|box|block|list|section|area|inner|slot|unit|bar|items?|links?|form|"
+         r"buttons?|[0-9]+")
+#: A whole class or id: notice words and words for a part of a page alone (cookie-banner, nav-list, but not
+#: nav-open, no-comments or entry-header).
+NOTICE_NAME = re.compile(rf"(?:(?:{PARTS})[_-]+)*(?:{NOTICE})(?:[_-]+(?:{NOTICE}|{PARTS}))*", re.I)
+#: What also heads an article, and what holds other articles than the page's own.
+HEADING_NAME = re.compile(rf"(?:(?:{PARTS})[_-]+)*(?:header|masthead)(?:[_-]+(?:{PARTS}))*", re.I)
+OTHERS_NAME = re.compile(r"(?:comment|disqus|repl|response|related|recommended)", re.I)
+OTHERS = ("nav", "footer", "aside")
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert)\b", re.I)
 MAIN = ("article", "main")
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
-NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMES = re.compile(r"(?<![\w-])(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
@@ -59,22 +67,43 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     return out
 
 
+def names(attrs: str) -> list[str]:
+    """The classes and the id of a tag."""
+    return [x for found in NAMES.findall(attrs) for x in next(filter(None, found), "").split()]
+
+
 def is_boilerplate(name: str, attrs: str, in_main: bool) -> bool:
     if name in RAW or name in BOILERPLATE and not (name == "header" and in_main):
         return True
     if name in MAIN or name in ("body", "html") or not attrs:
         return False
-    return bool(ROLES.search(attrs)) or any(NOTICE_NAMES.search(next(filter(None, x), "")) for x in NAMES.findall(attrs))
+    return bool(ROLES.search(attrs)) or any(NOTICE_NAME.fullmatch(x) and not (in_main and HEADING_NAME.fullmatch(x))
+                                            for x in names(attrs))
 
 
 def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
     """For each token, whether it lies in an element that never is content. An element without its end
-    tag ends at the next end tag of an element that was open before it."""
+    tag ends at the next end tag of an element that was open before it. An element around an ``article`` or
+    ``main`` is kept; comments, related pages and the like only around the article of the most words."""
     out = [False] * len(toks)
     ends: dict[str, list[int]] = {}
-    for i, (kind, name, _) in enumerate(toks):
+    close: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    marks, words = [], [0]
+    for i, (kind, name, value) in enumerate(toks):
+        words.append(words[-1] + (len(value.split()) if kind == "text" else 0))
         if kind == "end":
             ends.setdefault(name, []).append(i)
+            if opened.get(name):
+                close[opened[name].pop()] = i + 1
+        elif kind == "start":
+            opened.setdefault(name, []).append(i)
+            if name in MAIN:
+                marks.append(i)
+    first = max((i for i in marks if toks[i][1] == "article"), default=None,
+                key=lambda i: words[close.get(i, len(toks))] - words[i])
+    if first is None and marks:
+        first = max(marks, key=lambda i: words[close.get(i, len(toks))] - words[i])
     main = 0
     i = 0
     open_names: Counter = Counter()
@@ -82,18 +111,21 @@ def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
         kind, name, attrs = toks[i]
         if kind == "start" and name not in VOID:
             if is_boilerplate(name, attrs, main > 0):
-                depth, j = 1, i + 1
-                while j < len(toks) and depth:
-                    if toks[j][1] == name:
-                        depth += (toks[j][0] == "start") - (toks[j][0] == "end")
-                    j += 1
-                if depth:  # never closed
-                    j = i + 1
-                    while j < len(toks) and not (toks[j][0] == "end" and open_names[toks[j][1]] > 0):
-                        j += 1
-                out[i:j] = [True] * (j - i)
-                i = j
-                continue
+                j = close.get(i)
+                if j is None:  # never closed
+                    after = ((ends[n], bisect(ends[n], i)) for n, k in open_names.items() if k > 0 and n in ends)
+                    j = min((e[k] for e, k in after if k < len(e)), default=len(toks))
+                if name in RAW:
+                    keep = False
+                elif name in OTHERS or any(OTHERS_NAME.match(x) for x in names(attrs)):
+                    keep = first is not None and i < first < j
+                else:
+                    at = bisect(marks, i)
+                    keep = at < len(marks) and marks[at] < j
+                if not keep:
+                    out[i:j] = [True] * (j - i)
+                    i = j
+                    continue
             open_names[name] += 1
             main += name in MAIN
         elif kind == "end" and open_names[name] > 0:

@@ -32,6 +32,34 @@ def test_html(spark):
     assert html.main_text("<p>a</p>", html.UNTRAINED) == "a"
 
 
+BODY = "<article><h1>The title of it</h1><p>First words of it.</p><p>Second words here.</p></article>"
+BODY_TEXT = "The title of it\nFirst words of it.\nSecond words here."
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="layout with-sidebar">%s</div>', '<div class="no-comments">%s</div>', "<div id=nav-open>%s</div>",
+    '<div class="sidebar">%s</div>', '<section class="page widget"><div class="header">%s</div></section>',
+    '<form action="/x">%s</form>', '<div role="banner">%s</div>', '<div class="comments">%s</div>', '<nav><ul>%s</ul>',
+    '<div data-class="menu">%s</div>'])
+def test_html_keeps_what_holds_the_article(around):
+    for body in (BODY, BODY.replace("article>", "main>")):
+        assert html.main_text("<body>" + around % body + "<footer>us</footer></body>", html.Weights({"p": 9}, {}, 20.0)) == BODY_TEXT
+
+
+@pytest.mark.parametrize("name", ["article-header", "entry-header", "header", "site-header", "title no-comments"])
+def test_html_keeps_the_title_in_the_article(name):
+    page = BODY.replace("<h1>The title of it</h1>", f'<div class="{name}"><h1>The title of it</h1></div>')
+    assert html.main_text(page, html.Weights({"p": 9, "h1": 9, "div": 9}, {}, 20.0)) == BODY_TEXT
+
+
+@pytest.mark.parametrize("notice", [
+    '<div class="cookie-banner">take some cookies with us</div>', '<div id="comments"><article>a nice read</article></div>',
+    '<aside><article>another page</article></aside>', '<ul class="big nav-list"><li>Home</ul>', '<div class="ad">buy</div>',
+    '<div class="related_links"><article>more</article></div>', '<div class="header">site name</div>'])
+def test_html_still_drops_notices(notice):
+    assert html.main_text("<body>" + notice + BODY + "</body>", html.Weights({"p": 9}, {}, 20.0)) == BODY_TEXT
+
+
 WORDS = {"aa": "the of and that with for", "bb": "der die und nicht mit auf", "cc": "les des une pour dans est"}
 
 
