@@ -7,6 +7,7 @@ import re
 from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 
 #: Pages that the weights are learned from (about; chosen by a hash of the id).
 FIT_PAGES = 5_000
+#: The quantile of the longest stretches outside the content of these pages that a tag outside has to outweigh,
+#: the words it outweighs at least and at most, and the cost at most of a tag that is used inside more often
+#: than outside (that of an unsupervised tagger), so that it doesn't cost a paragraph at the content's ends.
+QUANTILE, LEAST, MOST, PUBLISHED = 0.95, 20.0, 1000.0, 3.25
 
 # HTML elements by their role
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "textarea", "math")
@@ -136,21 +141,26 @@ def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
 
 
 class Weights:
-    """A word scores 1. A tag scores minus ``reach`` times the share of its uses outside the content, so a
-    tag that never stands inside costs more than the words of nearly any stretch outside. Unknown tags,
-    and all tags where no page was labelled, score ``default``."""
+    """A word scores 1. A tag scores minus ``reach`` times the share of its uses outside the content at twice
+    its log-odds, so a tag that never stands inside costs more than the words of nearly any stretch outside,
+    and one that mostly stands inside next to nothing (at most ``PUBLISHED``). Unknown tags, and all tags where
+    no page was labelled, score ``default``."""
 
-    def __init__(self, inside: dict[str, int], outside: dict[str, int], reach: float, default: float = -1.0):
+    def __init__(self, inside: dict[str, float], outside: dict[str, float], reach: float, default: float = -1.0):
         self.default = default
-        self.tag = {t: -reach * (outside.get(t, 0) + 0.01) / (outside.get(t, 0) + inside.get(t, 0) + 1)
-                    for t in {*inside, *outside}}
+        self.tag = {}
+        for t in {*inside, *outside}:
+            i, o = inside.get(t, 0), outside.get(t, 0)
+            share = (o + 0.01) / (o + i + 1)
+            cost = min(reach, MOST) * share ** 2 / (share ** 2 + (1 - share) ** 2)
+            self.tag[t] = -(min(cost, PUBLISHED) if share <= 0.5 else cost)
 
     def __call__(self, name: str) -> float:
         return self.tag.get(name, self.default)
 
 
 #: Without labelled pages: published weights of an unsupervised tagger (a word 1, a tag -3.25).
-UNTRAINED = Weights({}, {}, 0.0, default=-3.25)
+UNTRAINED = Weights({}, {}, 0.0, default=-PUBLISHED)
 
 
 def observe(page: str | None) -> tuple[Counter, Counter, int]:
@@ -176,34 +186,42 @@ def observe(page: str | None) -> tuple[Counter, Counter, int]:
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fit_pages: int = FIT_PAGES) -> Weights:
-    """Tag weights from about ``fit_pages`` labelled pages (all, if fewer)."""
+    """Tag weights from about ``fit_pages`` labelled pages (all, if fewer). Each page counts once for a tag, by
+    the share of the page's uses that are outside, and once for the quantile of stretches: no page sets a weight."""
     n = pages.count()
     if not n:
         return UNTRAINED
     spread = F.pmod(F.xxhash64(F.lit(3), F.col(id_col).cast("string")), F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside, outside, reach = Counter(), Counter(), 0
+        of, outside, stretches = Counter(), Counter(), Counter()  # pages; millionths of pages; pages by longest stretch
         for b in batches:
             for page in b.column(0).to_pylist():
                 i, o, r = observe(page)
-                inside.update(i)
-                outside.update(o)
-                reach = max(reach, r)
-        names = sorted({*inside, *outside})
-        yield pa.record_batch([pa.array([*names, ""], pa.string()), pa.array([*(inside[t] for t in names), 0], pa.int64()),
-                               pa.array([*(outside[t] for t in names), 0], pa.int64()),
-                               pa.array([reach] * (len(names) + 1), pa.int64())],
-                              names=["tag", "inside", "outside", "reach"])
-
-    rows = pages.where(spread < fit_pages / n).select(F.col(html_col).cast("string").alias("html")) \
-        .mapInArrow(run, "tag string, inside long, outside long, reach long") \
-        .groupBy("tag").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"), F.max("reach").alias("r")) \
-        .orderBy(F.desc(F.col("i") + F.col("o")), "tag").limit(1000).collect()  # tags that occur at all often
-    inside, outside = ({r["tag"]: r[k] for r in rows if r["tag"]} for k in ("i", "o"))
+                for t in {*i, *o}:
+                    of[t] += 1_000_000
+                    outside[t] += round(1_000_000 * o[t] / (i[t] + o[t]))
+                if i or o:
+                    stretches[min(r, int(MOST))] += 1
+        names = sorted(of)
+        yield pa.record_batch([pa.array([*names, *[""] * len(stretches)], pa.string()),
+                               pa.array([*[0] * len(names), *stretches], pa.int64()),
+                               pa.array([*(of[t] - outside[t] for t in names), *stretches.values()], pa.int64()),
+                               pa.array([*(outside[t] for t in names), *[0] * len(stretches)], pa.int64())],
+                              names=["tag", "stretch", "inside", "outside"])
+
+    seen = pages.where(spread < fit_pages / n).select(F.col(html_col).cast("string").alias("html")) \
+        .mapInArrow(run, "tag string, stretch long, inside long, outside long") \
+        .groupBy("tag", "stretch").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o"))
+    rows = seen.orderBy(F.col("tag") != "", F.desc(F.col("i") + F.col("o")), "tag", "stretch") \
+        .limit(int(MOST) + 1001).collect()  # all stretches, at most MOST + 1, and the tags that occur at all often
+    inside, outside = ({r["tag"]: r[k] / 1e6 for r in rows if r["tag"]} for k in ("i", "o"))
     if not sum(inside.values()):
         return UNTRAINED
-    return Weights(inside, outside, reach=20.0 + max(r["r"] for r in rows))
+    stretches = sorted((r["stretch"], r["i"]) for r in rows if not r["tag"])
+    below = int(QUANTILE * (sum(k for _, k in stretches) - 1))  # rounded down: never the longest of several
+    reach = next(r for r, k in zip((r for r, _ in stretches), accumulate(k for _, k in stretches)) if k > below)
+    return Weights(inside, outside, reach=LEAST + reach)
 
 
 def main_text(page: str | None, weights: Weights) -> str:

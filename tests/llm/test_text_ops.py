@@ -60,6 +60,21 @@ def test_html_still_drops_notices(notice):
     assert html.main_text("<body>" + notice + BODY + "</body>", html.Weights({"p": 9}, {}, 20.0)) == BODY_TEXT
 
 
+def test_html_one_outlier_page_sets_no_weight(spark):
+    page = "<html><body><div>some words outside</div>" + BODY + "%s<div>more words outside here</div></body></html>"
+    usual = [(i, "u", page % ("<p>late note</p>" if i % 20 == 0 else "")) for i in range(60)]
+    outlier = page % ("<p>" + "far " * 5000 + "</p><p>off</p>" * 200)
+    odd = "<html><body><article>" + "<div>words in it</div>" * 5000 + "</article><p>x</p></body></html>"
+    make = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string")
+    plain = html.learn(make(usual))
+    for more in ([(100, "u", outlier)], [(101, "u", odd)]):
+        w = html.learn(make(usual + more))
+        assert all(abs(w(t) - plain(t)) < 2 for t in ("p", "h1", "div", "body")), more[0][0]
+        assert html.main_text(usual[1][2], w) == BODY_TEXT
+        text = {r.page_id: r.text for r in html.extract(make(usual + more)).collect()}
+        assert all(text[i] == BODY_TEXT for i in range(60) if i % 20), more[0][0]
+
+
 WORDS = {"aa": "the of and that with for", "bb": "der die und nicht mit auf", "cc": "les des une pour dans est"}
 
 
