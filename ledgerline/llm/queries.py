@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, embed_dedup, html, langid, mixing, packing, pii, quality, simhash, topk
+from ledgerline.llm import (chat, embed_dedup, hosts, html, langid, mixing, packing, phrases, pii, quality, runs,
+                            simhash, topk)
 from ledgerline.llm.base import query, table
 
 #: From this score on a document counts as good.
@@ -127,3 +128,127 @@ def op10_quality_co_training(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model).select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("keep"))
+
+
+OP11_RULES = "('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), " \
+             "('net/es/', 'block'), ('net/fr/', 'block')"
+
+OP11_SQL = r"""
+WITH RECURSIVE pg AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+bare AS (SELECT DISTINCT host, rtrim(regexp_replace(host, '^.*@|:[^:\]]*$', '', 'g'), '.') AS b FROM pg),
+part AS (SELECT *, string_split(b, '.') AS s, len(string_split(b, '.')) AS n FROM bare),
+cuts AS (SELECT *, CASE WHEN n > 2 AND length(s[n]) = 2 AND s[n - 1] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org')
+                   THEN 2 ELSE 1 END AS k, regexp_matches(b, '^[0-9.]+$') AS digits FROM part),
+names AS (SELECT host, CASE WHEN digits THEN b ELSE array_to_string(s[greatest(n - k, 1):n], '.') END AS domain,
+                 CASE WHEN digits THEN '' ELSE array_to_string(s[greatest(n - k + 1, 1):n], '.') END AS suffix FROM cuts),
+seen AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels WHERE (quality = 0 OR toxic = 1) IS NOT NULL
+         AND doc_id IS NOT NULL GROUP BY doc_id),
+hit AS (SELECT DISTINCT page_id, host, bad FROM pg JOIN seen ON page_id = doc_id),
+counts AS (SELECT host, domain, suffix, count(*) AS n, count(*) FILTER (bad) AS bad FROM hit JOIN names USING (host) GROUP BY ALL),
+top AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM counts),
+tried AS (SELECT power(2.0::DOUBLE, j / 2.0) AS s FROM range(-2, 25) t(j)),
+k1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM counts, top GROUP BY suffix),
+s1 AS (SELECT s FROM k1, tried GROUP BY s ORDER BY round(sum(
+  lgamma(bad + s * m) + lgamma(n - bad + s * (1 - m)) - lgamma(n + s) - lgamma(s * m) - lgamma(s * (1 - m)) + lgamma(s)), 6) DESC, s LIMIT 1),
+m1 AS (SELECT suffix, (bad + s * m) / (n + s) AS m FROM k1, s1),
+k2 AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM counts JOIN m1 USING (suffix) GROUP BY suffix, domain),
+s2 AS (SELECT s FROM k2, tried GROUP BY s ORDER BY round(sum(
+  lgamma(bad + s * m) + lgamma(n - bad + s * (1 - m)) - lgamma(n + s) - lgamma(s * m) - lgamma(s * (1 - m)) + lgamma(s)), 6) DESC, s LIMIT 1),
+m2 AS (SELECT suffix, domain, (bad + s * m) / (n + s) AS m FROM k2, s2),
+k3 AS (SELECT host, n, bad, m FROM counts JOIN m2 USING (suffix, domain)),
+s3 AS (SELECT s FROM k3, tried GROUP BY s ORDER BY round(sum(
+  lgamma(bad + s * m) + lgamma(n - bad + s * (1 - m)) - lgamma(n + s) - lgamma(s * m) - lgamma(s * (1 - m)) + lgamma(s)), 6) DESC, s LIMIT 1),
+post AS (
+  SELECT host, coalesce(c.n, 0) AS n, coalesce(c.bad, 0) AS bad, coalesce(m2.m, m1.m, top.m) AS m, s
+  FROM names LEFT JOIN counts c USING (host) LEFT JOIN m2 ON m2.suffix = names.suffix AND m2.domain = names.domain
+  LEFT JOIN m1 ON m1.suffix = names.suffix, top, s3),
+ab AS (SELECT host, n, bad, bad + s * m AS a, n - bad + s * (1 - m) AS b FROM post),
+grid AS (SELECT host, n, bad, a, b, ln(a / b) + sqrt(1 / a + 1 / b) * sinh(-8 + 16 * i / 20000.0) AS u,
+                cosh(-8 + 16 * i / 20000.0) AS w, ln(a / b) AS u0 FROM ab, range(0, 20001) t(i)),
+mass AS (SELECT host, n, bad, u > 0 AS above, w * exp(a * (u - u0) - (a + b) * (greatest(u, 0) + ln(1 + exp(-abs(u)))
+                - greatest(u0, 0) - ln(1 + exp(-abs(u0))))) AS d FROM grid),
+told AS (SELECT host, any_value(n)::BIGINT AS labelled, any_value(bad)::BIGINT AS bad,
+                coalesce(sum(d) FILTER (above), 0) / sum(d) >= 0.95 AS blocked FROM mass GROUP BY host),
+rules AS (SELECT rule, verdict, string_split(rule, '/')[1] AS rh, substr(rule, length(string_split(rule, '/')[1]) + 1) AS rp
+          FROM (VALUES """ + OP11_RULES + r""") t(rule, verdict)),
+places AS (SELECT DISTINCT host, path FROM pg),
+fit AS (SELECT host, path, rule, verdict, row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC) AS r
+        FROM places JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, pg.host, pg.path, fit.rule, coalesce(fit.verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict,
+       labelled, bad
+FROM pg JOIN told USING (host) LEFT JOIN fit ON fit.host = pg.host AND fit.path = pg.path AND fit.r = 1
+"""
+
+
+@query("op11_url_reputation", OP11_SQL)
+def op11_url_reputation(spark, sf_dir):
+    """Every page judged by the longest rule, else by its host's reputation. A labelled page is one whose id
+    ``labels`` lists; its outcome is bad where the quality is 0 or it is toxic."""
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"),
+                                                     F.expr("quality = 0 OR toxic = 1").alias("bad"))
+    rules = spark.sql(f"SELECT * FROM VALUES {OP11_RULES} AS t (rule, verdict)")
+    return hosts.judge(table(spark, sf_dir, "pages"), outcomes, rules)
+
+
+OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM i, range(1, 5) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+cut AS (SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
+        FROM c, range(1, 4) t(k), f l, f r
+        WHERE k < c.size AND l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
+          AND r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(f) AS f
+           FROM c, range(2, 4) t(m), range(1, 4) u(s) WHERE m < size AND s + m - 1 <= size GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase) WHERE inside.f IS NULL OR 100 * inside.f < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", OP12_SQL)
+def op12_phrase_collocations(spark, sf_dir):
+    """The 2000 tightest phrases of two to four words of every language, over all texts."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
+def with_planted_runs(docs, id_col="doc_id", text_col="text"):
+    """Texts of a tenth of the ids (by crc32) made periodic from one word on, in the row: the words of the
+    first period are repeated and cut to the text's number of words."""
+    docs = docs.select(F.col(id_col), F.col(text_col), F.crc32(F.col(id_col).cast("string").cast("binary")).alias("h"))
+    space = " \t\n\x0b\x0c\r"
+    words = F.split(F.btrim(text_col, F.lit(space)), "[\\x09-\\x0D\\x20]+")
+    n = F.size(words)
+    g = F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    period = F.slice(words, a + 1, p)
+    again = F.slice(F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), again), " ")
+    chosen = (F.col("h") % 10 == 0) & (F.btrim(text_col, F.lit(space)) != "")
+    return docs.select(id_col, F.when(chosen, planted).otherwise(F.col(text_col)).alias(text_col))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of four periods or more in every text, and digests of the runs and of the text without them."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")), least_periods=4, least_words=6)
+    told = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS s, -r.period AS p)))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length DIV -best.p").alias("exponent_milli"),
+        F.sha2(told.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
