@@ -197,17 +197,19 @@ OP12_SQL = r"""
 WITH p AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
 i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
-f AS (SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+f AS MATERIALIZED (SELECT lang, k AS size, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
       FROM i, range(1, 5) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
-c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
-cut AS (SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
-        FROM c, range(1, 4) t(k), f l, f r
-        WHERE k < c.size AND l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ')
-          AND r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 30),
+parts AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+cut AS (SELECT p.lang, p.phrase, a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+        FROM parts p JOIN f l ON l.lang = p.lang AND l.phrase = p.lp JOIN f r ON r.lang = p.lang AND r.phrase = p.rp),
 best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 inside AS (SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(f) AS f
            FROM c, range(2, 4) t(m), range(1, 4) u(s) WHERE m < size AND s + m - 1 <= size GROUP BY ALL),
