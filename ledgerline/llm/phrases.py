@@ -19,7 +19,7 @@ SCALE = 2000000
 #: Pairs of neighbouring words are counted in 2^PAIR_BITS buckets; one bit for each (16 MB) is broadcast.
 PAIR_BITS = 27
 #: A worker gathers about so many bytes of text before it counts (a longer text is gathered alone).
-GATHER = 6 << 20
+GATHER = 3 << 19
 #: Ranking takes the first rows of this many parts of a language before those of the language.
 PARTS = 64
 
