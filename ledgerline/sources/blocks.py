@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPLIT = ["file", "part", "block"]
 # a JSON string without its quotes
@@ -165,13 +166,23 @@ def columns_of(records: DataFrame, names: Sequence[str], keep: Sequence[str] = (
     return records.select(*keep, *[F.trim(F.try_element_at("record", F.lit(n))).alias(n) for n in names])
 
 
+def quoted_fields(line: Column, sep: str = ",") -> Column:
+    """Fields of a record in one pass: a field in double quotes may hold separators, line breaks and doubled
+    quotes; other fields are taken as they are."""
+    field = rf'(?s)\Q{sep}\E(\s*+"[^"]*+(?:""[^"]*+)*+"\s*+(?=\Q{sep}\E|$)|(?:(?!\Q{sep}\E).)*+)'
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(field), F.lit(1))
+    bare = lambda f: F.replace(F.regexp_replace(f, r'^\s*+"|"\s*+$', ""), F.lit('""'), F.lit('"'))
+    return F.transform(found, lambda f: F.when(F.ltrim(f).startswith('"'), bare(f)).otherwise(f))
+
+
 def xml_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
     """S-27 / S-28: every element ``tag`` of the files under ``path``, wherever it lies and whatever text
     wraps the XML, as a row of ``schema`` with its ``file`` and its order in it, ``pos``. A file is streamed
     by one task; for elements that fill large files see :func:`xml_split_rows`."""
     r = spark.read.format("xml").option("rowTag", tag).option("useLegacyXMLParser", "true").schema(schema).load(path)
     meta = F.col("_metadata")
-    return r.select("*", meta["file_path"].alias("file"), F.monotonically_increasing_id().alias("pos"))
+    return r.select(*T.StructType.fromDDL(schema).names, meta["file_path"].alias("file"),
+                    F.monotonically_increasing_id().alias("pos"))
 
 
 def xml_split_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
@@ -185,11 +196,12 @@ def xml_split_rows(spark: SparkSession, path: str, tag: str, schema: str) -> Dat
     return r.where("_x <> ''").select("file", "file_time", x.alias("x")).select("x.*", "file", "file_time")
 
 
-def filing_transactions(spark: SparkSession, path: str) -> DataFrame:
+def filing_transactions(spark: SparkSession, path: str, name_date: str = r"(\d{8})[^/]*$") -> DataFrame:
     """S-27 / S-28 over landed ownership filings: one row per non-derivative transaction, read by its own
     tag, so that a filing is as many rows as it has transactions and is split among tasks. Issuer and first
     owner are read by their tags and joined by file. value = shares x price (NULL for a bad number); a missing or blank transaction
-    date is that in the file's name (eight digits), else the day the file was written."""
+    date is that in the file's path (eight digits, found by ``name_date``), else the day the file was
+    written."""
     value = "STRUCT<value: STRING>"
     t = xml_split_rows(spark, path, "nonDerivativeTransaction",
                        f"transactionDate {value}, transactionAmounts STRUCT<transactionShares: {value}, "
@@ -200,7 +212,7 @@ def filing_transactions(spark: SparkSession, path: str) -> DataFrame:
         F.min_by("reportingOwnerId", "pos").alias("o"))
     shares = F.trim("transactionAmounts.transactionShares.value").try_cast("double")
     price = F.trim("transactionAmounts.transactionPricePerShare.value").try_cast("double")
-    name = F.try_to_date(F.regexp_extract("file", r"(\d{8})[^/]*$", 1), "yyyyMMdd")
+    name = F.try_to_date(F.regexp_extract("file", name_date, 1), "yyyyMMdd")
     date = F.coalesce(F.nullif(F.trim("transactionDate.value"), F.lit("")),
                       F.date_format(F.coalesce(name, F.to_date("file_time")), "yyyy-MM-dd"))
     return t.join(issuer, "file", "left").join(owner, "file", "left").select(
