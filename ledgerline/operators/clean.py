@@ -62,22 +62,22 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def numeric_share(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """P-15: share of non-null values that cast to double, per column (one pass,
-    one row)."""
+    """P-15: share of all rows whose value casts to double, per column (one pass,
+    one row); a missing value is no number. NULL for an empty table."""
     cols = list(cols or df.columns)
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("string")
-        aggs.append(F.try_divide(F.count(v.try_cast("double")), F.count(v)).alias(c))
-    return df.agg(*aggs)
+    return df.agg(*[F.try_divide(F.count(F.col(c).cast("string").try_cast("double")), F.count(F.lit(1))).alias(c) for c in cols])
 
 
-def numeric_columns(df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """P-15 applied: keep columns where more than ``threshold`` of values parse,
-    cast to double (one small action for the shares)."""
-    shares = numeric_share(df).first().asDict()
-    keep = [c for c in df.columns if shares[c] is not None and shares[c] > threshold]
-    return df.select(*[F.col(c).cast("string").try_cast("double").alias(c) for c in keep])
+def numeric_columns(df: DataFrame, threshold: float = 0.5, keep: Sequence[str] = ()) -> DataFrame:
+    """P-15 applied: columns of a numeric type, and those where more than
+    ``threshold`` of all rows parse, cast to double (one small action for the
+    shares); ``keep`` columns stay as they are."""
+    from pyspark.sql import types as T
+    typed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    rest = [c for c in df.columns if c not in typed and c not in keep]
+    shares = numeric_share(df, rest).first().asDict() if rest else {}
+    chosen = [c for c in df.columns if c in typed or (shares.get(c) or 0) > threshold]
+    return df.select(*keep, *[F.col(c).cast("string").try_cast("double").alias(c) for c in chosen if c not in keep])
 
 
 # ---- value-level --------------------------------------------------------------
@@ -88,32 +88,69 @@ def to_number(c) -> Column:
     return col.cast("string").try_cast("double")
 
 
-DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS][XXX]", "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS][XXX]",
-                "yyyy-MM-dd", "yyyyMMdd", "yyyyMM", "yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS][.SSSSSS][.SSS][XXX]", "yyyy-MM-dd HH:mm[:ss][.SSSSSS][.SSS][XXX]",
+                "yyyy-MM-dd", "yyyyMMdd", "yyyyMM", "yyyy")
+MONTH_FIRST = ("M/d/yyyy[ HH:mm][:ss]",)
+DAY_FIRST = ("d/M/yyyy[ HH:mm][:ss]",)
 
 
-def to_timestamp_any(c, formats: Sequence[str] = DATE_FORMATS, epoch: str | None = None) -> Column:
+def to_timestamp_any(c, formats: Sequence[str] = DATE_FORMATS, epoch: str | None = None,
+                     day_first: bool | Column = False) -> Column:
     """P-06 / P-17: first format that parses wins; ``epoch='s'|'ms'`` reads numbers
-    as Unix time. Unparsable -> NULL."""
+    as Unix time. Dates with slashes are read month first, or day first; with a
+    boolean a date that is none in this order is read in the other one, with a
+    column (see :func:`day_order`) only in the column's order. Unparsable -> NULL."""
     col = F.col(c) if isinstance(c, str) else c
-    s = col.cast("string")
+    s = F.trim(col.cast("string"))
     if epoch == "s":
         return F.timestamp_seconds(s.try_cast("long"))
     if epoch == "ms":
         return F.timestamp_millis(s.try_cast("long"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    read = lambda fs: F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in fs])
+    if isinstance(day_first, bool):
+        return read((*formats, *(DAY_FIRST + MONTH_FIRST if day_first else MONTH_FIRST + DAY_FIRST)))
+    return F.coalesce(read(formats), F.when(day_first, read(DAY_FIRST)).otherwise(read(MONTH_FIRST)))
+
+
+def day_order(df: DataFrame, col: str, by: Sequence[str] = (), default: bool = False) -> DataFrame:
+    """P-06: the order of day and month in dates with slashes, voted by the whole
+    column, or by each group ``by`` (a file): (by..., day_first, votes_day, votes_month, decided).
+
+    A first part over 12 votes for day first, a second part over 12 for month
+    first; the larger number of votes wins. Without any vote, or with as many
+    for both, ``decided`` is false and the order is ``default``. One aggregate
+    with map-side partials, whose result is one row a group."""
+    part = lambda i: F.regexp_extract(F.col(col).cast("string"), r"^\s*(\d{1,2})/(\d{1,2})/\d{4}", i).try_cast("int")
+    votes = df.groupBy(*by).agg(F.count_if(part(1) > 12).alias("votes_day"), F.count_if(part(2) > 12).alias("votes_month"))
+    d, m = F.col("votes_day"), F.col("votes_month")
+    return votes.select(*by, F.when(d == m, F.lit(default)).otherwise(d > m).alias("day_first"), "votes_day", "votes_month",
+                        (d != m).alias("decided"))
+
+
+def parse_times(df: DataFrame, col: str, out: str, by: Sequence[str] = (), default: bool = False) -> DataFrame:
+    """P-06 applied: ``out`` from the text column ``col`` in the voted order, and
+    ``decided`` (false where the order is only the default)."""
+    votes = day_order(df, col, by, default).select(*[F.col(b).alias(f"_{b}") for b in by], "day_first", "decided")
+    on = F.lit(True)
+    for b in by:
+        on = on & df[b].eqNullSafe(votes[f"_{b}"])
+    joined = df.join(votes if by else F.broadcast(votes), on, "left" if by else "cross")  # one row without groups
+    return joined.withColumn(out, to_timestamp_any(col, day_first=F.col("day_first"))).drop("day_first", *[f"_{b}" for b in by])
 
 
 def to_time_index(df: DataFrame, col: str = "date", out: str = "ts", sort: bool = False) -> DataFrame:
-    """P-17: parse ``col`` to a UTC timestamp column ``out`` (a column that is
-    already a timestamp or date is only cast); with ``sort`` the rows are ordered
+    """P-17: parse ``col`` to a UTC timestamp column ``out`` in the order of day and
+    month that the column votes for (a column that is already a timestamp or date
+    is only cast); with ``sort`` the rows are ordered
     by time (an export-edge total order; inside a pipeline order is by window)."""
     from pyspark.sql import types as T
     dt = df.schema[col].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         ts = F.col(col).cast("timestamp")
     else:
-        ts = to_timestamp_any(col)
+        voted = parse_times(df, col, "_ts").drop("decided")
+        res = voted.drop(col).withColumnRenamed("_ts", out) if out != col else voted.drop(col).withColumnRenamed("_ts", col)
+        return res.orderBy(out) if sort else res
     res = df.withColumn(out, ts)
     if out != col:
         res = res.drop(col)

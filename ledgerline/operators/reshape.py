@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -67,11 +67,15 @@ def pivot_unique(df: DataFrame, index: Sequence[str], column: str, value: str,
 
 def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, values: Sequence | None,
                 order: Sequence[str]) -> DataFrame:
-    """R-04: long -> wide keeping the first value (by ``order``) of duplicate pairs;
-    ``values=None``: a column for every value that the table has."""
+    """R-04: long -> wide keeping the first value (by ``order``) of duplicate pairs,
+    rows without a value passed over; ``values=None``: a column for every value that the table has."""
     values = column_values(df, column) if values is None else values
-    o = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(*index).pivot(column, list(values)).agg(F.min_by(value, o))
+    return df.groupBy(*index).pivot(column, list(values)).agg(first_value(value, order))
+
+
+def first_value(value: str, order: Sequence[str]) -> Column:
+    """Aggregate: the first value by ``order`` that isn't NULL (``min_by`` would take a NULL value of the first row)."""
+    return F.min_by(value, F.when(F.col(value).isNotNull(), F.struct(*[F.col(c) for c in order])))
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, value: str) -> DataFrame:
@@ -80,12 +84,14 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str,
 
 
 def transpose_series(df: DataFrame, series: str, columns: Sequence[str], name: str,
-                     values: Sequence | None = None, value: str = "value") -> DataFrame:
+                     values: Sequence | None = None, value: str = "value", order: Sequence[str] = ()) -> DataFrame:
     """R-05: series-as-rows / dates-as-columns -> dates as rows, one column per
-    series (unpivot, then pivot with first); without ``values`` every series."""
+    series (unpivot, then pivot); without ``values`` every series. Of a series that
+    has several rows the first value by ``order`` counts (without ``order`` the
+    smallest), NULL only where no row has one."""
     values = column_values(df, series) if values is None else values
-    long = unpivot(df, [series], columns, name, value)
-    return long.groupBy(name).pivot(series, list(values)).agg(F.first(value))
+    long = unpivot(df, [series, *order], columns, name, value)
+    return long.groupBy(name).pivot(series, list(values)).agg(first_value(value, order or [value]))
 
 
 def map_rows_with_fallback(df: DataFrame, ids: Sequence[str], map_col: str, total: Column,
@@ -141,3 +147,15 @@ def group_pivot(df: DataFrame, group: Sequence[str], rank_col: str, ranks: Seque
             src = f"{r}_{n}" if len(aggs) > 1 else str(r)
             ren[src] = f"{n}_{r}"
     return wide.withColumnsRenamed(ren)
+
+
+def ranked_pivot(df: DataFrame, group: Sequence[str], rank_by: str, most: int, aggs: dict[str, Column]) -> DataFrame:
+    """A-10: per (group, ``rank_by``) aggregates, then the first ``most`` by rank as
+    columns ``<name>_<rank>``: a group whose values are 1, 2, 5 has ranks 1, 2, 3.
+    The ranks are over the aggregated rows, a few a group."""
+    per = df.where(F.col(rank_by).isNotNull()).groupBy(*group, rank_by).agg(*[c.alias(n) for n, c in aggs.items()])
+    rank = F.dense_rank().over(Window.partitionBy(*group).orderBy(rank_by))
+    firsts = per.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    wide = firsts.groupBy(*group).agg(*[F.max(F.when(F.col("_rank") == r, F.col(n))).alias(f"{n}_{r}")
+                                        for r in range(1, most + 1) for n in aggs])
+    return wide

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -82,11 +84,19 @@ def label_share(df: DataFrame, label: str) -> DataFrame:
 def keyword_mentions(df: DataFrame, text_cols: Sequence[str], tickers: Sequence[str]) -> DataFrame:
     """A-12: word-boundary mentions per ticker in upper-cased text, every tracked
     ticker present (zeros included). Tokens are matched to the (small, literal)
-    ticker list right after the split, so only hits are shuffled."""
+    ticker list right after the split, so only hits are shuffled; tickers with
+    other than word characters (``BRK.B``) are counted in the text by the escaped
+    ticker between word boundaries, in one aggregate."""
     spark = df.sparkSession
     combined = F.upper(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
+    odd = [t for t in tickers if not re.fullmatch(r"\w+", t)]
     toks = df.select(F.explode(F.split(combined, WORD_SPLIT)).alias("ticker"))
     hits = toks.filter(F.col("ticker").isin(*tickers)).groupBy("ticker").agg(F.count(F.lit(1)).alias("mentions"))
+    if odd:
+        edge = lambda t: "\\b" + re.escape(t) + "\\b"
+        counts = df.agg(*[F.sum(F.regexp_count(combined, F.lit(edge(t)))).alias(f"t{i}") for i, t in enumerate(odd)])
+        pairs = F.array(*[F.struct(F.lit(t).alias("ticker"), F.col(f"t{i}").alias("mentions")) for i, t in enumerate(odd)])
+        hits = hits.unionByName(counts.select(F.inline(pairs)))
     tracked = spark.createDataFrame([(t,) for t in tickers], "ticker string")
     return tracked.join(hits, "ticker", "left").select("ticker", F.coalesce("mentions", F.lit(0)).cast("long")
                                                         .alias("mentions"))

@@ -10,6 +10,7 @@ from ledgerline.operators import bars as B
 from ledgerline.operators import clean as CL
 from ledgerline.operators import reshape as RS
 from ledgerline.operators import topk as TK
+from ledgerline.operators.quantiles import exact_median
 from ledgerline.plans import fixtures as fx
 from ledgerline.plans.registry import duck_round, query, rounded
 from ledgerline.sources import lake as LK
@@ -36,11 +37,12 @@ SELECT l_returnflag, l_linestatus, round(median(l_discount), 6) AS median_discou
 def a09(spark, sf):
     """A-09: exact median, sums (0 when all missing), first snapshot per group."""
     li = T(spark, sf, "lineitem")
-    out = li.groupBy("l_returnflag", "l_linestatus").agg(
-        F.median("l_discount").alias("median_discount"),
+    keys = ["l_returnflag", "l_linestatus"]
+    sums = li.groupBy(*keys).agg(
         F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("sum_qty"),
         F.coalesce(F.sum("l_extendedprice"), F.lit(0.0)).alias("sum_price"),
         F.min("l_shipdate").alias("first_ship"))
+    out = exact_median(li, keys, "l_discount", "median_discount").join(sums, keys)
     return rounded(out, money=("sum_qty", "sum_price"))
 
 
@@ -523,7 +525,7 @@ def p14(spark, sf):
 
 
 @query("p15_numeric_share", "SELECT " + ", ".join(
-    f"round(count(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)) / count(CAST({c} AS VARCHAR)), 6) AS {c}"
+    f"round(count(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)) / count(*), 6) AS {c}"
     for c in ["event_id", "ts", "user_id", "event_type", "value", "props"]) + " FROM events")
 def p15(spark, sf):
     return rounded(CL.numeric_share(T(spark, sf, "events")))
@@ -538,7 +540,7 @@ def p16(spark, sf):
 SELECT o_orderkey, CAST(strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS TIMESTAMP) AS ts FROM orders""")
 def p17(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
-    return o.select("o_orderkey", CL.to_timestamp_any("date").cast("timestamp_ntz").alias("ts"))
+    return CL.to_time_index(o, "date").select("o_orderkey", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query("p18_derived_columns", """

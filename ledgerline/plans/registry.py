@@ -80,7 +80,7 @@ def naive_timestamps(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import every query module so that their decorators register."""
-    from ledgerline.plans import q_series, q_text, q_panel, q_sources, q_files, q_lake, q_models  # noqa: F401
+    from ledgerline.plans import q_series, q_text, q_panel, q_sources, q_files, q_cases, q_lake, q_models  # noqa: F401
 
 
 def sig_round(c, digits: int = 9):
