@@ -69,39 +69,47 @@ def strategy_aggs(r: Column, risk_free_rate: float = 0.0) -> list[Column]:
     ]
 
 
+def order_free_metrics(pred: DataFrame, group: Sequence[str] = (), actual="actual", prediction="prediction",
+                       risk_free_rate: float = 0.0) -> DataFrame:
+    """M-10..M-15, M-18: one aggregate with map-side partials, in any order of the rows."""
+    y, p = F.col(actual), F.col(prediction)
+    return pred.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *forecast_aggs(y, p),
+                                    *strategy_aggs(y * F.signum(p), risk_free_rate))
+
+
+def curve_metrics(pred: DataFrame, group: Sequence[str] = (), actual="actual", prediction="prediction",
+                  order: Sequence[str] = ("ts",), chunk_rows: int = sq.DEFAULT_CHUNK_ROWS,
+                  others: Sequence[Column] = ()) -> DataFrame:
+    """M-16, M-17, M-19: the metrics of the compounded curve, for each group; ``others`` are aggregates over
+    the same rows (``_r`` is the strategy return)."""
+    if len(order) > 2:
+        raise ValueError("order supports at most two columns (time, tie-break)")
+    rows = pred.select(*group, *order, actual, prediction, (F.col(actual) * F.signum(F.col(prediction))).alias("_r"))
+    key = list(group) or ["_all"]
+    if not group:
+        rows = rows.withColumn("_all", F.lit(0))
+    curve = cumulative_curve(rows, "_r", key, ts=order[0], tiebreak=order[1] if len(order) > 1 else None,
+                             cum="_cum", drawdown="_dd", chunk_rows=chunk_rows)
+    last_cum = F.max_by("_cum", F.struct(*[F.col(o) for o in order]))
+    mdd = F.coalesce(F.min("_dd") * 100, F.lit(0.0))
+    ann = F.try_subtract(F.pow(last_cum, F.lit(float(ANNUAL)) / F.count(F.lit(1))), F.lit(1.0)) * 100
+    calmar = F.when(F.abs(mdd) == 0, F.lit(0.0)).otherwise(F.when(~F.isnan(ann), ann / F.abs(mdd)))
+    out = curve.groupBy(*key).agg(*others, mdd.alias("max_drawdown"), calmar.alias("calmar_ratio"),
+                                  ((last_cum - 1) * 100).alias("total_return"))
+    return out if group else out.drop("_all")
+
+
 def all_metrics(pred: DataFrame, group: Sequence[str] = (), actual="actual", prediction="prediction",
                 order: Sequence[str] = ("ts",), risk_free_rate: float = 0.0,
                 chunk_rows: int = sq.DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """M-20: every metric of ``calculate_all_metrics`` for each group, one row per group.
+    """M-20: every metric of ``calculate_all_metrics`` for each group, one row per group, in one pass over the
+    rows of the curve.
 
     ``order`` orders the compounded curve inside a group (make it total, e.g.
     ``('ts', 'asset')`` for a pooled curve over several assets)."""
-    group = list(group)
     y, p = F.col(actual), F.col(prediction)
-    rows = pred.withColumn("_r", y * F.signum(p))
-    key = group if group else ["_all"]
-    if not group:
-        rows = rows.withColumn("_all", F.lit(0))
-    curve = cumulative_curve(rows, "_r", key, ts=order[0], tiebreak=None if len(order) == 1 else order[1],
-                             cum="_cum", drawdown="_dd", chunk_rows=chunk_rows) \
-        if len(order) <= 2 else None
-    if curve is None:
-        raise ValueError("order supports at most two columns (time, tie-break)")
-    last_cum = F.max_by("_cum", F.struct(*[F.col(o) for o in order]))
-    n = F.count(F.lit(1))
-    mdd = F.coalesce(F.min("_dd") * 100, F.lit(0.0))
-    ann = F.try_subtract(F.pow(last_cum, F.lit(float(ANNUAL)) / n), F.lit(1.0)) * 100
-    calmar = F.when(F.abs(mdd) == 0, F.lit(0.0)).otherwise(
-        F.when(~F.isnan(ann), ann / F.abs(mdd)))
-    out = curve.groupBy(*key).agg(
-        n.alias("n"),
-        *forecast_aggs(y, p),
-        *strategy_aggs(F.col("_r"), risk_free_rate),
-        mdd.alias("max_drawdown"),
-        calmar.alias("calmar_ratio"),
-        ((last_cum - 1) * 100).alias("total_return"),
-    )
-    return out.drop("_all") if not group else out
+    free = [F.count(F.lit(1)).alias("n"), *forecast_aggs(y, p), *strategy_aggs(F.col("_r"), risk_free_rate)]
+    return curve_metrics(pred, group, actual, prediction, order, chunk_rows, free)
 
 
 # ---- classification (M-21..M-25) ---------------------------------------------

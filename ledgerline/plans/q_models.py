@@ -317,10 +317,10 @@ def e01(spark, sf):
     return rounded(out.select("asset", "ts", *cols))
 
 
-@query("e02_ema", f"WITH {FEATURES_CTE} SELECT asset, ts, round(ema12, 6) AS ema_12 FROM f")
+@query("e02_ema", f"WITH {FEATURES_CTE} SELECT asset, ts, round(ema12, 6) AS ema_12, round(ema26, 6) AS ema_26 FROM f")
 def e02(spark, sf):
     out = FT.extended_features(bars(spark, sf), gaps=False)
-    return rounded(out.select("asset", "ts", "ema_12"))
+    return rounded(out.select("asset", "ts", "ema_12", "ema_26"))
 
 
 @query("e07_day_of_week_encoding", f"""

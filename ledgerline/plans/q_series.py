@@ -37,7 +37,7 @@ e AS (SELECT *,
 m AS (SELECT *, ema12 - ema26 AS macd FROM e),
 s AS (SELECT *, pow(0.8, rn) * sum(CASE WHEN rn = 0 THEN macd ELSE 0.2 * macd END * pow(0.8, -rn))
        OVER (PARTITION BY asset ORDER BY rn) AS macd_signal FROM m),
-f0 AS (SELECT asset, ts, rn, n, open, high, low, close, volume, log_return, ema12,
+f0 AS (SELECT asset, ts, rn, n, open, high, low, close, volume, log_return, ema12, ema26,
   CASE WHEN count(log_return) OVER w20 = 20 THEN stddev_samp(log_return) OVER w20 END AS volatility_20,
   CASE WHEN count(gain) OVER w14 = 14 THEN avg(gain) OVER w14 END AS g,
   CASE WHEN count(loss) OVER w14 = 14 THEN avg(loss) OVER w14 END AS l,
@@ -428,13 +428,13 @@ def m07(spark, sf):
 
 # ---- M: forecast metrics -----------------------------------------------------
 
-def _metrics_sql(group: list[str], order: str) -> str:
+def _metrics_sql(group: list[str], order: str, ctes: str | None = None, rows: str = "p") -> str:
     g = ", ".join(group)
     gsel = (g + ", ") if group else ""
     part = f"PARTITION BY {g}" if group else ""
     return f"""
-WITH {PRED_CTE},
-q AS (SELECT {gsel} ts, asset, prediction AS p, actual AS y, actual * sign(prediction) AS r FROM p),
+WITH {ctes or PRED_CTE},
+q AS (SELECT {gsel} ts, asset, prediction AS p, actual AS y, actual * sign(prediction) AS r FROM {rows}),
 c AS (SELECT *, product(1 + r) OVER ({part} ORDER BY {order}) AS cum FROM q),
 d AS (SELECT *, (cum - max(cum) OVER ({part} ORDER BY {order})) / max(cum) OVER ({part} ORDER BY {order}) AS dd FROM c),
 a AS (SELECT {gsel} count(*) AS n, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
@@ -475,28 +475,23 @@ def m20p(spark, sf):
                         keep=("calmar_ratio", "total_return")))
 
 
-@query("m08_backtest_fold_metrics", f"""
-WITH {PRED_CTE},
+def _fold_metrics_sql():
+    """The metrics of every fold, from the same SQL as those of an asset."""
+    folds = f"""{PRED_CTE},
 i AS (SELECT *, row_number() OVER (PARTITION BY asset ORDER BY ts) - 1 AS rn, count(*) OVER (PARTITION BY asset) AS n FROM p),
 k AS (SELECT *, unnest(range(0, CAST(floor((n - 300) / 100) AS BIGINT) + 1)) AS fold FROM i WHERE n >= 300),
-t AS (SELECT asset, ts, CAST(fold AS INTEGER) AS fold, prediction AS p, actual AS y, actual * sign(prediction) AS r
-      FROM k WHERE rn >= fold * 100 + 200 AND rn < fold * 100 + 300),
-c AS (SELECT *, product(1 + r) OVER (PARTITION BY fold ORDER BY ts, asset) AS cum FROM t),
-d AS (SELECT *, (cum - max(cum) OVER (PARTITION BY fold ORDER BY ts, asset)) / max(cum) OVER (PARTITION BY fold ORDER BY ts, asset) AS dd FROM c)
-SELECT fold, count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
-  round(avg(CASE WHEN sign(y) = sign(p) THEN 1.0 ELSE 0.0 END), 6) AS direction_accuracy,
-  round(CASE WHEN stddev_pop(r) = 0 THEN 0.0 ELSE avg(r) / stddev_pop(r) * sqrt(252) END, 6) AS sharpe_ratio,
-  round(coalesce(min(dd) * 100, 0.0), 6) AS max_drawdown,
-  {sig_round_sql("(arg_max(cum, (ts, asset)) - 1) * 100")} AS total_return
-FROM d GROUP BY fold""")
+pf AS (SELECT asset, ts, CAST(fold AS INTEGER) AS fold, prediction, actual
+       FROM k WHERE rn >= fold * 100 + 200 AND rn < fold * 100 + 300)"""
+    return _metrics_sql(["fold"], "ts, asset", ctes=folds, rows="pf")
+
+
+@query("m08_backtest_fold_metrics", _fold_metrics_sql())
 def m08(spark, sf):
-    """M-08: walk-forward backtest of the persistence forecast; metrics per fold on
+    """M-08: walk-forward backtest of the persistence forecast; all metrics per fold on
     the test rows, all folds of all assets in one job."""
     folds = SP.walk_forward_split(predictions(spark, sf), 200, 100, 100)
     test = folds.filter(F.col("role") == "test")
-    m = M.all_metrics(test, group=["fold"], order=("ts", "asset"))
-    return _sig(rounded(m.select("fold", "n", "mae", "rmse", "direction_accuracy", "sharpe_ratio", "max_drawdown",
-                                 "total_return"), keep=("total_return",)))
+    return _sig(rounded(M.all_metrics(test, group=["fold"], order=("ts", "asset")), keep=("calmar_ratio", "total_return")))
 
 
 @query("m26_batch_forecast_top10", f"""
@@ -533,7 +528,9 @@ def _metric_query(name, cols, doc):
     sql = f"SELECT asset, {', '.join(cols)} FROM ({_metrics_sql(['asset'], 'ts')})"
 
     def fn(spark, sf):
-        m = M.all_metrics(predictions(spark, sf), group=["asset"], order=("ts",)).select("asset", *cols)
+        of_curve = {"max_drawdown", "calmar_ratio", "total_return"} & set(cols)
+        metrics = M.curve_metrics if of_curve else M.order_free_metrics
+        m = metrics(predictions(spark, sf), group=["asset"]).select("asset", *cols)
         return _sig(rounded(m, keep=("calmar_ratio", "total_return")))
     fn.__doc__ = doc
     query(name, sql)(fn)
