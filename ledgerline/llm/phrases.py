@@ -16,8 +16,8 @@ from ledgerline.llm.base import cut
 #: Columns of the longest window.
 WORDS = ("w1", "w2", "w3", "w4")
 SCALE = 2000000
-#: Pairs of neighbouring words are counted in 2^PAIR_BITS buckets; one bit for each (16 MB) is broadcast.
-PAIR_BITS = 27
+#: Pairs and triples of neighbouring words are counted in 2^GRAM_BITS buckets; a bit for each (16 MB) is broadcast.
+GRAM_BITS = 27
 #: A worker gathers about so many bytes of text before it counts (a longer text is gathered alone).
 GATHER = 3 << 19
 #: Ranking takes the first rows of this many parts of a language before those of the language.
@@ -52,52 +52,73 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[byte
         yield words(lang)
 
 
-def pair_buckets(lang: str, words: list[bytes], ids: np.ndarray) -> np.ndarray:
-    """Bucket of each word and the next one, -1 where a piece ends between."""
-    import pandas as pd
-
-    h = pd.util.hash_array(np.array([lang.encode(), b"", *words[2:]], dtype=object), categorize=False)
-    seed, h = h[0], np.append(np.uint64(0), h[2:])
-    with np.errstate(over="ignore"):
-        mixed = h[ids[:-1]] * np.uint64(0x9E3779B97F4A7C15) + h[ids[1:]] + seed
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.where((ids[:-1] > 0) & (ids[1:] > 0), (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64), -1)
-
-
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
-    """Bits of the buckets that hold ``least`` pairs or more, as bytes: of fixed size, whatever the input.
-
-    A bucket's count is never below that of a pair in it, so a pair whose bit is unset occurs less often.
+class Grams:
+    """Buckets of the sequences of neighbouring words in one gathered text."""
+
+    def __init__(self, lang: str, words: list[bytes], ids: np.ndarray):
+        import pandas as pd
+
+        h = pd.util.hash_array(np.array([lang.encode(), b"", *words[2:]], dtype=object), categorize=False)
+        self.seed, self.hash, self.ids = h[0], np.append(np.uint64(0), h[2:])[ids], ids
+
+    def buckets(self, k: int) -> np.ndarray:
+        """Bucket of the ``k`` words from each place on."""
+        mixed = np.full(len(self.ids), self.seed)
+        with np.errstate(over="ignore"):
+            for j in range(k):
+                later = np.append(self.hash[j:], np.zeros(min(j, len(self.ids)), np.uint64))
+                mixed = (mixed + later) * np.uint64(0x9E3779B97F4A7C15)
+                mixed ^= mixed >> np.uint64(29)
+            mixed = mixed * np.uint64(0xBF58476D1CE4E5B9)
+        return (mixed >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+
+    def possible(self, k: int, known: dict[int, np.ndarray]) -> np.ndarray:
+        """Places where ``k`` words stand in one piece and no shorter sequence inside, as far as ``known``, is
+        too rare."""
+        ok = self.ids > 0
+        for j in range(1, k):
+            ok = ok & np.append(self.ids[j:] > 0, np.zeros(min(j, len(ok)), bool))
+        for n, bits in known.items():
+            if n <= k:
+                b = self.buckets(n)
+                often = (bits[b >> 3] >> (b & 7).astype(np.uint8) & 1) > 0
+                for j in range(k - n + 1):
+                    ok = ok & np.append(often[j:], np.zeros(min(j, len(ok)), bool))
+        return ok
+
+
+def frequent_grams(texts: DataFrame, k: int, least: int, known) -> np.ndarray:
+    """Bits of the buckets that hold ``least`` sequences of ``k`` words or more, as bytes: of fixed size,
+    whatever the input. Only sequences that the shorter ones ``known`` leave possible are counted.
+
+    A bucket's count is never below that of a sequence in it, so one whose bit is unset occurs less often.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids in gathered(batches):
-            b, n = np.unique(pair_buckets(lang, words, ids), return_counts=True)
+            g = Grams(lang, words, ids)
+            b, n = np.unique(g.buckets(k)[g.possible(k, known.value)], return_counts=True)
             yield pa.record_batch([pa.array(b), pa.array(n)], names=["b", "n"])
 
-    sums = texts.mapInArrow(run, "b long, n long").where("b >= 0").groupBy("b").agg(F.sum("n").alias("n"))
+    sums = texts.mapInArrow(run, "b long, n long").groupBy("b").agg(F.sum("n").alias("n"))
     blocks = sums.where(F.col("n") >= least).groupBy(F.shiftright("b", 15).alias("block")) \
         .agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
-    bits = np.zeros((1 << PAIR_BITS >> 15, 1 << 12), dtype=np.uint8)
+    bits = np.zeros((1 << GRAM_BITS >> 15, 1 << 12), dtype=np.uint8)
     for r in blocks.toLocalIterator():
         bits[r.block] = np.frombuffer(r.bits, dtype=np.uint8)
     return bits.reshape(-1)
 
 
-def windows(texts: DataFrame, pairs) -> DataFrame:
+def windows(texts: DataFrame, known) -> DataFrame:
     """lang, w1..w4, c: for every word the window that starts there. It is padded with NULL from where its
-    piece ends, or from the first pair that ``pairs`` shows to be too rare for any phrase that holds it.
+    piece ends, or from the first word up to which ``known`` shows it to be too rare for any phrase.
 
     The lead columns are the numbered words of a text shifted by one, two and three places.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = pairs.value
         for lang, words, ids in gathered(batches):
-            b = pair_buckets(lang, words, ids)
-            go = np.append((b >= 0) & (bits[b >> 3] >> (b & 7).astype(np.uint8) & 1 > 0), np.zeros(len(WORDS), bool))
-            lead, on = [ids], np.ones(len(ids), bool)
-            for k in range(1, len(WORDS)):
-                on = on & go[k - 1:k - 1 + len(ids)]
-                lead.append(np.where(on, np.append(ids[k:], np.zeros(min(k, len(ids)), np.int64)), 0))
+            g = Grams(lang, words, ids)
+            lead = [np.where(g.possible(k + 1, known.value), np.append(ids[k:], np.zeros(min(k, len(ids)), np.int64)), 0)
+                    for k in range(len(WORDS))]
             here = ids > 0
             left, right = (np.unique(lead[k][here] * len(words) + lead[k + 1][here], return_inverse=True) for k in (0, 2))
             both, n = np.unique(left[1] * max(1, len(right[0])) + right[1], return_counts=True)
@@ -117,8 +138,10 @@ def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         F.col(text_col).cast("string").cast("binary").alias("text"))
-    pairs = spark.sparkContext.broadcast(frequent_pairs(texts, least))
-    longest = windows(texts, pairs).groupBy("lang", *WORDS).agg(F.sum("c").alias("c"))
+    known = {}
+    for k in (2, 3):
+        known[k] = frequent_grams(texts, k, least, spark.sparkContext.broadcast(dict(known)))
+    longest = windows(texts, spark.sparkContext.broadcast(known)).groupBy("lang", *WORDS).agg(F.sum("c").alias("c"))
     rolled = spark.sql("SELECT lang, w1, w2, w3, w4, grouping_id() AS g, sum(c) AS f "
                        "FROM {longest} GROUP BY lang, ROLLUP (w1, w2, w3, w4)", longest=longest)
     size = sum((F.col("g").bitwiseAND(1 << i) == 0).cast("int") for i in range(len(WORDS)))
@@ -141,10 +164,10 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, text_col: st
     bytes.
 
     Every word's longest window is counted once; one ROLLUP sums the counts of all shorter phrases, which
-    are prefixes of windows. Before that, counts of word pairs in a fixed number of buckets show which
-    pairs stay below ``least``: a window ends before such a pair, as no phrase that holds it counts. The
-    bits are one-sided, so counts are exact; with very many words all bits are set and windows are only
-    longer. Phrases that pass are joined with their parts and their longer phrases by key.
+    are prefixes of windows. Before that, counts of word pairs, then triples, in a fixed number of buckets
+    show which of them stay below ``least``: a window ends before such a one is whole, as no phrase that
+    holds it counts. The bits are one-sided, so counts are exact; with very many words all bits are set and
+    windows are only longer. Phrases that pass are joined with their parts and their longer phrases by key.
 
     A null text is empty, a null lang ``und``. A text without words gives nothing, nor does an empty table.
     Repeated rows count as often as they occur. A text of any length is counted as a whole, in one task

@@ -56,8 +56,8 @@ def test_phrases_of_small_batches_and_full_sketch(spark, monkeypatch):
     df = spark.createDataFrame(rows, "lang string, text string, phrase int").repartition(3)
     want = brute_phrases([r[:2] for r in rows], 2, 50)
     assert sorted(map(tuple, phrases.collocations(df, 2, 50).collect())) == want
-    all_set = np.full(1 << phrases.PAIR_BITS >> 3, 255, np.uint8)
-    monkeypatch.setattr(phrases, "frequent_pairs", lambda *_: all_set)  # nothing pruned: the same counts
+    all_set = np.full(1 << phrases.GRAM_BITS >> 3, 255, np.uint8)
+    monkeypatch.setattr(phrases, "frequent_grams", lambda *_: all_set)  # nothing pruned: the same counts
     assert sorted(map(tuple, phrases.collocations(df, 2, 50).collect())) == want
 
 
