@@ -2,8 +2,8 @@
 
 The forecaster is re-aimed on Spark ML: one gradient-boosted tree model per
 asset class trained on the pooled panel of per-asset features (never features
-computed across assets). Training is distributed by Spark ML; no driver loop
-over assets or folds.
+computed across assets). Training is distributed by Spark ML; classes, few by a
+stated limit, are fitted a few at a time.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.features import FEATURE_COLUMNS
 from ledgerline.operators.reshape import latest
 from ledgerline.plans import sequence as sq
+from ledgerline.session import cut_lineage
 
 
 def train_panel_model(train: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "target",
@@ -85,3 +86,90 @@ def portfolio_forecast(features: DataFrame, weights: DataFrame, prediction: str,
                             (F.col(prediction) * F.col("weight")).alias("contribution"))
     total = contrib.select(F.sum("contribution")).scalar()
     return contrib.withColumn("portfolio_return", total)
+
+
+# ---- M-06: one model per class --------------------------------------------------------
+
+def train_class_models(train: DataFrame, class_col: str, path: str, features: Sequence[str] = FEATURE_COLUMNS,
+                       label: str = "target", task: str = "regression", pool: int = 4, most: int = 64,
+                       least_rows: int = 50, **settings) -> DataFrame:
+    """M-06: a fitted ``PipelineModel`` for each class of ``class_col``, saved under ``path`` by its class, and
+    the model table (class, path, rows, task), kept there as Parquet and returned.
+
+    Features are computed once (the complete rows are checkpointed); the classes are fitted by at most
+    ``pool`` Spark ML jobs at a time, each distributed. A class of fewer than ``least_rows`` complete rows
+    gets no model; more than ``most`` classes are an error, since every class is a training run. Rows
+    without a class belong to none.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    from urllib.parse import quote
+
+    from pyspark import inheritable_thread_target
+
+    spark = train.sparkSession
+    rows = cut_lineage(train.select(class_col, *features, label).na.drop(how="any"))
+    sizes = rows.groupBy(class_col).agg(F.count("*").alias("n")).where(F.col("n") >= least_rows)
+    found = {r[0]: r[1] for r in sizes.orderBy(class_col).limit(most + 1).collect()}
+    if len(found) > most:
+        raise ValueError(f"more than {most} classes to fit")
+
+    def fit(name):
+        model = train_panel_model(rows.where(F.col(class_col) == F.lit(name)), features, label, task, **settings)
+        to = f"{path}/class={quote(str(name), safe='')}"
+        model.write().overwrite().save(to)
+        return name, to
+    with ThreadPoolExecutor(pool) as workers:
+        places = list(workers.map(inheritable_thread_target(spark)(fit), found))
+    kind = rows.schema[class_col].dataType.simpleString()
+    table = spark.createDataFrame([(n, p, found[n], task) for n, p in places],
+                                  f"`{class_col}` {kind}, path string, rows long, task string")
+    table.write.mode("overwrite").parquet(f"{path}/models")
+    return spark.read.parquet(f"{path}/models")
+
+
+def score_by_class(rows: DataFrame, models: DataFrame, class_col: str,
+                   features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
+    """Complete rows scored by the saved model of their own class; classes without a model give no rows. The
+    model table has one row a class, which is bounded where it is made."""
+    from functools import reduce
+
+    from pyspark.ml import PipelineModel
+
+    known = models.collect()
+    if not known:
+        return rows.where("false").withColumn("prediction", F.lit(None).cast("double"))
+    parts = [predict(PipelineModel.load(m["path"]), rows.where(F.col(class_col) == F.lit(m[class_col])), features)
+             for m in known]
+    return reduce(lambda a, b: a.unionByName(b), [p.select(*rows.columns, "prediction") for p in parts])
+
+
+# ---- M-09: feature-vector windows ------------------------------------------------------
+
+def write_window_store(df: DataFrame, path: str, values: Sequence[str], lookback: int, target: str, key="asset", ts="ts",
+                       tiebreak=None, chunk_rows: int = 1024) -> None:
+    """M-09: the rows of every series as arrays of ``chunk_rows`` feature vectors with the ``lookback`` - 1 rows
+    before them, so that any window lies in one row of the store; windows are slices at read, and the
+    ``lookback``-fold copies are never written. Rows without a key belong to no series. A chunk's arrays are bounded by ``chunk_rows + lookback``."""
+    keys = sq._cols(key)
+    ix = sq.with_row_index(df.select(*keys, ts, *([tiebreak] if tiebreak else []), *values, target), key,
+                           [ts] + ([tiebreak] if tiebreak else []))
+    laid = sq.with_halo(ix, back=lookback - 1, chunk_rows=chunk_rows)
+    row = F.struct(F.col(sq.RN).alias("rn"), F.col(sq.HOME).alias("home"), F.col(ts).alias("ts"),
+                   F.array(*[F.col(v).cast("double") for v in values]).alias("x"), F.col(target).cast("double").alias("y"))
+    store = laid.groupBy(*keys, F.col(sq.CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(row)).alias("_r"))
+    part = lambda f: F.transform("_r", lambda r: r[f])
+    store.select(*keys, "chunk", F.array_position(part("home"), True).alias("first"), part("ts").alias("ts"),
+                 part("x").alias("x"), part("y").alias("y")).write.parquet(path)
+
+
+def read_windows(spark, path: str, lookback: int, key="asset") -> DataFrame:
+    """Windows of a store: (key, ts, window, target), ``window`` the last ``lookback`` feature vectors up to the
+    row, oldest first; only full windows without a missing value. The store's own look-back is the longest
+    that can be read."""
+    s = spark.read.parquet(path)
+    at = s.select(*sq._cols(key), "ts", "x", "y", F.explode(F.sequence(F.col("first").cast("int"), F.size("x"))).alias("_i"))
+    window = F.slice("x", F.col("_i") - (lookback - 1), lookback)
+    full = F.forall("window", lambda v: F.forall(v, lambda e: e.isNotNull()))
+    return at.where(F.col("_i") >= lookback).select(
+        *sq._cols(key), F.element_at("ts", F.col("_i")).alias("ts"), window.alias("window"),
+        F.element_at("y", F.col("_i")).alias("target")).where(full)

@@ -10,7 +10,14 @@ from ledgerline.operators import reshape as RS
 from ledgerline.operators import text_ops as TO
 from ledgerline.operators.quantiles import exact_median
 from ledgerline.plans import fixtures as fx
-from ledgerline.plans.registry import query, rounded
+from ledgerline.plans.registry import duck_round, query, rounded
+from ledgerline.plans.q_models import _class_features, CLASS_SQL
+from ledgerline.plans.q_series import FEATURES_CTE, bars
+from ledgerline.operators import features as FT
+from ledgerline.operators import models as MD
+from ledgerline.operators import splits as SP
+from ledgerline.sources import ingest as IN
+from ledgerline.sources.lake import scratch_path
 
 
 def _s(c):
@@ -111,3 +118,85 @@ def a09_large_groups(spark, sf):
     li = fx.table(spark, sf, "lineitem")
     counts = li.groupBy("l_returnflag").agg(F.count("*").alias("n"))
     return exact_median(li, ["l_returnflag"], "l_extendedprice", "median_price", most=1000).join(counts, "l_returnflag")
+
+
+# ---- S-34, S-35: the ingest log -----------------------------------------------------------------
+
+DAYS_SQL = "floor((epoch(ts) - (SELECT epoch(min(ts)) FROM events)) / 86400)"
+
+
+def _ingested(spark, sf):
+    """Three batches of events by time, the second run twice and once more under another name; data without a
+    commit lies beside them."""
+    ev = fx.table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
+    first = ev.select(F.min("ts")).scalar()
+    day = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(first.cast("timestamp"))) / 86400)
+    root = scratch_path(spark, "ingest")
+    key, order = ["event_type"], ["ts", "event_id"]
+    IN.ingest(spark, root, "a", ev.where(day < 5), key, order)
+    IN.ingest(spark, root, "b", ev.where((day < 9) & (F.col("event_type") != "error")), key, order)
+    IN.ingest(spark, root, "b", ev, key, order)           # in the log: adds nothing
+    IN.ingest(spark, root, "b2", ev.where((day < 9) & (F.col("event_type") != "error")), key, order)   # nothing new
+    ev.limit(5).write.parquet(f"{root}/data/batch=died")  # a run that ended before its commit
+    return root, ev
+
+
+@query("s34_ingest_log", f"""
+SELECT event_id, event_type, user_id, ts, CASE WHEN {DAYS_SQL} < 5 THEN 'a' WHEN {DAYS_SQL} < 9 AND event_type <> 'error' THEN 'b' ELSE 'c' END AS batch
+FROM events""")
+def s34_log(spark, sf):
+    """S-34: every row once, in the batch that first brought it, whatever was run again."""
+    root, ev = _ingested(spark, sf)
+    IN.ingest(spark, root, "c", ev, ["event_type"], ["ts", "event_id"])
+    return IN.committed(spark, root).select("event_id", "event_type", "user_id", "ts", "batch")
+
+
+@query("s35_gate_by_log", f"""
+WITH l AS (SELECT event_type, max(ts) AS t FROM events WHERE {DAYS_SQL} < 5 OR ({DAYS_SQL} < 9 AND event_type <> 'error') GROUP BY 1)
+SELECT DISTINCT event_type FROM events WHERE event_type NOT IN
+  (SELECT event_type FROM l WHERE t >= (SELECT max(t) FROM l) - INTERVAL 30 HOUR)""")
+def s35_log(spark, sf):
+    """S-35: event types whose mark in the log is over 30 hours behind the newest mark."""
+    root, ev = _ingested(spark, sf)
+    now = IN.ingest_log(spark, root).select(F.max("high_water.ts")).scalar()
+    return IN.stale(spark, root, ev, ["event_type"], now, 30, "ts")
+
+
+# ---- M-06, M-09 ---------------------------------------------------------------------------------
+
+def _class_scores(spark, sf):
+    rows = SP.single_train_test_split(_class_features(spark, sf), 0.8, indexed=False)
+    models = MD.train_class_models(rows.where("role = 'train'"), "asset_class", scratch_path(spark, "models"), max_iter=5, max_depth=3)
+    return MD.score_by_class(rows.where("role = 'test'").select("asset", "asset_class", "ts", "target", *FT.FEATURE_COLUMNS),
+                             models, "asset_class")
+
+
+@query("m06_class_models")
+def m06_class_models(spark, sf):
+    """M-06: one saved model per asset class, test rows scored by that of their own class."""
+    return _class_scores(spark, sf).select("asset_class", "asset", "ts", F.col("target").alias("actual"), "prediction")
+
+
+@query("m06_class_model_rows", f"""
+WITH {FEATURES_CTE} SELECT {CLASS_SQL} AS asset_class, asset, ts, round(target, 6) AS actual, TRUE AS has_prediction
+FROM f WHERE rn >= floor(n * 0.8) AND target IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL" for c in FT.FEATURE_COLUMNS)}""")
+def m06_class_rows(spark, sf):
+    """M-06: the rows that the class models are judged on."""
+    s = _class_scores(spark, sf).where("target IS NOT NULL")
+    return rounded(s.select("asset_class", "asset", "ts", F.col("target").alias("actual"), F.col("prediction").isNotNull().alias("has_prediction")))
+
+
+@query("m09_feature_windows", f"""
+WITH {FEATURES_CTE}, v AS (SELECT asset, ts, rn, target, [{", ".join(f"round({c}, 6)" for c in FT.FEATURE_COLUMNS)}] AS x,
+  {" AND ".join(f"{c} IS NOT NULL" for c in FT.FEATURE_COLUMNS)} AS whole FROM f),
+w AS (SELECT asset, ts, target, flatten(list(x) OVER w) AS "window", count(*) FILTER (whole) OVER w AS c FROM v
+  WINDOW w AS (PARTITION BY asset ORDER BY rn ROWS BETWEEN 15 PRECEDING AND CURRENT ROW))
+SELECT asset, ts, "window", round(target, 6) AS target FROM w WHERE c = 16""")
+def m09_feature_windows(spark, sf):
+    """M-09: windows of 16 vectors of all 14 features with the target, read back from a store of chunk arrays."""
+    f = FT.build_features(bars(spark, sf), horizon=1, gaps=False)
+    path = scratch_path(spark, "windows")
+    MD.write_window_store(f, path, FT.FEATURE_COLUMNS, 16, "target", chunk_rows=128)
+    w = MD.read_windows(spark, path, 16)
+    return w.select("asset", "ts", F.transform(F.flatten("window"), lambda x: duck_round(x, 6)).alias("window"),
+                    duck_round("target", 6).alias("target"))
