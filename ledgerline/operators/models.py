@@ -156,7 +156,9 @@ def write_window_store(df: DataFrame, path: str, values: Sequence[str], lookback
     laid = sq.with_halo(ix, back=lookback - 1, chunk_rows=chunk_rows)
     row = F.struct(F.col(sq.RN).alias("rn"), F.col(sq.HOME).alias("home"), F.col(ts).alias("ts"),
                    F.array(*[F.col(v).cast("double") for v in values]).alias("x"), F.col(target).cast("double").alias("y"))
-    store = laid.groupBy(*keys, F.col(sq.CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(row)).alias("_r"))
+    # rows before a chunk that the series doesn't reach make no chunk
+    store = laid.groupBy(*keys, F.col(sq.CHUNK).alias("chunk")).agg(
+        F.sort_array(F.collect_list(row)).alias("_r"), F.bool_or(sq.HOME).alias("_any")).where("_any")
     part = lambda f: F.transform("_r", lambda r: r[f])
     store.select(*keys, "chunk", F.array_position(part("home"), True).alias("first"), part("ts").alias("ts"),
                  part("x").alias("x"), part("y").alias("y")).write.parquet(path)
