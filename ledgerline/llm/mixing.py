@@ -3,13 +3,14 @@
 A naive Bayes text classifier, trained on the labelled table, gives every document a posterior over
 domains. Nonnegative document rates are fitted so that the expected tokens of each domain,
 ``sum(rate * tokens * posterior)``, meet the targets: projected gradient on the least-squares distance.
-Each step is one aggregate of as many sums as there are domains.
+Each step is one aggregate of a few sums for each pair of domains.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -42,6 +43,7 @@ class Mixture:
     targets: dict[str, float] = field(default_factory=dict)
     gradients: list[list[float]] = field(default_factory=list)
     sums: list[float] = field(default_factory=list)
+    gap: float = 0.0
 
     def posterior(self, docs: DataFrame, text_col: str, t: str, p: str) -> DataFrame:
         """Adds tokens (words, at least 1) as ``t`` and the posterior (array by domain) as ``p``.
@@ -97,14 +99,16 @@ def smoothed(sums: dict[str, float], alpha: float, keep_all: bool) -> dict[str,
 
 def fit_mixture(docs: DataFrame, labelled: DataFrame, domain_col: str = "domain", text_col: str = "text",
                 id_cols: tuple[str, ...] = (), weights: dict[str, float] | None = None, alpha: float = 0.7,
-                keep_all: bool = False, tolerance: float = 1e-6, max_steps: int = 60) -> tuple[Mixture, DataFrame]:
+                keep_all: bool = False, tolerance: float = 1e-6) -> tuple[Mixture, DataFrame]:
     """Fit on all rows; returns the mixture and ``id_cols``, tokens, posterior, rate for each row.
 
     ``labelled``: rows with ``text_col`` and ``domain_col``; null domains are left out. Domains must be
     few: each row carries a number for each. ``weights``: target share by domain (default: shares
     proportional to expected tokens to the power ``alpha``). Null and empty texts have the prior as
     posterior and one token. With fewer than two labelled domains, or no documents, all rates are 1.
-    Targets are met to ``tolerance`` relative to a domain's tokens, or as near as nonnegative rates allow.
+    Targets are met to ``tolerance`` relative to a domain's tokens, or as near as nonnegative rates allow;
+    what is left is the mixture's ``gap``. Repeated rows are documents of their own; a text of any length is
+    read whole, in its row.
     """
     rows = labelled.select(F.col(domain_col).cast("string").alias("domain"), F.col(text_col).alias("text")) \
         .where("domain IS NOT NULL")
@@ -120,12 +124,7 @@ def fit_mixture(docs: DataFrame, labelled: DataFrame, domain_col: str = "domain"
     scored = mix.posterior(docs.select(*id_cols, text_col), text_col, "tokens", "posterior")
     state = cut(scored.select(*id_cols, "tokens", "posterior", F.lit(1.0).alias("rate")))
 
-    def totals(df: DataFrame) -> list[float]:
-        row = df.agg(*[F.sum(F.col("rate") * F.col("tokens") * F.get("posterior", F.lit(i))).alias(f"d{i}")
-                       for i in range(len(mix.domains))]).first()
-        return [float(x or 0.0) for x in row]
-
-    mix.sums = totals(state)
+    mix.sums, _ = totals(state, len(mix.domains))
     sums = dict(zip(mix.domains, mix.sums, strict=True))
     if weights is None:
         mix.targets = smoothed(sums, alpha, keep_all)
@@ -134,23 +133,70 @@ def fit_mixture(docs: DataFrame, labelled: DataFrame, domain_col: str = "domain"
         mix.targets = {d: sum(mix.sums) * weights.get(d, 0.0) / norm for d in mix.domains}
     if mix.model is None or not sum(mix.sums):
         return mix, state
-    now, last = mix.sums, None
-    for k in range(max_steps):
-        gap = [(x - mix.targets.get(d, 0.0)) / s if s else 0.0
-               for d, x, s in zip(mix.domains, now, mix.sums, strict=True)]
-        if max(map(abs, gap)) < tolerance or last == gap:
-            break
-        mix.gradients.append(gap)
-        last = gap
-        state = state.withColumn("rate", step(F.col("rate"), F.col("posterior"), F.array(*map(F.lit, gap))))
-        if k % 6 == 5:
-            state = cut(state)
-        now = totals(state)
+    state, mix.gradients, mix.gap = fit_rates(state, mix.sums, [mix.targets.get(d, 0.0) for d in mix.domains], tolerance)
     return mix, state
 
 
+def totals(df: DataFrame, n: int) -> tuple[list[float], np.ndarray]:
+    """Expected tokens of each of ``n`` domains, and the matrix of how a step changes them: sums of tokens
+    times two posteriors, over documents whose rate isn't 0. One aggregate of n + n (n + 1) / 2 sums."""
+    p = [F.get("posterior", F.lit(i)) for i in range(n)]
+    t = F.col("tokens")
+    free = F.when(F.col("rate") > 0, t)
+    row = df.agg(*[F.sum(F.col("rate") * t * p[i]) for i in range(n)],
+                 *[F.sum(free * p[i] * p[j]) for i in range(n) for j in range(i, n)]).first()
+    values = [float(x or 0.0) for x in row]
+    matrix, rest = np.zeros((n, n)), iter(values[n:])
+    for i in range(n):
+        for j in range(i, n):
+            matrix[i, j] = matrix[j, i] = next(rest)
+    return values[:n], matrix
+
+
+def fit_rates(state: DataFrame, sums: list[float], targets: list[float], tolerance: float = 1e-6,
+              most_steps: int = 500) -> tuple[DataFrame, list[list[float]], float]:
+    """``state`` (tokens, posterior, rate) with fitted rates, the step taken each time, and the gap that is left,
+    relative to a domain's tokens ``sums``.
+
+    Projected gradient: rates move against a gradient, then back to 0 where they fell below. The gradient is
+    scaled by the matrix of :func:`totals`, so that as long as no rate meets 0 one step meets the targets,
+    however alike the domains' posteriors are; a scaled step that doesn't lessen the squared gap is halved,
+    then left for the plain gradient. Ends where the gap is below ``tolerance``, or where the plain gradient
+    moves nothing any more: then targets lie beyond what nonnegative rates reach and the gap says by how
+    much. If ``most_steps`` don't settle it, that is an error.
+    """
+    n = len(sums)
+    scale = np.array([s if s else 1.0 for s in sums])
+    target = np.array(targets)
+    now, matrix = totals(state, n)
+    gap = (np.array(now) - target) / scale
+    steps: list[list[float]] = []
+    tried = 0
+    while np.abs(gap).max() >= tolerance:
+        ridge = 1e-12 * np.trace(matrix) / n + 1e-300
+        plain = gap / (scale * max(1e-300, np.linalg.eigvalsh(matrix / scale[:, None] / scale[None, :]).max()))
+        scaled = np.linalg.solve(matrix + ridge * np.eye(n), np.array(now) - target)
+        for g in [*(scaled * 0.5 ** k for k in range(6)), plain]:
+            tried += 1
+            if tried > most_steps:
+                raise RuntimeError(f"rates did not settle in {most_steps} steps; the gap is {np.abs(gap).max():.3g}")
+            trial = state.withColumn("rate", step(F.col("rate"), F.col("posterior"), F.array(*map(F.lit, map(float, g)))))
+            got, matrix_ = totals(trial, n)
+            less = (np.array(got) - target) / scale
+            if (less ** 2).sum() < (gap ** 2).sum() * (1 - 1e-9):
+                break
+        else:  # not even the plain gradient lessens the gap: as near as nonnegative rates come
+            return state, steps, float(np.abs(gap).max())
+        steps.append([float(x) for x in g])
+        state, now, matrix, gap = trial, got, matrix_, less
+        if len(steps) % 6 == 5:
+            state = cut(state)
+    return state, steps, float(np.abs(gap).max())
+
+
 def mix_rows(docs: DataFrame, mix: Mixture, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as its rate says; columns are those of ``docs``."""
+    """The rows of ``docs``, each as often as its rate says; columns are those of ``docs``. Null and empty
+    texts have the prior's rate; rows alike in id and text are repeated alike; an empty table gives none."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     t, p, n = (unused(docs, x) for x in ("_mix_tokens", "_mix_posterior", "_mix_copy"))
     scored = mix.posterior(docs, text_col, t, p)

@@ -240,6 +240,40 @@ def test_views_teach_each_other():
     assert ((model.score(t, m) > 0.5) == y).mean() > 0.97
 
 
+@pytest.mark.parametrize("sharp", [0.95, 0.6, 0.55, 0.505])
+def test_soft_membership_meets_targets(spark, sharp):
+    rng = np.random.default_rng(3)
+    p = np.clip(np.where(rng.random(400) < 0.7, sharp, 1 - sharp) + rng.normal(0, 0.001, 400), 0, 1)
+    rows = [(float(t), [float(x), float(1 - x)], 1.0) for t, x in zip(rng.integers(1, 90, 400), p, strict=True)]
+    state = spark.createDataFrame(rows, "tokens double, posterior array<double>, rate double")
+    sums = [sum(t * q[i] for t, q, _ in rows) for i in range(2)]
+    goal = [sums[0] * 0.97 + sums[1] * 0.02, sums[1] * 0.98 + sums[0] * 0.03]
+    out, steps, gap = mixing.fit_rates(state, sums, goal)
+    got = out.collect()
+    assert gap < 1e-6 and all(r.rate >= 0 for r in got)
+    for i in range(2):  # against plain sums
+        assert abs(sum(r.rate * r.tokens * r.posterior[i] for r in got) - goal[i]) < 2e-6 * sums[i]
+
+
+def test_rates_at_zero_and_targets_out_of_reach(spark):
+    from itertools import product
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.5, 0.5, 0.5], 300)
+    t = rng.integers(1, 50, 300).astype(float)
+    state = spark.createDataFrame([(float(a), [float(x) for x in q], 1.0) for a, q in zip(t, p, strict=True)],
+                                  "tokens double, posterior array<double>, rate double")
+    sums = (t[:, None] * p).sum(0)
+    out, _, gap = mixing.fit_rates(state, list(sums), list(sums * [0.02, 1.0, 1.6]))
+    rate = np.array([r.rate for r in out.collect()])
+    assert gap < 1e-6 and (rate >= 0).all() and (rate == 0).any()
+    # a domain that never stands alone can't be all there is: the gap is the least over a grid of rates
+    two = spark.createDataFrame([(1.0, [0.6, 0.4], 1.0), (1.0, [0.5, 0.5], 1.0)], "tokens double, posterior array<double>, rate double")
+    out, _, gap = mixing.fit_rates(two, [1.1, 0.9], [1.1, 0.0])
+    left = lambda a, b: ((0.6 * a + 0.5 * b - 1.1) / 1.1) ** 2 + ((0.4 * a + 0.5 * b) / 0.9) ** 2
+    r = [x.rate for x in out.collect()]
+    assert gap > 0.1 and left(*r) < min(left(a / 50, b / 50) for a, b in product(range(150), repeat=2)) + 1e-3
+
+
 def test_mixing_meets_targets(spark, docs_of):
     rows = [*language_rows()[:400], *[r for r in language_rows()[400:]]]
     df = docs_of(rows).selectExpr("*", "1 AS tokens", "2 AS rate", "3 AS _mix_words")
