@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -14,44 +13,43 @@ from pyspark.sql import functions as F
 
 #: Labelled rows of each language that the classifier is fitted on (about; chosen by a hash of the id).
 FIT_ROWS = 600
-LETTERS, GRAMS, LANDMARKS = 46, 4096, 192
+GRAMS, LANDMARKS = 4096, 192
+#: Grams are hashed to 2^BITS codes.
+BITS = 20
 RIDGE = 1e-2
 UNKNOWN = "und"
-SIZE = LETTERS + 2  # 0: no letter; 1..LETTERS: letters common in the fitted rows; the last: other letters
 
 
-@lru_cache(maxsize=4)
-def _symbols(letters: str) -> np.ndarray:
-    """Code point to symbol."""
-    out = np.zeros(0x110000, dtype=np.int64)
-    for c in range(0x110000):
-        if chr(c).isalpha():
-            out[c] = SIZE - 1
-    for i, c in enumerate(letters):
-        out[ord(c)] = i + 1
-    return out
+@lru_cache(maxsize=1)
+def _letter() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def spectrum(text: str, letters: str) -> np.ndarray:
-    """Codes of all 1-, 2- and 3-grams of a whole text in lower case, over a reduced alphabet; a run of
-    characters that aren't letters is one symbol. Codes repeat."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    s = _symbols(letters)[points]
-    s = np.concatenate([[0], s[np.concatenate([[True], (s[1:] > 0) | (s[:-1] > 0)])] if len(s) else s, [0]])
-    two = s[:-1] * SIZE + s[1:]
-    three = two[:-1] * SIZE + s[2:]
-    return np.concatenate([s, SIZE + two, SIZE + SIZE ** 2 + three])
-
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)
 
-CODES = SIZE + SIZE ** 2 + SIZE ** 3
 
-
-def presence(texts: list[str], letters: str, columns: np.ndarray) -> np.ndarray:
-    """Row for each text: 1 where a gram of the vocabulary occurs, divided by the norm (the kernel of two
-    texts is then the inner product of their rows)."""
-    out = np.zeros((len(texts), GRAMS), dtype=np.float32)
-    for i, t in enumerate(texts):
-        at = columns[spectrum(t, letters)]
+def spectrum(text: str) -> np.ndarray:
+    """Hash codes of all 1-, 2- and 3-grams of a whole text in lower case, over its letters as they are; a run of
+    characters that aren't letters is one symbol. Codes repeat."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    s = np.where(_letter()[points], points, 0).astype(np.uint64)
+    s = np.concatenate([[0], s[np.concatenate([[True], (s[1:] > 0) | (s[:-1] > 0)])] if len(s) else s, [0]]).astype(np.uint64)
+    size = np.uint64(0x110000)
+    two = (s[:-1] + np.uint64(1)) * size + s[1:]
+    three = two[:-1] * size + s[2:]
+    return _mixed(np.concatenate([s, two, three])).astype(np.int64)
+
+
+def presence(grams: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Row for each text, given by its gram codes: 1 where a gram of the vocabulary occurs, divided by the norm
+    (the kernel of two texts is then the inner product of their rows)."""
+    out = np.zeros((len(grams), GRAMS), dtype=np.float32)
+    for i, g in enumerate(grams):
+        at = columns[g]
         out[i, at[at >= 0]] = 1
     return out / np.sqrt(np.maximum(out.sum(1, keepdims=True), 1))
 
@@ -59,30 +57,26 @@ def presence(texts: list[str], letters: str, columns: np.ndarray) -> np.ndarray:
 @dataclass
 class KernelRidge:
     langs: list[str]
-    letters: str = ""
     columns: np.ndarray | None = None  # gram code to vocabulary column, -1 for none
     landmarks: np.ndarray | None = None  # presence rows of the landmarks
     weights: np.ndarray | None = None  # landmark kernels (and 1) to one score for each language
 
     @classmethod
-    def fit(cls, texts: list[str], langs: list[str]) -> KernelRidge:
-        """``texts`` in a fixed order: landmarks are taken in turn from each language."""
+    def fit(cls, grams: list[np.ndarray], langs: list[str]) -> KernelRidge:
+        """Gram codes of texts in a fixed order: landmarks are taken in turn from each language. The vocabulary
+        is of the grams that most texts of some language hold, so that no script crowds another out."""
         names = sorted(set(langs))
         if len(names) < 2:
             return cls(names)
-        seen = Counter()
-        for t in texts:
-            seen.update(set(t.lower()))
-        letters = "".join(c for c, _ in sorted(((c, n) for c, n in seen.items() if c.isalpha()),
-                                               key=lambda x: (-x[1], x[0]))[:LETTERS])
-        count = np.zeros(CODES, dtype=np.int64)
-        for t in texts:
-            count[np.unique(spectrum(t, letters))] += 1
-        best = np.argsort(-count, kind="stable")[:GRAMS]
-        best = best[count[best] > 0]
-        columns = np.full(CODES, -1, dtype=np.int64)
+        share = np.zeros(1 << BITS)
+        for name in names:
+            mine = [np.unique(g) for g, x in zip(grams, langs, strict=True) if x == name]
+            share = np.maximum(share, np.bincount(np.concatenate(mine), minlength=1 << BITS) / len(mine))
+        best = np.argsort(-share, kind="stable")[:GRAMS]
+        best = best[share[best] > 0]
+        columns = np.full(1 << BITS, -1, dtype=np.int32)
         columns[best] = np.arange(len(best))
-        x = presence(texts, letters, columns)
+        x = presence(grams, columns)
         y = np.array([names.index(n) for n in langs])
         turn = np.argsort(np.array([(y[:i] == y[i]).sum() for i in range(len(y))]), kind="stable")
         marks = x[turn[:LANDMARKS]]
@@ -95,7 +89,7 @@ class KernelRidge:
         share = 1.0 / np.bincount(y)[y]  # each language weighs the same
         a = (z * share[:, None]).T @ z + RIDGE / len(x) * np.eye(z.shape[1])
         w = np.linalg.solve(a, (z * share[:, None]).T @ target)
-        return cls(names, letters, columns, marks, np.vstack([root @ w[:-1], w[-1:]]).astype(np.float32))
+        return cls(names, columns, marks, np.vstack([root @ w[:-1], w[-1:]]).astype(np.float32))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         ok = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
@@ -110,7 +104,7 @@ class KernelRidge:
             return langs, score
         for at in range(0, len(rows), 256):
             part = rows[at:at + 256]
-            kernel = presence([texts[i] for i in part], self.letters, self.columns) @ self.landmarks.T
+            kernel = presence([spectrum(texts[i]) for i in part], self.columns) @ self.landmarks.T
             f = kernel @ self.weights[:-1] + self.weights[-1]
             best = f.argmax(1)
             score[part] = np.clip((f[np.arange(len(part)), best] + 1) / 2, 0, 1)
@@ -136,10 +130,17 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return KernelRidge([])
     share = F.element_at(F.create_map(*[F.lit(x) for k, v in n.items() for x in (k, fit_rows / v)]), F.col("lang"))
     spread = F.pmod(F.xxhash64(F.lit(5), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    got = rows.where(spread < share).select("id", "lang", "text", spread.alias("s")) \
-        .limit(2 * fit_rows * len(n)).collect()
-    got.sort(key=lambda r: (r["s"], r["id"], r["lang"], r["text"]))
-    return KernelRidge.fit([r["text"] for r in got], [r["lang"] for r in got])
+    chosen = rows.where(spread < share).select("id", "lang", "text", spread.alias("s"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes = [np.unique(spectrum(t)).astype("<i4").tobytes() for t in b.column(2).to_pylist()]
+            yield pa.record_batch([b.column(0), b.column(1), b.column(3), pa.array(codes, pa.binary())], names=["id", "lang", "s", "codes"])
+
+    # the gram sets of the chosen rows reach the driver, 2^BITS codes at most each; ties of the hash by what they hold
+    got = chosen.mapInArrow(run, "id long, lang string, s double, codes binary") \
+        .orderBy("s", "id", "lang", "codes").limit(2 * fit_rows * len(n)).collect()
+    return KernelRidge.fit([np.frombuffer(r["codes"], dtype="<i4").astype(np.int64) for r in got], [r["lang"] for r in got])
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -147,8 +148,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """doc_id, held_out, lang_pred, score for every row, from its whole text alone.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if there is no
-    labelled row; with one learned language every other text is that one. Repeated rows give repeated
-    rows; an empty table gives no rows. Other columns aren't read.
+    labelled row; with one learned language every other text is that one. Of equal scores the language
+    first by name counts. Repeated rows give repeated rows; an empty table gives no rows. A text of any
+    length is read whole, about 40 bytes a character in its task. Other columns aren't read.
     """
     fitted = model or fit_languages(docs, id_col, text_col, lang_col)
 

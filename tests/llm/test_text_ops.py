@@ -98,12 +98,53 @@ def test_languages(spark, docs_of):
 
 
 def test_language_kernel_is_the_shared_grams():
-    letters, cols = "abc", np.arange(langid.CODES) % langid.GRAMS
-    a, b = (set(cols[langid.spectrum(t, letters)].tolist()) for t in ("ab c", "abc"))
-    p = langid.presence(["ab c", "abc"], letters, cols)
+    cols = np.arange(1 << langid.BITS) % langid.GRAMS
+    a, b = (set(cols[langid.spectrum(t)].tolist()) for t in ("ab c", "abc"))
+    p = langid.presence([langid.spectrum("ab c"), langid.spectrum("abc")], cols)
     assert np.isclose(float(p[0] @ p[1]), len(a & b) / np.sqrt(len(a) * len(b)))
 
 
+SCRIPTS = {"el": "και το να της με για από δεν", "ru": "и в не на что как это но", "uk": "і в не на що як це але",
+           "ja": "の に は を た が で て", "he": "של את על לא הוא עם זה", "en": "the of and to in is it", "fr": "le de et un être que dans",
+           "de": "der die und in den von zu", "es": "el de la que y en un", "tr": "ve bir bu da için çok"}
+
+
+def test_languages_of_many_scripts(spark, docs_of):
+    rnd = random.Random(6)
+    letters = {k: sorted(set(w.replace(" ", ""))) for k, w in SCRIPTS.items()}
+    # two thirds invented words of the language's letters, so that no letter can be merged with another's
+    word = lambda k: rnd.choice(SCRIPTS[k].split()) if rnd.random() < 0.3 else "".join(rnd.choices(letters[k], k=4))
+    rows = [(i, " ".join(word(k) for _ in range(25)), k, None, None) for i, k in enumerate(rnd.choices(list(SCRIPTS), k=900))]
+    got = {r.doc_id: r for r in langid.identify(docs_of(rows)).collect()}
+    held = [(got[i].lang_pred == k) for i, _, k, *_ in rows if got[i].held_out]
+    assert len(held) > 150 and sum(held) / len(held) > 0.97
+
+
+def test_language_scores_equal_kernel_ridge():
+    """With every fitted text as a landmark the scores are those of plain kernel ridge regression."""
+    rnd = random.Random(7)
+    langs = [rnd.choice("ab") for _ in range(60)]
+    texts = [" ".join(rnd.choices(WORDS[k * 2].split(), k=8)) for k in langs]
+    grams = [langid.spectrum(t) for t in texts]
+    model = langid.KernelRidge.fit(grams, langs)
+    held = {g: i for i, g in enumerate(sorted(set(np.concatenate(grams).tolist())))}
+    x = np.zeros((len(texts), len(held)))
+    for i, g in enumerate(grams):
+        x[i, [held[c] for c in g.tolist()]] = 1
+    x /= np.sqrt(x.sum(1, keepdims=True))
+    y = np.array(langs)
+    for name in "ab":  # weighted ridge in the dual: weights of 1 / rows of the language, free intercept
+        d = np.where(y == name, 1.0, -1.0)
+        share = 1.0 / np.array([(y == v).sum() for v in y])
+        z = np.hstack([x, np.ones((len(x), 1))])
+        lam = langid.RIDGE / len(x)
+        alpha = np.linalg.solve(z @ z.T + lam * np.diag(1 / share), d)
+        want = z @ z.T @ alpha
+        kernel = langid.presence(grams, model.columns) @ model.landmarks.T
+        got = (kernel @ model.weights[:-1] + model.weights[-1])[:, model.langs.index(name)]
+        assert np.abs(got - want).max() < 5e-3
+
+
 def plain_spans(text):
     def luhn(d):
         return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
