@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,11 +30,15 @@ _CLASS[ord("0"):ord("9") + 1] = 3
 _CLASS[[ord("."), ord(",")]] = 4
 _CLASS[128:] = 6
 KINDS = 7
-TEXT_DIMS = KINDS ** 2 + 8
+#: Hash places of the words.
+WORD_DIMS = 256
+SHAPE_DIMS = KINDS ** 2 + 8
+TEXT_DIMS = SHAPE_DIMS + WORD_DIMS
 
 
 def text_view(text: str | None) -> np.ndarray:
-    """Features of a whole text: shares of byte-class pairs (root), and how much words and lines repeat."""
+    """Features of a whole text: shares of byte-class pairs (root), how much words and lines repeat, and shares
+    of its words (root), hashed."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     out = np.zeros(TEXT_DIMS, dtype=np.float32)
     if not raw:
@@ -43,11 +49,14 @@ def text_view(text: str | None) -> np.ndarray:
     words = raw.split()
     lines = [x for x in raw.split(b"\n") if x]
     n = max(1, len(words))
-    distinct = len(set(words))
+    counts = Counter(words)
+    distinct = len(counts)
     twice = len(set(zip(words[:-1], words[1:], strict=True)))
-    out[KINDS ** 2:] = [np.log1p(len(raw)) / 10, np.log1p(n) / 10, distinct / n ** 0.8, len(raw) / n / 10,
+    out[KINDS ** 2:SHAPE_DIMS] = [np.log1p(len(raw)) / 10, np.log1p(n) / 10, distinct / n ** 0.8, len(raw) / n / 10,
                         twice / max(1, n - 1), len(set(lines)) / max(1, len(lines)), distinct / n,
                         np.log1p(n / max(1, distinct))]
+    places = np.fromiter(map(zlib.crc32, counts), dtype=np.int64, count=distinct) % WORD_DIMS
+    out[SHAPE_DIMS:] = np.sqrt(np.bincount(places, np.fromiter(counts.values(), np.float64, distinct), WORD_DIMS) / n)
     return out
 
 
@@ -147,8 +156,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     """Fit on about ``fit_rows`` labelled and as many unlabelled documents, chosen by a hash of the id.
 
     Labels other than 0 and 1 are left out; an id labelled both ways counts as 0. Only the features of
-    the chosen rows reach the driver (about 600 bytes each; never more than ``4 * fit_rows`` rows, should
-    an id be repeated very often).
+    the chosen rows reach the driver (about 1.6 KB each; never more than ``4 * fit_rows`` rows, those of the
+    smallest hashes, should an id be repeated very often). Repeated rows are fitted as often as they occur.
     """
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(label_col).cast("int").alias("y"))
@@ -159,7 +168,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     some = base.where(spread < fit_rows / max(1, total)).join(marks, "id", "left_anti") \
         .withColumn("y", F.lit(-1))
     # the chosen marks are at most about fit_rows rows: a proven bound
-    rows = base.join(F.broadcast(chosen), "id").unionByName(some).limit(4 * fit_rows)
+    rows = base.join(F.broadcast(chosen), "id").unionByName(some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,8 +180,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
                                    pa.array(fold, pa.int32()), pa.array(x, pa.binary()), pa.array(z, pa.binary())],
                                   names=["id", "y", "fold", "t", "m"])
 
-    got = sorted(rows.mapInArrow(run, "id long, y int, fold int, t binary, m binary").collect(),
-                 key=lambda r: (r["id"], r["y"], bytes(r["t"]), bytes(r["m"])))
+    # features first, so that texts stay where they are read; the order makes a limit that bites repeatable
+    made = rows.mapInArrow(run, "id long, y int, fold int, t binary, m binary")
+    first = made.orderBy(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)), "id", "y", "t", "m").limit(4 * fit_rows)
+    got = sorted(first.collect(), key=lambda r: (r["id"], r["y"], bytes(r["t"]), bytes(r["m"])))
     if not got:
         return CoTrained()
     stack = lambda k: np.stack([np.frombuffer(r[k], dtype=np.float32) for r in got])
@@ -180,8 +191,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
 
 
 def score_quality(docs: DataFrame, model: CoTrained, names: dict[str, str] = NAMES, out: str = "score") -> DataFrame:
-    """``docs`` with a score of 0 to 1 (column ``out``; an existing one is an error). A null or empty text
-    has nothing to keep: its score is 0."""
+    """``docs`` with a score of 0 to 1 (column ``out``; an existing one is an error: see ``base.unused`` for a
+    free name). A null or empty text has nothing to keep: its score is 0. Equal rows get equal scores; a
+    text of any length is read whole."""
     if out.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"column {out} exists")
     at = {c.lower(): i for i, c in enumerate(docs.columns)}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import (chat, embed_dedup, hosts, html, langid, mixing, packing, phrases, pii, quality, runs,
                             simhash, topk)
-from ledgerline.llm.base import query, table
+from ledgerline.llm.base import query, table, unused
 
 #: From this score on a document counts as good.
 KEEP_SCORE = 0.5
@@ -127,7 +127,9 @@ def op10_quality_co_training(spark, sf_dir):
     """Score and decision for every document."""
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).select("doc_id", "score", (F.col("score") >= KEEP_SCORE).alias("keep"))
+    out = unused(docs, "score")
+    scored = quality.score_quality(docs, model, out=out)
+    return scored.select("doc_id", F.col(out).alias("score"), (F.col(out) >= KEEP_SCORE).alias("keep"))
 
 
 OP11_RULES = "('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), " \

@@ -40,10 +40,11 @@ def blocks(vectors: DataFrame, pivots: dict[int, np.ndarray], rows: int, id_col:
         def packed(dim):
             ids, vecs = zip(*held.pop(dim), strict=True)
             x = np.stack(vecs)
+            marks = pivots.get(dim, np.zeros((1, dim)))  # a length that no pivot has meets no candidate either
             return pa.record_batch(
                 [pa.array([len(ids)], pa.int32()), pa.array([dim], pa.int32()),
                  pa.array([np.array(ids, dtype="<i8").tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()),
-                 pa.array([distances(x, pivots[dim]).tobytes()], pa.binary())],
+                 pa.array([distances(x, marks).tobytes()], pa.binary())],
                 names=["n", "dim", "ids", "vecs", "dists"])
 
         for b in batches:

@@ -101,3 +101,10 @@ def test_control_strings_do_not_survive_in_a_text(conversations):
 
 def test_no_conversations(conversations):
     assert chat.digests(chat.chat_windows(conversations.limit(0))).count() == 0
+
+
+def test_query_of_a_length_that_no_row_has(spark):
+    rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, 1.0])], "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 1.0, 1.0]), (8, [2.0, 0.0])], "vec_id long, embedding array<double>")
+    got = topk.top_k(rows, asked, k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(8, 1, 1), (8, 2, 2)]

@@ -393,3 +393,27 @@ def test_plan_places_every_piece(seed):
         assert at == c
     for s in used.values():
         assert sum(n for _, n in s) <= 60 and [o for o, _ in sorted(s)] == [sum(n for x, n in s if x < o) for o, _ in sorted(s)]
+
+
+def test_quality_by_words_alone(spark, docs_of):
+    rnd = random.Random(12)
+    good, bad = ["river", "stone", "light", "table", "green"], ["cheap", "click", "prize", "bonus", "deals"]
+    rows = [(i, " ".join(rnd.choices(bad if i % 2 else good, k=40)), "en", "s", 239) for i in range(800)]
+    lab = spark.createDataFrame([(i, 1 - i % 2) for i in range(300)], "doc_id long, quality int")
+    df = docs_of(rows).selectExpr("*", "'x' AS score", "7 AS y")
+    got = quality.score_quality(df, quality.fit_quality(df, lab), out="s2").collect()
+    assert np.mean([(r.s2 >= 0.5) == (r.doc_id % 2 == 0) for r in got if r.doc_id >= 300]) > 0.98
+
+
+def test_quality_query_and_stage_with_a_score_column(spark, docs_of, tmp_path):
+    import corpus_pipeline
+    from ledgerline.llm import queries
+    rows = [(i, "good text here " * 9 if i % 2 else "### %% junk ### " * 9, "en", "s", 100) for i in range(120)]
+    df = docs_of(rows).selectExpr("*", "9 AS score", "8 AS _score", "'q' AS keep")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op10_quality_co_training(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "score", "keep"]
+    assert all(r.keep == (r.doc_id % 2 == 1) and 0 <= r.score <= 1 for r in got.collect())
+    kept = corpus_pipeline.good_quality(spark, df, str(tmp_path))
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == list(range(1, 120, 2))
