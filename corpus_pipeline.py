@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import mixing, packing, pii, quality, simhash
-from ledgerline.llm.base import prepare, table
+from ledgerline.llm.base import prepare, table, unused
 from ledgerline.llm.queries import KEEP_SCORE, labelled_languages, tokenizer_path
 from ledgerline.session import ensure_checkpoint_dir
 
@@ -19,7 +19,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the co-trained classifier doesn't reject."""
     prepare(spark)
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model, out="_score").where(f"_score >= {KEEP_SCORE}").drop("_score")
+    out = unused(docs, "_score")
+    return quality.score_quality(docs, model, out=out).where(f"{out} >= {KEEP_SCORE}").drop(out)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
