@@ -39,7 +39,6 @@ HINT = re.compile(r"[0-9@]")
 NODE = re.compile(r"[A-Za-z0-9._%+()-]*[0-9@][A-Za-z0-9@._%+()-]*")
 RUN = re.compile(r"[0-9]+(?:[\x20().-]+[0-9]+)*")
 DIGITS = re.compile(r"[0-9]+")
-WORD_BEFORE = re.compile(r"([^\W\d_]+)[^\w]{0,3}$")
 
 #: Buckets of token shapes and of words before a token; the model's size.
 BUCKETS = 4096
@@ -93,15 +92,51 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def shape(token: str) -> int:
     """Bucket of a token's shape: letters as a, digit runs by their length, other characters as they are."""
     s = re.sub(r"[A-Za-z]+", "a", token)
-    return zlib.crc32(re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 20)}>", s)[:80].encode()) % BUCKETS
+    return zlib.crc32(re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 20)}>", s).encode()) % BUCKETS
 
 
-def skip_key(token: str) -> str | None:
-    """What repeated or similar tokens share: the address in lower case, or the last seven digits."""
+def word_before(text: str, start: int) -> str:
+    """The whole word before a place, at most three other characters away; '' if there is none."""
+    end = start
+    while end > 0 and start - end < 3 and not (text[end - 1].isalnum() or text[end - 1] == "_"):
+        end -= 1
+    at = end
+    while at > 0 and text[at - 1].isalpha():
+        at -= 1
+    return text[at:end].lower()
+
+
+def skip_key(token: str, label: int, known: dict[str, dict[str, int]]) -> str | None:
+    """What repeated or similar tokens share: the address in lower case, or the whole number. A token that
+    isn't observed shares the number of ``known`` (last seven digits to numbers and labels) that it spells."""
     if "@" in token:
         return token.lower().strip(".")
     digits = only_digits(token)
-    return digits[-7:] if len(digits) >= 7 else None
+    if len(digits) < 7:
+        return None
+    if not label:
+        for number, of in known.get(digits[-7:], {}).items():
+            if spells(token, number, of):
+                return number
+    return digits
+
+
+def spells(token: str, number: str, label: int) -> bool:
+    """Whether a token is an observed number written again: the same digits, or a phone number without its
+    prefix. A zero alone, as in 49 (0)30, may be no digit of it."""
+    groups = DIGITS.findall(token)
+    return any(digits == number or LABELS[label] == "phone" and agrees(digits, number) is not None
+               for digits in {"".join(groups), "".join(g for g in groups if g.strip("0"))})
+
+
+def observed_numbers(text: str, spans) -> dict[str, dict[str, int]]:
+    """Last seven digits to the numbers of (start, end, label) that end so."""
+    known: dict[str, dict[str, int]] = {}
+    for start, end, label in spans:
+        digits = only_digits(text[start:end]) if label > 1 else ""
+        if len(digits) >= 7:
+            known.setdefault(digits[-7:], {})[digits] = label
+    return known
 
 
 def only_digits(text: str) -> str:
@@ -121,13 +156,9 @@ def agrees(group: str, rest: str) -> str | None:
 
 def repeats(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """(start, end) of the runs of digit groups outside the base spans that spell a number of theirs again: the
-    last seven digits are the same, no dot or hyphen joins them to more digits, and as many groups before them
-    belong to it as agree with the whole number."""
-    known: dict[str, set[str]] = {}
-    for start, end, kind in spans:
-        digits = only_digits(text[start:end])
-        if kind and len(digits) >= 7:
-            known.setdefault(digits[-7:], set()).add(digits)
+    last seven digits are the same, no dot or hyphen joins them to more digits, as many groups before them
+    belong to it as agree with the whole number, and all their digits spell it (see :func:`spells`)."""
+    known = observed_numbers(text, [(a, b, k + 1) for a, b, k in spans])
     out: list[tuple[int, int]] = []
     at = 0
     for stop, after in [*((s[0], s[1]) for s in spans), (len(text), len(text))] if known else ():
@@ -162,11 +193,13 @@ def repeats(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int
                     i = best
                     first, last = groups[i][0], groups[end][1]
                     inner = text[first:last]
+                    again = any(spells(inner, number, label) for number, label in whole.items())
                     if inner.count(")") > inner.count("(") and first > at and text[first - 1] == "(":
                         first -= 1
                     elif inner.count("(") > inner.count(")") and last < stop and text[last] == ")":
                         last += 1
-                    took.append((first, last))
+                    if again:
+                        took.append((first, last))
                 have -= size
                 j = i - 1
             out += took[::-1]
@@ -203,14 +236,16 @@ def nodes(text: str, base: list[tuple[int, int, int]]):
     """Nodes (start, end, shape, word before, observed label or 0), chain links (i, j), and for each node the
     first node with its key (itself, if none is before it or it has no key)."""
     out, links, first, same = [], [], {}, []
-    for start, end, label in candidates(text, sorted(base)):
-        w = WORD_BEFORE.search(text, max(0, start - 24), start)
-        word = zlib.crc32(w[1].lower().encode()) % BUCKETS if w else 0
+    parts = candidates(text, sorted(base))
+    known = observed_numbers(text, parts)
+    for start, end, label in parts:
+        w = word_before(text, start)
+        word = zlib.crc32(w.encode()) % BUCKETS if w else 0
         i = len(out)
         out.append((start, end, shape(text[start:end]), word, label))
         if i and start - out[i - 1][1] <= 2:
             links.append((i - 1, i))
-        key = skip_key(text[start:end])
+        key = skip_key(text[start:end], label, known)
         same.append(first.setdefault(key, i) if key else i)
     return out, links, same
 
@@ -268,8 +303,9 @@ class SkipChain:
         #: Weight of agreement with an observed node of the same key; it favours no label of its own.
         self.skip = float(np.clip(np.log((same + AGREE) / (s.sum() / 2 - same + 1)), 5, 12))
 
-    def marginals(self, found: list[tuple], links: list[tuple], same: list[int]) -> np.ndarray:
-        """Label marginals of each node by damped sum-product.
+    def marginals(self, found: list[tuple], links: list[tuple], same: list[int], doc: list[int]) -> np.ndarray:
+        """Label marginals of each node by damped sum-product; ``doc`` numbers the document of each node, and
+        messages of a document rest once it has settled, so that it doesn't matter which others are here.
 
         The unobserved nodes of one key are one variable: the mean of their evidence and of the messages of
         their neighbours, and one vote of ``skip`` from each observed node of that key.
@@ -289,24 +325,31 @@ class SkipChain:
         unary[var[seen], x[seen, 2]] = 0.0
         e = var[np.array(links, dtype=int).reshape(-1, 2)]
         e = e[e[:, 0] != e[:, 1]]
-        belief = unary
+        belief = unary.copy()
         if len(e):
             half = len(e)
             e = np.concatenate([e, e[:, ::-1]])
             back = np.concatenate([np.arange(half, 2 * half), np.arange(half)])
             part = share[e[:, 1], None]
             msg = np.zeros((len(e), k))
+            home = np.zeros(len(names), dtype=int)
+            home[var] = np.array(doc)
+            of = home[e[:, 1]]
+            busy = np.arange(len(e))  # edges of documents that haven't settled
             for r in range(ROUNDS):
-                z = (belief[e[:, 0]] - part[back] * msg[back])[:, :, None] + self.chain
+                z = (belief[e[busy, 0]] - part[back[busy]] * msg[back[busy]])[:, :, None] + self.chain
                 top = z.max(1)
                 new = np.log(np.exp(z - top[:, None, :]).sum(1)) + top
                 new -= new.max(1, keepdims=True)
                 step = 0.7 / (1 + max(0, r - SLOW) / SLOW)
-                change = np.abs(new - msg).max()
-                msg = (1 - step) * msg + step * new
-                belief = unary.copy()
-                np.add.at(belief, e[:, 1], part * msg)
-                if change < SETTLED:
+                change = np.zeros(of.max() + 1)
+                np.maximum.at(change, of[busy], np.abs(new - msg[busy]).max(1))
+                msg[busy] = (1 - step) * msg[busy] + step * new
+                to = np.unique(e[busy, 1])
+                belief[to] = unary[to]
+                np.add.at(belief, e[busy, 1], part[busy] * msg[busy])
+                busy = busy[change[of[busy]] >= SETTLED]
+                if not len(busy):
                     break
         p = np.exp(belief - belief.max(1, keepdims=True))
         return (p / p.sum(1, keepdims=True))[var]
@@ -314,6 +357,8 @@ class SkipChain:
     def find(self, texts: list[str | None]) -> list[tuple[list, list]]:
         """For each text (base spans, all spans), sorted by start, then kind."""
         out, found, links, same, place = [], [], [], [], []
+        # a document without an observed node can't reach SURE: shape gives at most ALONE, the word before 0.5,
+        # each neighbour 1, and that is 0.87
         for text in texts:
             base = sorted(base_spans(text or ""), key=lambda s: (s[0], s[2]))
             out.append((base, list(base)))
@@ -326,7 +371,7 @@ class SkipChain:
                     found += own
                     place += [len(out) - 1] * len(own)
         if found:
-            p = self.marginals(found, links, same)
+            p = self.marginals(found, links, same, place)
             best = p[:, 1:].argmax(1)
             for i in np.flatnonzero(p[np.arange(len(p)), best + 1] >= SURE):
                 if not found[i][4]:

@@ -281,6 +281,41 @@ def test_views_teach_each_other():
     assert ((model.score(t, m) > 0.5) == y).mean() > 0.97
 
 
+OTHER_NUMBERS = [("call +1 (017) 555-7713 now", n) for n in ("order 998865557713", "id 4475557713", "20005557713", "x-4475557713-y")] + \
+    [("card 4111 1111 1111 1111 here", n) for n in ("serial 99991111111", "total 1111111", "111 1111 111 1111", "1111-1111")]
+
+
+@pytest.mark.parametrize("first, other", OTHER_NUMBERS)
+def test_other_numbers_of_the_same_ending_stay(spark, docs_of, first, other):
+    text = f"{first} and {other}, then {other} again"
+    field = pii.fit_skip_chain(docs_of([(i, text, "en", "s", 1) for i in range(20)]))
+    (base, spans), = field.find([text])
+    assert len(base) == 1 and spans == base
+    again = first.split()[1:-1]
+    whole = " ".join(again).lstrip("+").replace(" ", "")
+    (_, spans), = field.find([f"{first} and {whole} again"])  # the whole number written once more
+    assert len(spans) == 2
+
+
+def test_pii_result_is_the_same_under_any_batching(spark, docs_of):
+    rnd = random.Random(3)
+    num = lambda: f"+49 30 {rnd.randrange(10 ** 7, 10 ** 8)}"
+    texts = []
+    for _ in range(60):
+        n = num()
+        bare = n.replace("+49 ", "0")
+        texts.append(" ".join(rnd.choices([n, bare, bare.replace(" ", ""), "tel", "12 34", "x@y.de", "ref 99", "10.0.0.1"], k=rnd.randrange(2, 30))))
+    field = pii.fit_skip_chain(docs_of([(i, t, "de", "s", 1) for i, t in enumerate(texts)]))
+    alone = [field.find([t])[0] for t in texts]
+    assert field.find(texts) == alone and field.find(texts[::-1]) == alone[::-1]
+
+
+def test_pii_long_words_and_tokens_are_read_whole():
+    assert pii.word_before("a " + "x" * 40 + ": 12", 44) == "x" * 40 and pii.word_before("tel_ 5", 5) == ""
+    a, b = ("1-" * 60 + "a", "1-" * 60 + "(a")
+    assert pii.shape(a) != pii.shape(b)
+
+
 @pytest.mark.parametrize("sharp", [0.95, 0.6, 0.55, 0.505])
 def test_soft_membership_meets_targets(spark, sharp):
     rng = np.random.default_rng(3)
