@@ -44,9 +44,12 @@ OTHERS = ("nav", "footer", "aside")
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert)\b", re.I)
 MAIN = ("article", "main")
 
+# A quote begins a value only after an equals sign, as browsers read it: elsewhere it is part of a name or of an
+# unquoted value, and the tag ends at the next > .
+ATTRIBUTE = r"[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?)?"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[\s/]++|{ATTRIBUTE})*+)(?:>|\Z)", re.S)
 NAMES = re.compile(r"(?<![\w-])(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -86,17 +89,20 @@ def is_boilerplate(name: str, attrs: str, in_main: bool) -> bool:
                                             for x in names(attrs))
 
 
-def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
-    """For each token, whether it lies in an element that never is content. An element without its end
-    tag ends at the next end tag of an element that was open before it. An element around an ``article`` or
-    ``main`` is kept; comments, related pages and the like only around the article of the most words."""
+def dropped(toks: list[tuple[str, str, str]]) -> tuple[list[bool], tuple[int, int] | None]:
+    """For each token, whether it lies in an element that never is content; and where the ``article`` (else
+    ``main``) of the most words begins and ends. An element without its end tag ends at the next end tag of
+    an element that was open before it. An element around an ``article`` or ``main`` is kept; comments, related
+    pages and the like only around the article of the most words. On a page without either, a form or an
+    element named like a notice is kept if it holds most of the page's words: then it is the page's frame."""
     out = [False] * len(toks)
     ends: dict[str, list[int]] = {}
     close: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
     marks, words = [], [0]
     for i, (kind, name, value) in enumerate(toks):
-        words.append(words[-1] + (len(value.split()) if kind == "text" else 0))
+        raw = i and toks[i - 1][0] == "start" and toks[i - 1][1] in RAW
+        words.append(words[-1] + (len(value.split()) if kind == "text" and not raw else 0))
         if kind == "end":
             ends.setdefault(name, []).append(i)
             if opened.get(name):
@@ -126,7 +132,7 @@ def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
                     keep = first is not None and i < first < j
                 else:
                     at = bisect(marks, i)
-                    keep = at < len(marks) and marks[at] < j
+                    keep = at < len(marks) and marks[at] < j or not marks and 2 * (words[j] - words[i]) > words[-1]
                 if not keep:
                     out[i:j] = [True] * (j - i)
                     i = j
@@ -137,7 +143,7 @@ def dropped(toks: list[tuple[str, str, str]]) -> list[bool]:
             open_names[name] -= 1
             main -= name in MAIN
         i += 1
-    return out
+    return out, None if first is None or out[first] else (first, close.get(first, len(toks)))
 
 
 class Weights:
@@ -171,7 +177,7 @@ def observe(page: str | None) -> tuple[Counter, Counter, int]:
     name = next((n for n in MAIN if sum(k == "start" and x == n for k, x, _ in toks) == 1), None)
     if name is None:
         return inside, outside, 0
-    drop, main, words, longest = dropped(toks), False, 0, 0
+    drop, main, words, longest = dropped(toks)[0], False, 0, 0
     for (kind, tag, value), off in zip(toks, drop, strict=True):
         if off:
             continue
@@ -228,18 +234,21 @@ def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best-scoring contiguous region, joined by a line feed; '' if there are no words.
 
     Words score positive and tags negative; one linear scan finds the region with the largest sum (the
-    first, and the shortest, of equals). Elements that never are content count as one tag and give no
-    text. References are decoded; white space inside a block is one space.
+    one that ends first, and the shortest, of equals). Inside the article that a page marks tags cost nothing, so that
+    the scan doesn't cut it. Elements that never are content count as one tag and give no text. References are
+    decoded; white space inside a block is one space.
     """
     toks = tokens(page or "")
-    drop = dropped(toks)
+    drop, marked = dropped(toks)
+    marked = marked or (0, 0)
     best, span, total, start = 0.0, (0, 0), 0.0, 0
     was_off = False
     for i, (kind, name, value) in enumerate(toks):
+        inside = marked[0] < i < marked[1] - 1
         if drop[i]:
-            score = 0.0 if was_off else -1.0
+            score = 0.0 if was_off or inside else -1.0
         else:
-            score = len(value.split()) if kind == "text" else weights(name)
+            score = len(value.split()) if kind == "text" else 0.0 if inside else weights(name)
         was_off = drop[i]
         if total <= 0:
             total, start = 0.0, i

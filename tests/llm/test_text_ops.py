@@ -75,6 +75,55 @@ def test_html_one_outlier_page_sets_no_weight(spark):
         assert all(text[i] == BODY_TEXT for i in range(60) if i % 20), more[0][0]
 
 
+LONG = "<p>" + "words of the page itself " * 9 + "</p>"
+LONG_TEXT = ("words of the page itself " * 9).strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<body><form id="aspnetForm"><input>' + LONG + "</form></body>", LONG_TEXT),
+    ('<body><div class="widget">' + LONG + "</div></body>", LONG_TEXT),
+    ('<body>' + LONG + '<form>Your name <input></form></body>', LONG_TEXT),
+    ('<body>' + LONG + '<div class="comments">' + LONG * 3 + "</div></body>", LONG_TEXT),
+    ('<body><p class="x"">' + LONG_TEXT + '</p><p id="y">more</p></body>', LONG_TEXT + "\nmore"),
+    ("<body><p title=don't>" + LONG_TEXT + "</p><p>it's the end</p></body>", LONG_TEXT + "\nit's the end"),
+    ("<body><!-->" + LONG + "<!-- no --><p>yes</p><!--->" + "</body>", LONG_TEXT + "\nyes"),
+    ("<body><article><h1>Head</h1><ul>" + "<li>one</li>" * 6 + "</ul>" + LONG + "<li>z</li></article></body>",
+     "Head\n" + "one\n" * 6 + LONG_TEXT + "\nz"),
+    ("<body><p>far</p><nav>" + LONG + "</nav><main>" + LONG + "</main></body>", LONG_TEXT),
+    ('<body><div a="1"b=\'2\'c=>' + LONG + "</div></body>", LONG_TEXT)])
+def test_html_malformed_and_framed_pages(page, text):
+    assert html.main_text(page, html.Weights({"p": 9}, {}, 20.0)) == text
+
+
+def best_region(scores):
+    """Every region, by plain sums: of the largest the one that ends first, and of these the shortest."""
+    best = (0.0, 0, 0)
+    for j in range(1, len(scores) + 1):
+        for i in range(j - 1, -1, -1):
+            if sum(scores[i:j]) > best[0]:
+                best = (sum(scores[i:j]), i, j)
+    return best
+
+
+def test_html_region_equals_all_regions():
+    rnd = random.Random(9)
+    w = html.Weights({"p": 3, "b": 1, "div": 1}, {"div": 3, "li": 5, "b": 1}, 3.0)
+    for _ in range(300):
+        page = "".join(rnd.choice(["<p>", "</p>", "<div>", "</div>", "<li>", "<b>", "</b>", "word ", "two words ", "&amp; ", "<br>"])
+                       for _ in range(rnd.randrange(40)))
+        toks = html.tokens(page)
+        scores = [float(len(v.split())) if k == "text" else w(n) for k, n, v in toks]
+        _, i, j = best_region(scores)
+        blocks, at = [[]], i
+        for k, n, v in toks[i:j]:
+            if k == "text":
+                blocks[-1].append(v)
+            elif n in html.BLOCK:
+                blocks.append([])
+        want = "\n".join(x for x in (" ".join("".join(b).replace("&amp;", "&").split()) for b in blocks) if x)
+        assert html.main_text(page, w) == want, page
+
+
 WORDS = {"aa": "the of and that with for", "bb": "der die und nicht mit auf", "cc": "les des une pour dans est"}
 
 
