@@ -268,6 +268,31 @@ def t05_rows(spark, sf):
     return t05(spark, sf).select("asset", "ts", F.col("prediction").isNotNull().alias("has_prediction"))
 
 
+@query("t05_stream_features", f"""
+WITH {FEATURES_CTE} SELECT asset, ts, {", ".join(f"round({c}, 6) AS {c}" for c in FT.FEATURE_COLUMNS)}, TRUE AS has_prediction
+FROM f WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FT.FEATURE_COLUMNS)}""")
+def t05_features(spark, sf):
+    """T-05: features made in the stream from bars alone, then scored by the model. Bars come in three slices
+    of time; each is drained by a query that starts anew from the checkpoint, so state crosses restarts."""
+    from ledgerline.streaming.features import stream_features, with_rocksdb
+
+    panel = _panel(spark, sf)
+    model = MD.train_panel_model(panel.filter(F.col("role") == "train"), max_iter=5, max_depth=3)
+    b = bars(spark, sf).select("asset", F.col("ts").cast("timestamp").alias("ts"), "close", "volume")
+    at = F.unix_timestamp("ts")
+    lo, hi = b.agg(F.min(at), F.max(at)).first()
+    path, out = scratch_path(spark, "bar-slices"), scratch_path(spark, "stream-features")
+    with with_rocksdb(spark):
+        for i in range(3):
+            part = b.filter(F.floor((at - (lo or 0)) * 3 / ((hi or 0) - (lo or 0) + 1)) == i)
+            part.hint("rebalance").write.mode("append").parquet(path)
+            made = stream_features(spark.readStream.schema(b.schema).parquet(path))
+            scored = ST.stream_model_scores(made.na.drop(how="any", subset=FT.FEATURE_COLUMNS), model)
+            ST.run_to_parquet(scored.drop("features_vec"), out + "/data", out + "/checkpoint")
+    got = spark.read.parquet(out + "/data")
+    return rounded(got.select("asset", "ts", *FT.FEATURE_COLUMNS, F.col("prediction").isNotNull().alias("has_prediction")))
+
+
 # ---- E-01..E-08 documented-only indicators ----------------------------------------------
 
 @query("e01_e03_extended_features", f"""
