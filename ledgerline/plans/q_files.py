@@ -302,3 +302,159 @@ def s27_files(spark, sf):
 def s28_files(spark, sf):
     """S-28: the same inside text wrappers, with and without an XML declaration."""
     return _filings(spark, sf, wrap=True)
+
+
+# ---- S-16..S-20, S-22, S-23, S-26: scalars and nested objects of one large document -----------------
+
+def longs(*v):
+    return F.array(*[(F.lit(x) if isinstance(x, int) else x).cast("long") for x in v])
+
+
+def lines_at(df, file, *rows):
+    """(file, pos, line) rows of (pos, line) pairs for each row of ``df``."""
+    each = F.array(*[F.struct(p.alias("pos"), t.alias("line")) for p, t in rows])
+    return df.select(F.lit(file).alias("file"), F.inline(each))
+
+
+@query("s16_dynamic_keys_file", """
+SELECT n_name AS country, CAST(year(o_orderdate) AS VARCHAR) AS year, round(sum(o_totalprice), 2) AS value
+FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2""")
+def s16_file(spark, sf):
+    """S-16: one document indicator -> country -> year -> value, read scalar by scalar with the names above it."""
+    o = fx.table(spark, sf, "orders").join(fx.table(spark, sf, "customer"), F.col("c_custkey") == F.col("o_custkey")) \
+        .join(fx.table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    v = o.groupBy("n_nationkey", "n_name", F.year("o_orderdate").alias("y")).agg(F.round(F.sum("o_totalprice"), 2).alias("v"))
+    names = v.select("n_nationkey", "n_name").distinct()
+    n = F.col("n_nationkey")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    head = lines_at(names, "imf", (longs(1, n, 0), F.concat(F.lit(","), quoted(F.col("n_name")), F.lit(': {"0": null'))),
+                    (longs(1, n, 9999), F.lit("}")))
+    data = lines_at(v, "imf", (longs(1, n, F.col("y")), F.concat(F.lit(", "), quoted(_s("y")), F.lit(": "), _s("v"))))
+    lines = framed(head.unionByName(data), F.lit("imf"), '{"api": {"v": "1, {2}"}, "values": {"NGDP": {"none": {"0": null}', "}}}")
+    e = B.json_leaves(spark, land(spark, lines, "dynamic"), 4, names={"top": 2, "indicator": 3, "country": 4})
+    e = e.where("top = 'values' AND indicator = 'NGDP' AND value IS NOT NULL")
+    return e.select("country", F.col("key").alias("year"), F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query("s17_sdmx_file", """
+SELECT o_orderstatus AS status, o_orderpriority AS priority, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY 1, 2""")
+def s17_file(spark, sf):
+    """S-17: observation keys i:j index the value lists of the dimensions, which stand in the same document."""
+    o = fx.table(spark, sf, "orders")
+    place = {"F": 0, "O": 1, "P": 2}
+    pri = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    dims = ('{"structure": {"dimensions": {"observation": [{"id": "STATUS", "values": [' + ",".join(f'{{"id": "{s}"}}' for s in place)
+            + ']}, {"id": "PRIORITY", "values": [' + ",".join(f'{{"id": "{p}"}}' for p in pri) + ']}]}}, "observations": {"x": []')
+    at = F.concat_ws(":", F.element_at(F.create_map(*[F.lit(x) for kv in place.items() for x in kv]), F.col("o_orderstatus")).cast("string"),
+                     (F.array_position(F.array(*map(F.lit, pri)), F.col("o_orderpriority")) - 1).cast("string"))
+    g = o.groupBy(at.alias("k")).agg(F.count("*").alias("n"))
+    data = lines_at(g, "sdmx", (longs(1, F.xxhash64("k")), F.concat(F.lit(',"'), F.col("k"), F.lit('": ['), _s("n"), F.lit(", 0, null]"))))
+    path = land(spark, framed(data, F.lit("sdmx"), dims, "}}"), "sdmx")
+    obs = B.json_leaves(spark, path, 3, names={"top": 2, "k": 3}, places={"p": 3}).where("top = 'observations' AND p = 0")
+    ids = B.json_leaves(spark, path, 7, places={"dim": 4, "val": 6}).where("key = 'id'").select(
+        F.col("dim").alias("_d"), F.col("val").alias("_v"), F.col("value").alias("id"))
+    parts = obs.select("k", F.col("value").cast("double").alias("value"), F.posexplode(F.split("k", ":")).alias("_d", "_i"))
+    found = parts.join(ids, (parts["_d"] == ids["_d"]) & (parts["_i"].cast("long") == ids["_v"]))
+    return found.groupBy("k").agg(F.max(F.when(parts["_d"] == 0, F.col("id"))).alias("status"),
+                                  F.max(F.when(parts["_d"] == 1, F.col("id"))).alias("priority"), F.first("value").alias("value")).drop("k")
+
+
+def _columns_file(spark, sf, arrays):
+    """One document of parallel arrays over all orders, in the order of their keys -> (i, name...)."""
+    o = fx.table(spark, sf, "orders")
+    data = None
+    for a, (name, text) in enumerate(arrays.items()):
+        item = F.concat(F.lit(","), text)
+        part = lines_at(o, "cols", (longs(1, a, 1, F.col("o_orderkey")), item))
+        data = part if data is None else data.unionByName(part)
+        ends = lines_at(o.select(F.lit(1)).limit(1), "cols",
+                        (longs(1, a, 0), F.lit(("," if a else "") + f'"{name}": [null')), (longs(1, a, 2), F.lit("]")))
+        data = data.unionByName(ends)
+    path = land(spark, framed(data, F.lit("cols"), '{"chart": {', "}}"), "columns")
+    e = B.json_leaves(spark, path, 3, names={"name": 3}, places={"i": 3}).where("i > 0")
+    return e.groupBy("i").agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in arrays])
+
+
+@query("s18_columns_file", """
+SELECT o_orderkey AS orderkey, strftime(o_orderdate, '%Y, %m') AS month, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS close FROM orders""")
+def s18_file(spark, sf):
+    """S-18: arrays of all rows, aligned by position; strings hold commas, values may be null."""
+    rows = _columns_file(spark, sf, {
+        "orderkey": _s("o_orderkey"), "month": F.concat(F.lit('"'), F.date_format("o_orderdate", "yyyy, MM"), F.lit('"')),
+        "close": F.when(F.pmod("o_orderkey", F.lit(4)) == 0, "null").otherwise(_s("o_totalprice"))})
+    return rows.select(F.col("orderkey").cast("long").alias("orderkey"), "month", F.col("close").cast("double").alias("close"))
+
+
+@query("s26_parallel_arrays_file", """
+SELECT 'A-' || CAST(o_orderkey AS VARCHAR) AS accession, strftime(o_orderdate, '%Y-%m-%d') AS filed FROM orders WHERE o_orderkey % 3 = 1""")
+def s26_file(spark, sf):
+    """S-26: parallel arrays of all filings, form '4' kept."""
+    rows = _columns_file(spark, sf, {
+        "form": F.when(F.pmod("o_orderkey", F.lit(3)) == 1, '"4"').otherwise('"10-K"'),
+        "accession": F.concat(F.lit('"A-'), _s("o_orderkey"), F.lit('"')),
+        "filed": F.concat(F.lit('"'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('"'))})
+    return rows.where("form = '4'").select("accession", "filed")
+
+
+@query("s20_kline_file", "SELECT o_orderkey AS open_time, o_totalprice AS open, o_orderstatus AS flag FROM orders")
+def s20_file(spark, sf):
+    """S-20: one array of all candles, each an array of positions."""
+    o = fx.table(spark, sf, "orders")
+    data = lines_at(o, "klines", (longs(1, F.col("o_orderkey")), F.concat(F.lit(",["), _s("o_orderkey"), F.lit(',"'), _s("o_totalprice"), F.lit('","'), F.col("o_orderstatus"), F.lit('"]'))))
+    e = B.json_leaves(spark, land(spark, framed(data, F.lit("klines"), "[[]", "]"), "klines"), 2, places={"row": 1, "col": 2})
+    at = lambda k: F.max(F.when(F.col("col") == k, F.col("value")))
+    return e.groupBy("row").agg(at(0).cast("long").alias("open_time"), at(1).cast("double").alias("open"), at(2).alias("flag")).drop("row")
+
+
+@query("s19_items_file", "SELECT o_orderkey AS key, o_totalprice AS value FROM orders")
+def s19_file(spark, sf):
+    """S-19: items that are arrays or objects, in one array of all."""
+    o = fx.table(spark, sf, "orders")
+    item = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.concat(F.lit(",["), _s("o_orderkey"), F.lit(","), _s("o_totalprice"), F.lit("]"))) \
+        .otherwise(F.concat(F.lit(',{"totalFees": '), _s("o_totalprice"), F.lit(', "date": '), _s("o_orderkey"), F.lit("}")))
+    data = lines_at(o, "items", (longs(1, F.col("o_orderkey")), item))
+    e = B.json_leaves(spark, land(spark, framed(data, F.lit("items"), "[[]", "]"), "items"), 2, places={"row": 1, "col": 2})
+    of = lambda name, k: F.max(F.when(F.coalesce(F.col("key") == name, F.col("col") == k), F.col("value")))
+    return e.groupBy("row").agg(of("date", 0).cast("long").alias("k"), of("totalFees", 1).cast("double").alias("value")) \
+        .select(F.col("k").alias("key"), "value")
+
+
+@query("s22_roles_file", """
+WITH g AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F')
+SELECT o_orderkey AS game, 'T' || CAST(o_custkey AS VARCHAR) AS home_team, 'A' || CAST(o_custkey AS VARCHAR) AS away_team, o_totalprice AS home_score FROM g""")
+def s22_file(spark, sf):
+    """S-22: one scoreboard of all games; the competitor marked home, or the first of a game that marks none."""
+    from ledgerline.sources.nested import pick_by_role
+
+    o = fx.table(spark, sf, "orders")
+    side = lambda c, role, team, score: F.struct(role.alias("homeAway"), F.concat(F.lit(team), _s("o_custkey")).alias("team"), score.alias("score"))
+    marked = F.pmod("o_orderkey", F.lit(5)) != 0
+    home = side(o, F.when(marked, "home"), "T", F.col("o_totalprice"))
+    away = side(o, F.when(marked, "away"), "A", F.lit(0.0))
+    swap = marked & (F.pmod("o_orderkey", F.lit(2)) == 0)
+    comp = F.when(swap, F.array(away, home)).otherwise(F.array(home, away))
+    status = F.when(F.col("o_orderstatus") == "F", "STATUS_FINAL").otherwise("STATUS_SCHEDULED")
+    item = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.struct(status.alias("name")).alias("status"), comp.alias("competitors")))
+    data = lines_at(o, "scores", (longs(1, F.col("o_orderkey")), F.concat(F.lit(","), item)))
+    path = land(spark, framed(data, F.lit("scores"), '{"day": {"date": "d"}, "events": [{"id": null}', "]}"), "scores")
+    kind = "id long, status struct<name: string>, competitors array<struct<homeAway: string, team: string, score: double>>"
+    g = B.json_elements(spark, path, 2, names={"list": 2}).where("list = 'events'").select(F.from_json("text", kind).alias("g")).select("g.*")
+    g = g.where("status.name = 'STATUS_FINAL'")
+    h, a = pick_by_role("competitors", "homeAway", "home", 1), pick_by_role("competitors", "homeAway", "away", 2)
+    return g.select(F.col("id").alias("game"), h["team"].alias("home_team"), a["team"].alias("away_team"), h["score"].alias("home_score"))
+
+
+@query("s23_schedule_file", "SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date, o_orderkey AS id, o_totalprice AS price FROM orders")
+def s23_file(spark, sf):
+    """S-23: weeks[].games[]: a day's games of any number are joined with the day's own fields."""
+    o = fx.table(spark, sf, "orders").withColumn("day", F.unix_date(F.to_date("o_orderdate")).cast("long"))
+    days = o.select("day", F.to_date("o_orderdate").alias("d")).distinct()
+    head = lines_at(days, "weeks", (longs(1, F.col("day"), 0), F.concat(F.lit(',{"date": "'), F.date_format("d", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('", "games": [{"id": null}'))),
+                    (longs(1, F.col("day"), 2), F.lit("]}")))
+    data = lines_at(o, "weeks", (longs(1, F.col("day"), 1, F.col("o_orderkey")), F.concat(F.lit(","), F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))))))
+    path = land(spark, framed(head.unionByName(data), F.lit("weeks"), '{"gameWeek": [{"date": null, "games": []}', "]}"), "weeks")
+    weeks = B.json_elements(spark, path, 2, shallow=True).select("file", F.col("at").alias("week"), F.from_json("text", "date string").alias("w"))
+    games = B.json_elements(spark, path, 4, parents={"week": 3}).select("file", "week", F.from_json("text", "id long, price double").alias("g"))
+    return games.where("g.id IS NOT NULL").join(weeks, ["file", "week"]).select(
+        F.to_timestamp_ntz("w.date").alias("date"), "g.id", "g.price")

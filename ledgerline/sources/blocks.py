@@ -51,38 +51,91 @@ def carried(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("row
     return out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums}).drop(*[f"_o_{n}" for n in sums])
 
 
-def json_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The JSON under ``path`` as rows (file, part, block, row, i, piece, open, close, key, depth): each piece
-    ends in a bracket or a string, ``depth`` is the number of brackets open before it, and ``key`` is the
-    name that an opening bracket has in its object.
-
-    Files are cut at ``}``: as a document has brackets everywhere, rows are small and any split starts near
-    its place, also in a file of one line. Whether a row starts inside a string is the parity of the quotes
-    before it; the depth is the sum of brackets before. A name that holds a ``}`` reads as NULL.
+def json_pieces(spark: SparkSession, path: str, sep: str = "}") -> DataFrame:
+    """The JSON under ``path`` as rows (file, part, block, row, i, piece, open, close, key, cut, unclosed, depth):
+    each piece is a string or ends in a bracket, with ``sep=","`` also a key, a comma or another scalar;
+    ``depth`` is the number of brackets open before it, and ``key`` the name that an opening bracket has in
+    its object. A string that was cut by a separator inside it is ``unclosed``, its next piece ``cut``.
+
+    Files are cut at ``sep``: as a document has brackets (or commas) everywhere, rows are small and any split
+    starts near its place, also in a file of one line. Whether a row starts inside a string is the parity of
+    the quotes before it; the depth is the sum of brackets before. A name that holds ``sep`` reads as NULL.
     """
-    rows = split_rows(spark, path, "}")
+    rows = split_rows(spark, path, sep)
     last = rows.groupBy("file", "part").agg(F.max(F.struct("block", "row")).alias("_last"))
     plain = F.regexp_replace("text", r"(?s)\\.", "")
     rows = rows.withColumn("quotes", (F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))).cast("long"))
     rows = carried(rows, {"before": F.col("quotes")}).join(last, ["file", "part"])
     # the reader takes the separator away; only the last row of a part never had one
-    ended = F.when(F.struct("block", "row") == F.col("_last"), "").otherwise("}")
+    ended = F.when(F.struct("block", "row") == F.col("_last"), "").otherwise(sep)
     rows = rows.withColumn("starts_in", F.col("before") % 2 == 1) \
         .withColumn("ends_in", (F.col("before") + F.col("quotes")) % 2 == 1) \
         .withColumn("body", F.concat(F.when(F.col("starts_in"), '"').otherwise(""), F.col("text"), ended))
-    piece = r'(?s)[^"\[\]{}]*+(?:"' + _INNER + r'(?:"\s*+(?::\s*+[\[{])?|$)|[\[\]{}])'
+    if sep == "}":
+        piece = r'(?s)[^"\[\]{}]*+(?:"' + _INNER + r'(?:"\s*+(?::\s*+[\[{])?|$)|[\[\]{}])'
+    else:
+        piece = r'(?s)(?:"' + _INNER + r'(?:"(?:\s*+:\s*+[\[{]?)?|$)|[\[\]{},]|[^\s"\[\]{},:]++)'
     p = rows.withColumn("pieces", F.regexp_extract_all("body", F.lit(piece), F.lit(0))) \
         .select(*SPLIT, "row", "starts_in", "ends_in", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
-    unclosed = F.col("ends_in") & (F.col("i") == F.col("n") - 1)
+    p = p.withColumn("unclosed", F.col("ends_in") & (F.col("i") == F.col("n") - 1)) \
+        .withColumn("cut", F.col("starts_in") & (F.col("i") == 0))
     tail = F.right("piece", F.lit(1))
-    p = p.withColumn("open", ~unclosed & tail.isin("[", "{")).withColumn("close", ~unclosed & tail.isin("]", "}"))
-    named = F.regexp_extract("piece", r'(?s)"(' + _INNER + r')"\s*+:\s*+[\[{]$', 1)
-    cut = F.col("starts_in") & (F.col("i") == 0)
-    key = F.from_json(F.concat(F.lit('["'), named, F.lit('"]')), "array<string>")[0]
-    p = p.withColumn("key", F.when(F.col("open") & ~cut & (F.length(F.trim("piece")) > 1) & F.contains("piece", F.lit('"')), key))
-    p = p.withColumn("piece", F.when(cut, F.expr("substring(piece, 2)")).otherwise(F.col("piece")))
+    p = p.withColumn("open", ~F.col("unclosed") & tail.isin("[", "{")).withColumn("close", ~F.col("unclosed") & tail.isin("]", "}"))
+    p = p.withColumn("key", F.when(F.col("open") & ~F.col("cut") & F.contains("piece", F.lit('"')), name_of("piece")))
+    p = p.withColumn("piece", F.when(F.col("cut"), F.expr("substring(piece, 2)")).otherwise(F.col("piece")))
     delta = F.col("open").cast("long") - F.col("close").cast("long")
-    return carried(p, {"depth": delta}, ("row", "i")).select(*SPLIT, "row", "i", "piece", "open", "close", "key", "depth")
+    return carried(p, {"depth": delta}, ("row", "i")).select(
+        *SPLIT, "row", "i", "piece", "open", "close", "key", "cut", "unclosed", "depth")
+
+
+def name_of(piece: str | Column) -> Column:
+    """The name in a piece that ends in a colon, or in a colon and an opening bracket."""
+    named = F.regexp_extract(piece, r'(?s)"(' + _INNER + r')"\s*+:\s*+[\[{]?$', 1)
+    return F.from_json(F.concat(F.lit('["'), named, F.lit('"]')), "array<string>")[0]
+
+
+def json_leaves(spark: SparkSession, path: str, depth: int, names: dict[str, int] | None = None,
+                places: dict[str, int] | None = None) -> DataFrame:
+    """S-16..S-20, S-26 from files: the scalars that lie inside ``depth`` brackets, one row each, however long
+    their arrays or objects are -> (file, key, value, ...): ``value`` is text (a string without its quotes,
+    NULL for null), ``key`` its name in an object (NULL in an array). ``names`` adds columns with the name
+    of the enclosing bracket at a level (1 = outermost), ``places`` with the position (from 0) in the
+    enclosing bracket at a level. Names that hold a comma read as NULL.
+    """
+    names, places = names or {}, places or {}
+    p = json_pieces(spark, path, ",")
+    level = F.col("depth") + 1
+    comma = (F.col("piece") == ",") & ~F.col("cut") & ~F.col("unclosed")
+    text = ~F.col("open") & ~F.col("close") & ~comma
+    is_key = text & ~F.col("cut") & ~F.col("unclosed") & F.col("piece").rlike(r":\s*$")
+    # a string cut by commas: its last piece ends it, and may be the key of what follows
+    starts = text & ~is_key & ~F.col("cut")
+    wanted = sorted({*names.values(), *places.values()})
+    opened = lambda k: (F.col("open") & (level == k)).cast("long")
+    passed = lambda k: (comma & (F.col("depth") == k)).cast("long")
+    sums = {"_leaf": starts.cast("long")} | {f"_n{k}": opened(k) for k in wanted} | {f"_c{k}": passed(k) for k in set(places.values())}
+    order = Window.partitionBy(*SPLIT).orderBy("row", "i")  # no separator lies between a key and its scalar
+    p = p.withColumn("_key", F.when(F.lag(is_key.cast("int")).over(order) == 1, name_of(F.lag("piece").over(order))))
+    p = carried(p, sums, ("row", "i"))
+    p = p.withColumns({n: F.col(n) + v for n, v in sums.items() if n != "_leaf"}).withColumn("_leaf", F.col("_leaf") + starts.cast("long"))
+    at = p.where((text & ~is_key) & (F.col("depth") == depth))
+    rest = [n for n in sums if n != "_leaf"]
+    whole = at.where(starts & ~F.col("unclosed")).select("file", "_key", "piece", *rest)
+    parts = at.where(F.col("cut") | F.col("unclosed")).groupBy("file", "_leaf").agg(
+        F.sort_array(F.collect_list(F.struct("part", "block", "row", "i", "piece"))).alias("_p"),
+        F.max(F.when(starts, F.col("_key"))).alias("_key"), *[F.min(c).alias(c) for c in rest])
+    joined = F.array_join(F.transform("_p", lambda x: x["piece"]), "")
+    parts = parts.withColumn("piece", joined).where(~F.col("piece").rlike(r"(?s):\s*[\[{]?$")).select("file", "_key", "piece", *rest)
+    e = whole.unionByName(parts)
+    value = F.when(F.startswith("piece", F.lit('"')), F.from_json(F.concat(F.lit("["), F.col("piece"), F.lit("]")), "array<string>")[0]) \
+        .otherwise(F.nullif(F.col("piece"), F.lit("null")))
+    for k in wanted:
+        mine = {n: F.col("key") for n, v in names.items() if v == k}
+        own = {f"_o{k}": F.col(f"_c{k}")} if k in places.values() else {}
+        openers = p.where(F.col("open") & (level == k)).select("file", f"_n{k}", *[c.alias(n) for n, c in {**mine, **own}.items()])
+        e = e.join(openers, ["file", f"_n{k}"], "left")
+    return e.select("file", F.col("_key").alias("key"), *[(F.col(f"_c{k}") - F.col(f"_o{k}")).alias(n) for n, k in places.items()],
+                    *names, value.alias("value"))
 
 
 def json_elements(spark: SparkSession, path: str, depth: int, names: dict[str, int] | None = None,

@@ -57,6 +57,41 @@ def test_json_names_of_dynamic_keys(spark, tmp_path, tiny_splits):
     assert sorted((r.taxonomy, r.concept, r.unit, r.e.v, r.e.k) for r in rows) == sorted(want)
 
 
+def leaves(x, path=()):
+    if isinstance(x, dict):
+        for k, v in x.items():
+            yield from leaves(v, (*path, k))
+    elif isinstance(x, list):
+        for i, v in enumerate(x):
+            yield from leaves(v, (*path, i))
+    else:
+        yield path, x
+
+
+def as_text(x):
+    return {True: "true", False: "false"}.get(x, x) if isinstance(x, bool) else x if x is None or isinstance(x, str) else json.dumps(x)
+
+
+def test_json_leaves_equal_the_parser(spark, tmp_path, tiny_splits):
+    rng = random.Random(5)
+    scalar = lambda: rng.choice([1, -2.5, 3e9, True, None, odd_text(rng), "a, b", "", "x:"])
+    docs = {}
+    for f, indent in enumerate((None, 2)):
+        docs[f] = {"cols": {n: [scalar() for _ in range(80)] for n in ("t", "c")},
+                   "map": {f"i{i}": {f"k{j}": scalar() for j in range(rng.randrange(7))} for i in range(30)},
+                   "rows": [[scalar() for _ in range(4)] for _ in range(40)], "one": scalar()}
+        (tmp_path / f"doc{f}.json").write_text(json.dumps(docs[f], indent=indent, ensure_ascii=False), encoding="utf-8")
+    assert B.split_rows(spark, str(tmp_path), ",").select("file", "block").distinct().count() > 10
+    got = B.json_leaves(spark, str(tmp_path), 3, names={"top": 2, "mid": 3}, places={"i": 2, "j": 3})
+    no = F.regexp_extract("file", r"doc(\d)", 1).cast("int").alias("f")
+    rows = got.select(no, "top", "mid", "key", "i", "j", "value").collect()
+    have = sorted(((r.f, r.top, r.mid or r.i, r.key or r.j, r.value) for r in rows), key=repr)
+    want = sorted(((f, p[0], p[1], p[2], as_text(v)) for f, d in docs.items() for p, v in leaves(d) if len(p) == 3), key=repr)
+    assert have == want
+    one = B.json_leaves(spark, str(tmp_path), 1).select(no, "key", "value").collect()
+    assert sorted(map(tuple, one), key=repr) == sorted([(f, "one", as_text(d["one"])) for f, d in docs.items()], key=repr)
+
+
 def test_json_of_ordered_parts_and_empty_files(spark, tmp_path, tiny_splits):
     lines = [(0, "d", '{"a": [')] + [(i + 1, "d", f'{"," if i else ""} {{"i": {i}, "t": "}}{{"}}') for i in range(200)] + [(999, "d", "]}")]
     df = spark.createDataFrame(lines, "pos long, file string, line string").repartition(5)
