@@ -17,6 +17,8 @@ from ledgerline.operators import features as FT
 from ledgerline.operators import models as MD
 from ledgerline.operators import splits as SP
 from ledgerline.sources import ingest as IN
+from ledgerline.operators import topk as TK
+from ledgerline.sources import lake as LK
 from ledgerline.sources.lake import scratch_path
 
 
@@ -200,3 +202,83 @@ def m09_feature_windows(spark, sf):
     w = MD.read_windows(spark, path, 16)
     return w.select("asset", "ts", F.transform(F.flatten("window"), lambda x: duck_round(x, 6)).alias("window"),
                     duck_round("target", 6).alias("target"))
+
+
+# ---- S-01, A-15, A-16, J-06, J-09, R-02, M-02: whole tables, the operator itself ------------------------
+
+@query("s01_file_per_asset", f"""
+WITH b AS ({fx.bars_sql()}) SELECT asset, ts, close FROM b WHERE asset IN (SELECT asset FROM b GROUP BY 1 HAVING count(*) >= 650)""")
+def s01_files(spark, sf):
+    """S-01: a flat folder with a file for each asset (the few event types), names from the files, short ones skipped."""
+    b = fx.hourly_bars(spark, sf)
+    root = scratch_path(spark, "per-asset")
+    for a in RS.column_values(b, "asset"):
+        b.where(F.col("asset") == a).drop("asset").withColumnsRenamed({"close": "Close"}).write.parquet(f"{root}/{a}.parquet")
+    return LK.load_bars(LK.read_file_per_asset(spark, f"{root}/*.parquet"), min_rows=650).select("asset", "ts", "close")
+
+
+@query("a15_file_counts", """
+SELECT c_mktsegment AS category, 1::BIGINT AS assets, CAST(count(DISTINCT c_custkey % 3) AS BIGINT) AS files,
+  CAST(sum(strlen(c_name) + 1) AS BIGINT) AS bytes FROM customer GROUP BY 1""")
+def a15_counts(spark, sf):
+    """A-15: files too, of a write whose files are known: one for each category and writer, by a column."""
+    root = scratch_path(spark, "counted")
+    c = fx.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("category"), F.pmod("c_custkey", F.lit(3)).alias("writer"), "c_name")
+    for w in range(3):
+        c.where(F.col("writer") == w).repartition("category").select("category", "c_name").write.mode("append").partitionBy("category").text(root)
+    return LK.file_stats(spark, root, pattern="*.txt")
+
+
+@query("a16_drop_empty_columns", "SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 1 THEN o_totalprice END AS rare FROM orders")
+def a16_drop(spark, sf):
+    """A-16: a column without any value goes, one with few values stays."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", F.when(F.pmod("o_orderkey", F.lit(1000)) == 1, F.col("o_totalprice")).alias("rare"),
+                                             F.lit(None).cast("string").alias("never"), F.when(F.col("o_orderkey") < 0, 1).alias("nor_this"))
+    return RS.drop_all_null_columns(o)
+
+
+@query("j06_home_away_all", """
+SELECT l_orderkey, min(l_suppkey) FILTER (h) AS home_team, min(l_suppkey) FILTER (NOT h) AS away_team,
+  min(l_quantity) FILTER (h) AS home_score, min(l_quantity) FILTER (NOT h) AS away_score
+FROM (SELECT *, l_linenumber = min(l_linenumber) OVER (PARTITION BY l_orderkey) AS h FROM lineitem) GROUP BY 1""")
+def j06_all(spark, sf):
+    """J-06 over all rows: home is a game's first line, whatever its number; the others are away."""
+    li = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    first = li.groupBy("l_orderkey").agg(F.min("l_linenumber").alias("_first"))
+    return TK.home_away(li.join(first, "l_orderkey"), "l_orderkey", F.col("l_linenumber") == F.col("_first"), "l_suppkey", "l_quantity")
+
+
+@query("j09_reindex_all", """
+WITH d AS (SELECT DISTINCT event_type, date_trunc('day', ts) AS day FROM events),
+h AS (SELECT event_type, date_trunc('hour', ts) AS hour, avg(value) AS v FROM events GROUP BY 1, 2)
+SELECT d.event_type, d.day, round(h.v, 6) AS value FROM d LEFT JOIN h ON h.event_type = d.event_type AND h.hour = d.day""")
+def j09_all(spark, sf):
+    """J-09 for every type: its hourly series reindexed onto its own days."""
+    ev = fx.table(spark, sf, "events")
+    days = ev.select("event_type", F.date_trunc("day", "ts").alias("day")).distinct()
+    hours = ev.groupBy("event_type", F.date_trunc("hour", "ts").alias("day")).agg(F.avg("value").alias("value"))
+    return rounded(days.join(hours, ["event_type", "day"], "left"))
+
+
+@query("r02_priority_union_all", """
+WITH a AS (SELECT event_type, date_trunc('day', ts) AS day, avg(value) AS value, 0 AS priority FROM events WHERE hour(ts) = 0 GROUP BY 1, 2),
+b AS (SELECT event_type, date_trunc('day', ts) AS day, avg(value) AS value, 1 AS priority FROM events GROUP BY 1, 2),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT event_type, day, round(arg_min(value, priority), 6) AS value, min(priority) AS priority FROM u GROUP BY 1, 2""")
+def r02_all(spark, sf):
+    """R-02 for every type: midnight snapshots, else the day's mean."""
+    ev = fx.table(spark, sf, "events").withColumn("day", F.date_trunc("day", "ts"))
+    feed = lambda d: d.groupBy("event_type", "day").agg(F.avg("value").alias("value"))
+    return rounded(RS.priority_union([feed(ev.where(F.hour("ts") == 0)), feed(ev)], ["event_type", "day"])
+                   .select("event_type", "day", "value", "priority"))
+
+
+@query("m02_expanding_fold_bounds", f"""
+WITH n AS (SELECT asset, count(*) AS n FROM ({fx.bars_sql()}) GROUP BY 1 HAVING count(*) >= 250)
+SELECT asset, CAST(f AS INTEGER) AS fold, CAST(f * 50 + 200 AS BIGINT) AS train_end, CAST(f * 50 + 250 AS BIGINT) AS test_end
+FROM n, range(0, 100000) t(f) WHERE f <= (n - 250) // 50""")
+def m02_bounds(spark, sf):
+    """M-02: the folds as spans of row numbers, one row a fold."""
+    n = fx.hourly_bars(spark, sf).groupBy("asset").agg(F.count("*").alias("n"))
+    out = SP.expanding_fold_bounds(n, 200, 50)
+    return out.select("asset", "fold", F.col("train_end").cast("long").alias("train_end"), F.col("test_end").cast("long").alias("test_end"))

@@ -46,9 +46,10 @@ def read_lake(spark: SparkSession, root: str, categories: Sequence[str] | None =
 
 
 def read_file_per_asset(spark: SparkSession, path: str) -> DataFrame:
-    """S-01 for a flat folder of ``<asset>.parquet`` files: asset = file stem."""
+    """S-01 for a flat folder of ``<asset>.parquet`` files, or folders of that name with parts: asset = the stem."""
     df = spark.read.parquet(path)
-    return df.withColumn("asset", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.parquet)?$", 1))
+    name = F.regexp_replace(F.col("_metadata.file_path"), r"\.parquet/[^/]*$", ".parquet")
+    return df.withColumn("asset", F.regexp_extract(name, r"([^/]*?)(\.parquet)?$", 1))
 
 
 def load_bars(df: DataFrame, min_rows: int = 100, ts: str = "ts") -> DataFrame:
