@@ -23,6 +23,7 @@ from ledgerline.operators.features import FEATURE_COLUMNS
 from ledgerline.operators.splits import require_temporal
 from ledgerline.plans import sequence as sq
 from ledgerline.plans.sequence import N, RN
+from ledgerline.session import cut_lineage
 
 SCHEMES = ("walk_forward", "expanding")
 
@@ -109,14 +110,16 @@ def backtest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: st
     [0, train_size + k*step), ``walk_forward`` on [k*step, k*step + train_size).
     ``classification`` expects a 0/1 label: the prediction is its linear
     probability, cut to 0..1. Features are those of the rows given: they look
-    back only, so none sees its test period."""
+    back only, so none sees its test period. The complete rows are checkpointed
+    once, numbered, in the shared folder."""
     if scheme not in SCHEMES or task not in ("regression", "classification"):
         raise ValueError(f"unknown scheme {scheme!r} or task {task!r}")
     require_temporal(df, ts)
     step, group, key = step or test_size, list(group), list(key)
     columns = list(dict.fromkeys([*group, *key, ts, *features, label, *keep]))
     rows = df.select(*columns).na.drop(how="any", subset=[*features, label])
-    indexed = sq.with_row_index(rows, key, [ts])
+    # models, test rows and sizes all read the numbered rows: the features are computed once, not for each
+    indexed = cut_lineage(sq.with_row_index(rows, key, [ts]))
     models = fit_folds(indexed, features, label, train_size, test_size, step, scheme, group, key, ridge)
     lo, hi = _fold_span(scheme, F.col(RN), F.col(N), train_size, test_size, step)
     test = (indexed.filter((F.col(N) >= train_size + test_size) & (F.col(RN) >= train_size)).filter(lo <= hi)
