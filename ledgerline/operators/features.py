@@ -22,6 +22,7 @@ from ledgerline.plans import sequence as sq
 from ledgerline.session import cut_lineage
 from ledgerline.plans.sequence import RN, N, chunk_window, full_rolling, rolling
 
+# The names of the feature columns
 FEATURE_COLUMNS = [
     "log_return", "volatility_20", "rsi_14", "macd", "macd_signal", "macd_hist",
     "volume_zscore", "return_lag_1", "return_lag_2", "return_lag_3", "return_lag_5",

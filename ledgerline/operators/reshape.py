@@ -47,10 +47,18 @@ def priority_union(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame
     return keep_first(union_all(tagged), key, ["priority"])
 
 
-def column_values(df: DataFrame, column) -> list:
+#: Distinct values that may become columns: a wider table can't be planned in reasonable time.
+MOST_COLUMNS = 10_000
+
+
+def column_values(df: DataFrame, column, most: int = MOST_COLUMNS) -> list:
     """The sorted distinct values of a column that become column names (a distinct
-    of that column alone, one value per output column; NULL is no name)."""
-    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+    of that column alone, one value per output column; NULL is no name). More than
+    ``most`` are an error, found without collecting them."""
+    found = [r[0] for r in df.select(column).distinct().limit(most + 2).collect() if r[0] is not None]
+    if len(found) > most:
+        raise ValueError(f"more than {most} distinct values would become columns")
+    return sorted(found)
 
 
 def pivot_unique(df: DataFrame, index: Sequence[str], column: str, value: str,

@@ -141,6 +141,7 @@ def series_csv(lines: DataFrame, missing: Sequence[str] = (".", "", "NA")) -> Da
 
 # ---- S-08 / S-09 index files ----------------------------------------------------
 
+# The character offsets of the public form index
 FORM4_COLUMNS = (("form", 0, 12), ("company", 12, 74), ("cik", 74, 86), ("date_filed", 86, 98), ("filename", 98, None))
 
 

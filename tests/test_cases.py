@@ -67,3 +67,10 @@ def test_first_value_passes_over_missing(spark):
     wide = spark.createDataFrame([("s", 2, 1.0, None), ("s", 1, None, None), ("t", 1, 3.0, 4.0)], "s string, o int, d1 double, d2 double")
     got = {r.d: (r.s, r.t) for r in RS.transpose_series(wide, "s", ["d1", "d2"], "d", ["s", "t"], order=["o"]).collect()}
     assert got == {"d1": (1.0, 3.0), "d2": (None, 4.0)}
+
+
+def test_too_many_columns_are_an_error(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(7)] + [(None,)], "c string")
+    assert RS.column_values(df, "c", most=7) == [str(i) for i in range(7)]
+    with pytest.raises(ValueError):
+        RS.column_values(df, "c", most=6)
