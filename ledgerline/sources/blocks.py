@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.sources import json_scan as JS
+
 SPLIT = ["file", "part", "block"]
-# a JSON string without its quotes
-_INNER = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
 
 
 def split_rows(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """(file, part, block, row, text) of the text files under ``path``, cut at ``sep`` (default: line ends).
-    Parts of a folder ``file=<name>`` are one file, in the order of their numbers."""
+    """(file, part, block, row, size, text) of the text files under ``path``, cut at ``sep`` (default: line ends).
+    Parts of a folder ``file=<name>`` are one file, in the order of their numbers; ``size`` is a part's bytes."""
     r = spark.read.option("lineSep", sep) if sep else spark.read
     df = r.text(path)
     meta = F.col("_metadata")
@@ -33,7 +33,7 @@ def split_rows(spark: SparkSession, path: str, sep: str | None = None) -> DataFr
     else:
         file, part = meta["file_path"], F.lit(0).cast("long")
     return df.select(file.alias("file"), F.coalesce(part, F.lit(0)).alias("part"), meta["file_block_start"].alias("block"),
-                     F.monotonically_increasing_id().alias("row"), F.col("value").alias("text"))
+                     F.monotonically_increasing_id().alias("row"), meta["file_size"].alias("size"), F.col("value").alias("text"))
 
 
 def carried(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("row",)) -> DataFrame:
@@ -51,47 +51,16 @@ def carried(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("row
     return out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums}).drop(*[f"_o_{n}" for n in sums])
 
 
-def json_pieces(spark: SparkSession, path: str, sep: str = "}") -> DataFrame:
-    """The JSON under ``path`` as rows (file, part, block, row, i, piece, open, close, key, cut, unclosed, depth):
-    each piece is a string or ends in a bracket, with ``sep=","`` also a key, a comma or another scalar;
-    ``depth`` is the number of brackets open before it, and ``key`` the name that an opening bracket has in
-    its object. A string that was cut by a separator inside it is ``unclosed``, its next piece ``cut``.
+def _name(raw: Column) -> Column:
+    """The text of a JSON string without its quotes; most have nothing to unescape."""
+    plain = raw.cast("string")
+    return F.when(plain.rlike(r"[\\\x00-\x1f]"), F.from_json(F.concat(F.lit('["'), plain, F.lit('"]')), "array<string>")[0]).otherwise(plain)
 
-    Files are cut at ``sep``: as a document has brackets (or commas) everywhere, rows are small and any split
-    starts near its place, also in a file of one line. Whether a row starts inside a string is the parity of
-    the quotes before it; the depth is the sum of brackets before. A name that holds ``sep`` reads as NULL.
-    """
-    rows = split_rows(spark, path, sep)
-    last = rows.groupBy("file", "part").agg(F.max(F.struct("block", "row")).alias("_last"))
-    plain = F.regexp_replace("text", r"(?s)\\.", "")
-    rows = rows.withColumn("quotes", (F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))).cast("long"))
-    rows = carried(rows, {"before": F.col("quotes")}).join(last, ["file", "part"])
-    # the reader takes the separator away; only the last row of a part never had one
-    ended = F.when(F.struct("block", "row") == F.col("_last"), "").otherwise(sep)
-    rows = rows.withColumn("starts_in", F.col("before") % 2 == 1) \
-        .withColumn("ends_in", (F.col("before") + F.col("quotes")) % 2 == 1) \
-        .withColumn("body", F.concat(F.when(F.col("starts_in"), '"').otherwise(""), F.col("text"), ended))
-    if sep == "}":
-        piece = r'(?s)[^"\[\]{}]*+(?:"' + _INNER + r'(?:"\s*+(?::\s*+[\[{])?|$)|[\[\]{}])'
-    else:
-        piece = r'(?s)(?:"' + _INNER + r'(?:"(?:\s*+:\s*+[\[{]?)?|$)|[\[\]{},]|[^\s"\[\]{},:]++)'
-    p = rows.withColumn("pieces", F.regexp_extract_all("body", F.lit(piece), F.lit(0))) \
-        .select(*SPLIT, "row", "starts_in", "ends_in", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
-    p = p.withColumn("unclosed", F.col("ends_in") & (F.col("i") == F.col("n") - 1)) \
-        .withColumn("cut", F.col("starts_in") & (F.col("i") == 0))
-    tail = F.right("piece", F.lit(1))
-    p = p.withColumn("open", ~F.col("unclosed") & tail.isin("[", "{")).withColumn("close", ~F.col("unclosed") & tail.isin("]", "}"))
-    p = p.withColumn("key", F.when(F.col("open") & ~F.col("cut") & F.contains("piece", F.lit('"')), name_of("piece")))
-    p = p.withColumn("piece", F.when(F.col("cut"), F.expr("substring(piece, 2)")).otherwise(F.col("piece")))
-    delta = F.col("open").cast("long") - F.col("close").cast("long")
-    return carried(p, {"depth": delta}, ("row", "i")).select(
-        *SPLIT, "row", "i", "piece", "open", "close", "key", "cut", "unclosed", "depth")
-
-
-def name_of(piece: str | Column) -> Column:
-    """The name in a piece that ends in a colon, or in a colon and an opening bracket."""
-    named = F.regexp_extract(piece, r'(?s)"(' + _INNER + r')"\s*+:\s*+[\[{]?$', 1)
-    return F.from_json(F.concat(F.lit('["'), named, F.lit('"]')), "array<string>")[0]
+
+def json_text(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """(file, part, block, size, text) of the JSON under ``path``, cut at ``sep``: as a document has brackets (or
+    commas) everywhere, rows are small and any split starts near its place, also in a file of one line."""
+    return split_rows(spark, path, sep).select(*SPLIT, "size", "text")
 
 
 def json_leaves(spark: SparkSession, path: str, depth: int, names: dict[str, int] | None = None,
@@ -100,42 +69,20 @@ def json_leaves(spark: SparkSession, path: str, depth: int, names: dict[str, int
     their arrays or objects are -> (file, key, value, ...): ``value`` is text (a string without its quotes,
     NULL for null), ``key`` its name in an object (NULL in an array). ``names`` adds columns with the name
     of the enclosing bracket at a level (1 = outermost), ``places`` with the position (from 0) in the
-    enclosing bracket at a level. Names that hold a comma read as NULL.
+    enclosing bracket at a level. The text is read three times and never exchanged; only one scalar has to fit in
+    a row.
     """
     names, places = names or {}, places or {}
-    p = json_pieces(spark, path, ",")
-    level = F.col("depth") + 1
-    comma = (F.col("piece") == ",") & ~F.col("cut") & ~F.col("unclosed")
-    text = ~F.col("open") & ~F.col("close") & ~comma
-    is_key = text & ~F.col("cut") & ~F.col("unclosed") & F.col("piece").rlike(r":\s*$")
-    # a string cut by commas: its last piece ends it, and may be the key of what follows
-    starts = text & ~is_key & ~F.col("cut")
+    rows = json_text(spark, path, ",")
     wanted = sorted({*names.values(), *places.values()})
-    opened = lambda k: (F.col("open") & (level == k)).cast("long")
-    passed = lambda k: (comma & (F.col("depth") == k)).cast("long")
-    sums = {"_leaf": starts.cast("long")} | {f"_n{k}": opened(k) for k in wanted} | {f"_c{k}": passed(k) for k in set(places.values())}
-    order = Window.partitionBy(*SPLIT).orderBy("row", "i")  # no separator lies between a key and its scalar
-    p = p.withColumn("_key", F.when(F.lag(is_key.cast("int")).over(order) == 1, name_of(F.lag("piece").over(order))))
-    p = carried(p, sums, ("row", "i"))
-    p = p.withColumns({n: F.col(n) + v for n, v in sums.items() if n != "_leaf"}).withColumn("_leaf", F.col("_leaf") + starts.cast("long"))
-    at = p.where((text & ~is_key) & (F.col("depth") == depth))
-    rest = [n for n in sums if n != "_leaf"]
-    whole = at.where(starts & ~F.col("unclosed")).select("file", "_key", "piece", *rest)
-    parts = at.where(F.col("cut") | F.col("unclosed")).groupBy("file", "_leaf").agg(
-        F.sort_array(F.collect_list(F.struct("part", "block", "row", "i", "piece"))).alias("_p"),
-        F.max(F.when(starts, F.col("_key"))).alias("_key"), *[F.min(c).alias(c) for c in rest])
-    joined = F.array_join(F.transform("_p", lambda x: x["piece"]), "")
-    parts = parts.withColumn("piece", joined).where(~F.col("piece").rlike(r"(?s):\s*[\[{]?$")).select("file", "_key", "piece", *rest)
-    e = whole.unionByName(parts)
-    value = F.when(F.startswith("piece", F.lit('"')), F.from_json(F.concat(F.lit("["), F.col("piece"), F.lit("]")), "array<string>")[0]) \
-        .otherwise(F.nullif(F.col("piece"), F.lit("null")))
-    for k in wanted:
-        mine = {n: F.col("key") for n, v in names.items() if v == k}
-        own = {f"_o{k}": F.col(f"_c{k}")} if k in places.values() else {}
-        openers = p.where(F.col("open") & (level == k)).select("file", f"_n{k}", *[c.alias(n) for n, c in {**mine, **own}.items()])
-        e = e.join(openers, ["file", f"_n{k}"], "left")
-    return e.select("file", F.col("_key").alias("key"), *[(F.col(f"_c{k}") - F.col(f"_o{k}")).alias(n) for n, k in places.items()],
-                    *names, value.alias("value"))
+    named, placed = sorted(set(names.values())), sorted(set(places.values()))
+    at, _ = JS.starts(rows, ",", wanted)
+    kinds = ", ".join(["file string, key binary", *[f"_k{k} binary" for k in named], *[f"_p{k} long" for k in placed], "value binary"])
+    e = rows.mapInArrow(JS.scanner("leaves", ",", at, depth, wanted, named, placed), kinds).withColumn("value", F.col("value").cast("string"))
+    value = F.when(F.startswith("value", F.lit('"')), _name(F.expr("substring(value, 2, length(value) - 2)"))) \
+        .otherwise(F.nullif(F.col("value"), F.lit("null")))
+    return e.select("file", _name(F.col("key")).alias("key"), *[F.col(f"_p{k}").alias(n) for n, k in places.items()],
+                    *[_name(F.col(f"_k{k}")).alias(n) for n, k in names.items()], value.alias("value"))
 
 
 def json_elements(spark: SparkSession, path: str, depth: int, names: dict[str, int] | None = None,
@@ -148,35 +95,25 @@ def json_elements(spark: SparkSession, path: str, depth: int, names: dict[str, i
     enclosing bracket at a level, the ``at`` of the objects of depth level - 1. With ``shallow`` the text
     leaves out what lies in deeper brackets, so that the fields of an object that holds a large array are
     read without it. Only one object (without its inner arrays if ``shallow``) has to fit in a row.
+
+    The text is read three times and never exchanged; only objects across the ends of splits are put together
+    from their parts, at most two parts a split.
     """
     names, parents = names or {}, parents or {}
-    wanted = sorted({depth + 1, *names.values(), *parents.values()})
-    level = F.col("depth") + 1
-    p = json_pieces(spark, path)
-    # the number of the bracket that encloses a row at level k: openings at that level so far, its own included
-    opened = lambda k: (F.col("open") & (level == k)).cast("long")
-    p = carried(p, {f"_n{k}": opened(k) for k in wanted}, ("row", "i"))
-    p = p.withColumns({f"_n{k}": F.col(f"_n{k}") + opened(k) for k in wanted})
-    starts = F.col("open") & (F.col("depth") == depth)
-    deeper = F.col("depth") > depth
-    if shallow:
-        deeper = deeper & ((F.col("depth") == depth + 1) | (F.col("close") & (F.col("depth") == depth + 2)))
-    of = p.where(starts | deeper)
-    text = F.when(starts, F.right("piece", F.lit(1)))
-    if shallow:  # of an inner bracket only its end
-        text = text.when(F.col("close") & (F.col("depth") == depth + 2), F.right("piece", F.lit(1)))
-    text = text.otherwise(F.col("piece"))
-    rest = [f"_n{k}" for k in wanted if k != depth + 1]
-    e = of.groupBy("file", F.col(f"_n{depth + 1}").alias("at")).agg(
-        F.sort_array(F.collect_list(F.struct("part", "block", "row", "i", text.alias("t")))).alias("_p"),
-        F.max(F.when(starts, F.right("piece", F.lit(1)))).alias("_kind"), F.max(F.when(starts, F.col("key"))).alias("key"),
-        *[F.max(F.when(starts, F.col(c))).alias(c) for c in rest]) \
-        .where("_kind = '{'").withColumn("text", F.array_join(F.transform("_p", lambda x: x["t"]), ""))
-    for name, k in names.items():
-        own = "at" if k == depth + 1 else f"_n{k}"
-        openers = p.where(F.col("open") & (level == k)).select("file", F.col(f"_n{k}").alias(own), F.col("key").alias(name))
-        e = e.join(openers, ["file", own], "left")
-    return e.select("file", "at", "key", *[F.col(f"_n{k}").alias(n) for n, k in parents.items()], *names, "text")
+    rows = json_text(spark, path, "}")
+    own, named, above = depth + 1, sorted(set(names.values())), sorted(set(parents.values()))
+    wanted = sorted({own, *named, *above})
+    at, ends = JS.starts(rows, "}", wanted, depth, shallow)
+    kinds = ", ".join(["file string, at long, key binary", *[f"_n{k} long" for k in above], *[f"_k{k} binary" for k in named], "text binary"])
+    e = rows.mapInArrow(JS.scanner("elements", "}", at, depth, wanted, named, (), above, shallow), kinds)
+    if any(v["across"] for v in at.values()):
+        parts = JS.across(ends, at, own, named, above).groupBy("file", "at").agg(
+            F.sort_array(F.collect_list(F.struct("part", "block", "no", "text"))).alias("_p"),
+            *[F.max(c).alias(c) for c in e.columns if c not in ("file", "at", "text")])
+        joined = F.array_join(F.transform("_p", lambda x: x["text"].cast("string")), "").cast("binary")
+        e = e.unionByName(parts.withColumn("text", joined).drop("_p"))
+    return e.select("file", "at", _name(F.col("key")).alias("key"), *[F.col(f"_n{k}").alias(n) for n, k in parents.items()],
+                    *[_name(F.col(f"_k{k}")).alias(n) for n, k in names.items()], F.col("text").cast("string").alias("text"))
 
 
 def quoted_records(rows: DataFrame) -> DataFrame:
@@ -186,7 +123,7 @@ def quoted_records(rows: DataFrame) -> DataFrame:
     A line starts a record where the number of quotes before it in the file is even; records are numbered
     and their lines joined, so a record may span splits and parts, and the file stays splittable.
     """
-    q = rows.withColumn("quotes", (F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))).cast("long"))
+    q = rows.drop("size").withColumn("quotes", (F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))).cast("long"))
     q = carried(q, {"before": F.col("quotes")})
     starts = (F.col("before") % 2 == 0).cast("long")
     q = carried(q, {"pos": starts}).withColumn("pos", F.col("pos") + starts)

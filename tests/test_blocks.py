@@ -104,6 +104,32 @@ def test_json_of_ordered_parts_and_empty_files(spark, tmp_path, tiny_splits):
     assert B.json_elements(spark, f"{tmp_path}/y*.json", 1).collect() == []
 
 
+def exchanges(df):
+    """Exchanges of the plan and of those that it keeps."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_json_text_stays_in_its_task(spark, tmp_path, tiny_splits):
+    """Only parts of objects across the ends of splits are exchanged; names may hold separators, and a part may
+    end in one."""
+    doc = {"a, b}": {f"k,{i}": [i, "x, }" * (i % 5)] for i in range(60)}}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    got = B.json_leaves(spark, f"{tmp_path}/a.json", 3, names={"top": 2, "k": 3}, places={"p": 3})
+    assert exchanges(got) == 0
+    assert sorted((r.top, r.k, r.p, r.value) for r in got.collect()) == sorted(
+        ("a, b}", k, p, str(v)) for k, vs in doc["a, b}"].items() for p, v in enumerate(vs))
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.json").write_text('{"x": [' + ", ".join(['{"i": 1}'] * 5) + "]}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    whole = B.json_elements(spark, f"{tmp_path}/one", 2)
+    assert exchanges(whole) == 0 and whole.count() == 5
+    (tmp_path / "p" / "file=d").mkdir(parents=True)
+    for i, text in enumerate(('{"x": [{"i": {"j": 1}', '}, {"i": {"j":', ' 2}}, {"i": {"j": 3}}', "]}")):
+        (tmp_path / "p" / "file=d" / f"part-0000{i}.txt").write_text(text)
+    parts = B.json_elements(spark, f"{tmp_path}/p", 2, names={"list": 2}, parents={"up": 2})
+    assert sorted((r.list, r.up, json.loads(r.text)["i"]["j"]) for r in parts.collect()) == [("x", 1, 1), ("x", 1, 2), ("x", 1, 3)]
+
+
 def test_quoted_records_equal_the_csv_reader(spark, tmp_path, tiny_splits):
     import csv
     rng = random.Random(6)
