@@ -164,9 +164,14 @@ def m08_direction_record(spark, sf):
 
 # ---- T-01..T-05 streaming -----------------------------------------------------------
 
+def _table_path(sf, name):
+    """A table, one file or a folder of parts, as a pattern: a stream may not be of the path of one file, and a
+    filter by file names over ``sf`` would see no part of a folder."""
+    return f"{sf.rstrip('/')}/{{{name}.parquet}}"
+
+
 def _events_stream(spark, sf):
-    schema = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet").schema
-    return ST.read_stream(spark, sf, schema, glob="events.parquet")
+    return ST.read_stream(spark, _table_path(sf, "events"), fx.table(spark, sf, "events").schema)
 
 
 def _drain(spark, df, name, mode="append"):
@@ -193,8 +198,7 @@ SELECT doc_id, round({SCORE_SQL}, 4) AS score, CASE WHEN {RULE_POS} > {RULE_NEG}
   WHEN {RULE_NEG} > {RULE_POS} THEN 'Negative' ELSE 'Neutral' END AS label FROM documents""")
 def t02(spark, sf):
     """T-02: stateless scoring of a document stream."""
-    schema = spark.read.parquet(f"{sf.rstrip('/')}/documents.parquet").schema
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    docs = spark.readStream.schema(fx.table(spark, sf, "documents").schema).parquet(_table_path(sf, "documents"))
     out = _drain(spark, ST.stream_scores(docs, "text", keep=["doc_id"]), "scores")
     return out.select("doc_id", "score", "label")
 

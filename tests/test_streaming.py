@@ -1,11 +1,16 @@
 """T-01 / T-04 semantics on a file stream fed in two batches."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.plans import registry
 from ledgerline.sources.lake import scratch_path
 from ledgerline.streaming import ops as ST
 
+SF001 = "/root/testdata/sf0.001"
+registry.load_all()
+
 SCHEMA = "event_id long, ts timestamp_ntz, event_type string, value double"
 
 
@@ -46,6 +51,16 @@ def test_stream_dedupe_within_watermark(spark):
     assert spark.read.parquet(out).count() == 10
 
 
+@pytest.mark.parametrize("name, table", [("t02_stream_scores", "documents"), ("t04_stream_dedupe", "events")])
+def test_streams_of_tables_in_parts(spark, tmp_path, name, table):
+    """A table may be a folder of part files: the stream reads all of them."""
+    rows = spark.read.parquet(f"{SF001}/{table}.parquet")
+    rows.repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    run = registry.prepared(registry.QUERIES[name])
+    got, want = (sorted(map(tuple, run(spark, sf).collect()), key=str) for sf in (str(tmp_path), SF001))
+    assert got == want and len(got) == (rows.count() if table == "documents" else 5)
+
+
 START = 1_700_000_000 // 3600 * 3600
 
 
