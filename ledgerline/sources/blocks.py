@@ -165,14 +165,21 @@ def quoted_fields(line: Column, sep: str = ",") -> Column:
     return F.transform(found, lambda f: F.when(F.ltrim(f).startswith('"'), bare(f)).otherwise(f))
 
 
-def xml_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """S-27 / S-28: every element ``tag`` of the files under ``path``, wherever it lies and whatever text
-    wraps the XML, as a row of ``schema`` with its ``file`` and its order in it, ``pos``. A file is streamed
-    by one task; for elements that fill large files see :func:`xml_split_rows`."""
-    r = spark.read.format("xml").option("rowTag", tag).option("useLegacyXMLParser", "true").schema(schema).load(path)
+def xml_first(spark: SparkSession, path: str, between: str, schemas: dict[str, str]) -> DataFrame:
+    """S-27 / S-28: (file, tag...): the first element of each tag of ``schemas`` in every file under ``path``, whatever
+    text wraps the XML; NULL where there is none. A file is read by many tasks, as the text between two end tags
+    ``between`` (a tag that the elements neither hold nor lie in, and that fills large files); only one text a file
+    and tag is parsed."""
     meta = F.col("_metadata")
-    return r.select(*T.StructType.fromDDL(schema).names, meta["file_path"].alias("file"),
-                    F.monotonically_increasing_id().alias("pos"))
+    r = spark.read.option("lineSep", f"</{between}>").text(path)
+    pos = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+    bare = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+    first = {t: F.nullif(F.regexp_extract(bare, rf"(?s)<{t}(?:\s[^>]*)?/>|<{t}(?:\s[^>]*)?>.*?</{t}>", 0), F.lit("")) for t in schemas}
+    held = lambda t: F.contains("value", F.lit(f"<{t}"))
+    r = r.select(meta["file_path"].alias("file"), pos.alias("pos"), *[F.when(held(t), c).alias(t) for t, c in first.items()])
+    r = r.where(F.coalesce(*schemas).isNotNull())
+    texts = r.groupBy("file").agg(*[F.min_by(t, F.when(F.col(t).isNotNull(), F.col("pos"))).alias(t) for t in schemas])
+    return texts.select("file", *[F.from_xml(t, s).alias(t) for t, s in schemas.items()])
 
 
 def xml_split_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
@@ -189,24 +196,22 @@ def xml_split_rows(spark: SparkSession, path: str, tag: str, schema: str) -> Dat
 def filing_transactions(spark: SparkSession, path: str, name_date: str = r"(\d{8})[^/]*$") -> DataFrame:
     """S-27 / S-28 over landed ownership filings: one row per non-derivative transaction, read by its own
     tag, so that a filing is as many rows as it has transactions and is split among tasks. Issuer and first
-    owner are read by their tags and joined by file. value = shares x price (NULL for a bad number); a missing or blank transaction
-    date is that in the file's path (eight digits, found by ``name_date``), else the day the file was
+    owner are found in one more pass over the same rows and joined by file. value = shares x price (NULL for a bad
+    number); a missing or blank transaction date is that in the file's path (eight digits, found by ``name_date``), else the day the file was
     written."""
     value = "STRUCT<value: STRING>"
     t = xml_split_rows(spark, path, "nonDerivativeTransaction",
                        f"transactionDate {value}, transactionAmounts STRUCT<transactionShares: {value}, "
                        f"transactionPricePerShare: {value}, transactionAcquiredDisposedCode: {value}>")
-    issuer = xml_rows(spark, path, "issuer", "issuerTradingSymbol STRING, issuerName STRING").groupBy("file").agg(
-        F.min_by(F.struct("issuerTradingSymbol", "issuerName"), "pos").alias("i"))
-    owner = xml_rows(spark, path, "reportingOwner", "reportingOwnerId STRUCT<rptOwnerName: STRING>").groupBy("file").agg(
-        F.min_by("reportingOwnerId", "pos").alias("o"))
+    heads = xml_first(spark, path, "nonDerivativeTransaction", {
+        "issuer": "issuerTradingSymbol STRING, issuerName STRING", "reportingOwner": "reportingOwnerId STRUCT<rptOwnerName: STRING>"})
     shares = F.trim("transactionAmounts.transactionShares.value").try_cast("double")
     price = F.trim("transactionAmounts.transactionPricePerShare.value").try_cast("double")
     name = F.try_to_date(F.regexp_extract("file", name_date, 1), "yyyyMMdd")
     date = F.coalesce(F.nullif(F.trim("transactionDate.value"), F.lit("")),
                       F.date_format(F.coalesce(name, F.to_date("file_time")), "yyyy-MM-dd"))
-    return t.join(issuer, "file", "left").join(owner, "file", "left").select(
-        "file", F.trim("i.issuerTradingSymbol").alias("ticker"), F.trim("i.issuerName").alias("issuer_name"),
-        F.trim("o.rptOwnerName").alias("owner_name"), date.alias("transaction_date"), shares.alias("shares"),
+    return t.join(heads, "file", "left").select(
+        "file", F.trim("issuer.issuerTradingSymbol").alias("ticker"), F.trim("issuer.issuerName").alias("issuer_name"),
+        F.trim("reportingOwner.reportingOwnerId.rptOwnerName").alias("owner_name"), date.alias("transaction_date"), shares.alias("shares"),
         price.alias("price_per_share"), F.trim("transactionAmounts.transactionAcquiredDisposedCode.value").alias("acquired_disposed"),
         (shares * price).alias("transaction_value"))

@@ -158,10 +158,13 @@ FORM4_XML_SCHEMA = ("issuer STRUCT<issuerTradingSymbol: STRING, issuerName: STRI
 def extract_xml(text) -> Column:
     """S-28: the XML document inside a text wrapper: from ``<?xml`` to the end of
     its root, else the ``<ownershipDocument>...</ownershipDocument>`` span."""
-    t = _c(text)
-    decl = F.regexp_extract(t, r"(?s)(<\?xml.*?</ownershipDocument>)", 1)
-    span = F.regexp_extract(t, r"(?s)(<ownershipDocument>.*?</ownershipDocument>)", 1)
-    return F.when(decl != "", decl).when(span != "", span)
+    t, end = _c(text), "</ownershipDocument>"
+
+    def span(start):
+        a = F.instr(t, start)
+        b = F.when(a > 0, F.position(F.lit(end), t, a))
+        return F.when(b > 0, F.substring(t, a, b + len(end) - a))
+    return F.coalesce(span(F.lit("<?xml")), span(F.lit("<ownershipDocument>")))
 
 
 def form4_transactions(df: DataFrame, xml: str, file_date: str | None = None, keep: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.sources import blocks as B
+from ledgerline.sources import nested
 from ledgerline.sources import raw as RW
 
 
@@ -169,3 +170,30 @@ def test_xml_filings(spark, tmp_path, tiny_splits):
     two = sorted((r.transaction_date, r.owner_name, r.shares, r.transaction_value) for r in rows if "f-2024" in r.file)
     assert two == [("2024-01-02", "Bo", 10.0, 25.0), ("2024-01-05", "Bo", None, None)]
     assert sum(r.shares for r in rows if r.owner_name == "Cy") == sum(range(500))
+
+
+def test_heads_of_filings_are_read_in_splits(spark, tmp_path, tiny_splits):
+    """Issuer and first owner come from text rows, not from one task that reads a whole file; a comment is none."""
+    head = "<!-- <issuer><issuerName>No</issuerName></issuer> --><issuer a='/'><issuerName>A &amp; B</issuerName></issuer>"
+    owner = "<reportingOwner><reportingOwnerId><rptOwnerName>{}</rptOwnerName></reportingOwnerId></reportingOwner>"
+    txn = "<nonDerivativeTransaction><transactionAmounts><transactionShares><value>1</value></transactionShares></transactionAmounts></nonDerivativeTransaction>"
+    (tmp_path / "a-20240105.txt").write_text("x <issuers/>" + head + owner.format("One") + owner.format("Two") + txn * 30)
+    (tmp_path / "b-20240106.txt").write_text("<issuer/>" + txn * 9 + owner.format("Late"))
+    got = B.filing_transactions(spark, str(tmp_path))
+    assert "FileScan xml" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.groupBy("transaction_date", "issuer_name", "ticker", "owner_name").count().collect()
+    assert sorted(map(tuple, rows)) == [("2024-01-05", "A & B", None, "One", 30), ("2024-01-06", None, None, "Late", 9)]
+
+
+def test_embedded_xml_equals_the_patterns(spark):
+    import re
+    rng = random.Random(8)
+    bits = ["<?xml", "<ownershipDocument>", "</ownershipDocument>", "\n", "é", "?>", " a"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(8))) for _ in range(300)] + [None]
+    want = []
+    for t in texts:
+        found = t and (re.search(r"<\?xml.*?</ownershipDocument>", t, re.S) or re.search(r"<ownershipDocument>.*?</ownershipDocument>", t, re.S))
+        want.append(found.group() if found else None)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", nested.extract_xml("t").alias("x"))
+    assert "regexp" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [r.x for r in df.orderBy("i").collect()] == want
