@@ -57,19 +57,24 @@ def _same(r: DataFrame, left: DataFrame, ks: list[str], how: str = "inner") -> D
 
 
 def narrowed(rows: DataFrame, left: DataFrame, ks: list[str], most: int) -> tuple[DataFrame, DataFrame]:
-    """One round: the rows inside each large group's bracket, and the ranks among them."""
+    """One round: the rows inside each large group's bracket, those of the other groups, and the ranks among them.
+
+    Groups of more than ``most`` rows are few, at most rows / ``most``: their brackets go to the rows, which are
+    never dealt by group (a few groups would put the whole table into a few tasks).
+    """
+    large = cut_lineage(left.where(F.col("_n") > most))
+    of = F.broadcast(large.select(*ks))
     points = F.percentile_approx("_v", [i / POINTS for i in range(POINTS + 1)], ACCURACY).alias("_p")
-    sketch = rows.groupBy(*ks).agg(points, F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    s = _same(sketch, left, ks).select(*[F.col(f"l.{k}").alias(k) for k in ks], "_p", "_min", "_max", "_n", "_a", "_b")
+    sketch = _same(rows, of, ks, "left_semi").groupBy(*ks).agg(points, F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    s = _same(sketch, F.broadcast(large), ks).select(*[F.col(f"l.{k}").alias(k) for k in ks], "_p", "_min", "_max", "_n", "_a", "_b")
     # a point's place is off by no more than n / ACCURACY rows: one point of margin covers it
     low = F.floor(F.col("_a") / F.col("_n") * POINTS) - 1
     high = F.ceil((F.col("_b") + 1) / F.col("_n") * POINTS) + 1
-    large = F.col("_n") > most
     s = s.select(*ks, "_n", "_a", "_b",
-                 F.when(large & (low >= 0), F.get("_p", low.cast("int"))).otherwise(F.col("_min")).alias("_lo"),
-                 F.when(large & (high <= POINTS), F.get("_p", high.cast("int"))).otherwise(F.col("_max")).alias("_hi"))
+                 F.when(low >= 0, F.get("_p", low.cast("int"))).otherwise(F.col("_min")).alias("_lo"),
+                 F.when(high <= POINTS, F.get("_p", high.cast("int"))).otherwise(F.col("_max")).alias("_hi"))
     s = cut_lineage(s)
-    j = _same(rows, s, ks)
+    j = _same(rows, F.broadcast(s), ks)
     mine = [F.col(f"r.{k}").alias(k) for k in ks]
     split = cut_lineage(j.where("_v <= _hi").groupBy(*mine).agg(
         F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(F.col("_v") >= F.col("_lo")).alias("_in"),
@@ -77,17 +82,20 @@ def narrowed(rows: DataFrame, left: DataFrame, ks: list[str], most: int) -> tupl
         F.first("_b").alias("_b"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")))
     if split.where("_below > _a OR _below + _in <= _b").limit(1).count():
         raise ArithmeticError("a sketch's bracket missed the median")  # not within its stated error
-    inside = j.where("_v >= _lo AND _v <= _hi").select(*mine, "_v")
     # a bracket of one value is its median: one row stands for all of them
     alone = split.where("_lo = _hi").select(*ks, F.col("_lo").alias("_v"))
-    many = _same(inside, split.where("_lo < _hi").select(*ks), ks, "left_semi").select(*[F.col(f"r.{k}").alias(k) for k in ks], "_v")
-    rows = cut_lineage(many.unionByName(alone))
+    kept = j.where("_v >= _lo AND _v <= _hi AND _lo < _hi").select(*mine, "_v").unionByName(alone)
+    others = left.where(F.col("_n") <= most)
+    if others.limit(1).count():
+        kept = kept.unionByName(_same(rows, of, ks, "left_anti").select(*ks, "_v"))
+    rows = cut_lineage(kept)
     one = F.col("_lo") == F.col("_hi")
+    others = others.select(*ks, "_n", "_a", "_b", F.lit(False).alias("_stuck"))
     left = cut_lineage(split.select(
         *ks, F.when(one, F.lit(1)).otherwise(F.col("_in")).cast("long").alias("_n"),
         F.when(one, F.lit(0)).otherwise(F.col("_a") - F.col("_below")).cast("long").alias("_a"),
         F.when(one, F.lit(0)).otherwise(F.col("_b") - F.col("_below")).cast("long").alias("_b"),
-        (F.col("_in") == F.col("_was")).alias("_stuck")))
+        (F.col("_in") == F.col("_was")).alias("_stuck")).unionByName(others))
     if left.where(F.col("_stuck") & (F.col("_n") > most)).limit(1).count():
         # few distinct values around the median: rows can't be told apart by points, but by value they are few
         return rows, left.withColumn("_n", F.least("_n", F.lit(most))).drop("_stuck")

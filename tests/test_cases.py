@@ -5,9 +5,11 @@ import statistics
 import pytest
 
 from ledgerline.operators import clean as CL
+from ledgerline.operators import quantiles
 from ledgerline.operators import reshape as RS
 from ledgerline.operators import text_ops as TO
 from ledgerline.operators.quantiles import exact_median
+from ledgerline.session import cut_lineage
 
 
 @pytest.mark.parametrize("most", [1 << 20, 40])
@@ -24,6 +26,24 @@ def test_median_by_narrowing(spark, most):
     assert exact_median(df.where("false"), ["k"], "v").collect() == []
 
 
+def test_median_never_deals_rows_by_group(spark, monkeypatch):
+    """However few the groups, the rows stay where they are until little is left of them."""
+    plans = []
+
+    def cut(df):
+        if "_v" in df.columns or "_below" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df)
+    monkeypatch.setattr(quantiles, "cut_lineage", cut)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as if every table were large
+    df = spark.range(9000).selectExpr("id % 3 AS k", "double(id * 7919 % 9001) AS v").unionByName(spark.sql("SELECT 9L AS k, 1D AS v"))
+    got = {r.k: r.median for r in exact_median(df, ["k"], "v", most=500).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == {k: statistics.median(i * 7919 % 9001 for i in range(k, 9000, 3)) for k in range(3)} | {9: 1.0}
+    assert plans and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+
+
 def test_one_order_of_day_and_month_a_column(spark):
     rows = [("d", "5/8/2004"), ("d", "15/08/2004"), ("d", " 1/2/2005 07:30 "), ("m", "5/8/2004"), ("m", "8/25/2004"), ("m", "25/8/2004"),
             ("m", "8/26/2004"), ("?", "5/8/2004"), ("?", None), ("iso", "2024-01-15T10:00Z"), ("iso", "2024-01-15"), ("iso", "x")]
