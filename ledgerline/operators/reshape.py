@@ -146,15 +146,11 @@ def drop_all_null_columns(df: DataFrame) -> DataFrame:
 def group_pivot(df: DataFrame, group: Sequence[str], rank_col: str, ranks: Sequence[int],
                 aggs: dict[str, Column]) -> DataFrame:
     """A-10: per (group, rank) aggregates, then ranks 1..k as columns
-    ``<name>_<rank>`` (explicit pivot values: no discovery pass)."""
+    ``<name>_<rank>`` (explicit values: no discovery pass). Each (group, rank) is one row by then, so its
+    value is taken as it is; ``pivot`` would first group by (group, rank) once more."""
     per = df.groupBy(*group, rank_col).agg(*[c.alias(n) for n, c in aggs.items()])
-    wide = per.groupBy(*group).pivot(rank_col, list(ranks)).agg(*[F.first(n).alias(n) for n in aggs])
-    ren = {}
-    for r in ranks:
-        for n in aggs:
-            src = f"{r}_{n}" if len(aggs) > 1 else str(r)
-            ren[src] = f"{n}_{r}"
-    return wide.withColumnsRenamed(ren)
+    return per.groupBy(*group).agg(*[F.first(F.when(F.col(rank_col) == r, F.col(n)), ignorenulls=True).alias(f"{n}_{r}")
+                                     for r in ranks for n in aggs])
 
 
 def ranked_pivot(df: DataFrame, group: Sequence[str], rank_by: str, most: int, aggs: dict[str, Column]) -> DataFrame:

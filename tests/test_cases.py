@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.operators import clean as CL
 from ledgerline.operators import quantiles
@@ -94,3 +95,12 @@ def test_too_many_columns_are_an_error(spark):
     assert RS.column_values(df, "c", most=7) == [str(i) for i in range(7)]
     with pytest.raises(ValueError):
         RS.column_values(df, "c", most=6)
+
+
+def test_group_pivot_groups_twice(spark):
+    """By (group, rank) and by group, not a third time; a rank or a group without rows is NULL, a rank left out no row less."""
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 3.0), ("a", 2, None), ("b", 7, 1.0), (None, 2, 4.0)], "g string, r int, v double")
+    got = RS.group_pivot(df, ["g"], "r", [1, 2], {"s": F.sum("v"), "n": F.count("v")})
+    assert got._jdf.queryExecution().executedPlan().toString().count("HashAggregate") == 4
+    assert got.columns == ["g", "s_1", "n_1", "s_2", "n_2"]
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", 5.0, 2, None, 0), ("b", None, None, None, None), (None, None, None, 4.0, 1)]
