@@ -246,6 +246,9 @@ def s12_by_header(spark, sf):
 
 # ---- S-27, S-28: XML filings ------------------------------------------------------------------------
 
+#: Transactions in a compressed part of a filing, on average: what one task reads at once
+FILING_PART = 250_000
+
 FILINGS_SQL = """
 SELECT strftime(o_orderdate, '%Y%m') AS month, 'T' || strftime(o_orderdate, '%Y%m') AS ticker, 'Issuer & Sons' AS issuer_name,
   'Owner ' || strftime(o_orderdate, '%Y%m') AS owner_name,
@@ -257,10 +260,19 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey"""
 
 
 def _filings(spark, sf, wrap):
-    """A filing for each month of orders, as one file; its line items are the transactions."""
-    li = fx.table(spark, sf, "lineitem").join(fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"),
-                                              F.col("o_orderkey") == F.col("l_orderkey"))
-    li = li.withColumn("filing", F.concat(F.lit("form4-"), F.date_format("o_orderdate", "yyyyMM"), F.lit("01")))
+    """A filing for each month of orders, as one file; its line items are the transactions. Files are compressed, in
+    parts of about ``FILING_PART`` transactions; items are exchanged as they are and become XML in the task that writes them."""
+    lineitem, orders = fx.table(spark, sf, "lineitem"), fx.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    name = F.concat(F.lit("form4-"), F.date_format("o_orderdate", "yyyyMM"), F.lit("01")).alias("file")
+    month_no = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("month_no")
+    filings = orders.select(name, month_no).distinct()
+    n = max(1, filings.count())
+    parts = max(1, -(-lineitem.count() // (n * FILING_PART)))
+    data = lineitem.join(orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        name, month_no, F.lit(1).alias("kind"), F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(parts)).cast("int").alias("part"),
+        "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    ends = filings.select("*", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("part")),
+                                                F.struct(F.lit(2).alias("kind"), F.lit(parts - 1).alias("part")))))
     v = lambda t, x: F.concat(F.lit(f"<{t}><value>"), x, F.lit(f"</value></{t}>"))
     date = F.when(F.col("l_linenumber") == 3, "").when(F.col("l_linenumber") == 4, v("transactionDate", F.lit(" "))) \
         .otherwise(v("transactionDate", F.date_format("l_shipdate", "yyyy-MM-dd")))
@@ -269,8 +281,7 @@ def _filings(spark, sf, wrap):
                    v("transactionPricePerShare", F.when(F.col("l_linenumber") == 5, "abc").otherwise(_s("l_extendedprice"))),
                    v("transactionAcquiredDisposedCode", F.when(F.col("l_returnflag") == "R", "D").otherwise("A")),
                    F.lit("</transactionAmounts></nonDerivativeTransaction>"))
-    data = li.select("filing", F.lit(1).alias("pos"), txn.alias("line"))
-    month = F.substring("filing", 7, 6)
+    month = F.substring("file", 7, 6)
     head = F.concat(F.lit("<ownershipDocument><issuer><issuerTradingSymbol>T"), month, F.lit(
         "</issuerTradingSymbol><issuerName>Issuer &amp; Sons</issuerName></issuer><reportingOwner><reportingOwnerId><rptOwnerName>Owner "),
         month, F.lit("</rptOwnerName></reportingOwnerId></reportingOwner><reportingOwner><reportingOwnerId><rptOwnerName>Second"
@@ -280,12 +291,14 @@ def _filings(spark, sf, wrap):
         odd = F.pmod(month.cast("int"), F.lit(2)) == 1
         before = F.when(odd, "<SEC-DOCUMENT>0001.txt\nfee < 3 & more\n<XML>\n<?xml version=\"1.0\"?>\n").otherwise("header text ")
         after = F.when(odd, "\n</XML>\n</SEC-DOCUMENT>").otherwise(" trailer text")
-    ends = data.select("filing").distinct().select("filing", F.inline(F.array(
-        F.struct(F.lit(0).alias("pos"), F.concat(before, head).alias("line")),
-        F.struct(F.lit(2).alias("pos"), F.concat(F.lit("</nonDerivativeTable></ownershipDocument>"), after).alias("line")))))
+    line = F.when(F.col("kind") == 0, F.concat(before, head)).when(F.col("kind") == 1, txn) \
+        .otherwise(F.concat(F.lit("</nonDerivativeTable></ownershipDocument>"), after))
     path = scratch_path(spark, "filings")
-    data.unionByName(ends).repartition("filing").sortWithinPartitions("filing", "pos").select("filing", "line") \
-        .write.partitionBy("filing").text(path)
+    # the parts of a file are partitions in a row (also where files share them), so they are numbered in its order
+    place = F.pmod("month_no", F.lit(n)) * parts + F.col("part")
+    (data.unionByName(ends, allowMissingColumns=True).repartitionById(n * parts, place)
+         .sortWithinPartitions("file", "kind").select("file", line.alias("line"))
+         .write.options(**{"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}, maxRecordsPerFile=2 * FILING_PART).partitionBy("file").text(path))
     rows = B.filing_transactions(spark, path, name_date=r"form4-(\d{8})")
     return rows.select(F.regexp_extract("file", r"form4-(\d{6})", 1).alias("month"), "ticker", "issuer_name", "owner_name",
                        "transaction_date", "shares", "price_per_share", "acquired_disposed",

@@ -12,28 +12,39 @@ Rows are keyed (file, part, block, row): ``part`` numbers the files that make up
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.sources import json_scan as JS
+from ledgerline.sources.lake import scratch_path
 
 SPLIT = ["file", "part", "block"]
 
 
-def split_rows(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+def split_rows(spark: SparkSession, path: str, sep: str | None = None, holds: Sequence[str] = (),
+               also: Sequence[str] = ()) -> DataFrame:
     """(file, part, block, row, size, text) of the text files under ``path``, cut at ``sep`` (default: line ends).
-    Parts of a folder ``file=<name>`` are one file, in the order of their numbers; ``size`` is a part's bytes."""
+    Parts of a folder ``file=<name>`` are one file, in the order of their numbers; ``size`` is a part's bytes.
+    ``holds`` keeps only texts with one of these strings (looked for first, before anything is made of a text),
+    ``also`` names more of Spark's file metadata."""
     r = spark.read.option("lineSep", sep) if sep else spark.read
     df = r.text(path)
+    if holds:
+        df = df.where(reduce(or_, [F.contains("value", F.lit(h)) for h in holds]))
     meta = F.col("_metadata")
     if "file" in df.columns:
-        file, part = F.col("file").cast("string"), F.regexp_extract(meta["file_name"], r"part-(\d+)", 1).try_cast("long")
+        number = lambda p: F.coalesce(F.regexp_extract(meta["file_name"], p, 1).try_cast("long"), F.lit(0))
+        # a writing task's files are numbered part-<task>-<id>.c<file>
+        file, part = F.col("file").cast("string"), number(r"part-(\d+)") * 1_000_000 + number(r"\.c(\d+)\.")
     else:
         file, part = meta["file_path"], F.lit(0).cast("long")
-    return df.select(file.alias("file"), F.coalesce(part, F.lit(0)).alias("part"), meta["file_block_start"].alias("block"),
-                     F.monotonically_increasing_id().alias("row"), meta["file_size"].alias("size"), F.col("value").alias("text"))
+    return df.select(file.alias("file"), part.alias("part"), meta["file_block_start"].alias("block"),
+                     F.monotonically_increasing_id().alias("row"), meta["file_size"].alias("size"), F.col("value").alias("text"),
+                     *[meta[m].alias(m) for m in also])
 
 
 def carried(df: DataFrame, sums: dict[str, Column], order: Sequence[str] = ("row",)) -> DataFrame:
@@ -170,13 +181,11 @@ def xml_first(spark: SparkSession, path: str, between: str, schemas: dict[str, s
     text wraps the XML; NULL where there is none. A file is read by many tasks, as the text between two end tags
     ``between`` (a tag that the elements neither hold nor lie in, and that fills large files); only one text a file
     and tag is parsed."""
-    meta = F.col("_metadata")
-    r = spark.read.option("lineSep", f"</{between}>").text(path)
-    pos = F.struct(meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
-    bare = F.regexp_replace("value", r"(?s)<!--.*?-->", "")
+    r = split_rows(spark, path, f"</{between}>", holds=[f"<{t}" for t in schemas])
+    bare = F.regexp_replace("text", r"(?s)<!--.*?-->", "")
     first = {t: F.nullif(F.regexp_extract(bare, rf"(?s)<{t}(?:\s[^>]*)?/>|<{t}(?:\s[^>]*)?>.*?</{t}>", 0), F.lit("")) for t in schemas}
-    held = lambda t: F.contains("value", F.lit(f"<{t}"))
-    r = r.select(meta["file_path"].alias("file"), pos.alias("pos"), *[F.when(held(t), c).alias(t) for t, c in first.items()])
+    held = lambda t: F.contains("text", F.lit(f"<{t}"))
+    r = r.select("file", F.struct("part", "block", "row").alias("pos"), *[F.when(held(t), c).alias(t) for t, c in first.items()])
     r = r.where(F.coalesce(*schemas).isNotNull())
     texts = r.groupBy("file").agg(*[F.min_by(t, F.when(F.col(t).isNotNull(), F.col("pos"))).alias(t) for t in schemas])
     return texts.select("file", *[F.from_xml(t, s).alias(t) for t, s in schemas.items()])
@@ -184,19 +193,20 @@ def xml_first(spark: SparkSession, path: str, between: str, schemas: dict[str, s
 
 def xml_split_rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
     """Elements ``tag`` (not nested in each other) with their ``file`` and ``file_time``, each read from the
-    text between two end tags: a large file is read by many tasks, in rows of one element."""
-    meta = F.col("_metadata")
-    r = spark.read.option("lineSep", f"</{tag}>").text(path)
-    element = F.regexp_extract("value", rf"(?s)<{tag}(?=[\s>/]).*$", 0)
-    r = r.select(element.alias("_x"), meta["file_path"].alias("file"), meta["file_modification_time"].alias("file_time"))
-    x = F.from_xml(F.concat("_x", F.lit(f"</{tag}>")), schema)
-    return r.where("_x <> ''").select("file", "file_time", x.alias("x")).select("x.*", "file", "file_time")
+    text between two end tags: a large file is read by many tasks, in rows of one element. Compressed files are
+    read by a task each, so a large one should be a folder ``file=<name>`` of parts, cut between elements."""
+    opening = [f"<{tag}{c}" for c in "> \n\t\r\f\v/"]
+    r = split_rows(spark, path, f"</{tag}>", holds=opening, also=["file_modification_time"])
+    element = F.concat(F.regexp_extract("text", rf"(?s)<{tag}(?=[\s>/]).*$", 0), F.lit(f"</{tag}>"))
+    return r.select("file", F.col("file_modification_time").alias("file_time"), F.from_xml(element, schema).alias("x")) \
+        .select("x.*", "file", "file_time")
 
 
 def filing_transactions(spark: SparkSession, path: str, name_date: str = r"(\d{8})[^/]*$") -> DataFrame:
     """S-27 / S-28 over landed ownership filings: one row per non-derivative transaction, read by its own
     tag, so that a filing is as many rows as it has transactions and is split among tasks. Issuer and first
-    owner are found in one more pass over the same rows and joined by file. value = shares x price (NULL for a bad
+    owner are found in a pass before over the same rows and kept as a table of a row a file: its size is known when
+    the transactions are joined to it, so that they aren't exchanged while it is small. value = shares x price (NULL for a bad
     number); a missing or blank transaction date is that in the file's path (eight digits, found by ``name_date``), else the day the file was
     written."""
     value = "STRUCT<value: STRING>"
@@ -205,6 +215,9 @@ def filing_transactions(spark: SparkSession, path: str, name_date: str = r"(\d{8
                        f"transactionPricePerShare: {value}, transactionAcquiredDisposedCode: {value}>")
     heads = xml_first(spark, path, "nonDerivativeTransaction", {
         "issuer": "issuerTradingSymbol STRING, issuerName STRING", "reportingOwner": "reportingOwnerId STRUCT<rptOwnerName: STRING>"})
+    kept = scratch_path(spark, "filing-heads")
+    heads.write.parquet(kept)
+    heads = spark.read.parquet(kept)
     shares = F.trim("transactionAmounts.transactionShares.value").try_cast("double")
     price = F.trim("transactionAmounts.transactionPricePerShare.value").try_cast("double")
     name = F.try_to_date(F.regexp_extract("file", name_date, 1), "yyyyMMdd")

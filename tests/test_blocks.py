@@ -185,6 +185,59 @@ def test_heads_of_filings_are_read_in_splits(spark, tmp_path, tiny_splits):
     assert sorted(map(tuple, rows)) == [("2024-01-05", "A & B", None, "One", 30), ("2024-01-06", None, None, "Late", 9)]
 
 
+def test_a_filing_may_be_a_folder_of_compressed_parts(spark, tmp_path):
+    """Parts, in the order of task and file number, are one file: heads of an early part hold for the rows of all."""
+    import gzip
+    txn = "<nonDerivativeTransaction><transactionAmounts><transactionShares><value>{}</value></transactionShares></transactionAmounts></nonDerivativeTransaction>\n"
+    owner = "<reportingOwner><reportingOwnerId><rptOwnerName>{}</rptOwnerName></reportingOwnerId></reportingOwner>\n"
+    issuer = "<issuer><issuerTradingSymbol>{}</issuerTradingSymbol></issuer>\n"
+    parts = {"part-00000-x.c000": issuer.format("A") + txn.format(1) * 2, "part-00000-x.c002": txn.format(2) + owner.format("One"),
+             "part-00000-x.c010": owner.format("No") + txn.format(3) * 5 + "<nonDerivativeTransactions/>\n",
+             "part-00007-x.c000": issuer.format("No") + txn.format(4) + "</ownershipDocument>\n"}
+    for f in ("f-20240105", "f-20240106"):
+        (tmp_path / f"file={f}").mkdir()
+        for name, text in parts.items():
+            (tmp_path / f"file={f}" / f"{name}.txt.gz").write_bytes(gzip.compress(text.encode()))
+    rows = B.filing_transactions(spark, str(tmp_path)).groupBy("file", "ticker", "owner_name", "transaction_date", "shares").count().collect()
+    assert sorted(map(tuple, rows)) == [(f"f-2024010{d}", "A", "One", f"2024-01-0{d}", float(n), k)
+                                        for d in (5, 6) for n, k in ((1, 2), (2, 1), (3, 5), (4, 1))]
+
+
+def test_files_without_filings_give_no_rows(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("no <b>xml</b>\n")
+    assert B.filing_transactions(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["s27_xml_filings", "s28_wrapped_filings"])
+def test_filings_take_little_disk(spark, monkeypatch, name):
+    """Landed filings are compressed, in parts of a bounded number of transactions, and transactions aren't exchanged
+    to find their issuer and owner."""
+    import glob
+    import os
+    import re
+    from urllib.parse import urlparse
+
+    import __spark_entry__ as E
+    from ledgerline.plans import fixtures as fx
+    from ledgerline.plans import q_files
+
+    sf = "/root/testdata/sf0.001"
+    landed = []
+    monkeypatch.setattr(q_files, "scratch_path", lambda s, n, make=q_files.scratch_path: landed.append(make(s, n)) or landed[-1])
+    monkeypatch.setattr(q_files, "FILING_PART", 30, raising=False)
+    df = E.queries()[name](spark, sf)
+    rows = sorted(map(tuple, df.collect()), key=str)
+    n = fx.table(spark, sf, "lineitem").count()
+    files = [f for f in glob.glob(urlparse(landed[0]).path + "/*/*") if "/part-" in f]
+    assert len(rows) == n and sum(map(os.path.getsize, files)) < 60 * n
+    lines = [r.n for r in RW.read_lines(spark, landed[0]).groupBy("file").agg(F.sum(F.contains("line", F.lit("</nonDer")).cast("int")).alias("n")).collect()]
+    assert sum(lines) >= n and max(lines) <= 61
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange (hash|range)partitioning", plan)
+    monkeypatch.undo()
+    assert rows == sorted(map(tuple, E.queries()[name](spark, sf).collect()), key=str)
+
+
 def test_embedded_xml_equals_the_patterns(spark):
     import re
     rng = random.Random(8)
