@@ -203,6 +203,24 @@ def test_a_filing_may_be_a_folder_of_compressed_parts(spark, tmp_path):
                                         for d in (5, 6) for n, k in ((1, 2), (2, 1), (3, 5), (4, 1))]
 
 
+def test_a_wrapped_filing_in_compressed_parts(spark, tmp_path):
+    """The wrapper's header and trailer stand in the first and the last part; the filing is found across all of them."""
+    import gzip
+    txn = "<nonDerivativeTransaction><transactionDate><value>{}</value></transactionDate>\n<transactionAmounts><transactionShares><value>2</value></transactionShares>" \
+          "<transactionPricePerShare><value>1.5</value></transactionPricePerShare></transactionAmounts></nonDerivativeTransaction>\n"
+    head = "<ownershipDocument><issuer><issuerName>A &amp; B</issuerName></issuer><reportingOwner><reportingOwnerId><rptOwnerName>{}</rptOwnerName>" \
+           "</reportingOwnerId></reportingOwner><nonDerivativeTable>\n"
+    for f, before, after in (("f-20240105", "<SEC-DOCUMENT>0001.txt\nfee < 3 & more\n<XML>\n<?xml version=\"1.0\"?>\n", "\n</XML>\n</SEC-DOCUMENT>\n"),
+                             ("f-20240106", "header text ", " trailer text < 1 & 2\n")):
+        (tmp_path / f"file={f}").mkdir()
+        texts = [before + head.format(f[-2:]) + txn.format("2024-01-02"), txn.format("") * 3, txn.format("2024-01-03") + "</nonDerivativeTable></ownershipDocument>" + after]
+        for i, text in enumerate(texts):
+            (tmp_path / f"file={f}" / f"part-0000{i}-x.c000.txt.gz").write_bytes(gzip.compress(text.encode()))
+    rows = B.filing_transactions(spark, str(tmp_path)).groupBy("file", "issuer_name", "owner_name", "transaction_date", "transaction_value").count().collect()
+    assert sorted(map(tuple, rows)) == [(f"f-202401{d}", "A & B", d, date, 3.0, k) for d in ("05", "06")
+                                        for date, k in sorted([("2024-01-02", 1), ("2024-01-03", 1), (f"2024-01-{d}", 3)])]
+
+
 def test_files_without_filings_give_no_rows(spark, tmp_path):
     (tmp_path / "a.txt").write_text("no <b>xml</b>\n")
     assert B.filing_transactions(spark, str(tmp_path)).count() == 0
